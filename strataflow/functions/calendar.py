@@ -114,9 +114,13 @@ def _with_unknown(df: DataFrame, unknown: dict) -> DataFrame:
     return row.unionByName(df)
 
 
-def dim_date(spark: SparkSession, start: str = "2024-01-01", end: str = "2026-12-31") -> DataFrame:
-    days = spark.range(1).select(
-        F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))).alias("day")
+def dim_date(
+    spark: SparkSession, start: str | Column = "2024-01-01", end: str | Column = "2026-12-31"
+) -> DataFrame:
+    """One row per day from start to end, plus the -1 member. The ends may be scalar subqueries."""
+    first, last = (c if isinstance(c, Column) else F.lit(c).cast("date") for c in (start, end))
+    days = spark.range(1).select(first.alias("first"), last.alias("last")).select(
+        F.explode(F.sequence("first", "last")).alias("day")
     )
     return _with_unknown(
         days.select(*calendar_columns(F.col("day"))),

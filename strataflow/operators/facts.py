@@ -22,9 +22,9 @@ def previous_active_date(orders: DataFrame, entity_id: str, day: str = "order_da
     The distinct runs first (with a map-side combine), so a window group never holds more rows than there are
     calendar days, however many orders its entity has.
     """
-    days = orders.filter(F.col(entity_id).isNotNull()).select(entity_id, day).distinct()
+    days = orders.select(entity_id, day).distinct()
     previous = F.lag(day).over(Window.partitionBy(entity_id).orderBy(day))
-    return days.withColumn("previous_date", previous)
+    return days.select("*", previous.alias("previous_date")).filter(F.col(entity_id).isNotNull())
 
 
 def life_cycle(
@@ -56,60 +56,59 @@ def point_in_time(
     The join is keyed on the business id with the interval as residual condition. Versions of one id never
     overlap, so the row count is unchanged.
     """
-    keep = keep or {}
+    kept = [F.col(c).alias(n) for c, n in (keep or {}).items()]
     versions = dimension.select(
-        F.col(business_id).alias("pit_id"), F.col("valid_from").alias("pit_from"),
-        F.col("valid_to").alias("pit_to"), F.col(key).alias(key),
-        *[F.col(c).alias(n) for c, n in keep.items()],
+        F.col(business_id).alias(f"{key}_id"), F.col("valid_from").alias(f"{key}_from"),
+        F.col("valid_to").alias(f"{key}_to"), key, *kept,
     )
-    inside = (F.col(business_id) == F.col("pit_id")) & F.col(day).between(F.col("pit_from"), F.col("pit_to"))
-    return facts.join(versions, inside, "left").drop("pit_id", "pit_from", "pit_to")
+    inside = (F.col(business_id) == F.col(f"{key}_id")) & F.col(day).between(
+        F.col(f"{key}_from"), F.col(f"{key}_to")
+    )
+    return facts.join(versions, inside, "left")
 
 
-def known_date_key(df: DataFrame, day: Column, calendar: DataFrame, name: str) -> DataFrame:
-    """Calendar key of a day, -1 for days outside the calendar."""
+def known_date_key(df: DataFrame, day_key: str, calendar: DataFrame) -> DataFrame:
+    """Mark the keys the calendar knows: `calendar_key` is NULL for days outside it."""
     keys = calendar.select(F.col("date_key").alias("calendar_key"))
-    joined = df.withColumn("day_key", date_key(day)).join(
-        keys, F.col("day_key") == F.col("calendar_key"), "left"
-    )
-    return joined.withColumn(name, F.coalesce("calendar_key", F.lit(UNKNOWN))).drop("day_key", "calendar_key")
+    return df.join(keys, F.col(day_key) == F.col("calendar_key"), "left")
 
 
 def build_fact_order(
     orders: DataFrame, calendar: DataFrame, customers: DataFrame, restaurants: DataFrame, partners: DataFrame
 ) -> DataFrame:
     """Typed orders with resolved keys, net value and the three life cycles."""
-    base = orders.withColumn("order_date", F.to_date("order_timestamp"))
-    out = known_date_key(base, F.col("order_timestamp"), calendar, "order_date_key")
-    out = out.withColumn("order_time_key", F.coalesce(time_key(F.col("order_timestamp")), F.lit(UNKNOWN)))
+    base = orders.select(
+        "*", F.to_date("order_timestamp").alias("order_date"), date_key(F.col("order_timestamp")).alias("day_key")
+    )
+    out = known_date_key(base, "day_key", calendar)
+    cycles = []
     for entity, dimension in (
         ("customer", customers), ("restaurant", restaurants), ("delivery_partner", partners),
     ):
-        business_id, key = f"{entity}_id", f"{entity}_key"
+        business_id = f"{entity}_id"
+        active, known = f"{entity}_last_active", f"{entity}_life_cycle"
         out = point_in_time(
-            out, dimension, business_id, key, "order_date",
-            {"last_active": "pit_last_active", "life_cycle_id": "pit_life_cycle"},
+            out, dimension, business_id, f"{entity}_key", "order_date",
+            {"last_active": active, "life_cycle_id": known},
         )
-        lag = previous_active_date(base, business_id)
+        lag = previous_active_date(base, business_id).withColumnRenamed("previous_date", f"{entity}_previous")
         out = out.join(lag, [business_id, "order_date"], "left")
         cycle = life_cycle(
-            F.col("previous_date"), F.col("order_date"), LIFE_CYCLE_GAP[entity],
-            F.col("pit_last_active"), F.col("pit_life_cycle"),
+            F.col(f"{entity}_previous"), F.col("order_date"), LIFE_CYCLE_GAP[entity], F.col(active), F.col(known)
         )
         if entity == "delivery_partner":
             cycle = F.when(F.col(business_id).isNotNull(), cycle)
-        out = out.withColumn(LIFE_CYCLE_NAME[entity], cycle).drop(
-            "previous_date", "pit_last_active", "pit_life_cycle"
-        )
+        cycles.append(cycle.alias(LIFE_CYCLE_NAME[entity]))
     return out.select(
-        "order_id", "order_date_key", "order_time_key",
+        "order_id",
+        F.coalesce("calendar_key", F.lit(UNKNOWN)).alias("order_date_key"),
+        F.coalesce(time_key(F.col("order_timestamp")), F.lit(UNKNOWN)).alias("order_time_key"),
         *[
             F.coalesce(f"{e}_key", F.lit(UNKNOWN)).cast("long").alias(f"{e}_key")
             for e in ("customer", "restaurant", "delivery_partner")
         ],
         "subtotal_amount", "discount_amount", "delivery_fee", "total_amount",
-        net_order_value().alias("net_order_value"), "is_cod", "is_cancelled",
-        "cust_lc_id", "rest_lc_id", "driver_lc_id", "batch_id",
+        net_order_value().alias("net_order_value"), "is_cod", "is_cancelled", *cycles, "batch_id",
     )
 
 
@@ -193,12 +192,16 @@ def build_fact_rating(
         F.col("restaurant_key").alias("order_restaurant_key"),
         "delivery_partner_key",
     )
-    out = ratings.withColumn("review_date", F.to_date("review_timestamp")).join(parents, "order_id", "left")
-    out = known_date_key(out, F.col("review_timestamp"), calendar, "rating_date_key")
+    base = ratings.select(
+        "*", F.to_date("review_timestamp").alias("review_date"),
+        date_key(F.col("review_timestamp")).alias("day_key"),
+    )
+    # Ratings bring their own customer and restaurant ids; only the keys of the versions are wanted here.
+    out = known_date_key(base.join(parents, "order_id", "left"), "day_key", calendar)
     out = point_in_time(out, customers, "customer_id", "customer_key", "review_date")
     out = point_in_time(out, restaurants, "restaurant_id", "restaurant_key", "review_date")
     return out.select(
-        "rating_id", "order_id", "rating_date_key",
+        "rating_id", "order_id", F.coalesce("calendar_key", F.lit(UNKNOWN)).alias("rating_date_key"),
         F.coalesce(time_key(F.col("review_timestamp")), F.lit(UNKNOWN)).alias("rating_time_key"),
         F.coalesce("order_customer_key", "customer_key", F.lit(UNKNOWN)).cast("long").alias("customer_key"),
         F.coalesce("order_restaurant_key", "restaurant_key", F.lit(UNKNOWN)).cast("long").alias("restaurant_key"),
