@@ -19,17 +19,21 @@ def scope(df: DataFrame, batch_id: int | None) -> DataFrame:
     return df if batch_id is None else df.filter(F.col("batch_id") == batch_id)
 
 
-def _one_row(base: DataFrame, **values: Column) -> DataFrame:
-    return base.sparkSession.range(1).select(*[c.alias(n) for n, c in values.items()])
+def _beside(*rows: DataFrame) -> DataFrame:
+    """One-row aggregates side by side, so that every view is read once."""
+    one = F.lit(1).alias("one")
+    out = rows[0].select(one, "*")
+    for row in rows[1:]:
+        out = out.join(row.select(one, "*"), "one")
+    return out.drop("one")
 
 
-def _count(df: DataFrame, condition: Column | None = None) -> Column:
-    rows = df if condition is None else df.filter(condition)
-    return rows.agg(F.count(F.lit(1)).alias("n")).scalar()
+def _rows(df: DataFrame, name: str) -> DataFrame:
+    return df.agg(F.count(F.lit(1)).alias(name))
 
 
-def _sum(df: DataFrame, column: str) -> Column:
-    return df.agg(F.coalesce(F.sum(column), F.lit(0)).alias("n")).scalar()
+def _sums(df: DataFrame, *columns: str) -> DataFrame:
+    return df.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in columns])
 
 
 def ratio(part: Column, whole: Column) -> Column:
@@ -69,14 +73,14 @@ def row_totals(
     errors: DataFrame, warnings: DataFrame, changes: DataFrame, checks: DataFrame, steps: DataFrame,
     batch_id: int | None = None,
 ) -> DataFrame:
-    return _one_row(
-        steps,
-        total_quarantined_errors=_count(scope(errors, batch_id)),
-        total_operational_warnings=_count(scope(warnings, batch_id)),
-        total_dimension_changes=_count(scope(changes, batch_id)),
-        total_reconciliation_checks=_count(scope(checks, batch_id)),
-        total_steps=_count(scope(steps, batch_id)),
-    )
+    counted = {
+        "total_quarantined_errors": errors,
+        "total_operational_warnings": warnings,
+        "total_dimension_changes": changes,
+        "total_reconciliation_checks": checks,
+        "total_steps": steps,
+    }
+    return _beside(*[_rows(scope(df, batch_id), name) for name, df in counted.items()])
 
 
 def sums(batches: DataFrame, steps: DataFrame, recon: DataFrame, batch_id: int | None = None) -> DataFrame:
@@ -99,27 +103,27 @@ def sums(batches: DataFrame, steps: DataFrame, recon: DataFrame, batch_id: int |
         F.coalesce(F.sum("ods_to_dwh_variance"), F.lit(0)).alias("total_ods_to_dwh_variance"),
         F.coalesce(F.sum("quarantined_error_rows"), F.lit(0)).alias("total_reconciliation_errors"),
     )
-    one = F.lit(1).alias("one")
-    return (
-        b.select(one, "*").join(s.select(one, "*"), "one").join(r.select(one, "*"), "one").drop("one")
-    )
+    return _beside(b, s, r)
 
 
 def ratios(
     steps: DataFrame, recon: DataFrame, errors: DataFrame, warnings: DataFrame, batch_id: int | None = None
 ) -> DataFrame:
     """Shares of rows, 0 on an empty base; a batch filter reaches numerator and denominator alike."""
-    s, r = scope(steps, batch_id), scope(recon, batch_id)
-    raw, ods = _sum(r, "raw_rows"), _sum(r, "ods_rows")
-    processed = _sum(s, "rows_processed")
-    return _one_row(
-        steps,
-        overall_data_retention_rate=ratio(_sum(r, "dwh_rows"), raw),
-        step_rejection_rate=ratio(_sum(s, "rows_rejected"), processed),
-        quarantined_error_rate=ratio(_count(scope(errors, batch_id)), raw),
-        operational_warning_rate=ratio(_count(scope(warnings, batch_id)), ods),
-        step_yield=ratio(_sum(s, "rows_inserted"), processed),
+    row = _beside(
+        _sums(scope(recon, batch_id), "raw_rows", "ods_rows", "dwh_rows"),
+        _sums(scope(steps, batch_id), "rows_processed", "rows_inserted", "rows_rejected"),
+        _rows(scope(errors, batch_id), "errors"),
+        _rows(scope(warnings, batch_id), "warnings"),
     )
+    shares = {
+        "overall_data_retention_rate": ("dwh_rows", "raw_rows"),
+        "step_rejection_rate": ("rows_rejected", "rows_processed"),
+        "quarantined_error_rate": ("errors", "raw_rows"),
+        "operational_warning_rate": ("warnings", "ods_rows"),
+        "step_yield": ("rows_inserted", "rows_processed"),
+    }
+    return row.select(*[ratio(F.col(a), F.col(b)).alias(n) for n, (a, b) in shares.items()])
 
 
 def throughput(steps: DataFrame, batches: DataFrame, batch_id: int | None = None) -> DataFrame:
@@ -127,14 +131,12 @@ def throughput(steps: DataFrame, batches: DataFrame, batch_id: int | None = None
     per_batch = batches.select(
         "batch_id", ratio(F.col("total_records"), F.col("duration_seconds")).alias("rows_per_sec")
     )
-    median = per_batch.agg(F.median("rows_per_sec").alias("m")).scalar()
-    chosen = scope(per_batch, batch_id).agg(F.max_by("rows_per_sec", "batch_id").alias("m")).scalar()
     average = scope(steps, batch_id).agg(
-        F.coalesce(F.avg("throughput_rows_per_sec"), F.lit(0.0)).alias("m")
-    ).scalar()
-    row = _one_row(
-        steps, step_throughput=average, batch_throughput=chosen, median_batch_throughput=median
+        F.coalesce(F.avg("throughput_rows_per_sec"), F.lit(0.0)).alias("step_throughput")
     )
+    chosen = scope(per_batch, batch_id).agg(F.max_by("rows_per_sec", "batch_id").alias("batch_throughput"))
+    median = per_batch.agg(F.median("rows_per_sec").alias("median_batch_throughput"))
+    row = _beside(average, chosen, median)
     own, mid = F.col("batch_throughput"), F.col("median_batch_throughput")
     return row.withColumn(
         "throughput_vs_median",
@@ -166,13 +168,16 @@ def heaviest_stage(steps: DataFrame, batch_id: int | None = None) -> DataFrame:
     stages = scope(steps, batch_id).groupBy("process_name").agg(
         F.sum("duration_seconds").alias("stage_seconds"), F.sum("rows_processed").alias("stage_rows")
     )
-    total = stages.agg(F.sum("stage_seconds").alias("s")).scalar()
-    count = _count(stages)
-    top = stages.orderBy(F.desc("stage_seconds"), F.desc("stage_rows"), F.desc("process_name")).limit(1)
-    share = ratio(F.col("stage_seconds"), total)
-    return top.select(
-        F.col("process_name").alias("top_stage"), "stage_seconds", share.alias("stage_share"),
-        count.alias("stage_count"),
+    # One row per stage is left here, so its maximum, sum and count come from one more aggregate.
+    rank = F.struct("stage_seconds", "stage_rows", "process_name")
+    row = stages.agg(
+        F.max(rank).alias("top"), F.sum("stage_seconds").alias("all_seconds"),
+        F.count(F.lit(1)).alias("stage_count"),
+    ).filter("stage_count > 0")
+    share = ratio(F.col("top.stage_seconds"), F.col("all_seconds"))
+    return row.select(
+        F.col("top.process_name").alias("top_stage"), "top.stage_seconds", share.alias("stage_share"),
+        "stage_count",
         F.when(share > 0.50, "Critical").when(share >= 0.35, "Warning").otherwise("Normal").alias("stage_band"),
     )
 
@@ -183,35 +188,35 @@ def distinct_counts(
 ) -> DataFrame:
     e, w, s, a = (scope(d, batch_id) for d in (errors, warnings, steps, changes))
 
-    def distinct(df: DataFrame, column: str) -> Column:
-        return df.agg(F.count_distinct(column).alias("n")).scalar()
-
-    return _one_row(
-        steps,
-        affected_files=distinct(e, "source_file_name"),
-        violated_columns=distinct(e, "column_name"),
-        triggered_rules=distinct(e, "error_type"),
-        error_categories=distinct(e, "error_category"),
-        error_tables=distinct(e, "table_name"),
-        warning_tables=distinct(w, "table_name"),
-        warning_types=distinct(w, "warning_type"),
-        total_tables=distinct(recon, "entity_name"),
-        total_step_names=distinct(s, "step_name"),
-        rejecting_steps=distinct(s.filter(F.col("rows_rejected") > 0), "step_name"),
-        changed_keys=distinct(a, "business_id"),
-        changed_dimensions=distinct(a, "dimension_name"),
-        changed_attributes=distinct(a, "column_name"),
+    def distinct(df: DataFrame, **columns) -> DataFrame:
+        return df.agg(*[F.count_distinct(c).alias(n) for n, c in columns.items()])
+
+    rejecting = F.when(F.col("rows_rejected") > 0, F.col("step_name"))
+    return _beside(
+        distinct(
+            e, affected_files="source_file_name", violated_columns="column_name", triggered_rules="error_type",
+            error_categories="error_category", error_tables="table_name",
+        ),
+        distinct(w, warning_tables="table_name", warning_types="warning_type"),
+        distinct(recon, total_tables="entity_name"),
+        distinct(s, total_step_names="step_name", rejecting_steps=rejecting),
+        distinct(
+            a, changed_keys="business_id", changed_dimensions="dimension_name", changed_attributes="column_name"
+        ),
     )
 
 
 def rejected_rows(errors: DataFrame, batch_id: int | None = None) -> DataFrame:
     """Distinct rejected source rows, and how many errors come on top of the first per row.
 
-    NULL file or row number counts as a value of its own, hence the distinct over the four columns.
+    NULL file or row number counts as a value of its own, hence the grouping by the four columns.
     """
-    e = scope(errors, batch_id)
-    rows = e.select("batch_id", "table_name", "source_file_name", "source_row_number").distinct()
-    return _one_row(errors, total_errors=_count(e), rejected_rows=_count(rows)).withColumn(
+    key = ["batch_id", "table_name", "source_file_name", "source_row_number"]
+    per_row = scope(errors, batch_id).groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+    row = per_row.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total_errors"), F.count(F.lit(1)).alias("rejected_rows")
+    )
+    return row.withColumn(
         "multi_fault", F.greatest(F.col("total_errors") - F.col("rejected_rows"), F.lit(0))
     )
 
@@ -249,15 +254,15 @@ def health_bands(
     errors: DataFrame, warnings: DataFrame, recon: DataFrame, batch_id: int | None = None
 ) -> DataFrame:
     """Bands of the error, warning and retention rates, with the net row difference."""
-    r = scope(recon, batch_id).agg(
-        F.coalesce(F.sum("raw_rows"), F.lit(0)).alias("raw_rows"),
-        F.coalesce(F.sum("ods_rows"), F.lit(0)).alias("ods_rows"),
-        F.coalesce(F.sum("dwh_rows"), F.lit(0)).alias("dwh_rows"),
+    base = _beside(
+        _sums(scope(recon, batch_id), "raw_rows", "ods_rows", "dwh_rows"),
+        _rows(scope(errors, batch_id), "errors"),
+        _rows(scope(warnings, batch_id), "warnings"),
     )
-    row = r.select(
+    row = base.select(
         "*",
-        ratio(_count(scope(errors, batch_id)), F.col("raw_rows")).alias("error_rate"),
-        ratio(_count(scope(warnings, batch_id)), F.col("ods_rows")).alias("warning_rate"),
+        ratio(F.col("errors"), F.col("raw_rows")).alias("error_rate"),
+        ratio(F.col("warnings"), F.col("ods_rows")).alias("warning_rate"),
         ratio(F.col("dwh_rows"), F.col("raw_rows")).alias("retention_rate"),
     )
     keep = F.col("retention_rate")

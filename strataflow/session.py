@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -39,10 +40,12 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
     return apply_settings(spark)
 
 
+@cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="strataflow-")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared folder the cluster names; a temporary one only where none is named."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="strataflow-")
-        spark.conf.set("spark.checkpoint.dir", base)
+    """A fresh folder below the shared folder the cluster names; a local one only where none is named."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
     return f"{base.rstrip('/')}/strataflow/{name}-{uuid.uuid4().hex}"

@@ -154,13 +154,26 @@ def route_files(checked: DataFrame, batch_id: int) -> DataFrame:
     )
 
 
+def outcome_of() -> Column:
+    return (
+        F.when(F.col("total_files") == 0, "NO_FILES").when(F.col("invalid_files") > 0, "FAILED").otherwise("LOAD_RAW")
+    )
+
+
 def ingestion_outcome(checked: DataFrame) -> DataFrame:
     """Any bad file fails the batch and the raw load is skipped; a batch without files does nothing."""
-    return validation_summary(checked).withColumn(
-        "outcome",
-        F.when(F.col("total_files") == 0, "NO_FILES")
-        .when(F.col("invalid_files") > 0, "FAILED")
-        .otherwise("LOAD_RAW"),
+    return validation_summary(checked).withColumn("outcome", outcome_of())
+
+
+def staged_batches(staged: dict[str, DataFrame]) -> DataFrame:
+    """Batches that at least one staged table holds, with the number of entities and rows."""
+    out = None
+    for entity, df in staged.items():
+        part = df.groupBy("batch_id").agg(F.count(F.lit(1)).alias("staged_rows"))
+        part = part.withColumn("entity", F.lit(entity))
+        out = part if out is None else out.unionByName(part)
+    return out.groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("entities"), F.sum("staged_rows").alias("staged_rows")
     )
 
 
@@ -187,8 +200,9 @@ def scan_text(
     """
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
     rows = _reader(spark, schema, multi_line).csv(paths)
+    # The reader turns empty fields into NULL; a column that is in the file keeps them as empty text.
     return rows.select(
-        *columns,
+        *[F.coalesce(c, F.lit("")).alias(c) for c in columns],
         F.col("_metadata.file_name").alias("source_file_name"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("scan_id"),
