@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from strataflow.functions import bands as B
 from strataflow.functions.calendar import date_key, time_key
 from strataflow.operators.lookups import RATING_TYPES, SENTIMENT_TYPES
+from strataflow.operators.surrogate import assign_keys, fill_missing_keys
 from strataflow.operators.upsert import upsert
 
 UNKNOWN = -1
@@ -222,11 +223,32 @@ FACT_KEYS = {
 }
 
 
+# Surrogate keys of the fact rows; a row keeps its key for good.
+FACT_SURROGATES = {
+    "fact_order": "order_key",
+    "fact_order_item": "order_item_key",
+    "fact_delivery_performance": "delivery_key",
+    "fact_rating": "rating_key",
+}
+
+
 def upsert_fact(name: str, target: DataFrame, source: DataFrame, source_rows: int | None = None) -> DataFrame:
     """Update changed facts and insert absent ones by business key; the batch id alone is no change."""
-    key = FACT_KEYS[name]
-    tracked = [c for c in source.columns if c not in (key, "batch_id")]
-    return upsert(target, source, [key], tracked, source_rows=source_rows)
+    key, surrogate = FACT_KEYS[name], FACT_SURROGATES[name]
+    tracked = [c for c in source.columns if c not in (key, surrogate, "batch_id")]
+    return upsert(target, source, [key], tracked, kept=[surrogate], source_rows=source_rows)
+
+
+def merge_fact(
+    name: str, target: DataFrame | None, source: DataFrame, first: Column | int, source_rows: int | None = None
+) -> DataFrame:
+    """`upsert_fact` with surrogate keys: new rows are numbered from `first`, the others keep theirs."""
+    key, surrogate = FACT_KEYS[name], FACT_SURROGATES[name]
+    fresh = source.drop(surrogate).withColumn(surrogate, F.lit(None).cast("long"))
+    if target is None:
+        return assign_keys(fresh, key, surrogate, first)
+    merged = upsert_fact(name, target, fresh.select(*target.columns), source_rows).drop("merge_action")
+    return fill_missing_keys(merged, key, surrogate, first)
 
 
 # Keys a late parent may still fill: fact column -> fact_order column.

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataflow.functions.parsing import text_hash
+from strataflow.operators.surrogate import fill_missing_keys, next_key
 from strataflow.operators.upsert import upsert
 
 PHRASE_LIMIT = 200
@@ -14,23 +15,39 @@ FALLBACK_SENTIMENT = 2
 FALLBACK_MODEL = "offline-fallback"
 
 
-def build_fact_review_aspect(ratings: DataFrame, cache: DataFrame, key: str = "rating_key") -> DataFrame:
+def build_fact_review_aspect(ratings: DataFrame, cache: DataFrame) -> DataFrame:
     """Every aspect the cache holds for a rating's text: an equi-join on the text hash.
 
     Only the hash travels through the join, not the text. A text shared by a third of all ratings lands in
     one partition; AQE splits it, since the cache side holds a few aspects per hash.
     """
     hashed = ratings.filter(F.col("review_text").isNotNull()).select(
-        key, "batch_id", text_hash(F.col("review_text")).alias("review_hash")
+        "rating_key", "batch_id", text_hash(F.col("review_text")).alias("review_hash")
     )
     found = cache.select("review_hash", "aspect_id", "sentiment_type_id", "matched_phrase")
     return hashed.join(found, "review_hash").select(
-        key, "aspect_id", "sentiment_type_id", "matched_phrase", "batch_id"
+        "rating_key", "aspect_id", "sentiment_type_id", "matched_phrase", "batch_id"
     )
 
 
-def upsert_review_aspect(target: DataFrame, source: DataFrame, key: str = "rating_key") -> DataFrame:
-    return upsert(target, source, [key, "aspect_id", "sentiment_type_id"], ["matched_phrase"])
+ASPECT_KEY = ["rating_key", "aspect_id", "sentiment_type_id"]
+
+
+def upsert_review_aspect(target: DataFrame, source: DataFrame) -> DataFrame:
+    return upsert(target, source, ASPECT_KEY, ["matched_phrase"], kept=["review_aspect_key"])
+
+
+def merge_review_aspect(target: DataFrame | None, source: DataFrame) -> DataFrame:
+    """The upsert with surrogate keys; rows are numbered by their three-part key."""
+    part_key = F.concat_ws("|", *ASPECT_KEY)
+    fresh = source.withColumn("review_aspect_key", F.lit(None).cast("long"))
+    if target is None:
+        merged, first = fresh, 1
+    else:
+        merged = upsert_review_aspect(target, fresh.select(*target.columns)).drop("merge_action")
+        first = next_key(target, "review_aspect_key")
+    numbered = fill_missing_keys(merged.withColumn("part_key", part_key), "part_key", "review_aspect_key", first)
+    return numbered.drop("part_key")
 
 
 def uncached_reviews(ratings: DataFrame, cache: DataFrame) -> DataFrame:

@@ -88,6 +88,11 @@ def _ids(facts: DataFrame, *dimensions: tuple[DataFrame, str, str]) -> DataFrame
     return facts
 
 
+def _surrogate(facts: DataFrame, name: str) -> list[str]:
+    """The fact's own key leads the view when the table carries it."""
+    return [name] if name in facts.columns else []
+
+
 def menu_item_view(menu: DataFrame, restaurants: DataFrame) -> DataFrame:
     return _ids(menu, (restaurants, "restaurant_key", "restaurant_id")).select(
         "menu_item_key", "menu_item_id", "restaurant_key", "restaurant_id", "item_name", "category",
@@ -113,7 +118,7 @@ def order_view(
         (partners, "delivery_partner_key", "delivery_partner_id"),
     )
     return with_ids.select(
-        "order_id", "order_date_key", key_to_date(F.col("order_date_key")).alias("order_date"),
+        *_surrogate(facts, "order_key"), "order_id", "order_date_key", key_to_date(F.col("order_date_key")).alias("order_date"),
         "order_time_key", key_to_time(F.col("order_time_key")).alias("order_time"),
         "customer_key", "customer_id", "restaurant_key", "restaurant_id",
         "delivery_partner_key", "delivery_partner_id",
@@ -124,8 +129,8 @@ def order_view(
 
 def order_item_view(facts: DataFrame, menu: DataFrame) -> DataFrame:
     return _ids(facts, (menu, "menu_item_key", "menu_item_id")).select(
-        "order_item_id", "order_id", "order_date_key", "customer_key", "restaurant_key", "menu_item_key",
-        "menu_item_id", "quantity", "unit_price", "gross_line_total", "item_discount", "net_line_total",
+        *_surrogate(facts, "order_item_key"), "order_item_id", "order_id", "order_date_key", "customer_key",
+        "restaurant_key", "menu_item_key", "menu_item_id", "quantity", "unit_price", "gross_line_total", "item_discount", "net_line_total",
     )
 
 
@@ -145,7 +150,7 @@ def delivery_view(
         "travel_bins", "prep_time_bins", "actual_bins",
     )
     return with_ids.select(
-        "delivery_id", "order_id", "delivery_date_key",
+        *_surrogate(facts, "delivery_key"), "delivery_id", "order_id", "delivery_date_key",
         key_to_date(F.col("delivery_date_key")).alias("delivery_date"),
         "customer_key", "customer_id", "restaurant_key", "restaurant_id",
         "delivery_partner_key", "delivery_partner_id", *measures,
@@ -162,7 +167,7 @@ def rating_view(
         (partners, "delivery_partner_key", "delivery_partner_id"),
     )
     return with_ids.select(
-        "rating_id", "order_id", "rating_date_key",
+        *_surrogate(facts, "rating_key"), "rating_id", "order_id", "rating_date_key",
         key_to_date(F.col("rating_date_key")).alias("review_date"),
         "rating_time_key", key_to_time(F.col("rating_time_key")).alias("review_time"),
         "customer_key", "customer_id", "restaurant_key", "restaurant_id",
@@ -174,6 +179,6 @@ def rating_view(
 def review_aspect_view(facts: DataFrame, ratings: DataFrame) -> DataFrame:
     parents = ratings.select("rating_key", "rating_id", "rating_date_key")
     return facts.join(parents, "rating_key", "left").select(
-        "rating_id", "aspect_id", F.col("sentiment_type_id").alias("sentiment_id"), "sentiment_type_id",
+        *_surrogate(facts, "review_aspect_key"), "rating_id", "aspect_id", F.col("sentiment_type_id").alias("sentiment_id"), "sentiment_type_id",
         key_to_date(F.col("rating_date_key")).alias("review_date"), "matched_phrase",
     )

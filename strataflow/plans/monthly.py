@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from strataflow.functions.calendar import dim_date, dim_time
 from strataflow.operators import audits, clean, dimensions, facts, gates, lookups, monitoring, reviews
 from strataflow.operators import scd2, upsert, warnings
-from strataflow.operators.surrogate import fill_missing_keys, next_key
+from strataflow.operators.surrogate import next_key
 from strataflow.sources import aspect_cache, landing
 from strataflow.sources.tables import Warehouse
 from strataflow.spec import ENTITIES, LOAD_ORDER
@@ -213,9 +213,11 @@ class BatchRun:
         month = F.when(F.col(date_column) < 0, -1).otherwise((F.col(date_column) / 100).cast("int"))
         source = rows.withColumn("month_key", month).persist(StorageLevel.DISK_ONLY)
         count = source.count()
+        known = self.warehouse.read(f"dwh/{name}")
+        first = 1 if known is None else next_key(known, facts.FACT_SURROGATES[name])
         self.warehouse.merge_partitions(
             f"dwh/{name}", source, facts.FACT_KEYS[name], "month_key",
-            lambda target, src: facts.upsert_fact(name, target, src, source_rows=count),
+            lambda target, src: facts.merge_fact(name, target, src, first, source_rows=count),
         )
         source.unpersist()
 
@@ -281,14 +283,10 @@ class BatchRun:
             return
         fresh = reviews.fallback_aspects(reviews.uncached_reviews(ratings, cache))
         known = aspect_cache.add_missing(cache, fresh)
-        rows = reviews.build_fact_review_aspect(
-            dimensions.of_batch(ratings, self.batch_id), known, key="rating_id"
-        )
+        rows = reviews.build_fact_review_aspect(dimensions.of_batch(ratings, self.batch_id), known)
         before = self.warehouse.current("dwh/fact_review_aspect", self.batch_id)
-        merged = rows if before is None else reviews.upsert_review_aspect(before, rows, "rating_id").drop(
-            "merge_action"
-        )
-        self.warehouse.publish("dwh/fact_review_aspect", merged, self.batch_id)
+        self.warehouse.publish("dwh/fact_review_aspect", reviews.merge_review_aspect(before, rows), self.batch_id)
+        self.warehouse.publish("ref/review_aspect_cache", known, self.batch_id)
 
     # Close --------------------------------------------------------------------------------------------
 

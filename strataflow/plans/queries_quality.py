@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from strataflow.functions.parsing import ID_PATTERNS, PLAIN_NUMBER
 from strataflow.operators import clean, gates, lookups, upsert, warnings
+from strataflow.plans import source_maps as M
 from strataflow.plans.registry import Source, dbl, fragment, query, txt
 from strataflow.spec import ENTITIES
 
@@ -16,25 +17,20 @@ RAW_KEY = "batch_id, source_file_name, source_row_number"
 
 # Spark side -----------------------------------------------------------------------------------------------
 
-def masters(src: Source) -> dict[str, DataFrame]:
+def master(src: Source, name: str) -> DataFrame:
     """City, channel, cuisine and category come from the tables; the other masters are the seeds."""
-    out = {n: lookups.master_rows(src.spark, n) for n in ("vehicle_type", "employment_type", "partner_type")}
-    for name in ("city", "acquisition_channel", "cuisine_type", "category"):
-        out[name] = src(f"master_{name}")
-    return out
-
-
-def parents(src: Source) -> dict[str, DataFrame]:
-    """Parent tables as they were before: late and new parents are missing."""
-    return {
-        "customer": src("before_customer"), "restaurant": src("before_restaurant"),
-        "menu_item": src("before_menu_item"), "order": src("before_order"),
-    }
+    if name in M.MASTERS:
+        return src(f"master_{name}")
+    return src.once(("master", name), lambda: lookups.master_rows(src.spark, name))
 
 
 def gated(src: Source, entity: str) -> DataFrame:
-    return gates.apply_gates(
-        entity, src(f"raw_{entity}"), masters(src), parents(src), F.lit(AS_OF).cast("date")
+    """Raw rows through the gates, with parents as they were before: late and new ones are missing."""
+    masters = {c: master(src, c) for c in gates.MASTER_COLUMNS.get(entity, ())}
+    parents = {p: src(f"before_{p}") for _, p, _ in gates.PARENT_COLUMNS.get(entity, ())}
+    return src.once(
+        ("gated", entity),
+        lambda: gates.apply_gates(entity, src(f"raw_{entity}"), masters, parents, F.lit(AS_OF).cast("date")),
     )
 
 

@@ -32,6 +32,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
         .appName("strataflow")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.dataFrameQueryContext.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .getOrCreate()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,20 +12,22 @@ from strataflow.spec import ENTITIES, EntitySpec
 
 BYTE_ORDER_MARK = "﻿"
 FILE_ERROR, STAGING_ERROR, RAW_ERROR = "FILE_VALIDATION_ERROR", "STAGING_LOAD_ERROR", "RAW_LOAD_ERROR"
-FILE_SCHEMA = "file_path string, file_name string, length bigint"
 
 
 def discover_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Top-level `*.csv` files of a folder (suffix in any case), listed without reading them."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.[cC][sS][vV]")
-        .load(folder)
-        .select(F.col("path").alias("file_path"), F.col("length"))
+    """Top-level `*.csv` files of a folder (suffix in any case), listed without reading their content.
+
+    A scan skips files without bytes, so the names come from the file listing and the lengths from the scan.
+    """
+    scan = spark.read.format("binaryFile").option("pathGlobFilter", "*.[cC][sS][vV]").load(folder)
+    listed = [(unquote(f), unquote(f).rsplit("/", 1)[-1]) for f in scan.inputFiles()]
+    names = spark.createDataFrame(listed, "file_path string, file_name string")
+    lengths = scan.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "length")
+    return (
+        names.join(lengths, "file_name", "left")
+        .select("file_path", "file_name", F.coalesce("length", F.lit(0)).alias("length"))
+        .orderBy("file_path")
     )
-    return files.select(
-        "file_path", F.element_at(F.split("file_path", "/"), -1).alias("file_name"), "length"
-    ).orderBy("file_path")
 
 
 def identify_source(file_name: Column) -> Column:

@@ -94,37 +94,33 @@ class Warehouse:
         source: DataFrame,
         key: str,
         part: str,
-        merge: Callable[[DataFrame, DataFrame], DataFrame],
+        merge: Callable[[DataFrame | None, DataFrame], DataFrame],
     ) -> None:
         """Merge into the partitions the source touches: those of its rows, and those of rows it replaces.
 
-        `merge(target, source)` gives all rows with `merge_action`. Only partition values reach the driver.
-        A row whose partition value changed leaves its old partition, because that one is rewritten too.
+        `merge(target, source)` gives the rows of the touched partitions; target is None for a new table.
+        Only partition values reach the driver. A row whose partition value changed leaves its old partition,
+        because that one is rewritten too.
         """
         target = self.read(name)
         if target is None:
-            self.replace_batch(name, source, by=[part])
+            self.replace_batch(name, merge(None, source), by=[part])
             return
         hit = target.join(source.select(key), key, "left_semi").select(part)
         values = [r[0] for r in source.select(part).union(hit).distinct().collect()]
-        touched = target.filter(F.col(part).isin(values)).select(*source.columns)
-        merged = merge(touched, source).drop("merge_action")
+        if not values:
+            return
+        merged = merge(target.filter(F.col(part).isin(values)), source)
         # The merged rows are written aside first: the partitions being replaced are also being read.
         staged = self.path(f"_staging/{name.replace('/', '_')}-{uuid.uuid4().hex}")
         merged.write.partitionBy(part).parquet(staged)
-        emptied = self._emptied(staged, values, part)
-        self.replace_batch(name, self.spark.read.parquet(staged).select(*source.columns), by=[part])
-        if emptied:
-            self._drop_partitions(name, part, emptied)
-
-    def _emptied(self, staged: str, values: list, part: str) -> list:
-        kept = {r[0] for r in self.spark.read.parquet(staged).select(part).distinct().collect()}
-        return [v for v in values if v not in kept]
-
-    def _drop_partitions(self, name: str, part: str, values: list) -> None:
-        """A touched partition without rows left: overwrite it with nothing."""
-        schema = self.read(name).drop(part).schema
-        for v in values:
-            self.spark.createDataFrame([], schema).write.mode("overwrite").parquet(
-                f"{self.path(name)}/{part}={v}"
-            )
+        rows = self.spark.read.parquet(staged)
+        kept = {r[0] for r in rows.select(part).distinct().collect()}
+        self.replace_batch(name, rows, by=[part])
+        for value in set(values) - kept:
+            self._empty_partition(name, rows.drop(part).schema, part, value)
+
+    def _empty_partition(self, name: str, schema, part: str, value) -> None:
+        """A touched partition without rows left is overwritten with nothing."""
+        empty = self.spark.createDataFrame([], schema)
+        empty.write.mode("overwrite").parquet(f"{self.path(name)}/{part}={value}")
