@@ -36,6 +36,44 @@ class Gate:
     fails: Column
 
 
+VALUE = "__value"
+
+
+def value(column: str) -> Column:
+    """The parsed value of a text column; see `parsed_columns`."""
+    return F.col(column + VALUE)
+
+
+def parsed_columns(entity: str) -> dict[str, Column]:
+    """Every number, date and time the gates look at. Parsing them in a projection of their own means each
+    text is parsed once per row, and the gates compare plain values."""
+    if entity == "customer":
+        return {"signup_date": P.as_date("signup_date", day_first=True)}
+    if entity == "restaurant":
+        return {"onboard_date": P.as_date("onboard_date")}
+    if entity == "delivery_partner":
+        return {"onboard_date": P.as_date("onboard_date"), "avg_rating": P.as_decimal("avg_rating", 5, 2)}
+    if entity == "menu_item":
+        return {"price": P.as_decimal("price", 10, 2)}
+    if entity == "order":
+        amounts = ("subtotal_amount", "discount_amount", "delivery_fee", "total_amount")
+        return {"order_timestamp": P.as_timestamp("order_timestamp"), **{c: P.as_decimal(c) for c in amounts}}
+    if entity == "order_item":
+        amounts = ("unit_price", "item_discount", "line_total")
+        return {"quantity": P.as_int("quantity"), **{c: P.as_decimal(c) for c in amounts}}
+    if entity == "delivery_performance":
+        counts = (
+            "prep_time", "rider_wait_time", "travel_time", "order_item", "expected_delivery_time_min",
+            "actual_delivery_time_min", "delivery_item",
+        )
+        return {**{c: P.as_whole(c) for c in counts}, "distance_km": P.as_decimal("distance_km", 10, 2)}
+    return {
+        "rating": P.as_decimal("rating", 3, 2),
+        "sentiment_score": P.as_decimal("sentiment_score", 5, 4),
+        "review_timestamp": P.as_timestamp("review_timestamp"),
+    }
+
+
 def _sure(condition: Column) -> Column:
     """A comparison with an unparsed value is not a failure of its own."""
     return F.coalesce(condition, F.lit(False))
@@ -66,38 +104,40 @@ def _not_yes_no(gate_id: str, column: str) -> Gate:
     return Gate(gate_id, column, FORMAT, f"{column} is not Y or N", ~P.is_yes_or_no(column))
 
 
-def _not_date(gate_id: str, column: str, day_first: bool = False) -> Gate:
+def _not_date(gate_id: str, column: str) -> Gate:
     return Gate(
-        gate_id, column, FORMAT, f"{column} could not be converted to date",
-        P.as_date(column, day_first).isNull(),
+        gate_id, column, FORMAT, f"{column} could not be converted to date", value(column).isNull()
     )
 
 
 def _not_timestamp(gate_id: str, column: str) -> Gate:
     return Gate(
-        gate_id, column, FORMAT, f"{column} could not be converted to datetime", P.as_timestamp(column).isNull()
+        gate_id, column, FORMAT, f"{column} could not be converted to datetime", value(column).isNull()
     )
 
 
 def _future(gate_id: str, column: str, as_of: Column) -> Gate:
     return Gate(
-        gate_id, column, RANGE, f"{column} is in the future", _sure(P.as_date(column) > as_of)
+        gate_id, column, RANGE, f"{column} is in the future", _sure(value(column) > as_of)
     )
 
 
-def _not_number(gate_id: str, column: str, value: Column, optional: bool = False, unless=None) -> Gate:
-    fails = value.isNull() & ~P.blank(column) if optional else value.isNull()
+def _not_number(gate_id: str, column: str, optional: bool = False, unless=None) -> Gate:
+    fails = value(column).isNull()
+    if optional:
+        fails = fails & ~P.blank(column)
     if unless is not None:
         fails = fails & ~unless
     return Gate(gate_id, column, FORMAT, f"{column} could not be converted to numeric", fails)
 
 
-def _out_of(gate_id: str, column: str, value: Column, low, high=None, message: str | None = None,
-            above: bool = False) -> Gate:
+def _out_of(
+    gate_id: str, column: str, low, high=None, message: str | None = None, above: bool = False
+) -> Gate:
     """Outside [low, high]; with `above` the lower end itself fails too."""
-    fails = (value <= low) if above else (value < low)
+    fails = (value(column) <= low) if above else (value(column) < low)
     if high is not None:
-        fails = fails | (value > high)
+        fails = fails | (value(column) > high)
         text = f"{column} not in range {low}-{high}"
     else:
         text = f"{column} value is less than {'or equal to ' if above else ''}{low}"
@@ -107,7 +147,7 @@ def _out_of(gate_id: str, column: str, value: Column, low, high=None, message: s
 def customer_gates(_: Column) -> list[Gate]:
     return [
         _bad_id("B1", "customer_id"),
-        _not_date("B2", "signup_date", day_first=True),
+        _not_date("B2", "signup_date"),
         _not_in_master("B3", "city"),
         _not_in_master("B4", "acquisition_channel"),
     ]
@@ -127,13 +167,12 @@ def restaurant_gates(as_of: Column) -> list[Gate]:
 
 
 def delivery_partner_gates(as_of: Column) -> list[Gate]:
-    rating = P.as_decimal("avg_rating", 5, 2)
     return [
         _bad_id("B13", "delivery_partner_id"),
         _not_date("B14", "onboard_date"),
         _future("B15", "onboard_date", as_of),
-        _not_number("B16", "avg_rating", rating, optional=True),
-        _out_of("B17", "avg_rating", rating, 0, 5),
+        _not_number("B16", "avg_rating", optional=True),
+        _out_of("B17", "avg_rating", 0, 5),
         _not_yes_no("B18", "is_active"),
         _not_in_master("B19", "city"),
         _not_in_master("B20", "vehicle_type"),
@@ -142,22 +181,20 @@ def delivery_partner_gates(as_of: Column) -> list[Gate]:
 
 
 def menu_item_gates(_: Column, lowest_price: float = 0, highest_price: float | None = None) -> list[Gate]:
-    price = P.as_decimal("price", 10, 2)
     return [
         _bad_id("B22", "menu_item_id"),
         Gate(
             "B23", "restaurant_id", NOT_FOUND, "restaurant_id value does not exists in reference master",
             P.blank("restaurant_id") | F.col("restaurant_found").isNull(),
         ),
-        _not_number("B24", "price", price),
-        _out_of("B25", "price", price, lowest_price, highest_price),
+        _not_number("B24", "price"),
+        _out_of("B25", "price", lowest_price, highest_price),
         _not_yes_no("B26", "is_veg"),
         _not_in_master("B27", "category"),
     ]
 
 
 def order_gates(_: Column) -> list[Gate]:
-    amount = P.as_decimal
     gates = [
         _bad_id("B28", "order_id"),
         _bad_id("B29", "customer_id"),
@@ -177,14 +214,15 @@ def order_gates(_: Column) -> list[Gate]:
         ("B41", "B42", "total_amount", False),
     )
     for format_id, range_id, column, optional in numbers:
-        gates.append(_not_number(format_id, column, amount(column), optional))
-        gates.append(_out_of(range_id, column, amount(column), 0))
+        gates.append(_not_number(format_id, column, optional))
+        gates.append(_out_of(range_id, column, 0))
     return gates
 
 
 def order_item_gates(_: Column) -> list[Gate]:
-    quantity = P.as_int("quantity")
-    price, discount, total = (P.as_decimal(c) for c in ("unit_price", "item_discount", "line_total"))
+    quantity, price, discount, total = (
+        value(c) for c in ("quantity", "unit_price", "item_discount", "line_total")
+    )
     gross = quantity * price
     return [
         _bad_id("B43", "order_item_id"),
@@ -192,16 +230,16 @@ def order_item_gates(_: Column) -> list[Gate]:
         _bad_id("B45", "menu_item_id"),
         _absent("B46", "order_id", "order_found"),
         _absent("B47", "menu_item_id", "menu_item_found"),
-        _not_number("B48", "quantity", quantity),
-        _out_of("B49", "quantity", quantity, 0, above=True),
-        _not_number("B50", "unit_price", price),
-        _out_of("B51", "unit_price", price, 0, message="unit_price not in range 0-1000"),
-        _not_number("B52", "item_discount", discount),
+        _not_number("B48", "quantity"),
+        _out_of("B49", "quantity", 0, above=True),
+        _not_number("B50", "unit_price"),
+        _out_of("B51", "unit_price", 0, message="unit_price not in range 0-1000"),
+        _not_number("B52", "item_discount"),
         Gate(
             "B53", "item_discount", RANGE, "Item discount is less than 0 or exceeds the total item amount",
             _sure(gross.isNotNull() & ((discount < 0) | (discount > gross))),
         ),
-        _not_number("B54", "line_total", total),
+        _not_number("B54", "line_total"),
         Gate(
             "B55", "line_total", LOGIC,
             "line_total does not match the calculated value within the allowed tolerance",
@@ -212,32 +250,31 @@ def order_item_gates(_: Column) -> list[Gate]:
 
 def delivery_performance_gates(_: Column) -> list[Gate]:
     cancelled = _sure(F.col("order_cancelled"))
-    expected, actual = P.as_whole("expected_delivery_time_min"), P.as_whole("actual_delivery_time_min")
-    distance = P.as_decimal("distance_km", 10, 2)
-    ordered, delivered = P.as_whole("order_item"), P.as_whole("delivery_item")
-    prep, wait, travel = (P.as_whole(c) for c in ("prep_time", "rider_wait_time", "travel_time"))
+    actual, prep, wait, travel = (
+        value(c) for c in ("actual_delivery_time_min", "prep_time", "rider_wait_time", "travel_time")
+    )
     return [
         _bad_id("B56", "delivery_id"),
         _bad_id("B57", "order_id"),
         _absent("B58", "order_id", "order_found"),
         Gate("B59", "order_id", CANCELLED, "Order was cancelled; delivery was not executed", cancelled),
-        _not_number("B60", "expected_delivery_time_min", expected, unless=cancelled),
-        _out_of("B61", "expected_delivery_time_min", expected, 5, 120),
-        _not_number("B62", "actual_delivery_time_min", actual, optional=True, unless=cancelled),
-        _out_of("B63", "actual_delivery_time_min", actual, 5, 180,
+        _not_number("B60", "expected_delivery_time_min", unless=cancelled),
+        _out_of("B61", "expected_delivery_time_min", 5, 120),
+        _not_number("B62", "actual_delivery_time_min", optional=True, unless=cancelled),
+        _out_of("B63", "actual_delivery_time_min", 5, 180,
                 message="actual_delivery_time_min not in range 5-120"),
-        _not_number("B64", "distance_km", distance, unless=cancelled),
-        _out_of("B65", "distance_km", distance, 0, 100, above=True),
-        _not_number("B66", "order_item", ordered, unless=cancelled),
-        _out_of("B67", "order_item", ordered, 0, 100, above=True),
-        _not_number("B68", "delivery_item", delivered, optional=True, unless=cancelled),
-        _out_of("B69", "delivery_item", delivered, 0, 100),
-        _not_number("B70", "prep_time", prep, optional=True),
-        _out_of("B71", "prep_time", prep, 0, 180),
-        _not_number("B72", "rider_wait_time", wait, optional=True),
-        _out_of("B73", "rider_wait_time", wait, 0, 60),
-        _not_number("B74", "travel_time", travel, optional=True),
-        _out_of("B75", "travel_time", travel, 0, 180),
+        _not_number("B64", "distance_km", unless=cancelled),
+        _out_of("B65", "distance_km", 0, 100, above=True),
+        _not_number("B66", "order_item", unless=cancelled),
+        _out_of("B67", "order_item", 0, 100, above=True),
+        _not_number("B68", "delivery_item", optional=True, unless=cancelled),
+        _out_of("B69", "delivery_item", 0, 100),
+        _not_number("B70", "prep_time", optional=True),
+        _out_of("B71", "prep_time", 0, 180),
+        _not_number("B72", "rider_wait_time", optional=True),
+        _out_of("B73", "rider_wait_time", 0, 60),
+        _not_number("B74", "travel_time", optional=True),
+        _out_of("B75", "travel_time", 0, 180),
         Gate(
             "B76", "actual_delivery_time_min", LOGIC,
             "actual_delivery_time_min does not equal prep_time + travel_time", _sure(actual != prep + travel),
@@ -247,7 +284,6 @@ def delivery_performance_gates(_: Column) -> list[Gate]:
 
 
 def rating_gates(_: Column) -> list[Gate]:
-    rating, score = P.as_decimal("rating", 3, 2), P.as_decimal("sentiment_score", 5, 4)
     return [
         _bad_id("B78", "rating_id"),
         _bad_id("B79", "order_id"),
@@ -256,11 +292,11 @@ def rating_gates(_: Column) -> list[Gate]:
         _absent("B82", "order_id", "order_found"),
         _absent("B83", "customer_id", "customer_found"),
         _absent("B84", "restaurant_id", "restaurant_found"),
-        _not_number("B85", "rating", rating),
-        _out_of("B86", "rating", rating, 1, 5, message="rating not in range 1 - 5"),
+        _not_number("B85", "rating"),
+        _out_of("B86", "rating", 1, 5, message="rating not in range 1 - 5"),
         _not_timestamp("B87", "review_timestamp"),
-        _not_number("B88", "sentiment_score", score),
-        _out_of("B89", "sentiment_score", score, -1, 1, message="sentiment_score not in range (-1) - 1"),
+        _not_number("B88", "sentiment_score"),
+        _out_of("B89", "sentiment_score", -1, 1, message="sentiment_score not in range (-1) - 1"),
     ]
 
 
@@ -339,8 +375,11 @@ def apply_gates(
             for g in gates
         ]
     )
+    parsed = parsed_columns(entity)
     checked = attach_lookups(entity, raw, masters or {}, parents or {})
-    return checked.withColumn("gate_errors", F.array_compact(found))
+    checked = checked.select("*", *[c.alias(n + VALUE) for n, c in parsed.items()])
+    kept = [c for c in checked.columns if not c.endswith(VALUE)]
+    return checked.select(*kept, F.array_compact(found).alias("gate_errors"))
 
 
 def quarantined(entity: str, gated: DataFrame, at: Column | None = None) -> DataFrame:

@@ -104,14 +104,14 @@ class BatchRun:
     def typed(self, entity: str, before: int | None = None) -> DataFrame | None:
         return self.warehouse.current(f"ods/{ENTITIES[entity].ods_table}", before)
 
-    def _parents(self) -> dict[str, DataFrame]:
+    def _parents(self, child: str) -> dict[str, DataFrame]:
+        """The typed tables a child's ids are looked up in; one that does not exist yet is empty."""
         out = {}
-        for entity in ("order", "menu_item", "customer", "restaurant"):
+        for _, entity, _ in gates.PARENT_COLUMNS.get(child, ()):
             table = self.typed(entity)
-            key = ENTITIES[entity].key
             if table is None:
                 extra = ", is_cancelled boolean" if entity == "order" else ""
-                table = self.spark.createDataFrame([], f"{key} string{extra}")
+                table = self.spark.createDataFrame([], f"{ENTITIES[entity].key} string{extra}")
             out[entity] = table
         return out
 
@@ -122,7 +122,7 @@ class BatchRun:
             if raw is None or raw.isEmpty():
                 continue
             spec = ENTITIES[entity]
-            gated = gates.apply_gates(entity, raw, masters, self._parents(), self.as_of.cast("date"))
+            gated = gates.apply_gates(entity, raw, masters, self._parents(entity), self.as_of.cast("date"))
             gated = gated.persist(StorageLevel.DISK_ONLY)
             self._write_errors(spec.raw_table, gates.quarantined(entity, gated, self.as_of))
             rows = clean.clean_rows(entity, gates.passed(gated)).persist(StorageLevel.DISK_ONLY)

@@ -24,6 +24,7 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._paths: dict[tuple[str, int | None], str | None] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -70,7 +71,9 @@ class Warehouse:
 
     def current(self, name: str, before: int | None = None) -> DataFrame | None:
         """Latest published version, or the latest one of an earlier batch."""
-        path = self._published(name, before)
+        if (name, before) not in self._paths:
+            self._paths[name, before] = self._published(name, before)
+        path = self._paths[name, before]
         return None if path is None else self.spark.read.parquet(path)
 
     def publish(self, name: str, rows: DataFrame, batch_id: int) -> DataFrame:
@@ -84,6 +87,7 @@ class Warehouse:
                 F.lit(path).alias("path"), F.current_timestamp().alias("published_at"),
             ),
         )
+        self._paths = {k: v for k, v in self._paths.items() if k[0] != name}
         return self.spark.read.parquet(path)
 
     # Month-partitioned facts --------------------------------------------------------------------------
