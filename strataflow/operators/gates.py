@@ -358,23 +358,10 @@ def apply_gates(
     as_of: Column | None = None,
     **options,
 ) -> DataFrame:
-    """The raw rows with their lookups and a `gate_errors` array; nothing is dropped."""
+    """The raw rows with their lookups and `gate_errors`, the positions of failed gates; nothing is dropped."""
     gates = GATES[entity](as_of if as_of is not None else F.current_date(), **options)
-    found = F.array(
-        *[
-            F.when(
-                g.fails,
-                F.struct(
-                    F.lit(g.gate_id).alias("gate_id"),
-                    F.lit(g.column).alias("column_name"),
-                    F.lit(g.error_type).alias("error_type"),
-                    F.lit(g.message).alias("error_message"),
-                    F.substring(F.col(g.column), 1, TEXT_LIMIT).alias("raw_value"),
-                ),
-            )
-            for g in gates
-        ]
-    )
+    # Rows only carry the positions of their failed gates; texts are filled in for error rows alone.
+    found = F.array(*[F.when(g.fails, F.lit(i)) for i, g in enumerate(gates, start=1)])
     parsed = parsed_columns(entity)
     checked = attach_lookups(entity, raw, masters or {}, parents or {})
     checked = checked.select("*", *[c.alias(n + VALUE) for n, c in parsed.items()])
@@ -383,20 +370,36 @@ def apply_gates(
 
 
 def quarantined(entity: str, gated: DataFrame, at: Column | None = None) -> DataFrame:
-    """One error row per failed gate."""
-    return gated.select(
-        "batch_id",
-        "source_file_name",
-        "source_row_number",
+    """One error row per failed gate.
+
+    The outer explode keeps the optimizer from testing the array in a filter below the projection, where
+    every gate would be evaluated a second time.
+    """
+    gates = GATES[entity](F.current_date())
+    position = F.col("gate_position")
+
+    def text_of(values) -> Column:
+        return F.element_at(F.array(*values), position)
+
+    failed = gated.select("*", F.explode_outer("gate_errors").alias("gate_position"))
+    return failed.filter(position.isNotNull()).select(
+        "batch_id", "source_file_name", "source_row_number",
         F.lit(ENTITIES[entity].raw_table).alias("table_name"),
-        F.explode("gate_errors").alias("e"),
+        text_of(F.lit(g.gate_id) for g in gates).alias("gate_id"),
+        text_of(F.lit(g.column) for g in gates).alias("column_name"),
+        text_of(F.lit(g.error_type) for g in gates).alias("error_type"),
+        text_of(F.lit(g.message) for g in gates).alias("error_message"),
+        F.substring(text_of(F.col(g.column) for g in gates), 1, TEXT_LIMIT).alias("raw_value"),
         (at if at is not None else F.localtimestamp()).alias("error_timestamp"),
-    ).select(
-        "batch_id", "source_file_name", "source_row_number", "table_name",
-        "e.gate_id", "e.column_name", "e.error_type", "e.error_message", "e.raw_value", "error_timestamp",
     )
 
 
 def passed(gated: DataFrame) -> DataFrame:
-    """Rows without any error: the quarantine key is the row itself (batch, file, row number)."""
-    return gated.filter(F.size("gate_errors") == 0).drop("gate_errors")
+    """Rows without any error: the quarantine key is the row itself (batch, file, row number).
+
+    A plain filter on the array would sink below the parsing projection and parse each text once per gate.
+    The filter on an exploded mark stays above it.
+    """
+    rows = [c for c in gated.columns if c != "gate_errors"]
+    mark = F.explode_outer(F.when(F.size("gate_errors") == 0, F.array(F.lit(True))))
+    return gated.select(*rows, mark.alias("clean")).filter("clean").select(*rows)

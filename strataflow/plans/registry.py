@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strataflow.plans import source_maps
+from strataflow.session import apply_settings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -20,7 +21,7 @@ class Source:
     """The given tables, plain or mapped, of one data folder. Each is set up once per query."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+        self.spark, self.folder = apply_settings(spark), folder
         self._made: dict = {}
 
     def once(self, key, make: Callable[[], DataFrame]) -> DataFrame:

@@ -16,6 +16,9 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # The JVM does not compile methods above 8000 bytes of code. Where a fused stage (a table with many gates)
+    # grows beyond that, Spark's split-up projections are far faster than interpreted fused code.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
