@@ -15,6 +15,7 @@ from strataflow.session import apply_settings
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 FRAGMENTS: dict[str, str] = {}
+WIDE_TEXT = ("raw_order", "raw_order_item", "raw_delivery_performance", "raw_rating")
 
 
 class Source:
@@ -32,8 +33,16 @@ class Source:
     def table(self, name: str) -> DataFrame:
         return self.once(("table", name), lambda: source_maps.table(self.spark, self.folder, name))
 
+    def spread(self, name: str) -> DataFrame:
+        """A given table over all cores: one stored in fewer files than there are cores is redistributed
+        before expensive text work, a large table of many files is taken as it is."""
+        df = self.table(name)
+        cores = self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
     def __call__(self, name: str) -> DataFrame:
-        return self.once(("map", name), lambda: source_maps.rows(self.table, name))
+        table = self.spread if name in WIDE_TEXT else self.table
+        return self.once(("map", name), lambda: source_maps.rows(table, name))
 
 
 def present(df: DataFrame) -> DataFrame:
