@@ -6,8 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strataflow.llm.exact_dedup import exact_groups
 from strataflow.llm.jaccard_join import jaccard_components
+from strataflow.llm.packing import pack_documents
+from strataflow.llm.pii import private_report
 from strataflow.llm.shared import ship
+from strataflow.llm.toxicity import toxicity_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -29,6 +33,40 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+@query("op1_toxicity")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity_scores(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
+@query("op6_best_fit_packing")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return pack_documents(documents(spark, folder))
+
+
+@query(
+    "op7_exact_dedup",
+    r"""
+    WITH plain AS (
+        SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
+        FROM documents
+    ), ranked AS (
+        SELECT doc_id, text_sha256,
+            min(doc_id) OVER (PARTITION BY text_sha256) AS keep_id,
+            count(*) OVER (PARTITION BY text_sha256) AS group_size
+        FROM plain
+    )
+    SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM ranked
+    """,
+)
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_groups(documents(spark, folder))
+
+
+@query("op8_pii_surrogates")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return private_report(documents(spark, folder))
+
+
 @query("op9_ngram_jaccard_join")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(documents(spark, folder))

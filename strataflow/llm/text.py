@@ -16,8 +16,10 @@ _seeds = np.random.default_rng(20240501)
 BYTE_VALUE = _seeds.integers(1, 2**63, 256, dtype=U64) | U64(1)
 BASE = int(_seeds.integers(2**61, 2**63)) * 2 + 1
 INVERSE = pow(BASE, -1, 2**64)
-_SEPARATOR = np.zeros(256, dtype=bool)
-_SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
+#: Bytes between words: white space only, or all of ASCII but letters and digits.
+WHITE = np.zeros(256, dtype=bool)
+WHITE[[0x20, *range(0x09, 0x0E)]] = True
+NO_LETTER = np.array([i < 128 and not chr(i).isalnum() for i in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _powers: list[np.ndarray] = []
@@ -64,13 +66,13 @@ def slices(offsets: np.ndarray, size: int = SLICE_BYTES) -> Iterator[tuple[int,
         first = last
 
 
-def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
-    """The 64-bit hash of each word `[^\\x20\\x09-\\x0D]+` in order, and the first word of each text (one entry
-    more than texts). With `lower`, A-Z count as a-z."""
+def words(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = WHITE) -> tuple[np.ndarray, np.ndarray]:
+    """The 64-bit hash of each word in order, A-Z lower-cased, and the first word of each text (one entry more than
+    texts). `between` tells which bytes separate words."""
     n = len(data)
     if n == 0:
         return np.zeros(0, dtype=U64), np.zeros(len(offsets), dtype=np.int64)
-    inside = ~_SEPARATOR[data]
+    inside = ~between[data]
     edge = np.zeros(n + 1, dtype=bool)
     edge[offsets] = True
     begins = inside.copy()
@@ -80,7 +82,7 @@ def words(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np
     start, stop = np.flatnonzero(begins), np.flatnonzero(stops) + 1
     power, inverse = _power_tables(n)
     sums = np.zeros(n + 1, dtype=U64)
-    np.cumsum(BYTE_VALUE[_LOWER[data] if lower else data] * power, out=sums[1:])
+    np.cumsum(BYTE_VALUE[_LOWER[data]] * power, out=sums[1:])
     hashes = mix((sums[stop] - sums[start]) * inverse[start] + (stop - start).astype(U64))
     return hashes, np.searchsorted(start, offsets)
 
