@@ -10,8 +10,9 @@ depend on the size band of the smaller document; a document just above a band's
 partner of that band.
 
 Candidates are checked by size, then by the Hamming distance of bit sketches (token parity per bit), then exactly.
-In large buckets a candidate is formed with one representative only, for some rounds; buckets that still hold several
-components are then compared in blocks inside tasks by their bit sketches, so no link is lost.
+In large buckets a candidate is formed with the most central member only. Buckets that hold several components after
+that are compared in blocks inside tasks, where members outside the main component meet all others and only links that
+join components leave the task. So no component is missed, and no bucket emits its pairs.
 """
 
 from __future__ import annotations
@@ -33,9 +34,8 @@ FIRST_BAND = 64
 FREQUENT_CELLS = 50_000
 #: Buckets up to this size form all their pairs; larger ones go by representatives.
 SMALL_BUCKET = 8
-#: Rounds of representatives in large buckets before they are compared in blocks.
-ROUNDS = 3
-BLOCK = 512
+#: Members per block where a large bucket is compared in full.
+BLOCK = 256
 PROBES = 2
 
 
@@ -255,84 +255,112 @@ def _token_sets(size: int, table: np.ndarray):
     return run
 
 
+def _similar(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sorted token sets have a Jaccard similarity of 3/4 or more."""
+    both = np.sort(np.concatenate((x, y)))
+    shared = int((both[1:] == both[:-1]).sum())
+    return 100 * shared >= 75 * (len(x) + len(y) - shared)
+
+
 def _linked(batches):
-    """Pairs whose token sets have a Jaccard similarity of 3/4 or more."""
+    """Pairs whose token sets are similar."""
     for batch in batches:
-        keep = []
-        for a, b in zip(batch.column(2), batch.column(3)):
-            x, y = (np.frombuffer(s.as_buffer(), dtype=U64) for s in (a, b))
-            both = np.sort(np.concatenate((x, y)))
-            shared = int((both[1:] == both[:-1]).sum())
-            keep.append(100 * shared >= 75 * (len(x) + len(y) - shared))
+        keep = [_similar(*(np.frombuffer(s.as_buffer(), dtype=U64) for s in pair)) for pair in zip(batch.column(2), batch.column(3))]
         yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(keep, pa.bool_())) for i in (0, 1)], names=["u", "v"])
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, size: int) -> DataFrame:
-    """The links among candidate pairs of representatives. Only documents in pairs that the sketches allow are read
-    again for their token sets."""
-    spark = pairs.sparkSession
+def _near(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs that size and bit sketches allow."""
     u = nodes.select(F.col("rep").alias("u"), F.col("n").alias("n_u"), F.col("sketch").alias("s_u"))
     v = nodes.select(F.col("rep").alias("v"), F.col("n").alias("n_v"), F.col("sketch").alias("s_v"))
-    sized = pairs.join(u, "u").join(v, "v").select("u", "v", "n_u", "n_v", "s_u", "s_v")
-    near = stash(sized.mapInArrow(_far, "u long, v long"), "near")
-    ends = near.select(F.col("u").alias("rep")).unionByName(near.select(F.col("v").alias("rep"))).distinct()
+    sized = pairs.join(u, "u").join(v, "v").where("4 * least(n_u, n_v) >= 3 * greatest(n_u, n_v)")
+    return stash(sized.select("u", "v", "n_u", "n_v", "s_u", "s_v").mapInArrow(_far, "u long, v long"), "near")
+
+
+def _sets_of(ends: DataFrame, nodes: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """(doc, tokens) of some representatives: the texts are read once more, and only those that a bit table of the wanted
+    keys may hold are cut into shingles."""
     n_bits = bits.bits_for(ends.count(), 16, 1 << 26)
-    table = spark.sparkContext.broadcast(bits.fill(ends, n_bits, PROBES, 1)[0])
+    table = ends.sparkSession.sparkContext.broadcast(bits.fill(ends, n_bits, PROBES, 1)[0])
 
     def read(batches):
         yield from _token_sets(size, table.value)(batches)
 
     sets = texts.mapInArrow(read, "doc long, one long, tokens binary")
     sets = sets.join(nodes.select(F.col("rep").alias("doc"), "one"), ["doc", "one"]).dropDuplicates(["doc"])
-    sets = stash(sets.select("doc", "tokens"), "sets")
+    return stash(sets.select("doc", "tokens"), "sets")
+
+
+def _verified(near: DataFrame, sets: DataFrame) -> DataFrame:
     left = sets.select(F.col("doc").alias("u"), F.col("tokens").alias("t_u"))
     right = sets.select(F.col("doc").alias("v"), F.col("tokens").alias("t_v"))
     both = near.join(left, "u").join(right, "v").select("u", "v", "t_u", "t_v")
     return stash(both.mapInArrow(_linked, "u long, v long"), "links")
 
 
-def _block_pairs(members: DataFrame, nodes: DataFrame) -> DataFrame:
-    """All pairs of unlike components within buckets that the bit sketches allow, compared block by block: a bucket of m
-    members makes (m / BLOCK) ** 2 / 2 groups of bounded size."""
-    counted = members.groupBy("cell").agg((F.count("*") / BLOCK).cast("int").alias("last"))
-    placed = members.join(counted, "cell").withColumn("block", F.pmod(F.xxhash64("doc"), F.col("last") + 1).cast("int"))
-    others = F.transform(
-        F.sequence(F.lit(0), F.col("last")),
-        lambda j: F.struct(F.least(j, "block").alias("low"), F.greatest(j, "block").alias("high")),
-    )
-    dealt = placed.select("cell", "doc", "component", "block", F.explode(others).alias("at"))
-    dealt = dealt.join(nodes.select(F.col("rep").alias("doc"), "n", "sketch"), "doc")
-
-    def compare(table: pa.Table) -> pa.Table:
-        low, high = table["at"][0]["low"].as_py(), table["at"][0]["high"].as_py()
-        docs, parts = table["doc"].to_pylist(), table["component"].to_pylist()
-        sizes, sketches, block = table["n"].to_pylist(), table["sketch"].to_pylist(), table["block"].to_pylist()
-        found = []
-        for i in range(len(docs)):
-            for j in range(i):
-                if parts[i] != parts[j] and (low == high or block[i] != block[j]):
-                    m, n = sizes[i], sizes[j]
-                    if 4 * min(m, n) >= 3 * max(m, n) and distance(sketches[i], sketches[j]) <= (m + n) // 7:
-                        found.append((max(docs[i], docs[j]), min(docs[i], docs[j])))
-        return pa.table({"u": pa.array([p[0] for p in found], pa.int64()), "v": pa.array([p[1] for p in found], pa.int64())})
-
-    return dealt.groupBy("cell", "at").applyInArrow(compare, "u long, v long").distinct()
-
-
-def _round_pairs(mixed: DataFrame, turn: int) -> DataFrame:
-    """Each member of a bucket with the bucket's representative of this turn, if they are not in one component."""
-    order = F.xxhash64("doc", F.lit(turn))
-    chosen = mixed.groupBy("cell").agg(F.min(F.struct(order.alias("o"), "doc", "component")).alias("rep"))
-    met = mixed.join(chosen, "cell").where("component != rep.component")
+def _central_pairs(members: DataFrame) -> DataFrame:
+    """Each member of a large bucket with the bucket's most central one: the member of most large buckets, which is the
+    least changed of a group of near copies."""
+    central = members.groupBy("doc").agg(F.count("*").alias("met"))
+    chosen = members.join(central, "doc").groupBy("cell").agg(F.max(F.struct("met", "doc")).alias("rep"))
+    met = members.join(chosen, "cell").where("doc != rep.doc")
     return met.select(F.greatest("doc", "rep.doc").alias("u"), F.least("doc", "rep.doc").alias("v")).distinct()
 
 
-def _labelled(members: DataFrame, links: DataFrame) -> DataFrame:
-    """Members of large buckets that hold more than one component."""
+def _mixed(members: DataFrame, links: DataFrame) -> DataFrame:
+    """(cell, doc, component, main) of the large buckets that hold several components; main is the largest of them."""
     known = components(links).select(F.col("node").alias("doc"), "component")
-    now = members.select("cell", "doc").join(known, "doc", "left").select("cell", "doc", F.coalesce("component", "doc").alias("component"))
-    several = now.groupBy("cell").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a != b")
-    return now.join(several.select("cell"), "cell", "left_semi")
+    now = members.join(known, "doc", "left").select("cell", "doc", F.coalesce("component", "doc").alias("component"))
+    sizes = now.groupBy("cell", "component").agg(F.count("*").alias("n"))
+    several = sizes.groupBy("cell").agg(F.max(F.struct("n", "component")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
+    return now.join(several, "cell").select("cell", "doc", "component", F.col("main.component").alias("main"))
+
+
+def _spanning(table: pa.Table) -> pa.Table:
+    """Links between unlike components of a block, as many as join them (a spanning forest, at most one per member).
+    The members outside the main component are compared with all others of the block, by bit sketches first."""
+    docs, parts, block = table["doc"].to_pylist(), table["component"].to_pylist(), table["block"].to_pylist()
+    at, main, n = table["at"][0].as_py(), table["main"].to_pylist(), np.array(table["n"].to_pylist())
+    raw = [s.as_buffer() for s in table["sketch"]]
+    width = min(s.size for s in raw)
+    sketches = np.stack([np.bitwise_xor.reduce(np.frombuffer(s, dtype=np.uint8).reshape(-1, width), axis=0) for s in raw])
+    sketches = sketches.view(np.uint64)
+    tokens = [np.frombuffer(s.as_buffer(), dtype=U64) for s in table["tokens"]]
+    up: dict[int, int] = {}
+
+    def top(x):
+        while up.get(x, x) != x:
+            up[x] = up.get(up[x], up[x])
+            x = up[x]
+        return x
+
+    u, v = [], []
+    for i in range(len(docs)):
+        if parts[i] == main[i]:
+            continue
+        gap = np.bitwise_count(sketches ^ sketches[i]).sum(axis=1)
+        fits = (gap <= (n + n[i]) // 7) & (4 * np.minimum(n, n[i]) >= 3 * np.maximum(n, n[i]))
+        for j in np.flatnonzero(fits).tolist():
+            # Two members outside the main component meet in every block; the block of the first compares them.
+            if parts[j] != main[j] and (j <= i or min((block[i], docs[i]), (block[j], docs[j]))[0] != at):
+                continue
+            if top(parts[i]) != top(parts[j]) and _similar(tokens[i], tokens[j]):
+                up[top(parts[i])] = top(parts[j])
+                u.append(max(docs[i], docs[j]))
+                v.append(min(docs[i], docs[j]))
+    return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+
+def _block_links(mixed: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between the components of mixed buckets. Members are dealt to blocks of bounded size; those outside the
+    main component go to every block of their bucket."""
+    counted = mixed.groupBy("cell").agg((F.count("*") / BLOCK).cast("int").alias("last"))
+    placed = mixed.join(counted, "cell").withColumn("block", F.pmod(F.xxhash64("doc"), F.col("last") + 1).cast("int"))
+    everywhere = F.sequence(F.lit(0), F.col("last"))
+    to = F.when(F.col("component") == F.col("main"), F.array("block")).otherwise(everywhere)
+    dealt = placed.select("cell", "doc", "component", "main", "block", F.explode(to).alias("at"))
+    dealt = dealt.join(nodes.select(F.col("rep").alias("doc"), "n", "sketch").join(sets, "doc"), "doc")
+    return stash(dealt.groupBy("cell", "at").applyInArrow(_spanning, "u long, v long"), "links")
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE) -> DataFrame:
@@ -375,14 +403,14 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     # Keys that came with several texts join the sets of those texts.
     links = to_rep.groupBy("doc").agg(F.min("rep").alias("v"), F.collect_set("rep").alias("reps")).where("size(reps) > 1")
     links = links.select(F.explode("reps").alias("u"), "v").where("u != v")
-    mixed = stash(members.select("cell", "doc", F.col("doc").alias("component")), "mixed")
-    for turn in range(ROUNDS + 1):
-        more = _round_pairs(mixed, turn) if turn < ROUNDS else _block_pairs(mixed, nodes)
-        asked = pairs.unionByName(more).distinct() if turn == 0 else more
-        links = links.unionByName(_verified(asked, nodes, texts, size))
-        mixed = stash(_labelled(members, links), "mixed")
-        if mixed.isEmpty():
-            break
+    asked = pairs.unionByName(_central_pairs(members)).distinct()
+    near = _near(asked, nodes)
+    ends = near.select(F.col("u").alias("rep")).unionByName(near.select(F.col("v").alias("rep")))
+    sets = _sets_of(ends.unionByName(members.select(F.col("doc").alias("rep"))).distinct(), nodes, texts, size)
+    links = links.unionByName(_verified(near, sets))
+    mixed = stash(_mixed(members, links), "mixed")
+    if not mixed.isEmpty():
+        links = links.unionByName(_block_links(mixed, nodes, sets))
 
     found = components(links).toDF("rep", "component")
     labels = groups.join(found, "rep", "left").select("one", "two", F.coalesce("component", "rep").alias("component"))
