@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from strataflow.llm.exact_dedup import exact_groups
+from strataflow.llm.fingerprint import fingerprints
 from strataflow.llm.jaccard_join import jaccard_components
 from strataflow.llm.packing import pack_documents
 from strataflow.llm.pii import private_report
@@ -70,3 +71,8 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_ngram_jaccard_join")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(documents(spark, folder))
+
+
+@query("op10_document_fingerprints")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints(documents(spark, folder))
