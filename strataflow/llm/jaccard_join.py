@@ -11,8 +11,8 @@ partner of that band.
 
 Candidates are checked by size, then by the Hamming distance of bit sketches (token parity per bit), then exactly.
 In large buckets a candidate is formed with the most central member only. Buckets that hold several components after
-that are compared in blocks inside tasks, where members outside the main component meet all others and only links that
-join components leave the task. So no component is missed, and no bucket emits its pairs.
+that are compared in blocks inside tasks: members outside the main component meet all others there, and only pairs that
+the bit sketches allow leave the task. So no component is missed, and no bucket emits its pairs.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ FREQUENT_CELLS = 50_000
 #: Buckets up to this size form all their pairs; larger ones go by representatives.
 SMALL_BUCKET = 8
 #: Members per block where a large bucket is compared in full.
-BLOCK = 256
+BLOCK = 1024
 PROBES = 2
 
 
@@ -83,9 +83,9 @@ def sent(tokens: np.ndarray, frequent: np.ndarray, counts: np.ndarray) -> np.nda
 
 
 def bit_sketch(tokens: np.ndarray) -> bytes:
-    """Token parity per bit; twice to eight times as many bits as tokens, 64 at least. Low token bits name the bit, so a
-    larger sketch folds to a smaller one by XOR of its halves."""
-    n_bits = 64 * 4 ** max(band(len(tokens)), 0) * 2
+    """Token parity per bit; a power of two of at least four times as many bits as tokens, 128 at least. Low token bits
+    name the bit, so a larger sketch folds to a smaller one by XOR of its halves."""
+    n_bits = max(128, 1 << (4 * len(tokens) - 1).bit_length())
     parity = np.bincount((tokens & U64(n_bits - 1)).astype(np.int64), minlength=n_bits) & 1
     return np.packbits(parity.astype(np.uint8)).tobytes()
 
@@ -316,51 +316,38 @@ def _mixed(members: DataFrame, links: DataFrame) -> DataFrame:
     return now.join(several, "cell").select("cell", "doc", "component", F.col("main.component").alias("main"))
 
 
-def _spanning(table: pa.Table) -> pa.Table:
-    """Links between unlike components of a block, as many as join them (a spanning forest, at most one per member).
-    The members outside the main component are compared with all others of the block, by bit sketches first."""
-    docs, parts, block = table["doc"].to_pylist(), table["component"].to_pylist(), table["block"].to_pylist()
-    at, main, n = table["at"][0].as_py(), table["main"].to_pylist(), np.array(table["n"].to_pylist())
+def _allowed(table: pa.Table) -> pa.Table:
+    """Pairs of unlike components in a block that size and bit sketches allow: the members outside the main component
+    against all others."""
+    docs, parts = np.array(table["doc"].to_pylist()), np.array(table["component"].to_pylist())
+    outside, block = parts != np.array(table["main"].to_pylist()), np.array(table["block"].to_pylist())
+    at, n = table["at"][0].as_py(), np.array(table["n"].to_pylist())
     raw = [s.as_buffer() for s in table["sketch"]]
     width = min(s.size for s in raw)
-    sketches = np.stack([np.bitwise_xor.reduce(np.frombuffer(s, dtype=np.uint8).reshape(-1, width), axis=0) for s in raw])
-    sketches = sketches.view(np.uint64)
-    tokens = [np.frombuffer(s.as_buffer(), dtype=U64) for s in table["tokens"]]
-    up: dict[int, int] = {}
-
-    def top(x):
-        while up.get(x, x) != x:
-            up[x] = up.get(up[x], up[x])
-            x = up[x]
-        return x
-
-    u, v = [], []
-    for i in range(len(docs)):
-        if parts[i] == main[i]:
-            continue
-        gap = np.bitwise_count(sketches ^ sketches[i]).sum(axis=1)
-        fits = (gap <= (n + n[i]) // 7) & (4 * np.minimum(n, n[i]) >= 3 * np.maximum(n, n[i]))
-        for j in np.flatnonzero(fits).tolist():
-            # Two members outside the main component meet in every block; the block of the first compares them.
-            if parts[j] != main[j] and (j <= i or min((block[i], docs[i]), (block[j], docs[j]))[0] != at):
-                continue
-            if top(parts[i]) != top(parts[j]) and _similar(tokens[i], tokens[j]):
-                up[top(parts[i])] = top(parts[j])
-                u.append(max(docs[i], docs[j]))
-                v.append(min(docs[i], docs[j]))
-    return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
-
-
-def _block_links(mixed: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links between the components of mixed buckets. Members are dealt to blocks of bounded size; those outside the
+    sketches = np.stack([np.bitwise_xor.reduce(np.frombuffer(s, dtype=np.uint8).reshape(-1, width), axis=0) for s in raw]).view(np.uint64)
+    u, v = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for i in np.flatnonzero(outside).tolist():
+        fits = (parts != parts[i]) & (4 * np.minimum(n, n[i]) >= 3 * np.maximum(n, n[i]))
+        # Two members outside the main component meet in every block; the block of the lower one compares them.
+        lower = (block < block[i]) | ((block == block[i]) & (docs < docs[i]))
+        fits &= ~outside | (~lower & (block[i] == at))
+        j = np.flatnonzero(fits)
+        j = j[np.bitwise_count(sketches[j] ^ sketches[i]).sum(axis=1, dtype=np.int64) <= (n[j] + n[i]) // 7]
+        u.append(np.maximum(docs[j], docs[i]))
+        v.append(np.minimum(docs[j], docs[i]))
+    return pa.table({"u": pa.array(np.concatenate(u)), "v": pa.array(np.concatenate(v))})
+
+
+def _block_pairs(mixed: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Candidates between the components of mixed buckets. Members are dealt to blocks of bounded size; those outside the
     main component go to every block of their bucket."""
     counted = mixed.groupBy("cell").agg((F.count("*") / BLOCK).cast("int").alias("last"))
     placed = mixed.join(counted, "cell").withColumn("block", F.pmod(F.xxhash64("doc"), F.col("last") + 1).cast("int"))
     everywhere = F.sequence(F.lit(0), F.col("last"))
     to = F.when(F.col("component") == F.col("main"), F.array("block")).otherwise(everywhere)
     dealt = placed.select("cell", "doc", "component", "main", "block", F.explode(to).alias("at"))
-    dealt = dealt.join(nodes.select(F.col("rep").alias("doc"), "n", "sketch").join(sets, "doc"), "doc")
-    return stash(dealt.groupBy("cell", "at").applyInArrow(_spanning, "u long, v long"), "links")
+    dealt = dealt.join(nodes.select(F.col("rep").alias("doc"), "n", "sketch"), "doc")
+    return stash(dealt.groupBy("cell", "at").applyInArrow(_allowed, "u long, v long").distinct(), "near")
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE) -> DataFrame:
@@ -410,7 +397,7 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     links = links.unionByName(_verified(near, sets))
     mixed = stash(_mixed(members, links), "mixed")
     if not mixed.isEmpty():
-        links = links.unionByName(_block_links(mixed, nodes, sets))
+        links = links.unionByName(_verified(_block_pairs(mixed, nodes), sets))
 
     found = components(links).toDF("rep", "component")
     labels = groups.join(found, "rep", "left").select("one", "two", F.coalesce("component", "rep").alias("component"))
