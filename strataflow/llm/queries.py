@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from strataflow.llm.bpe import encoded
 from strataflow.llm.exact_dedup import exact_groups
 from strataflow.llm.fingerprint import fingerprints
 from strataflow.llm.jaccard_join import jaccard_components
 from strataflow.llm.packing import pack_documents
 from strataflow.llm.pii import private_report
+from strataflow.llm.quality import quality_scores
 from strataflow.llm.shared import ship
+from strataflow.llm.token_count import token_counts
 from strataflow.llm.toxicity import toxicity_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +43,21 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity_scores(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
 
 
+@query("op2_compression_quality")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_scores(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
+@query("op3_token_counts")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts(documents(spark, folder), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op5_byte_bpe")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return encoded(documents(spark, folder), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 @query("op6_best_fit_packing")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(documents(spark, folder))
