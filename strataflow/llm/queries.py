@@ -11,6 +11,7 @@ from strataflow.llm.bpe import encoded
 from strataflow.llm.exact_dedup import exact_groups
 from strataflow.llm.fingerprint import fingerprints
 from strataflow.llm.jaccard_join import jaccard_components
+from strataflow.llm.masked_lm import pseudo_likelihood
 from strataflow.llm.packing import pack_documents
 from strataflow.llm.pii import private_report
 from strataflow.llm.quality import quality_scores
@@ -95,3 +96,8 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_document_fingerprints")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprints(documents(spark, folder))
+
+
+@query("op4_masked_lm")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return pseudo_likelihood(documents(spark, folder))
