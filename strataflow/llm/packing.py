@@ -26,7 +26,8 @@ def word_count(text: Column) -> Column:
     """Words `[^\\x20\\x09-\\x0D]+`; null has none."""
     plain = F.trim(normalised(text))
     gaps = F.length(plain) - F.length(F.translate(plain, " ", ""))
-    return F.when(plain == "", 0).otherwise(gaps + 1).cast("long")
+    # No branch, so that Spark evaluates the normalised text once for all that is made of it.
+    return (gaps + (plain != "").cast("int")).cast("long")
 
 
 def best_fit(pieces: list[tuple], capacity: int, per_source: int) -> list[tuple[int, int, int]]:
@@ -101,5 +102,5 @@ def pack(docs: DataFrame, length: Column, cluster: Column, key: str = "doc_id",
 
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURCE) -> DataFrame:
     """Documents packed by their words; texts equal but for white space are a cluster of copies."""
-    copies = F.xxhash64(F.trim(normalised(F.col("text"))))
-    return pack(docs, word_count(F.col("text")), F.when(word_count(F.col("text")) > 0, copies), capacity=capacity, per_source=per_source)
+    copies = F.nullif(F.xxhash64(F.trim(normalised(F.col("text")))), F.xxhash64(F.lit("")))
+    return pack(docs, word_count(F.col("text")), copies, capacity=capacity, per_source=per_source)
