@@ -308,7 +308,13 @@ class AuditError(RuntimeError):
     """At least one audit check failed."""
 
 
-def raise_on_failure(results: DataFrame) -> None:
-    failed = results.filter(F.col("status") == "FAIL").limit(20).collect()
-    if failed:
-        raise AuditError("; ".join(f"{r.test_name} [{r.entity_name}]: {r.actual_value}" for r in failed))
+def raise_on_failure(results: DataFrame, failures: str | None = None) -> None:
+    """Raise if a check failed. The message counts all failures and names the first ones; all of them are written to the
+    `failures` table where a path is given. Results hold one row per check, so their number does not grow with data."""
+    failed = results.filter(F.col("status") == "FAIL")
+    if failures is not None:
+        failed.write.mode("overwrite").parquet(failures)
+    rows = failed.orderBy("test_name", "entity_name").collect()
+    if rows:
+        told = "; ".join(f"{r.test_name} [{r.entity_name}]: {r.actual_value}" for r in rows)
+        raise AuditError(f"{len(rows)} checks failed: {told}")

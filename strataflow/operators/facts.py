@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,7 +31,7 @@ def previous_active_date(orders: DataFrame, entity_id: str, day: str = "order_da
 
 
 def life_cycle(
-    previous: Column, order_date: Column, gap_days: int, last_active: Column | None = None,
+    previous: Column, order_date: Column, gap_days: Column | int, last_active: Column | None = None,
     known_life_cycle: Column | None = None,
 ) -> Column:
     """1 New, 2 Retained (gap within the limit), 3 Reactivated.
@@ -74,40 +76,66 @@ def known_date_key(df: DataFrame, day_key: str, calendar: DataFrame) -> DataFram
     return df.join(keys, F.col(day_key) == F.col("calendar_key"), "left")
 
 
+def _entity_days(base: DataFrame, dimensions: dict[str, DataFrame]) -> DataFrame:
+    """Version key and life cycle of every (entity, id, day) on which an id ordered.
+
+    The three entities run through one plan, at the grain of distinct days: versions, cached activity and the day before
+    are looked up once per id and day, however many orders share them. Rows without an id stay out of it.
+    """
+    ids = F.explode(F.array(*[F.struct(F.lit(e).alias("entity"), F.col(f"{e}_id").alias("id")) for e in dimensions]))
+    days = base.select("order_date", ids.alias("e")).select("e.entity", "e.id", "order_date").filter("id IS NOT NULL").distinct()
+    before = F.lag("order_date").over(Window.partitionBy("entity", "id").orderBy("order_date"))
+    versions = reduce(
+        DataFrame.unionByName,
+        (
+            d.select(
+                F.lit(e).alias("entity"), F.col(f"{e}_id").alias("id"), "valid_from", "valid_to",
+                F.col(f"{e}_key").cast("long").alias("key"), "last_active", "life_cycle_id",
+            )
+            for e, d in dimensions.items()
+        ),
+    )
+    inside = F.col("order_date").between(F.col("valid_from"), F.col("valid_to"))
+    same = (F.col("d.entity") == F.col("v.entity")) & (F.col("d.id") == F.col("v.id"))
+    met = days.withColumn("previous", before).alias("d").join(versions.alias("v"), same & inside, "left")
+    gap = F.create_map(*[F.lit(x) for pair in LIFE_CYCLE_GAP.items() for x in pair])[F.col("d.entity")]
+    cycle = life_cycle(F.col("previous"), F.col("order_date"), gap, F.col("last_active"), F.col("life_cycle_id"))
+    return met.select(F.col("d.entity").alias("entity"), F.col("d.id").alias("id"), "order_date", "key", cycle.alias("cycle"))
+
+
 def build_fact_order(
     orders: DataFrame, calendar: DataFrame, customers: DataFrame, restaurants: DataFrame, partners: DataFrame
 ) -> DataFrame:
-    """Typed orders with resolved keys, net value and the three life cycles."""
+    """Typed orders with resolved keys, net value and the three life cycles.
+
+    What the ids and days give comes back as three narrow rows per order, gathered by order id, so the wide orders are
+    shuffled once.
+    """
+    dimensions = {"customer": customers, "restaurant": restaurants, "delivery_partner": partners}
     base = orders.select(
         "*", F.to_date("order_timestamp").alias("order_date"), date_key(F.col("order_timestamp")).alias("day_key")
     )
-    out = known_date_key(base, "day_key", calendar)
-    cycles = []
-    for entity, dimension in (
-        ("customer", customers), ("restaurant", restaurants), ("delivery_partner", partners),
-    ):
-        business_id = f"{entity}_id"
-        active, known = f"{entity}_last_active", f"{entity}_life_cycle"
-        out = point_in_time(
-            out, dimension, business_id, f"{entity}_key", "order_date",
-            {"last_active": active, "life_cycle_id": known},
-        )
-        lag = previous_active_date(base, business_id).withColumnRenamed("previous_date", f"{entity}_previous")
-        out = out.join(lag, [business_id, "order_date"], "left")
-        cycle = life_cycle(
-            F.col(f"{entity}_previous"), F.col("order_date"), LIFE_CYCLE_GAP[entity], F.col(active), F.col(known)
-        )
-        if entity == "delivery_partner":
-            cycle = F.when(F.col(business_id).isNotNull(), cycle)
-        cycles.append(cycle.alias(LIFE_CYCLE_NAME[entity]))
+    ids = F.explode(F.array(*[F.struct(F.lit(e).alias("entity"), F.col(f"{e}_id").alias("id")) for e in dimensions]))
+    narrow = base.select("order_id", "order_date", ids.alias("e")).select("order_id", "order_date", "e.entity", "e.id").filter("id IS NOT NULL")
+    found = narrow.join(_entity_days(base, dimensions), ["entity", "id", "order_date"])
+
+    def of(entity: str, column: str) -> Column:
+        return F.max(F.when(F.col("entity") == entity, F.col(column)))
+
+    gathered = found.groupBy("order_id").agg(
+        *[of(e, "key").alias(f"{e}_key") for e in dimensions], *[of(e, "cycle").alias(LIFE_CYCLE_NAME[e]) for e in dimensions]
+    )
+    out = known_date_key(base, "day_key", calendar).join(gathered, "order_id", "left")
+    # What has no id or no day counts as a first order; only a missing delivery partner has no life cycle.
+    cycles = [
+        F.coalesce(n, F.when(F.lit(e != "delivery_partner") | F.col(f"{e}_id").isNotNull(), 1)).alias(n)
+        for e, n in LIFE_CYCLE_NAME.items()
+    ]
     return out.select(
         "order_id",
         F.coalesce("calendar_key", F.lit(UNKNOWN)).alias("order_date_key"),
         F.coalesce(time_key(F.col("order_timestamp")), F.lit(UNKNOWN)).alias("order_time_key"),
-        *[
-            F.coalesce(f"{e}_key", F.lit(UNKNOWN)).cast("long").alias(f"{e}_key")
-            for e in ("customer", "restaurant", "delivery_partner")
-        ],
+        *[F.coalesce(f"{e}_key", F.lit(UNKNOWN)).cast("long").alias(f"{e}_key") for e in dimensions],
         "subtotal_amount", "discount_amount", "delivery_fee", "total_amount",
         net_order_value().alias("net_order_value"), "is_cod", "is_cancelled", *cycles, "batch_id",
     )
@@ -232,22 +260,20 @@ FACT_SURROGATES = {
 }
 
 
-def upsert_fact(name: str, target: DataFrame, source: DataFrame, source_rows: int | None = None) -> DataFrame:
+def upsert_fact(name: str, target: DataFrame, source: DataFrame) -> DataFrame:
     """Update changed facts and insert absent ones by business key; the batch id alone is no change."""
     key, surrogate = FACT_KEYS[name], FACT_SURROGATES[name]
     tracked = [c for c in source.columns if c not in (key, surrogate, "batch_id")]
-    return upsert(target, source, [key], tracked, kept=[surrogate], source_rows=source_rows)
+    return upsert(target, source, [key], tracked, kept=[surrogate])
 
 
-def merge_fact(
-    name: str, target: DataFrame | None, source: DataFrame, first: Column | int, source_rows: int | None = None
-) -> DataFrame:
+def merge_fact(name: str, target: DataFrame | None, source: DataFrame, first: Column | int) -> DataFrame:
     """`upsert_fact` with surrogate keys: new rows are numbered from `first`, the others keep theirs."""
     key, surrogate = FACT_KEYS[name], FACT_SURROGATES[name]
     fresh = source.drop(surrogate).withColumn(surrogate, F.lit(None).cast("long"))
     if target is None:
         return assign_keys(fresh, key, surrogate, first)
-    merged = upsert_fact(name, target, fresh.select(*target.columns), source_rows).drop("merge_action")
+    merged = upsert_fact(name, target, fresh.select(*target.columns)).drop("merge_action")
     return fill_missing_keys(merged, key, surrogate, first)
 
 

@@ -20,12 +20,12 @@ def scope(df: DataFrame, batch_id: int | None) -> DataFrame:
 
 
 def _beside(*rows: DataFrame) -> DataFrame:
-    """One-row aggregates side by side, so that every view is read once."""
-    one = F.lit(1).alias("one")
-    out = rows[0].select(one, "*")
-    for row in rows[1:]:
-        out = out.join(row.select(one, "*"), "one")
-    return out.drop("one")
+    """One-row aggregates side by side, so that every view is read once. All but the first come in as scalar subqueries."""
+    out = rows[0]
+    for i, row in enumerate(rows[1:]):
+        out = out.select("*", row.select(F.struct("*")).scalar().alias(f"beside_{i}"))
+    named = [c for c in out.columns if not c.startswith("beside_")]
+    return out.select(*named, *[f"beside_{i}.*" for i in range(len(rows) - 1)])
 
 
 def _rows(df: DataFrame, name: str) -> DataFrame:

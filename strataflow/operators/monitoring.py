@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataflow.spec import ENTITIES, LOAD_ORDER
@@ -27,6 +27,8 @@ CATEGORY_NULL = "Mandatory Field Null Violation"
 CATEGORY_DUPLICATE = "Duplicate Business Key Violation"
 CATEGORY_FILE = "Source File Structure & Validation"
 CATEGORY_OTHER = "Other Data Quality Anomaly"
+# Fixed value: the message of a step that a newer run replaced.
+STALE_MESSAGE = "Aborted: Superseded by a new execution run."
 RECONCILED = "RECONCILED (Valid Audit)"
 VARIANCE = "VARIANCE DETECTED"
 
@@ -197,9 +199,12 @@ def layer_reconciliation(
     to_ods = F.col("raw_rows") - F.col("ods_rows")
     to_dwh = F.col("ods_rows") - F.col("dwh_rows")
     explained = (to_ods == F.col("quarantined_error_rows")) | (to_ods == 0)
+    # Every batch has a row per entity, so a row's number follows from the places of its batch and entity.
+    all_batches = batches.agg(F.sort_array(F.collect_set("batch_id"))).scalar()
+    entities = F.array(*[F.lit(x) for x in sorted(ENTITY_LABELS)])
+    number = (F.array_position(all_batches, F.col("batch_id")) - 1) * len(ENTITY_LABELS) + F.array_position(entities, F.col("entity_name"))
     return joined.select(
-        # The grid has one row per batch and entity: the ordered window sees a few rows per batch.
-        F.row_number().over(Window.orderBy("batch_id", "entity_name")).alias("reconciliation_id"),
+        number.cast("int").alias("reconciliation_id"),
         "batch_id", "entity_name", "raw_rows", "ods_rows", "dwh_rows",
         to_ods.alias("raw_to_ods_variance"), to_dwh.alias("ods_to_dwh_variance"),
         "quarantined_error_rows", "warning_rows",
@@ -235,7 +240,7 @@ def close_stale_steps(log: DataFrame, step_name: str, now: Column) -> DataFrame:
     return log.withColumns(
         {
             "end_time": F.when(stale, now).otherwise(F.col("end_time")),
-            "message": F.when(stale, "Aborted: Superseded by a new execution run.").otherwise(F.col("message")),
+            "message": F.when(stale, STALE_MESSAGE).otherwise(F.col("message")),
             "status": F.when(stale, "FAILED").otherwise(F.col("status")),
         }
     )

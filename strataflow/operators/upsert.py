@@ -1,10 +1,6 @@
 """Change-detecting upsert on DataFrames.
 
-Plain Parquet has no MERGE, so the merge is a join. Two routes give the same rows:
-
-* full outer join on the key: one shuffle of either side, right for large sources;
-* lookup route for a source whose row count is known to be small: the source is broadcast, the target is
-  never shuffled, and only the keys they share come back to find the inserts.
+Plain Parquet has no MERGE, so the merge is a full outer join on the key: one shuffle of either side.
 """
 
 from __future__ import annotations
@@ -16,9 +12,6 @@ from pyspark.sql import functions as F
 
 from strataflow.spec import ENTITIES
 
-# A source up to this many rows may be broadcast; a wider limit risks the driver and executor heaps.
-BROADCAST_ROWS = 500_000
-
 
 def differs(columns: Sequence[str], left: str, right: str) -> Column:
     """Null-safe: NULL to value and value to NULL both count as a change."""
@@ -42,7 +35,6 @@ def upsert(
     keys: Sequence[str],
     tracked: Sequence[str],
     kept: Sequence[str] = (),
-    source_rows: int | None = None,
 ) -> DataFrame:
     """Merge `source` into `target`; both hold one row per key.
 
@@ -53,35 +45,6 @@ def upsert(
     columns = target.columns
     probe = keys[0]
     changed = differs(tracked, "t", "s")
-
-    def pick(take_source: Column, have_target: bool = True) -> list[Column]:
-        out = []
-        for c in columns:
-            old = F.col(f"t.{c}")
-            if c not in source.columns or c in kept:
-                out.append(old.alias(c))
-            else:
-                out.append(F.when(take_source, F.col(f"s.{c}")).otherwise(old).alias(c))
-        return out
-
-    if source_rows is not None and source_rows <= BROADCAST_ROWS:
-        joined = t.join(F.broadcast(s), _same_key(keys), "left")
-        action = (
-            F.when(F.col(f"s.{probe}").isNull(), "KEEP").when(changed, "UPDATE").otherwise("UNCHANGED")
-        )
-        held = joined.select(*pick(action == "UPDATE"), action.alias("merge_action"))
-        known = target.select(*keys).join(F.broadcast(source.select(*keys)), list(keys), "left_semi")
-        fresh = source.join(known, list(keys), "left_anti")
-        types = {f.name: f.dataType for f in target.schema.fields}
-        added = fresh.select(
-            *[
-                (F.col(c) if c in source.columns else F.lit(None)).cast(types[c]).alias(c)
-                for c in columns
-            ],
-            F.lit("INSERT").alias("merge_action"),
-        )
-        return held.unionByName(added)
-
     joined = t.join(s, _same_key(keys), "full")
     action = (
         F.when(F.col(f"t.{probe}").isNull(), "INSERT")
@@ -102,12 +65,10 @@ def upsert(
     return joined.select(*out, action.alias("merge_action"))
 
 
-def upsert_entity(
-    entity: str, target: DataFrame, source: DataFrame, source_rows: int | None = None
-) -> DataFrame:
+def upsert_entity(entity: str, target: DataFrame, source: DataFrame) -> DataFrame:
     """Upsert one of the eight typed tables by its business key and tracked columns."""
     spec = ENTITIES[entity]
-    return upsert(target, source, [spec.key], spec.tracked, source_rows=source_rows)
+    return upsert(target, source, [spec.key], spec.tracked)
 
 
 def action_counts(merged: DataFrame) -> DataFrame:

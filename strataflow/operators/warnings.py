@@ -143,9 +143,9 @@ def rejected_value(errors: DataFrame, raw_items: DataFrame) -> DataFrame:
 
 
 def cancelled_deliveries(
-    errors: DataFrame, raw_deliveries: DataFrame, orders: DataFrame, limit: int | None = 100
+    errors: DataFrame, raw_deliveries: DataFrame, orders: DataFrame, limit: int | None = None
 ) -> DataFrame:
-    """Raw rows of rejected deliveries with their order's cancel flag: the first `limit` by row key."""
+    """Raw rows of rejected deliveries with their order's cancel flag; with `limit`, the first ones by row key."""
     rows = errors.filter(F.col("table_name") == "raw_delivery_performance").select(*ROW_KEY).distinct()
     listed = (
         raw_deliveries.join(rows, ROW_KEY, "left_semi")

@@ -6,6 +6,7 @@ The driver only orders the steps and publishes tables; every step is a set of Da
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import UTC, datetime
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +21,21 @@ from strataflow.sources.tables import Warehouse
 from strataflow.spec import ENTITIES, LOAD_ORDER
 
 RAW_SUFFIX = "LOAD_RAW_"
+# Control tables that a batch writes, and how they are partitioned below the batch.
+BATCH_TABLES = {
+    "control/file_manifest": (), "control/etl_error": ("error_scope",), "control/etl_warning": (),
+    "control/dim_change_log": ("log_scope",),
+}
+LOG_SCHEMA = (
+    "log_id long, batch_id long, process_name string, step_name string, start_time timestamp_ntz, "
+    "end_time timestamp_ntz, status string, rows_processed long, rows_inserted long, rows_rejected long, "
+    "message string, created_at timestamp_ntz"
+)
+SOURCE_SYSTEM = "File Ingestion"
+
+
+def _now() -> datetime:
+    return datetime.now(UTC).replace(tzinfo=None)
 
 
 class RawLoadError(RuntimeError):
@@ -40,27 +56,36 @@ class BatchRun:
     calendar_end: str = "2026-12-31"
     multi_line: bool = True
     log: list[dict] = field(default_factory=list)
+    files: int = 0
+    step_began: datetime = field(default_factory=_now)
 
     def note(self, process: str, step: str, processed: int, inserted: int, status: str, message: str = "") -> None:
+        """Log a finished step; it began when the one before ended."""
+        now = _now()
         self.log.append(
             {
-                "batch_id": self.batch_id, "process_name": process, "step_name": step, "status": status,
+                "log_id": self.batch_id * 1000 + len(self.log) + 1, "batch_id": self.batch_id, "process_name": process,
+                "step_name": step, "start_time": self.step_began, "end_time": now, "status": status,
                 "rows_processed": processed, "rows_inserted": inserted,
-                "rows_rejected": max(processed - inserted, 0), "message": message,
+                "rows_rejected": max(processed - inserted, 0), "message": message, "created_at": now,
             }
         )
+        self.step_began = now
 
     # Files to raw -------------------------------------------------------------------------------------
 
     def land(self, folder: str) -> DataFrame:
-        """Check every file, then load all of them, or none when one is bad."""
+        """Check every file, then load all of them, or none when one is bad. What an earlier run of the batch left in the
+        control tables, and in the raw tables of entities that are not delivered now, goes first."""
+        for name, parts in BATCH_TABLES.items():
+            self.warehouse.clear_batch(name, self.batch_id, *parts)
         files = landing.discover_files(self.spark, folder)
         heads = landing.file_heads(self.spark, folder)
         checked = landing.check_files(files, heads).persist(StorageLevel.MEMORY_AND_DISK)
         outcome = landing.ingestion_outcome(checked).first()
+        self.files = outcome.total_files
         self.warehouse.replace_batch(
-            "control/file_manifest",
-            landing.route_files(checked, self.batch_id).withColumn("batch_id", F.lit(self.batch_id)),
+            "control/file_manifest", landing.route_files(checked, self.batch_id), batch_id=self.batch_id
         )
         if outcome.outcome == "FAILED":
             self._write_errors("file", landing.file_errors(checked, self.batch_id, self.as_of))
@@ -81,16 +106,18 @@ class BatchRun:
         fails at the end. Totals come from what the tables hold, so a replay gives the same numbers."""
         if not staged or not any(not df.isEmpty() for df in staged.values()):
             raise NoStagedRows(f"batch {self.batch_id} has no staged rows")
+        for entity in set(LOAD_ORDER) - set(staged):
+            self.warehouse.clear_batch(f"raw/{ENTITIES[entity].raw_table}", self.batch_id)
         failed = {}
         for entity, rows in staged.items():
             name = f"raw/{ENTITIES[entity].raw_table}"
             try:
-                self.warehouse.replace_batch(name, rows)
+                self.warehouse.replace_batch(name, rows, batch_id=self.batch_id)
                 loaded = self.raw(entity).count()
                 self.note("STG_TO_RAW", RAW_SUFFIX + entity.upper(), loaded, loaded, "SUCCESS")
             except Exception as exc:  # noqa: BLE001 - counted, reported below
                 failed[entity] = exc
-                self.note("STG_TO_RAW", RAW_SUFFIX + entity.upper(), 0, 0, "FAILED", str(exc)[:4000])
+                self.note("STG_TO_RAW", RAW_SUFFIX + entity.upper(), 0, 0, "FAILED", str(exc))
         if failed:
             self._close("FAILED", 0, 0)
             raise RawLoadError(f"raw load failed for {sorted(failed)}") from next(iter(failed.values()))
@@ -118,10 +145,10 @@ class BatchRun:
     def load_typed(self, masters: dict[str, DataFrame] | None = None) -> None:
         masters = masters or {n: lookups.master_rows(self.spark, n) for n in lookups.MASTERS}
         for entity in LOAD_ORDER:
-            raw = self.raw(entity)
+            raw, spec = self.raw(entity), ENTITIES[entity]
             if raw is None or raw.isEmpty():
+                self.warehouse.withdraw(f"ods/{spec.ods_table}", self.batch_id)
                 continue
-            spec = ENTITIES[entity]
             gated = gates.apply_gates(entity, raw, masters, self._parents(entity), self.as_of.cast("date"))
             gated = gated.persist(StorageLevel.DISK_ONLY)
             self._write_errors(spec.raw_table, gates.quarantined(entity, gated, self.as_of))
@@ -131,7 +158,7 @@ class BatchRun:
                 self._write_warnings(rows)
             target = self.typed(entity, self.batch_id)
             merged = rows if target is None else upsert.upsert_entity(
-                entity, target, rows.select(*target.columns), source_rows=valid
+                entity, target, rows.select(*target.columns)
             ).drop("merge_action")
             self.warehouse.publish(f"ods/{spec.ods_table}", merged, self.batch_id)
             status = "FAILED" if total and not valid else "PARTIAL" if valid < total else "SUCCESS"
@@ -140,9 +167,12 @@ class BatchRun:
             gated.unpersist()
 
     def _write_errors(self, table: str, errors: DataFrame) -> None:
-        """Replace the errors of this batch and table."""
+        """Replace the errors of this batch and table. An error's id is a hash of what it is about, so a rerun gives the
+        same ids."""
+        about = ("batch_id", "table_name", "source_file_name", "source_row_number", "gate_id", "error_message")
         self.warehouse.replace_batch(
-            "control/etl_error", errors.withColumn("error_scope", F.lit(table)), by=("batch_id", "error_scope")
+            "control/etl_error", errors.withColumn("error_id", F.xxhash64(*about)), batch_id=self.batch_id,
+            error_scope=table,
         )
 
     def _write_warnings(self, orders: DataFrame) -> None:
@@ -154,7 +184,10 @@ class BatchRun:
         found = warnings.order_warnings(
             orders, side["customer"], side["restaurant"], side["delivery_partner"]
         ).withColumn("warning_timestamp", self.as_of)
-        self.warehouse.replace_batch("control/etl_warning", found)
+        about = ("batch_id", "order_id", "warning_type")
+        self.warehouse.replace_batch(
+            "control/etl_warning", found.withColumn("warning_id", F.xxhash64(*about)), batch_id=self.batch_id
+        )
 
     # Typed tables to the star schema ------------------------------------------------------------------
 
@@ -194,10 +227,7 @@ class BatchRun:
             changes = scd2.change_log(
                 spec, base, source_of(rows), effective, F.lit(self.batch_id).cast("long"), stored, self.as_of
             )
-            self.warehouse.replace_batch(
-                "control/dim_change_log", changes.withColumn("log_scope", F.lit(name)),
-                by=("batch_id", "log_scope"),
-            )
+            self.warehouse.replace_batch("control/dim_change_log", changes, batch_id=self.batch_id, log_scope=name)
 
     def _load_menu(self) -> None:
         items = self._of_batch("menu_item")
@@ -212,12 +242,11 @@ class BatchRun:
         """Facts live in month partitions; only the months of changed rows are rewritten."""
         month = F.when(F.col(date_column) < 0, -1).otherwise((F.col(date_column) / 100).cast("int"))
         source = rows.withColumn("month_key", month).persist(StorageLevel.DISK_ONLY)
-        count = source.count()
         known = self.warehouse.read(f"dwh/{name}")
         first = 1 if known is None else next_key(known, facts.FACT_SURROGATES[name])
         self.warehouse.merge_partitions(
             f"dwh/{name}", source, facts.FACT_KEYS[name], "month_key",
-            lambda target, src: facts.merge_fact(name, target, src, first, source_rows=count),
+            lambda target, src: facts.merge_fact(name, target, src, first),
         )
         source.unpersist()
 
@@ -293,18 +322,16 @@ class BatchRun:
     def _close(self, status: str, total: int, bad: int) -> None:
         batch = self.spark.range(1).select(
             F.lit(self.batch_id).cast("long").alias("batch_id"), F.lit("MONTHLY_BATCH").alias("pipeline_name"),
-            self.as_of.alias("start_time"), F.localtimestamp().alias("end_time"), F.lit(status).alias("status"),
+            F.lit(SOURCE_SYSTEM).alias("source_system"), F.lit(self.files).cast("int").alias("source_file_count"),
+            self.as_of.alias("start_time"), F.greatest(F.localtimestamp(), self.as_of).alias("end_time"),
+            F.lit(status).alias("status"), self.as_of.alias("created_at"),
             F.lit(total).cast("long").alias("total_records"),
             F.lit(total - bad).cast("long").alias("success_records"),
             F.lit(bad).cast("long").alias("error_records"),
         )
-        self.warehouse.replace_batch("control/etl_batch", batch)
-        if self.log:
-            schema = (
-                "batch_id long, process_name string, step_name string, status string, rows_processed long, "
-                "rows_inserted long, rows_rejected long, message string"
-            )
-            self.warehouse.replace_batch("control/etl_log", self.spark.createDataFrame(self.log, schema))
+        self.warehouse.replace_batch("control/etl_batch", batch, batch_id=self.batch_id)
+        log = self.spark.createDataFrame([tuple(r.values()) for r in self.log], LOG_SCHEMA)
+        self.warehouse.replace_batch("control/etl_log", log, batch_id=self.batch_id)
 
     def close(self) -> None:
         counts = [self.raw(e) for e in LOAD_ORDER]
@@ -318,6 +345,11 @@ class BatchRun:
             )
         self._close("PARTIAL" if bad else "SUCCESS", total, min(bad, total))
 
+    def control(self, name: str, batch_id: int | None = None) -> DataFrame:
+        """A control table, of one batch or all."""
+        table = self.warehouse.read(f"control/{name}")
+        return table if batch_id is None else table.filter(F.col("batch_id") == batch_id)
+
 
 def run_month(
     spark: SparkSession, root: str, folder: str, batch_id: int, as_of: Column, cache: DataFrame | None = None,

@@ -215,16 +215,22 @@ def optional_columns(src: Source) -> DataFrame:
 
 # Batch replacement ----------------------------------------------------------------------------------------
 
+# Two of the batches: one is delivered again, one turns out to be empty.
+RERUN, EMPTIED = 199806, 199807
+
+
 @query(
     "a8_stage_replace",
-    "SELECT batch_id, source_file_name, count(*) AS staged_rows, CASE WHEN batch_id = 199806 THEN 'rerun' ELSE 'first' END AS load FROM raw_order GROUP BY 1, 2",
+    f"SELECT batch_id, source_file_name, count(*) AS staged_rows, CASE WHEN batch_id = {RERUN} THEN 'rerun' ELSE 'first' END AS load "
+    f"FROM raw_order WHERE batch_id <> {EMPTIED} GROUP BY 1, 2",
 )
 def stage_replace(src: Source) -> DataFrame:
-    """Load all files, then one of them again: its rows are replaced, not doubled."""
+    """Load all files, then two batches again, one with rows and one without: both are replaced."""
     wh = Warehouse(src.spark, scratch_path(src.spark, "stage"))
-    by = ("batch_id", "source_file_name")
-    wh.replace_batch("stg/order", src("raw_order").withColumn("load", F.lit("first")), by)
-    wh.replace_batch("stg/order", src("raw_order").filter("batch_id = 199806").withColumn("load", F.lit("rerun")), by)
+    wh.replace_partitions("stg/order", src("raw_order").withColumn("load", F.lit("first")))
+    again = src("raw_order").withColumn("load", F.lit("rerun"))
+    wh.replace_batch("stg/order", again.filter(F.col("batch_id") == RERUN), batch_id=RERUN)
+    wh.replace_batch("stg/order", again.filter("false"), batch_id=EMPTIED)
     return wh.read("stg/order").groupBy("batch_id", "source_file_name", "load").agg(
         F.count(F.lit(1)).alias("staged_rows")
     ).select(F.col("batch_id").cast("long"), "source_file_name", "staged_rows", "load")
@@ -232,13 +238,15 @@ def stage_replace(src: Source) -> DataFrame:
 
 @query(
     "a9_raw_replace",
-    "SELECT batch_id, count(*) AS raw_rows, count(DISTINCT source_row_number) AS row_numbers FROM raw_order GROUP BY 1",
+    "SELECT batch_id, count(*) AS raw_rows, count(DISTINCT source_row_number) AS row_numbers FROM raw_order "
+    f"WHERE batch_id <> {EMPTIED} GROUP BY 1",
 )
 def raw_replace(src: Source) -> DataFrame:
-    """The same raw batches loaded twice."""
+    """The same raw batches loaded twice, then one of them cleared."""
     wh = Warehouse(src.spark, scratch_path(src.spark, "raw"))
     for _ in range(2):
-        wh.replace_batch("raw/raw_order", src("raw_order"))
+        wh.replace_partitions("raw/raw_order", src("raw_order"))
+    wh.clear_batch("raw/raw_order", EMPTIED)
     return wh.read("raw/raw_order").groupBy("batch_id").agg(
         F.count(F.lit(1)).alias("raw_rows"), F.count_distinct("source_row_number").alias("row_numbers")
     ).withColumn("batch_id", F.col("batch_id").cast("long"))

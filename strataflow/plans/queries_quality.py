@@ -469,12 +469,11 @@ _register_upserts()
     ),
 )
 def upsert_actions(src: Source) -> DataFrame:
-    """Action counts of all eight upserts; small deliveries take the broadcast route once counted."""
+    """Action counts of all eight upserts."""
     out = None
     for entity in UPSERTS:
         target, source = before_and_next(src, entity)
-        rows = source.count() if entity in ("customer", "restaurant", "delivery_partner") else None
-        merged = upsert.upsert_entity(entity, target, source, source_rows=rows)
+        merged = upsert.upsert_entity(entity, target, source)
         part = upsert.action_counts(merged).select(F.lit(entity).alias("entity"), "*")
         out = part if out is None else out.unionByName(part)
     return out
@@ -561,7 +560,7 @@ def rejected_value(src: Source) -> DataFrame:
     "CAST(o.order_timestamp AS VARCHAR) AS order_timestamp, r.expected_delivery_time_min, r.actual_delivery_time_min "
     "FROM (SELECT DISTINCT batch_id, source_file_name, source_row_number FROM err_delivery_performance) e "
     "JOIN raw_delivery_performance r ON e.batch_id = r.batch_id AND e.source_file_name = r.source_file_name AND e.source_row_number = r.source_row_number "
-    "LEFT JOIN before_order o ON r.order_id = o.order_id ORDER BY 1, 2, 3 LIMIT 100",
+    "LEFT JOIN before_order o ON r.order_id = o.order_id",
 )
 def cancelled_deliveries(src: Source) -> DataFrame:
     return warnings.cancelled_deliveries(

@@ -713,7 +713,7 @@ def _register_relink() -> None:
         fragment(f"relinked_{name}", _relink_sql(name, table))
 
         def run(src: Source, n=name, b=build) -> DataFrame:
-            linked = facts.relink(n, b(src, "before_order"), orders_fact(src))
+            linked = facts.relink(n, src.stored(n, lambda: b(src, "before_order")), src.stored("fact_order", lambda: orders_fact(src)))
             return linked.select(facts.FACT_KEYS[n], "order_id", *facts.RELINK[n], "relinked")
 
         query(f"f16_relink_{name}", f"SELECT * FROM relinked_{name}")(run)
@@ -731,7 +731,7 @@ _register_relink()
 def relink_preview(src: Source) -> DataFrame:
     out = None
     for name, (_, build) in ORPHANED.items():
-        part = facts.relink_preview(name, build(src, "before_order"), orders_fact(src))
+        part = facts.relink_preview(name, src.stored(name, lambda b=build: b(src, "before_order")), src.stored("fact_order", lambda: orders_fact(src)))
         out = part if out is None else out.unionByName(part)
     return out
 

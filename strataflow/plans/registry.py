@@ -10,19 +10,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from strataflow.plans import source_maps
-from strataflow.session import apply_settings
+from strataflow.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 FRAGMENTS: dict[str, str] = {}
-WIDE_TEXT = ("raw_order", "raw_order_item", "raw_delivery_performance", "raw_rating")
 
 
 class Source:
     """The given tables, plain or mapped, of one data folder. Each is set up once per query."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = apply_settings(spark), folder
+        self.spark, self.folder = spark, folder
         self._made: dict = {}
 
     def once(self, key, make: Callable[[], DataFrame]) -> DataFrame:
@@ -33,16 +32,19 @@ class Source:
     def table(self, name: str) -> DataFrame:
         return self.once(("table", name), lambda: source_maps.table(self.spark, self.folder, name))
 
-    def spread(self, name: str) -> DataFrame:
-        """A given table over all cores: one stored in fewer files than there are cores is redistributed
-        before expensive text work, a large table of many files is taken as it is."""
-        df = self.table(name)
-        cores = self.spark.sparkContext.defaultParallelism
-        return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    def stored(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """A table that the query works on as stored: written to the shared folder once and read back."""
+
+        def write() -> DataFrame:
+            path = scratch_path(self.spark, name)
+            made = make()
+            made.write.parquet(path)
+            return self.spark.read.schema(made.schema).parquet(path)
+
+        return self.once(("stored", name), write)
 
     def __call__(self, name: str) -> DataFrame:
-        table = self.spread if name in WIDE_TEXT else self.table
-        return self.once(("map", name), lambda: source_maps.rows(table, name))
+        return self.once(("map", name), lambda: source_maps.rows(self.table, name))
 
 
 def present(df: DataFrame) -> DataFrame:

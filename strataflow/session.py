@@ -2,34 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import SparkSession
 
-# Settings every job expects. Shuffle width and broadcast limits stay with the cluster's own configuration;
-# AQE coalesces small shuffle partitions and splits skewed join partitions at run time.
-SQL_SETTINGS = {
-    "spark.sql.session.timeZone": "UTC",
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # The JVM does not compile methods above 8000 bytes of code. Where a fused stage (a table with many gates)
-    # grows beyond that, Spark's split-up projections are far faster than interpreted fused code.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
-}
-
-
-def apply_settings(spark: SparkSession) -> SparkSession:
-    for name, value in SQL_SETTINGS.items():
-        spark.conf.set(name, value)
-    return spark
-
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
-    """A local session for tests and benchmarks."""
+    """A local session for tests and benchmarks. Queries set nothing in the caller's session: shuffle width, broadcast limits
+    and code generation stay with the cluster's configuration."""
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("strataflow")
@@ -38,18 +18,18 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
         .config("spark.sql.dataFrameQueryContext.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        .config("spark.sql.session.timeZone", "UTC")
+        # The given tables are single small files; smaller splits spread their text work over the cores.
+        .config("spark.sql.files.maxPartitionBytes", "2m")
+        .config("spark.sql.files.openCostInBytes", "64k")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    return apply_settings(spark)
-
-
-@cache
-def _own_folder() -> str:
-    return tempfile.mkdtemp(prefix="strataflow-")
+    return spark
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared folder the cluster names; a local one only where none is named."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
+    """A fresh folder below the shared folder the cluster names, or below its warehouse where none is named; executors see
+    both."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/strataflow/{name}-{uuid.uuid4().hex}"

@@ -1,7 +1,7 @@
 """Parquet tables of the layers.
 
-Raw and control tables are partitioned by batch and replaced one batch at a time (dynamic partition
-overwrite), so a rerun never duplicates. Typed tables and dimensions are written as a new folder per batch
+Raw and control tables are partitioned by batch and replaced one batch at a time, with the rows of the rerun or
+with nothing, so a rerun neither duplicates nor leaves stale rows. Typed tables and dimensions are written as a new folder per batch
 and published by a row in a small version table; a batch always starts from the state before it, which makes
 reruns repeatable and leaves the old state intact when a job dies halfway. Facts are partitioned by month and
 only the months a batch touches are rewritten.
@@ -45,14 +45,25 @@ class Warehouse:
 
     # Batch-partitioned tables -------------------------------------------------------------------------
 
-    def replace_batch(self, name: str, rows: DataFrame, by: Sequence[str] = ("batch_id",)) -> None:
-        """Replace the partitions the rows fall into; other batches stay."""
-        (
-            rows.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*by)
-            .parquet(self.path(name))
-        )
+    def replace_batch(self, name: str, rows: DataFrame, **scope) -> None:
+        """Replace one partition, named by its partition columns and values, also where there are no rows. All rows
+        belong to it; the partition columns need not be among them."""
+        place = "".join(f"/{column}={value}" for column, value in scope.items())
+        rows.drop(*scope).write.mode("overwrite").parquet(self.path(name) + place)
+
+    def clear_batch(self, name: str, batch_id: int, *parts: str) -> None:
+        """Empty every partition that a batch has below its batch id (one per value of the other partition columns, of
+        which there are a few per table)."""
+        table = self.read(name)
+        if table is None:
+            return
+        mine = table.filter(F.col("batch_id") == batch_id)
+        for row in mine.select("batch_id", *parts).distinct().collect():
+            self.replace_batch(name, self.spark.createDataFrame([], table.schema), **row.asDict())
+
+    def replace_partitions(self, name: str, rows: DataFrame, by: Sequence[str] = ("batch_id",)) -> None:
+        """Replace the partitions that the rows fall into; others stay."""
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(self.path(name))
 
     def append(self, name: str, rows: DataFrame) -> None:
         rows.write.mode("append").parquet(self.path(name))
@@ -80,15 +91,23 @@ class Warehouse:
         """Write a new version, then make it visible. Returns the written table, cut from its lineage."""
         path = self.path(f"{name}/batch={batch_id}-{uuid.uuid4().hex}")
         rows.write.parquet(path)
+        self._point(name, path, batch_id)
+        return self.spark.read.parquet(path)
+
+    def withdraw(self, name: str, batch_id: int) -> None:
+        """Go back to the version before a batch, if the batch has published one."""
+        if self._published(name, None) != (before := self._published(name, batch_id)):
+            self._point(name, before, batch_id)
+
+    def _point(self, name: str, path: str | None, batch_id: int) -> None:
         self.append(
             VERSIONS,
             self.spark.range(1).select(
                 F.lit(name).alias("table_name"), F.lit(batch_id).cast("long").alias("batch_id"),
-                F.lit(path).alias("path"), F.current_timestamp().alias("published_at"),
+                F.lit(path).cast("string").alias("path"), F.current_timestamp().alias("published_at"),
             ),
         )
         self._paths = {k: v for k, v in self._paths.items() if k[0] != name}
-        return self.spark.read.parquet(path)
 
     # Month-partitioned facts --------------------------------------------------------------------------
 
@@ -108,7 +127,7 @@ class Warehouse:
         """
         target = self.read(name)
         if target is None:
-            self.replace_batch(name, merge(None, source), by=[part])
+            self.replace_partitions(name, merge(None, source), by=[part])
             return
         hit = target.join(source.select(key), key, "left_semi").select(part)
         values = [r[0] for r in source.select(part).union(hit).distinct().collect()]
@@ -120,7 +139,7 @@ class Warehouse:
         merged.write.partitionBy(part).parquet(staged)
         rows = self.spark.read.parquet(staged)
         kept = {r[0] for r in rows.select(part).distinct().collect()}
-        self.replace_batch(name, rows, by=[part])
+        self.replace_partitions(name, rows, by=[part])
         for value in set(values) - kept:
             self._empty_partition(name, rows.drop(part).schema, part, value)
 

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from strataflow.operators import audits, lookups, maintenance, monitoring
+from strataflow.operators import audits, kpis, lookups, maintenance, monitoring
 from strataflow.operators import views
 from strataflow.plans import monthly
 from strataflow.sources import aspect_cache, landing
@@ -224,6 +224,59 @@ def test_rerun_changes_nothing(two_months):
     assert {t: dump(wh, t) for t in TABLES} == before
 
 
+def test_rerun_replaces_with_less(spark, tmp_path):
+    """A mended bad row, a mended bad file and an entity that is no longer delivered leave nothing behind."""
+    drop, wh = tmp_path / "drop", str(tmp_path / "wh")
+
+    def run():
+        return monthly.run_month(spark, wh, str(drop), 1, as_of())
+
+    def error_types(run):
+        return sorted(r.error_type for r in run.control("etl_error", 1).collect())
+
+    write(drop, "customer_20260131.csv", CUSTOMER_HEADER, "CUST000001,2025-12-01,Pune,Paid", "CUST000002,no date,Pune,Paid")
+    write(drop, "delivery_partner_20260131.csv", ",".join(ENTITIES["delivery_partner"].columns), "DP00001,2025-12-01,Asha,Pune,Bike,Full-Time,4.5,Y")
+    first = run()
+    assert error_types(first) and first.control("etl_batch").first().status == "PARTIAL"
+    assert first.typed("delivery_partner") is not None
+    write(drop, "customer_20260201.csv", "customer_id", "CUST000001")
+    assert error_types(run()) == ["FILE_VALIDATION_ERROR"]
+    (drop / "customer_20260201.csv").unlink()
+    (drop / "delivery_partner_20260131.csv").unlink()
+    write(drop, "customer_20260131.csv", CUSTOMER_HEADER, "CUST000001,2025-12-01,Pune,Paid", "CUST000002,2025-12-02,Pune,Paid")
+    last = run()
+    batch = last.control("etl_batch").first()
+    assert (batch.status, batch.error_records, batch.source_file_count) == ("SUCCESS", 0, 1)
+    assert error_types(last) == [] and last.raw("delivery_partner").isEmpty() and last.typed("delivery_partner") is None
+    assert last.typed("customer").count() == 2
+
+
+def test_monitoring_runs_on_what_a_batch_writes(two_months):
+    run = two_months[2]
+    wh = run.warehouse
+    batches, log, errors, found = (run.control(n) for n in ("etl_batch", "etl_log", "etl_error", "etl_warning"))
+    changes = run.control("dim_change_log")
+    raw = {s.label: wh.read(f"raw/{s.raw_table}") for s in ENTITIES.values()}
+    raw = {k: v for k, v in raw.items() if v is not None}
+    ods = {s.label: run.typed(e) for e, s in ENTITIES.items() if run.typed(e) is not None}
+    dwh = {"Order": wh.read("dwh/fact_order"), "Rating": wh.read("dwh/fact_rating")}
+    overview = monitoring.pipeline_overview(batches, as_of())
+    steps = monitoring.step_performance(log, batches)
+    error_view, warning_view = monitoring.error_view(errors, batches), monitoring.warning_view(found, batches)
+    layers = monitoring.layer_reconciliation(batches, raw, ods, dwh, errors, found)
+    views_made = [
+        overview, steps, error_view, warning_view, layers, monitoring.scd2_audit_view(changes, batches),
+        monitoring.batch_close(batches, errors), monitoring.batch_ledger(raw["Order"], errors),
+        monitoring.close_stale_steps(log, "LOAD_ODS_ORDER", as_of()), monitoring.error_rows(errors), monitoring.warning_rows(found),
+        monitoring.batch_metrics(batches, wh.read("dwh/fact_order"), run.dimension("dim_customer"), changes),
+        monitoring.active_batch(batches, raw["Order"]), monitoring.guardrails(raw["Order"], ods["Order"], log, as_of()),
+        audits.raw_vs_log({"order": run.raw("order")}, run.control("etl_log", 2)),
+        kpis.latest_batch(overview), kpis.row_totals(error_view, warning_view, changes, layers, steps), kpis.sums(overview, steps, layers),
+    ]
+    assert all(view.count() > 0 for view in views_made)
+    assert {r.batch_id for r in overview.collect()} == {1, 2} and steps.filter("log_id IS NULL").isEmpty()
+
+
 def test_bad_file_fails_the_batch(spark, tmp_path):
     write(tmp_path / "drop", "customer_20260131.csv", CUSTOMER_HEADER, "CUST000001,2025-12-01,Pune,Paid")
     write(tmp_path / "drop", "customer_20260201.csv", "customer_id", "CUST000001")

@@ -17,12 +17,11 @@ def lit(day):
     return F.lit(day).cast("date")
 
 
-@pytest.mark.parametrize("source_rows", [None, 5])
-def test_upsert_actions(spark, source_rows):
+def test_upsert_actions(spark):
     schema = "id string, v int, batch_id long"
     target = spark.createDataFrame([("a", 1, 1), ("b", None, 1), ("c", 3, 1), ("d", 4, 1)], schema)
     source = spark.createDataFrame([("a", 1, 2), ("b", 2, 2), ("c", None, 2), ("e", 5, 2)], schema)
-    merged = upsert.upsert(target, source, ["id"], ["v"], source_rows=source_rows)
+    merged = upsert.upsert(target, source, ["id"], ["v"])
     got = {(r.id, r.v, r.batch_id, r.merge_action) for r in merged.collect()}
     assert got == {
         ("a", 1, 1, "UNCHANGED"), ("b", 2, 2, "UPDATE"), ("c", None, 2, "UPDATE"), ("d", 4, 1, "KEEP"),
