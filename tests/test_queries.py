@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from strataflow.plans import catalog
 from tests.check_queries import compare, connect
 
 FOLDER = "/root/testdata/sf0.001"
@@ -13,14 +14,14 @@ def duck():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(catalog.QUERIES))
 def test_query_matches_oracle(spark, duck, name):
-    ok, note, _ = compare(spark, duck, FOLDER, name, entry.oracle_sql().get(name))
+    ok, note, _ = compare(spark, duck, FOLDER, name, catalog.ORACLES.get(name))
     assert ok is not False, note
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.ORACLES)
 
 
 def test_flagship(spark):
