@@ -82,10 +82,11 @@ def sent(tokens: np.ndarray, frequent: np.ndarray, counts: np.ndarray) -> np.nda
     return np.concatenate(out)
 
 
-def bit_sketch(tokens: np.ndarray) -> bytes:
-    """Token parity per bit; a power of two of at least four times as many bits as tokens, 128 at least. Low token bits
-    name the bit, so a larger sketch folds to a smaller one by XOR of its halves."""
-    n_bits = max(128, 1 << (4 * len(tokens) - 1).bit_length())
+def bit_sketch(tokens: np.ndarray, bits_each: int = 1) -> bytes:
+    """Token parity per bit; a power of two of at least `bits_each` bits a token, 1024 at least. With one bit each, unlike
+    sets differ in about half of the bits while similar ones differ in at most 2/7 of the tokens. Low token bits name
+    the bit, so a larger sketch folds to a smaller one by XOR of its halves."""
+    n_bits = max(1024, 1 << (bits_each * len(tokens) - 1).bit_length())
     parity = np.bincount((tokens & U64(n_bits - 1)).astype(np.int64), minlength=n_bits) & 1
     return np.packbits(parity.astype(np.uint8)).tobytes()
 
@@ -269,33 +270,50 @@ def _linked(batches):
         yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(keep, pa.bool_())) for i in (0, 1)], names=["u", "v"])
 
 
-def _near(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs that size and bit sketches allow."""
-    u = nodes.select(F.col("rep").alias("u"), F.col("n").alias("n_u"), F.col("sketch").alias("s_u"))
-    v = nodes.select(F.col("rep").alias("v"), F.col("n").alias("n_v"), F.col("sketch").alias("s_v"))
-    sized = pairs.join(u, "u").join(v, "v").where("4 * least(n_u, n_v) >= 3 * greatest(n_u, n_v)")
-    return stash(sized.select("u", "v", "n_u", "n_v", "s_u", "s_v").mapInArrow(_far, "u long, v long"), "near")
-
-
-def _sets_of(ends: DataFrame, nodes: DataFrame, texts: DataFrame, size: int) -> DataFrame:
-    """(doc, tokens) of some representatives: the texts are read once more, and only those that a bit table of the wanted
-    keys may hold are cut into shingles."""
+def _sets_of(near: DataFrame, nodes: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """(doc, tokens) of the representatives in some pairs: the texts are read once more, and only those that a bit table of
+    the wanted keys may hold are cut into shingles."""
+    ends = near.select(F.col("u").alias("doc")).unionByName(near.select(F.col("v").alias("doc"))).distinct()
+    ends = stash(ends.join(nodes.select(F.col("rep").alias("doc"), "one"), "doc"), "ends")
     n_bits = bits.bits_for(ends.count(), 16, 1 << 26)
-    table = ends.sparkSession.sparkContext.broadcast(bits.fill(ends, n_bits, PROBES, 1)[0])
+    table = near.sparkSession.sparkContext.broadcast(bits.fill(ends.select("doc"), n_bits, PROBES, 1)[0])
 
     def read(batches):
         yield from _token_sets(size, table.value)(batches)
 
-    sets = texts.mapInArrow(read, "doc long, one long, tokens binary")
-    sets = sets.join(nodes.select(F.col("rep").alias("doc"), "one"), ["doc", "one"]).dropDuplicates(["doc"])
-    return stash(sets.select("doc", "tokens"), "sets")
+    sets = texts.mapInArrow(read, "doc long, one long, tokens binary").withColumnRenamed("one", "name")
+    # A row that repeats its key and set would only repeat its pairs.
+    return stash(sets.join(ends, "doc").where("name = one").select("doc", "tokens"), "sets")
+
+
+def _fine(batches):
+    """(doc, n, sketch) of token sets, with eight bits a token or more."""
+    for batch in batches:
+        sets = [np.frombuffer(t.as_buffer(), dtype=U64) for t in batch.column(1)]
+        sketches = [bit_sketch(t, 8) for t in sets]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(t) for t in sets], pa.int64()), pa.array(sketches, pa.binary())], names=["doc", "n", "sketch"])
 
 
-def _verified(near: DataFrame, sets: DataFrame) -> DataFrame:
-    left = sets.select(F.col("doc").alias("u"), F.col("tokens").alias("t_u"))
-    right = sets.select(F.col("doc").alias("v"), F.col("tokens").alias("t_v"))
-    both = near.join(left, "u").join(right, "v").select("u", "v", "t_u", "t_v")
-    return stash(both.mapInArrow(_linked, "u long, v long"), "links")
+def _ends(pairs: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
+    """Pairs with columns of either end: n_u, n_v, ..."""
+    for x in "uv":
+        pairs = pairs.join(table.select(F.col("doc").alias(x), *[F.col(c).alias(f"{c}_{x}") for c in columns]), x)
+    return pairs.select("u", "v", *[f"{c}_{x}" for c in columns for x in "uv"])
+
+
+def _near(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs that size, then bit sketches, allow."""
+    table = nodes.select(F.col("rep").alias("doc"), "n", "sketch")
+    sized = stash(_ends(pairs, table, "n").where("4 * least(n_u, n_v) >= 3 * greatest(n_u, n_v)").select("u", "v"), "sized")
+    return stash(_ends(sized, table, "n", "sketch").mapInArrow(_far, "u long, v long"), "near")
+
+
+def _verified(near: DataFrame, nodes: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """The pairs that are links: those that finer sketches of their sets allow too, compared in full."""
+    sets = _sets_of(near, nodes, texts, size)
+    fine = sets.mapInArrow(_fine, "doc long, n long, sketch binary")
+    near = stash(_ends(near, fine, "n", "sketch").mapInArrow(_far, "u long, v long"), "near")
+    return stash(_ends(near, sets, "tokens").mapInArrow(_linked, "u long, v long"), "links")
 
 
 def _central_pairs(members: DataFrame) -> DataFrame:
@@ -316,26 +334,65 @@ def _mixed(members: DataFrame, links: DataFrame) -> DataFrame:
     return now.join(several, "cell").select("cell", "doc", "component", F.col("main.component").alias("main"))
 
 
-def _allowed(table: pa.Table) -> pa.Table:
+def _compare(at: int, docs, parts, outside, block, n, sketches) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of unlike components in a block that size and bit sketches allow: the members outside the main component
     against all others."""
-    docs, parts = np.array(table["doc"].to_pylist()), np.array(table["component"].to_pylist())
-    outside, block = parts != np.array(table["main"].to_pylist()), np.array(table["block"].to_pylist())
-    at, n = table["at"][0].as_py(), np.array(table["n"].to_pylist())
-    raw = [s.as_buffer() for s in table["sketch"]]
-    width = min(s.size for s in raw)
-    sketches = np.stack([np.bitwise_xor.reduce(np.frombuffer(s, dtype=np.uint8).reshape(-1, width), axis=0) for s in raw]).view(np.uint64)
-    u, v = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    u, v = [], []
     for i in np.flatnonzero(outside).tolist():
         fits = (parts != parts[i]) & (4 * np.minimum(n, n[i]) >= 3 * np.maximum(n, n[i]))
         # Two members outside the main component meet in every block; the block of the lower one compares them.
         lower = (block < block[i]) | ((block == block[i]) & (docs < docs[i]))
         fits &= ~outside | (~lower & (block[i] == at))
         j = np.flatnonzero(fits)
-        j = j[np.bitwise_count(sketches[j] ^ sketches[i]).sum(axis=1, dtype=np.int64) <= (n[j] + n[i]) // 7]
-        u.append(np.maximum(docs[j], docs[i]))
-        v.append(np.minimum(docs[j], docs[i]))
-    return pa.table({"u": pa.array(np.concatenate(u)), "v": pa.array(np.concatenate(v))})
+        if len(j):
+            j = j[np.bitwise_count(sketches[j] ^ sketches[i]).sum(axis=1, dtype=np.int64) <= (n[j] + n[i]) // 7]
+            u.append(np.maximum(docs[j], docs[i]))
+            v.append(np.minimum(docs[j], docs[i]))
+    if not u:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate(u), np.concatenate(v)
+
+
+def _allowed(batches):
+    """`_compare` for every block of rows that are sorted by cell and block."""
+    held: pa.Table | None = None
+
+    def work(table: pa.Table):
+        columns = {c: table[c].to_numpy() for c in ("cell", "at", "doc", "component", "main", "block", "n")}
+        cell, at = columns["cell"], columns["at"]
+        ends = np.flatnonzero(np.concatenate(((cell[1:] != cell[:-1]) | (at[1:] != at[:-1]), [True]))) + 1
+        sketch = table["sketch"].combine_chunks().cast(pa.large_binary())
+        offsets = np.frombuffer(sketch.buffers()[1], dtype=np.int64)[sketch.offset : sketch.offset + len(sketch) + 1]
+        data, width = np.frombuffer(sketch.buffers()[2], dtype=np.uint8), np.diff(offsets)
+        found, start = [], 0
+        outside = columns["component"] != columns["main"]
+        for end in ends.tolist():
+            part = slice(start, end)
+            least = int(width[part].min())
+            if width[part].max() == least:
+                made = data[offsets[start] : offsets[end]].reshape(-1, least)
+            else:
+                made = np.stack([np.bitwise_xor.reduce(data[offsets[i] : offsets[i + 1]].reshape(-1, least), axis=0) for i in range(start, end)])
+            found.append(_compare(at[start], *(columns[c][part] for c in ("doc", "component")), outside[part], *(columns[c][part] for c in ("block", "n")), made.view(np.uint64)))
+            start = end
+        u, v = (np.concatenate([f[k] for f in found]) for k in (0, 1))
+        pairs = np.unique(np.stack((u, v), axis=1), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["u", "v"])
+
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = table if held is None else pa.concat_tables([held, table])
+        if not len(table):
+            continue
+        cell, at = table["cell"].to_numpy(), table["at"].to_numpy()
+        # The last block may go on in the next batch.
+        last = np.flatnonzero((cell != cell[-1]) | (at != at[-1]))
+        whole = int(last[-1]) + 1 if len(last) else 0
+        if whole:
+            yield work(table.slice(0, whole))
+        held = table.slice(whole)
+    if held is not None and len(held):
+        yield work(held)
 
 
 def _block_pairs(mixed: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -347,7 +404,8 @@ def _block_pairs(mixed: DataFrame, nodes: DataFrame) -> DataFrame:
     to = F.when(F.col("component") == F.col("main"), F.array("block")).otherwise(everywhere)
     dealt = placed.select("cell", "doc", "component", "main", "block", F.explode(to).alias("at"))
     dealt = dealt.join(nodes.select(F.col("rep").alias("doc"), "n", "sketch"), "doc")
-    return stash(dealt.groupBy("cell", "at").applyInArrow(_allowed, "u long, v long").distinct(), "near")
+    dealt = dealt.repartition("cell", "at").sortWithinPartitions("cell", "at")
+    return stash(dealt.mapInArrow(_allowed, "u long, v long").distinct(), "near")
 
 
 def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE) -> DataFrame:
@@ -391,13 +449,12 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     links = to_rep.groupBy("doc").agg(F.min("rep").alias("v"), F.collect_set("rep").alias("reps")).where("size(reps) > 1")
     links = links.select(F.explode("reps").alias("u"), "v").where("u != v")
     asked = pairs.unionByName(_central_pairs(members)).distinct()
-    near = _near(asked, nodes)
-    ends = near.select(F.col("u").alias("rep")).unionByName(near.select(F.col("v").alias("rep")))
-    sets = _sets_of(ends.unionByName(members.select(F.col("doc").alias("rep"))).distinct(), nodes, texts, size)
-    links = links.unionByName(_verified(near, sets))
+    links = links.unionByName(_verified(_near(asked, nodes), nodes, texts, size))
     mixed = stash(_mixed(members, links), "mixed")
     if not mixed.isEmpty():
-        links = links.unionByName(_verified(_block_pairs(mixed, nodes), sets))
+        near = _block_pairs(mixed, nodes)
+        if not near.isEmpty():
+            links = links.unionByName(_verified(near, nodes, texts, size))
 
     found = components(links).toDF("rep", "component")
     labels = groups.join(found, "rep", "left").select("one", "two", F.coalesce("component", "rep").alias("component"))
