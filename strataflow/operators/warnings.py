@@ -19,8 +19,11 @@ WARNING_TYPES = {
 
 
 def _mark(df: DataFrame, parent: DataFrame, column: str) -> DataFrame:
+    """The parent's id beside the row, NULL where there is none. Rows without an id join on a value of their own that no
+    parent has, so they spread over all tasks."""
     side = parent.select(F.col(column).alias(f"{column}_found"))
-    return df.join(side, F.col(column) == F.col(f"{column}_found"), "left")
+    own = F.coalesce(F.col(column), F.concat(F.lit("\0"), F.col("order_id")))
+    return df.join(side, own == F.col(f"{column}_found"), "left")
 
 
 def _warning(when: Column, entity: str, entity_id: str, kind: str, message: Column) -> Column:

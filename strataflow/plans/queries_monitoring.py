@@ -10,6 +10,7 @@ from strataflow.operators import audits, dimensions, kpis, lookups, maintenance,
 from strataflow.plans import queries_quality as Q
 from strataflow.plans import queries_star as S
 from strataflow.plans.registry import Source, fragment, query
+from strataflow.spec import LOAD_ORDER
 
 AS_OF = "2001-08-01 12:30:15"
 NOW = f"TIMESTAMP '{AS_OF}'"
@@ -206,13 +207,13 @@ def scd2_audit(src: Source) -> DataFrame:
     "m7_step_close",
     "SELECT *, CASE WHEN rows_processed > 0 AND rows_inserted = 0 THEN 'FAILED' WHEN rows_rejected > 0 THEN 'PARTIAL' ELSE 'SUCCESS' END AS status FROM ("
     "SELECT step_name, rows_processed, COALESCE(v, 0) AS rows_inserted, greatest(rows_processed - COALESCE(v, 0), 0) AS rows_rejected FROM ("
-    + " UNION ALL ".join(f"SELECT 'LOAD_ODS_{e.upper()}' AS step_name, (SELECT count(*) FROM raw_{e}) AS rows_processed, (SELECT count(*) FROM clean_{e}) AS v" for e in ("customer", "order", "order_item", "rating"))
+    + " UNION ALL ".join(f"SELECT 'LOAD_ODS_{e.upper()}' AS step_name, (SELECT count(*) FROM raw_{e}) AS rows_processed, (SELECT count(*) FROM clean_{e}) AS v" for e in LOAD_ORDER)
     + "))",
 )
 def step_close(src: Source) -> DataFrame:
-    """Steps of four entities, closed from the raw and the clean rows."""
+    """Steps of all entities, closed from the raw and the clean rows."""
     raw = valid = None
-    for entity in ("customer", "order", "order_item", "rating"):
+    for entity in LOAD_ORDER:
         step = F.lit(f"LOAD_ODS_{entity.upper()}").alias("step_name")
         r, v = src(f"raw_{entity}").select(step), Q.cleaned(src, entity).select(step)
         raw, valid = (r, v) if raw is None else (raw.unionByName(r), valid.unionByName(v))
@@ -600,9 +601,6 @@ def added_columns(src: Source) -> DataFrame:
     )
 
 
-_BALANCED = ("customer", "order", "rating")
-
-
 @query(
     "t7_row_balance",
     " UNION ALL ".join(
@@ -610,12 +608,12 @@ _BALANCED = ("customer", "order", "rating")
         f"WITH q AS (SELECT (SELECT count(*) FROM raw_{e}) AS r, (SELECT count(*) FROM clean_{e}) AS v, (SELECT count(*) FROM (SELECT DISTINCT batch_id, source_file_name, source_row_number FROM err_{e})) AS b) "
         f"SELECT 'Row count reconciliation' AS test_name, '{e}' AS entity_name, 'RAW = ' || r AS expected_value, 'Valid = ' || v || ' | Rejected = ' || (r - v) AS actual_value, r >= v AS ok FROM q "
         f"UNION ALL SELECT 'Audit log completeness', '{e}', (r - v) || ' rejected rows', b || ' errored rows', r - v = b FROM q)"
-        for e in _BALANCED
+        for e in LOAD_ORDER
     ),
 )
 def row_balance(src: Source) -> DataFrame:
     return audits.union(
-        audits.row_balance(e, src(f"raw_{e}"), Q.cleaned(src, e), Q.errors_of(src, e)) for e in _BALANCED
+        audits.row_balance(e, src(f"raw_{e}"), Q.cleaned(src, e), Q.errors_of(src, e)) for e in LOAD_ORDER
     )
 
 
@@ -637,7 +635,11 @@ def typed_keys(src: Source) -> DataFrame:
     return audits.union(unique + filled)
 
 
-_AUDITED = {"raw_customer": ["customer_id", "city"], "ods_customer": ["customer_id", "city"], "ods_restaurant": ["restaurant_id", "city"]}
+_AUDITED = {
+    "raw_customer": ["customer_id", "city"], "ods_customer": ["customer_id", "city"], "ods_restaurant": ["restaurant_id", "city"],
+    "ods_delivery_partner": ["delivery_partner_id", "city"], "ods_menu_item": ["menu_item_id", "item_name"], "ods_order": ["order_id", "customer_id"],
+    "lines": ["order_item_id", "order_id"], "ods_delivery_performance": ["delivery_id", "order_id"], "ods_rating": ["rating_id", "order_id"],
+}
 
 
 @query(
@@ -683,24 +685,37 @@ def unknown_members(src: Source) -> DataFrame:
 _FACT_KEYS = ["order_date_key", "customer_key", "restaurant_key", "delivery_partner_key"]
 
 
+_ITEM_KEYS = ["order_date_key", "customer_key", "restaurant_key", "menu_item_key"]
+_KEYED_BY = {"customer_key": "dim_customer", "restaurant_key": "dim_restaurant", "delivery_partner_key": "dim_delivery_partner", "menu_item_key": "dim_menu_item"}
+_KEYED_FACTS = {"fact_order": ("fact_order_all", _FACT_KEYS), "fact_order_item": ("fact_item_all", _ITEM_KEYS)}
+
+
+def _orphans_sql(fact: str, table: str, key: str) -> str:
+    if key == "order_date_key":
+        return _none("Fact Logical Integrity (No Orphans)", f"{fact} -> dim_date", "orphan records", f"SELECT count(*) FROM {table} WHERE {key} <> -1 AND {key} NOT BETWEEN 19940101 AND 20010630")
+    dimension = _KEYED_BY[key]
+    return _none("Fact Logical Integrity (No Orphans)", f"{fact} -> {dimension}", "orphan records", f"SELECT count(*) FROM {table} WHERE {key} NOT IN (SELECT {key} FROM {dimension})")
+
+
 @query(
     "t11_fact_keys",
     " UNION ALL ".join(
-        [
-            _none("Fact Logical Integrity (No Orphans)", f"fact_order -> {d}", "orphan records", f"SELECT count(*) FROM fact_order_all WHERE {k} NOT IN (SELECT {k} FROM {d})")
-            for d, k in (("dim_customer", "customer_key"), ("dim_restaurant", "restaurant_key"), ("dim_delivery_partner", "delivery_partner_key"))
-        ]
-        + [_none("Fact Surrogate Keys Nullability", "fact_order", "null FKs", "SELECT count(*) FROM fact_order_all WHERE " + " OR ".join(f"{k} IS NULL" for k in _FACT_KEYS))]
+        [_orphans_sql(f, t, k) for f, (t, keys) in _KEYED_FACTS.items() for k in keys]
+        + [_none("Fact Surrogate Keys Nullability", f, "null FKs", f"SELECT count(*) FROM {t} WHERE " + " OR ".join(f"{k} IS NULL" for k in keys)) for f, (t, keys) in _KEYED_FACTS.items()]
     ),
 )
 def fact_keys(src: Source) -> DataFrame:
-    """The mapped dimensions lack the unknown member, so orders that point to it show up as orphans."""
-    fact = S.orders_fact(src)
-    parts = [
-        audits.no_orphans("fact_order", fact, d, src(d), k)
-        for d, k in (("dim_customer", "customer_key"), ("dim_restaurant", "restaurant_key"), ("dim_delivery_partner", "delivery_partner_key"))
-    ]
-    return audits.union([*parts, audits.no_null_keys("fact_order", fact, _FACT_KEYS)])
+    """The mapped dimensions lack the unknown member, so facts that point to it show up as orphans."""
+    made = {"fact_order": S.orders_fact(src), "fact_order_item": S.items_fact(src)}
+    parts = []
+    for fact, (_, keys) in _KEYED_FACTS.items():
+        for key in keys:
+            if key == "order_date_key":
+                parts.append(audits.no_orphans(fact, made[fact], "dim_date", S.cal(src), "date_key", key))
+            else:
+                parts.append(audits.no_orphans(fact, made[fact], _KEYED_BY[key], src(_KEYED_BY[key]), key))
+        parts.append(audits.no_null_keys(fact, made[fact], keys))
+    return audits.union(parts)
 
 
 _MATCHED = {
