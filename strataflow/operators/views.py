@@ -104,6 +104,22 @@ def calendar_view(calendar: DataFrame) -> DataFrame:
     return calendar
 
 
+def time_view(clock: DataFrame) -> DataFrame:
+    return clock
+
+
+def rating_type_view(ratings: DataFrame) -> DataFrame:
+    return ratings.select("rating_type_id", "rating_type", "min_score", "max_score")
+
+
+def sentiment_type_view(sentiments: DataFrame) -> DataFrame:
+    return sentiments.select(F.col("sentiment_type_id").alias("sentiment_id"), F.col("sentiment_type").alias("sentiment"), "min_score", "max_score")
+
+
+def life_cycle_view(cycles: DataFrame) -> DataFrame:
+    return cycles.select("lc_id", "life_cycle", "description")
+
+
 def aspect_view(aspects: DataFrame) -> DataFrame:
     return aspects.select("aspect_id", F.col("aspect_name").alias("aspect"), "aspect_description")
 

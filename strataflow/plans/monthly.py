@@ -95,9 +95,14 @@ class BatchRun:
             for entity in LOAD_ORDER:
                 headers = landing.headers_of(checked, heads, entity)
                 if headers:
-                    staged[entity] = landing.land_entity(
-                        self.spark, ENTITIES[entity], headers, self.batch_id, self.as_of, self.multi_line
-                    )
+                    try:
+                        staged[entity] = landing.land_entity(
+                            self.spark, ENTITIES[entity], headers, self.batch_id, self.as_of, self.multi_line
+                        )
+                    except Exception as exc:
+                        self._load_failed(entity, landing.STAGING_ERROR, exc)
+                        self._close("FAILED", 0, 0)
+                        raise
             self.load_raw(staged)
         return checked
 
@@ -117,11 +122,16 @@ class BatchRun:
                 self.note("STG_TO_RAW", RAW_SUFFIX + entity.upper(), loaded, loaded, "SUCCESS")
             except Exception as exc:  # noqa: BLE001 - counted, reported below
                 failed[entity] = exc
+                self._load_failed(entity, landing.RAW_ERROR, exc)
                 self.note("STG_TO_RAW", RAW_SUFFIX + entity.upper(), 0, 0, "FAILED", str(exc))
         if failed:
             self._close("FAILED", 0, 0)
             raise RawLoadError(f"raw load failed for {sorted(failed)}") from next(iter(failed.values()))
 
+    def _load_failed(self, entity: str, kind: str, exc: Exception) -> None:
+        error = landing.load_error(self.spark, self.batch_id, entity, kind, str(exc), self.as_of)
+        self._write_errors(f"load_{entity}", error)
+
     def raw(self, entity: str) -> DataFrame | None:
         table = self.warehouse.read(f"raw/{ENTITIES[entity].raw_table}")
         return None if table is None else table.filter(F.col("batch_id") == self.batch_id)
@@ -346,9 +356,9 @@ class BatchRun:
         self._close("PARTIAL" if bad else "SUCCESS", total, min(bad, total))
 
     def control(self, name: str, batch_id: int | None = None) -> DataFrame:
-        """A control table, of one batch or all."""
+        """A control table, of one batch or all; None if no batch has written it."""
         table = self.warehouse.read(f"control/{name}")
-        return table if batch_id is None else table.filter(F.col("batch_id") == batch_id)
+        return table if table is None or batch_id is None else table.filter(F.col("batch_id") == batch_id)
 
 
 def run_month(
@@ -369,7 +379,16 @@ def run_month(
 def verify_month(run: BatchRun) -> DataFrame:
     """The audits of one batch over the stored tables."""
     wh = run.warehouse
-    results = []
+    errors, warned = run.control("etl_error", run.batch_id), run.control("etl_warning", run.batch_id)
+    results = [audits.batch_status(run.control("etl_batch", run.batch_id))]
+    if errors is not None:
+        results.append(audits.audit_columns("etl_error", errors, ["batch_id", "table_name", "error_timestamp"]))
+    if warned is not None:
+        results.append(audits.warnings_complete(warned))
+    loaded = {e: run.raw(e) for e in LOAD_ORDER}
+    loaded = {e: rows for e, rows in loaded.items() if rows is not None and not rows.isEmpty()}
+    if loaded:
+        results.append(audits.raw_vs_log(loaded, run.control("etl_log", run.batch_id)))
     for entity in LOAD_ORDER:
         raw, typed = run.raw(entity), run.typed(entity)
         if raw is None or typed is None or raw.isEmpty():
@@ -378,6 +397,7 @@ def verify_month(run: BatchRun) -> DataFrame:
         results += [
             audits.lineage_unique(entity, raw),
             audits.metadata_complete(entity, raw),
+            audits.trimmed(ENTITIES[entity].ods_table, typed, [key]),
             audits.key_unique(ENTITIES[entity].ods_table, typed, [key]),
             audits.key_present(ENTITIES[entity].ods_table, typed, key, "Business Key Integrity"),
         ]
@@ -399,4 +419,10 @@ def verify_month(run: BatchRun) -> DataFrame:
         for name, (_, _) in dimensions.SOURCES.items():
             spec = scd2.DIMENSIONS[name]
             results.append(audits.no_orphans("fact_order", orders, name, run.dimension(name), spec.key))
+        if run.typed("order") is not None:
+            results.append(audits.layer_match("order", run.typed("order"), orders))
+    for entity, fact in (("order_item", "fact_order_item"), ("delivery_performance", "fact_delivery_performance"), ("rating", "fact_rating")):
+        typed, stored = run.typed(entity), wh.read(f"dwh/{fact}")
+        if typed is not None and stored is not None:
+            results.append(audits.layer_match(entity, typed, stored))
     return audits.union(results)

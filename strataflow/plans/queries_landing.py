@@ -299,9 +299,42 @@ def seeded_city(src: Source) -> DataFrame:
     return lookups.seed_master(old, src("master_city"))
 
 
-@query("a14_seed_masters", "SELECT code, name, is_active, merge_action FROM seeded_city")
+OTHER_MASTERS = tuple(n for n in M.MASTERS if n != "city")
+
+
+def _old_master(name: str) -> str:
+    """An earlier state of a master: some entries absent, some spelt otherwise."""
+    return f"SELECT code, CASE WHEN length(name) % 2 = 0 THEN lower(name) ELSE name END AS name, is_active FROM master_{name} WHERE length(name) % 3 <> 0"
+
+
+@query(
+    "a14_seed_masters",
+    "SELECT 'city' AS master, code, name, is_active, merge_action FROM seeded_city"
+    + "".join(
+        f" UNION ALL SELECT '{n}', s.code, s.name, s.is_active, CASE WHEN t.code IS NULL THEN 'INSERT' WHEN t.name <> s.name THEN 'UPDATE' ELSE 'UNCHANGED' END "
+        f"FROM master_{n} s LEFT JOIN ({_old_master(n)}) t ON t.code = s.code"
+        for n in OTHER_MASTERS
+    ),
+)
 def seed_masters(src: Source) -> DataFrame:
-    return seeded_city(src)
+    out = seeded_city(src).select(F.lit("city").alias("master"), "code", "name", "is_active", "merge_action")
+    for name in OTHER_MASTERS:
+        master = src(f"master_{name}")
+        spelt = F.when(F.length("name") % 2 == 0, F.lower("name")).otherwise(F.col("name"))
+        old = master.filter(F.length("name") % 3 != 0).withColumn("name", spelt)
+        out = out.unionByName(lookups.seed_master(old, master).select(F.lit(name).alias("master"), "code", "name", "is_active", "merge_action"))
+    return out
+
+
+@query(
+    "a14_seed_cache",
+    "SELECT review_hash, aspect_id, sentiment_type_id, matched_phrase, ai_model, CASE WHEN sentiment_type_id = 1 THEN 'UPDATE' ELSE 'INSERT' END AS merge_action FROM doc_cache",
+)
+def seed_cache(src: Source) -> DataFrame:
+    """Cache seeds over a cache that holds a part of them from another model."""
+    seeds = S.doc_cache(src)
+    old = seeds.filter("sentiment_type_id = 1").withColumn("ai_model", F.lit("another model"))
+    return lookups.seed_cache(old, seeds).select("review_hash", "aspect_id", "sentiment_type_id", "matched_phrase", "ai_model", "merge_action")
 
 
 @query(

@@ -944,6 +944,64 @@ def lookup_views(src: Source) -> DataFrame:
     )
 
 
+def _counted(facts_made: DataFrame, view: DataFrame, key: str, view_key: str, *shown: str) -> DataFrame:
+    """Facts per row of a lookup view; rows are counted by key before they meet the view."""
+    counted = facts_made.groupBy(F.col(key).alias("fact_key")).agg(F.count(F.lit(1)).alias("facts"))
+    return counted.join(view, F.col("fact_key") == F.col(view_key)).select(*shown, "facts")
+
+
+@query(
+    "v5_time_view",
+    "SELECT hour, hour_12, am_pm, count(*) AS orders FROM (SELECT CAST(order_time_key // 100 AS INTEGER) AS hour, "
+    "CAST(CASE WHEN (order_time_key // 100) % 12 = 0 THEN 12 ELSE (order_time_key // 100) % 12 END AS INTEGER) AS hour_12, "
+    "CASE WHEN order_time_key >= 1200 THEN 'PM' ELSE 'AM' END AS am_pm FROM fact_order_all WHERE order_time_key <> -1) GROUP BY ALL",
+)
+def time_view(src: Source) -> DataFrame:
+    """Orders by the hours of the time view."""
+    clock = views.time_view(calendar.dim_time(src.spark)).filter("time_key <> -1")
+    per_minute = _counted(orders_fact(src), clock, "order_time_key", "time_key", "hour", "hour_12", "am_pm")
+    return per_minute.groupBy("hour", "hour_12", "am_pm").agg(F.sum("facts").alias("orders"))
+
+
+@query(
+    "v5_rating_type_view",
+    "SELECT rating_type_id, CASE rating_type_id WHEN 0 THEN 'Unknown' WHEN 1 THEN 'Excellent' WHEN 2 THEN 'Good' WHEN 3 THEN 'Average' "
+    "WHEN 4 THEN 'Poor' WHEN 5 THEN 'Very Bad' END AS rating_type, count(*) AS facts FROM fact_rating_all GROUP BY 1",
+)
+def rating_type_view(src: Source) -> DataFrame:
+    view = views.rating_type_view(lookups.rating_types(src.spark))
+    return _counted(ratings_fact(src), view, "rating_type_id", "rating_type_id", "rating_type_id", "rating_type")
+
+
+@query(
+    "v5_sentiment_view",
+    "SELECT sentiment_type_id AS sentiment_id, CASE sentiment_type_id WHEN 0 THEN 'Unknown' WHEN 1 THEN 'Positive' WHEN 2 THEN 'Neutral' "
+    "WHEN 3 THEN 'Negative' END AS sentiment, count(*) AS facts FROM fact_rating_all GROUP BY 1",
+)
+def sentiment_view(src: Source) -> DataFrame:
+    view = views.sentiment_type_view(lookups.sentiment_types(src.spark))
+    return _counted(ratings_fact(src), view, "sentiment_type_id", "sentiment_id", "sentiment_id", "sentiment")
+
+
+@query(
+    "v5_life_cycle_view",
+    "SELECT driver_lc_id AS lc_id, CASE driver_lc_id WHEN 1 THEN 'New' WHEN 2 THEN 'Retained' WHEN 3 THEN 'Reactivated' END AS life_cycle, "
+    "count(*) AS facts FROM fact_order_all WHERE driver_lc_id IS NOT NULL GROUP BY 1",
+)
+def life_cycle_view(src: Source) -> DataFrame:
+    view = views.life_cycle_view(lookups.life_cycles(src.spark))
+    return _counted(orders_fact(src), view, "driver_lc_id", "lc_id", "lc_id", "life_cycle")
+
+
+@query(
+    "v5_aspect_view",
+    "SELECT c.aspect_id, CASE c.aspect_id WHEN 0 THEN 'Unknown' WHEN 1 THEN 'Food Quality' END AS aspect, count(*) AS facts "
+    "FROM doc_reviews r JOIN doc_cache c ON c.review_hash = sha256(lower(trim(r.review_text))) GROUP BY 1",
+)
+def aspect_view(src: Source) -> DataFrame:
+    return _counted(fact_review_aspect(src), views.aspect_view(lookups.aspects(src.spark)), "aspect_id", "aspect_id", "aspect_id", "aspect")
+
+
 def _key_date(c: str) -> str:
     return f"CASE WHEN {c} <> -1 THEN CAST(CAST(strptime(CAST({c} AS VARCHAR), '%Y%m%d') AS DATE) AS VARCHAR) END"
 

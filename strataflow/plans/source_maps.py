@@ -409,8 +409,8 @@ MASTERS: dict[str, list[Part]] = {
     "category": [Part("part", {"code": "substring(p_type, 1, 3)", "name": "p_type", "is_active": "p_type <> 'PROMO'"})],
 }
 
-# Control tables. Batches are months of orders; steps are single orders, errors returned lines, warnings
-# accepted lines, dimension changes single events.
+# Control tables. Batches are months of orders; steps are single orders, errors returned lines, warnings all
+# other lines, dimension changes single events.
 CONTROL: dict[str, list[Part]] = {
     "etl_log": [
         Part(
@@ -469,7 +469,7 @@ CONTROL: dict[str, list[Part]] = {
                 "warning_message": "CASE WHEN l_quantity = 1 THEN NULL ELSE 'line ' || " + text("l_linenumber") + " END",
                 "warning_timestamp": "l_shipdate",
             },
-            "l_returnflag = 'A'",
+            "l_returnflag <> 'R'",
         )
     ],
     "dim_change_log": [

@@ -138,6 +138,17 @@ def file_errors(checked: DataFrame, batch_id: int, at: Column | None = None) ->
     )
 
 
+def load_error(spark: SparkSession, batch_id: int, entity: str, kind: str, message: str, at: Column) -> DataFrame:
+    """The error row of an entity whose staging or raw load failed."""
+    nothing = F.lit(None).cast("string")
+    return spark.range(1).select(
+        F.lit(batch_id).cast("long").alias("batch_id"), nothing.alias("source_file_name"),
+        F.lit(None).cast("long").alias("source_row_number"), F.lit(entity).alias("table_name"), nothing.alias("gate_id"),
+        nothing.alias("column_name"), F.lit(kind).alias("error_type"), F.lit(message).alias("error_message"),
+        nothing.alias("raw_value"), at.alias("error_timestamp"),
+    )
+
+
 def month_folder(file_name: Column) -> Column:
     """`YYYY_MM` from the date in the file name, else `general`."""
     stamp = F.regexp_extract(file_name, r"([0-9]{4})([0-9]{2})[0-9]{2}", 0)

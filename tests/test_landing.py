@@ -295,6 +295,8 @@ def test_raw_load_goes_on_after_a_failure(spark, tmp_path):
     with pytest.raises(monthly.RawLoadError, match="rating"):
         run.load_raw({"rating": bad, "customer": good})
     assert run.raw("customer").count() == 1
+    errors = run.control("etl_error", 1).collect()
+    assert [(e.table_name, e.error_type) for e in errors] == [("rating", "RAW_LOAD_ERROR")] and "broken" in errors[0].error_message
     assert {(e["step_name"], e["status"]) for e in run.log} == {("LOAD_RAW_RATING", "FAILED"), ("LOAD_RAW_CUSTOMER", "SUCCESS")}
     with pytest.raises(monthly.NoStagedRows):
         run.load_raw({"customer": good.limit(0)})
