@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from strataflow.llm import bits
 from strataflow.llm.components import components
 from strataflow.llm.shared import stash
-from strataflow.llm.text import SLICE_BYTES, U64, buffers, mix, shingles, slices, words
+from strataflow.llm.text import U64, buffers, mix, release, shingles, slices, words
 
 SHINGLE = 5
 #: Sizes of the first band end here; every next band is four times as wide.
@@ -146,12 +146,13 @@ def _summaries(size: int):
                     seen.add(one)
                     gathered.append(cells(tokens, band(len(tokens))))
                     held += len(tokens)
-                if held > 16 * SLICE_BYTES // 8:
+                if held > 2_000_000:
                     yield repeated()
                     gathered, held = [], 0
                     seen = set()
             yield rows(*out)
         yield repeated()
+        release()
 
     return run
 
@@ -252,6 +253,7 @@ def _token_sets(size: int, table: np.ndarray):
                     yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.binary())], names=["doc", "one", "tokens"])
                     rows = ([], [], [])
             yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.binary())], names=["doc", "one", "tokens"])
+        release()
 
     return run
 

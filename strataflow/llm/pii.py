@@ -17,10 +17,12 @@ import uuid
 from functools import lru_cache
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataflow.llm.shared import stash
+from strataflow.llm.text import release, rows_of
 
 KEY = b"strataflow surrogate key"
 ATTEMPTS = 20
@@ -262,12 +264,13 @@ def replaced(text: str, key: bytes, attempts: dict | None = None) -> tuple[str,
 def _occurrences(batches):
     for batch in batches:
         docs, kinds, values = [], [], []
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for doc, text in rows_of(batch.column(0), batch.column(1)):
             for kind, value in {e[:2] for e in entities(text or "")}:
                 docs.append(doc)
                 kinds.append(kind)
                 values.append(value)
         yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(kinds, pa.string()), pa.array(values, pa.string())], names=["doc", "kind", "entity"])
+    release()
 
 
 def attempts(distinct: DataFrame, key: bytes) -> DataFrame:
@@ -309,13 +312,16 @@ def with_surrogates(docs: DataFrame, key: str = "doc_id", text: str = "text", se
 
     @F.arrow_udf("struct<text: string, marks: array<struct<type: string, begin: int, end: int, surrogate: string>>>")
     def rewrite(texts: pa.Array, tried: pa.Array) -> pa.Array:
+        # Texts without entities, most of them, are passed on as they came.
         new, found = [], []
-        for old, attempt in zip(texts.to_pylist(), tried.to_pylist()):
+        for old, attempt in rows_of(texts, tried):
             done, spots = replaced(old, secret, dict(attempt) if attempt else None) if old is not None else (None, [])
-            new.append(done)
+            new.append(done if spots else None)
             found.append([{"type": k, "begin": b, "end": e, "surrogate": s} for k, b, e, s in spots])
         kind = pa.list_(pa.struct([("type", pa.string()), ("begin", pa.int32()), ("end", pa.int32()), ("surrogate", pa.string())]))
-        return pa.StructArray.from_arrays([pa.array(new, pa.string()), pa.array(found, kind)], names=["text", "marks"])
+        whole = pc.coalesce(pa.array(new, texts.type), texts)
+        release()
+        return pa.StructArray.from_arrays([whole, pa.array(found, kind)], names=["text", "marks"])
 
     done = joined.withColumn(marks, rewrite(F.col(text), F.col(maps)))
     columns = [F.col(marks)["text"].alias(c) if c == text else F.col(c) for c in docs.columns]

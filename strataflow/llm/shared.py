@@ -24,9 +24,17 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows per batch between Spark and its Python workers. Spark's 10,000 make batches of hundreds of MB of long documents.
+BATCH_ROWS = ("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "3000")
+
+
 def ship(spark: SparkSession) -> SparkSession:
-    """Send this package to the executors, once per Spark context, so that their Python workers can import it."""
+    """Send this package to the executors, once per Spark context, so that their Python workers can import it. Arrow
+    batches get fewer rows, unless the session names a number of its own; this is the one setting that is touched."""
     context = spark.sparkContext
+    name, usual, fewer = BATCH_ROWS
+    if spark.conf.get(name, usual) == usual:
+        spark.conf.set(name, fewer)
     if getattr(context, "_strataflow_sent", False):
         return spark
     root = Path(__file__).resolve().parents[1]

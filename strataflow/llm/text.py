@@ -9,7 +9,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 #: Texts are worked on in slices of about this many bytes; one longer text makes a slice of its own.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 _seeds = np.random.default_rng(20240501)
 #: A random value per byte, and the odd base of the polynomial with its inverse modulo 2**64.
@@ -56,6 +56,17 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, dtype=np.uint8)[ends[0] : ends[-1]], ends - ends[0]
 
 
+def rows_of(*columns: pa.Array, size: int = 256) -> Iterator[tuple]:
+    """The rows of some columns as Python values, a few hundred at a time in memory."""
+    for first in range(0, len(columns[0]), size):
+        yield from zip(*(c.slice(first, size).to_pylist() for c in columns))
+
+
+def release() -> None:
+    """Give memory that Arrow keeps for later back to the system; Python workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+
+
 def slices(offsets: np.ndarray, size: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about `size` bytes together."""
     first, n = 0, len(offsets) - 1

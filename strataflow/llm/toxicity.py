@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.llm.text import NO_LETTER, U64, buffers, slices, words
+from strataflow.llm.text import NO_LETTER, U64, buffers, release, slices, words
 
 #: At most about this many labelled rows are learned from, chosen by a hash of the key.
 TRAIN_ROWS = 20_000
@@ -164,6 +164,7 @@ def severity(model: ToxicityModel, text: Column, spark) -> Column:
         for row, found, value in _distinct_words(texts):
             at, worth = _present(m.features, found, value)
             x[row] = m.weights[at] @ worth
+        release()
         above = 1 / (1 + np.exp(-np.clip(x[:, None] - m.thresholds, -30, 30)))
         steps = np.hstack((np.ones((len(x), 1)), above)) - np.hstack((above, np.zeros((len(x), 1))))
         return pa.StructArray.from_arrays(
