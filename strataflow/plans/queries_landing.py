@@ -380,15 +380,23 @@ def stream_of(src: Source, table: str) -> DataFrame:
     return jobs.file_stream(src.spark, f"{src.folder}/{table}.parquet*", src.table(table).schema)
 
 
+def arriving(slices: list[DataFrame], folder: str, run) -> None:
+    """Add one slice after the other to a folder and run the stream on what is new. Every run goes on from the state that
+    the one before has committed."""
+    for part in slices:
+        part.write.mode("append").parquet(folder)
+        run()
+
+
 _CLEAN_ORDER = [*Q.TYPED["order"], "batch_id", "source_file_name", "source_row_number"]
 
 
 @query("r1_stream_ingest", f"SELECT {Q.shown(_CLEAN_ORDER)} FROM clean_order")
 def stream_ingest(src: Source) -> DataFrame:
     """Orders arrive as files; every micro-batch is gated, cleaned and upserted into the typed table."""
-    wh = Warehouse(src.spark, scratch_path(src.spark, "stream"))
-    part = M.RAW["raw_order"][0]
-    raw = stream_of(src, "orders").selectExpr(*[f"{e} AS {n}" for n, e in part.columns.items()])
+    spark, folder, state = src.spark, scratch_path(src.spark, "arriving"), scratch_path(src.spark, "stream-state")
+    wh = Warehouse(spark, scratch_path(spark, "stream"))
+    part, orders = M.RAW["raw_order"][0], src.table("orders")
 
     def load(batch: DataFrame, epoch: int) -> None:
         gated = gates.apply_gates("order", batch)
@@ -397,7 +405,12 @@ def stream_ingest(src: Source) -> DataFrame:
         merged = rows if before is None else upsert.upsert_entity("order", before, rows).drop("merge_action")
         wh.publish("ods_order", merged, epoch)
 
-    jobs.run_available(raw, scratch_path(src.spark, "stream-state"), handle=load)
+    def run() -> None:
+        stream = jobs.file_stream(spark, folder, orders.schema)
+        jobs.run_available(stream.selectExpr(*[f"{e} AS {n}" for n, e in part.columns.items()]), state, handle=load)
+
+    third = F.pmod(F.xxhash64("o_orderkey"), F.lit(3))
+    arriving([orders.filter(third == i) for i in range(3)], folder, run)
     return wh.current("ods_order").select(*_CLEAN_ORDER)
 
 
@@ -411,23 +424,33 @@ _NEAR = "p.user_id = c.user_id AND p.ts BETWEEN c.ts - INTERVAL 1 HOUR AND c.ts
     f"SELECT c.event_id, c.user_id, COALESCE(p.event_id, -1) AS parent_key FROM (SELECT * FROM events WHERE {_CHILD}) c LEFT JOIN (SELECT * FROM events WHERE {_PARENT}) p ON {_NEAR}",
 )
 def stream_late_parents(src: Source) -> DataFrame:
-    """Purchases with the views around them; what the watermark still holds back at the end counts as unmatched."""
-    spark = src.spark
-    children = stream_of(src, "events").filter(_CHILD).select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"))
-    parents = stream_of(src, "events").filter(_PARENT).select(
-        F.col("event_id").alias("parent_id"), F.col("user_id").alias("parent_user"),
-        F.col("ts").cast("timestamp").alias("parent_ts"),
-    )
-    linked = jobs.link_late_parents(
-        children, parents, "user_id", "parent_user", "ts", "parent_ts", {"parent_id": "parent_key"}, "INTERVAL 1 HOUR"
-    )
-    out = scratch_path(spark, "linked")
-    jobs.run_available(linked, scratch_path(spark, "linked-state"), output=out)
+    """Purchases with the views around them, as the stream alone gives them. Two closing inputs, days after the last event,
+    move the watermark on until every unmatched purchase has left the state."""
+    spark, folder, state, out = src.spark, *(scratch_path(src.spark, n) for n in ("events", "linked-state", "linked"))
+    events = src.table("events").select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    last = events.agg(F.max("ts")).scalar()
+    closing = [
+        spark.range(1).select(
+            F.explode(F.array(F.lit("purchase"), F.lit("view"))).alias("event_type"), F.lit(-1 - k).cast("long").alias("event_id"),
+            F.lit(-1 - k).cast("long").alias("user_id"), (last + F.expr(f"INTERVAL {10 + k} DAYS")).alias("ts"),
+        ).select(*events.columns)
+        for k in range(2)
+    ]
+
+    def run() -> None:
+        every = jobs.file_stream(spark, folder, events.schema)
+        children = every.filter(_CHILD).select("event_id", "user_id", "ts")
+        parents = every.filter(_PARENT).select(
+            F.col("event_id").alias("parent_id"), F.col("user_id").alias("parent_user"), F.col("ts").alias("parent_ts")
+        )
+        linked = jobs.link_late_parents(
+            children, parents, "user_id", "parent_user", "ts", "parent_ts", {"parent_id": "parent_key"}, "INTERVAL 1 HOUR"
+        )
+        jobs.run_available(linked, state, output=out)
+
+    arriving([events, *closing], folder, run)
     done = spark.read.schema("event_id long, user_id long, ts timestamp, parent_key long").parquet(out)
-    rest = src.table("events").filter(_CHILD).join(done.select("event_id").distinct(), "event_id", "left_anti")
-    return done.select("event_id", "user_id", "parent_key").unionByName(
-        rest.select("event_id", "user_id", F.lit(-1).cast("long").alias("parent_key"))
-    )
+    return done.filter("event_id >= 0").select("event_id", "user_id", "parent_key")
 
 
 @query("r3_stream_dedup", "SELECT DISTINCT user_id, event_type FROM events")

@@ -19,6 +19,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
+        # The JVM does not compile methods above 8000 bytes of code; wide gate stages then run in Spark's split-up form.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         # The given tables are single small files; smaller splits spread their text work over the cores.
         .config("spark.sql.files.maxPartitionBytes", "2m")
         .config("spark.sql.files.openCostInBytes", "64k")
