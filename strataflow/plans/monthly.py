@@ -97,7 +97,8 @@ class BatchRun:
                 if headers:
                     try:
                         staged[entity] = landing.land_entity(
-                            self.spark, ENTITIES[entity], headers, self.batch_id, self.as_of, self.multi_line
+                            self.spark, ENTITIES[entity], headers, self.batch_id, self.as_of, self.multi_line,
+                            store=lambda rows, e=entity: self._stage(e, rows),
                         )
                     except Exception as exc:
                         self._load_failed(entity, landing.STAGING_ERROR, exc)
@@ -128,6 +129,12 @@ class BatchRun:
             self._close("FAILED", 0, 0)
             raise RawLoadError(f"raw load failed for {sorted(failed)}") from next(iter(failed.values()))
 
+    def _stage(self, entity: str, rows: DataFrame) -> DataFrame:
+        """Replace the batch in the entity's stage table and read it back."""
+        name = f"stg/stg_{entity}"
+        self.warehouse.replace_batch(name, rows, batch_id=self.batch_id)
+        return self.warehouse.read(name).filter(F.col("batch_id") == self.batch_id).drop("batch_id")
+
     def _load_failed(self, entity: str, kind: str, exc: Exception) -> None:
         error = landing.load_error(self.spark, self.batch_id, entity, kind, str(exc), self.as_of)
         self._write_errors(f"load_{entity}", error)

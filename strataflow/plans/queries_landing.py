@@ -157,7 +157,13 @@ def landed_orders(src: Source) -> DataFrame:
     ).option("ignoreTrailingWhiteSpace", False).option("escape", '"').csv(folder)
     files = landing.discover_files(src.spark, folder)
     headers = {r.file_path: tuple(kept) for r in files.select("file_path").collect()}
-    return landing.land_entity(src.spark, spec, headers, 7)
+
+    def store(rows: DataFrame) -> DataFrame:
+        path = scratch_path(src.spark, "staged")
+        rows.write.parquet(path)
+        return src.spark.read.schema(rows.schema).parquet(path)
+
+    return landing.land_entity(src.spark, spec, headers, 7, store=store)
 
 
 @query(

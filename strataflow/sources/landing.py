@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -258,31 +260,30 @@ def fill_columns(df: DataFrame, spec: EntitySpec, lineage: tuple[str, ...]) -> D
 
 def land_entity(
     spark: SparkSession, spec: EntitySpec, headers: dict[str, tuple[str, ...]], batch_id: int,
-    at: Column | None = None, multi_line: bool = True,
+    at: Column | None = None, multi_line: bool = True, store: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """The raw rows of one entity in a batch.
 
     `headers` maps each file to its column order. Files that share an order are scanned together, so the
-    number of scans is the number of distinct header lines.
+    number of scans is the number of distinct header lines. `store` writes the scanned rows to the stage and
+    reads them back; then they are numbered from what is stored, and no second scan has to split files alike.
     """
     groups: dict[tuple[str, ...], list[str]] = {}
     for path, columns in headers.items():
         groups.setdefault(columns, []).append(path)
-    lineage = ("batch_id", "source_file_name", "source_row_number", "load_timestamp")
-    parts = []
-    for columns, paths in groups.items():
-        numbered = number_rows(scan_text(spark, sorted(paths), list(columns), multi_line))
-        stamped = numbered.withColumns(
-            {
-                "batch_id": F.lit(batch_id).cast("long"),
-                "load_timestamp": at if at is not None else F.localtimestamp(),
-            }
-        )
-        parts.append(fill_columns(stamped, spec, lineage))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    scanned = [
+        fill_columns(scan_text(spark, sorted(paths), list(columns), multi_line), spec, ("source_file_name", "block_start", "scan_id"))
+        for columns, paths in groups.items()
+    ]
+    staged = reduce(DataFrame.unionByName, scanned)
+    numbered = number_rows(staged if store is None else store(staged))
+    stamped = numbered.withColumns(
+        {
+            "batch_id": F.lit(batch_id).cast("long"),
+            "load_timestamp": at if at is not None else F.localtimestamp(),
+        }
+    )
+    return fill_columns(stamped, spec, ("batch_id", "source_file_name", "source_row_number", "load_timestamp"))
 
 
 def headers_of(checked: DataFrame, heads: DataFrame, entity: str) -> dict[str, tuple[str, ...]]:
