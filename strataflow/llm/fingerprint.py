@@ -1,13 +1,13 @@
 """Document fingerprints by consistent weighted sampling, in DataFrame functions only.
 
 A text is a bag of words `[^\\x20\\x09-\\x0D]+`, weighted by how often they occur. Every word gets gamma-based random values
-from its hash: r and c from Gamma(2, 1), b uniform. With weight w, t = floor(ln w / r + b), ln y = r (t - b) and
-ln a = ln c - ln y - r; the word with the smallest a is sampled together with t. Two texts then sample the same (word, t)
-with a probability equal to their generalised Jaccard similarity, sum of min / sum of max weights. The hash also deals
-each word to one of BINS bins, and each bin gives one sample, so a word is evaluated once and not once per sample.
+from its hash and the number of the sample: r and c from Gamma(2, 1), b uniform. With weight w, t = floor(ln w / r + b),
+ln y = r (t - b) and ln a = ln c - ln y - r; the word of the whole text with the smallest a is sampled together with t.
+Two texts then draw the same (word, t) with a probability equal to their generalised Jaccard similarity, sum of min / sum
+of max weights, in each of SAMPLES independent samples.
 
-A fingerprint lists its bins in order, six hexadecimal digits each: the bin, then 16 bits of the sample. Likeness is the
-share of equal samples among bins that either text fills; two texts without words are alike (1.0).
+A fingerprint lists its samples in order, six hexadecimal digits each: the number of the sample, then 16 bits of what was
+drawn. Likeness is the share of equal samples; two texts without words are alike (1.0).
 """
 
 from __future__ import annotations
@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 
 from strataflow.llm.shared import stash
 
-BINS = 64
+SAMPLES = 64
+#: Samples that are drawn side by side in one row; a word has SAMPLES / ABREAST rows.
+ABREAST = 2
 #: Characters of text per partition while words are counted.
 PARTITION_CHARS = 6_000_000
 
@@ -27,38 +29,51 @@ def _uniform(hashed: Column, place: int) -> Column:
     return (F.shiftrightunsigned(hashed, 21 * place).bitwiseAND(F.lit((1 << 21) - 1)) + 1) / float(1 << 21)
 
 
-def _sample(term: Column, weight: Column) -> Column:
-    """(bin, packed): the smallest packed value of a bin holds its sample in the low 16 bits; the high bits order by a."""
-    one, two = F.xxhash64(term, F.lit(1)), F.xxhash64(term, F.lit(2))
-    r = -F.log(_uniform(one, 0) * _uniform(one, 1))
-    r = F.greatest(r, F.lit(1e-9))
+def _draws(term: Column, sample: Column, log_weights: list[Column]) -> list[Column]:
+    """What a word offers to a sample under each of some weights (null where the word is missing): the smallest value of a
+    text holds its sample in the low 16 bits; the high bits order by a."""
+    one, two = F.xxhash64(term, 2 * sample), F.xxhash64(term, 2 * sample + 1)
+    r = F.greatest(-F.log(_uniform(one, 0) * _uniform(one, 1)), F.lit(1e-9))
     c = F.greatest(-F.log(_uniform(one, 2) * _uniform(two, 0)), F.lit(1e-9))
-    t = F.floor(F.log(weight) / r + _uniform(two, 1))
-    log_a = F.log(c) - r * (t - _uniform(two, 1) + 1)
-    # ln a lies between -100 and 30 for weights up to 2**31.
-    order = F.floor((F.least(F.greatest(log_a, F.lit(-120.0)), F.lit(120.0)) + 128) * float(1 << 36)).cast("long")
-    return F.struct(
-        F.shiftrightunsigned(two, 42).bitwiseAND(F.lit(BINS - 1)).cast("int").alias("bin"),
-        F.shiftleft(order, 16).bitwiseOR(F.xxhash64(term, t).bitwiseAND(F.lit(0xFFFF))).alias("packed"),
-    )
-
-
-def signatures(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """(keys, signature) of texts that are dealt by one or more of the keys already; the keys name a text. Texts without
-    words have no row. signature: ascending ints, bin << 16 | sample."""
-    words = texts.select(*keys, F.explode(F.split(text, r"[\x20\x09-\x0D]+")).alias("word")).where("word != ''")
-    counted = words.select(*keys, F.xxhash64("word").alias("term")).groupBy(*keys, "term").agg(F.count("*").cast("double").alias("weight"))
-    sampled = counted.select(*keys, _sample(F.col("term"), F.col("weight")).alias("s")).select(*keys, "s.bin", "s.packed")
-    least = sampled.groupBy(*keys, "bin").agg(F.min("packed").alias("packed"))
-    value = F.shiftleft("bin", 16).bitwiseOR(F.col("packed").bitwiseAND(F.lit(0xFFFF)).cast("int"))
-    return least.groupBy(*keys).agg(F.sort_array(F.collect_list(value)).alias("signature"))
+    b, log_c, drawn = _uniform(two, 1), F.log(c), []
+    for log_weight in log_weights:
+        # Nothing here is conditional, so that Spark finds r, b and ln c once for all weights. A null weight gives null.
+        t = F.floor(log_weight / r + b)
+        # ln a lies between -100 and 30 for weights up to 2**31.
+        order = F.floor((log_c - r * (t - b + 1) + 128) * float(1 << 36)).cast("long")
+        drawn.append(F.shiftleft(order, 16).bitwiseOR(F.xxhash64(term, t).bitwiseAND(F.lit(0xFFFF))))
+    return drawn
+
+
+def signatures(texts: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """(keys, a signature for each text column, by its name) of rows that are dealt by one or more of the keys already; the
+    keys name a row. A text without words has a null or no row. signature: ascending ints, sample << 16 | what it drew."""
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("version"), F.col(c).alias("text")) for i, c in enumerate(columns)]))
+    made = texts.select(*keys, each.alias("v")).select(*keys, "v.version", F.explode(F.split("v.text", r"[\x20\x09-\x0D]+")).alias("word"))
+    made = made.where("word != ''").select(*keys, F.xxhash64("word").alias("term"), "version")
+    counted = made.groupBy(*keys, "term").agg(*[F.count(F.when(F.col("version") == i, 1)).alias(f"n{i}") for i in range(len(columns))])
+    # The logarithm of no occurrence is null.
+    weighed = counted.select(*keys, "term", *[F.log(F.col(f"n{i}").cast("double")).alias(f"w{i}") for i in range(len(columns))])
+    dealt = weighed.withColumn("first", F.explode(F.array(*[F.lit(k) for k in range(0, SAMPLES, ABREAST)])))
+    drawn = []
+    for j in range(ABREAST):
+        values = _draws(F.col("term"), F.col("first") + j, [F.col(f"w{i}") for i in range(len(columns))])
+        drawn += [F.min(v).alias(f"s{i}_{j}") for i, v in enumerate(values)]
+    least = dealt.groupBy(*keys, "first").agg(*drawn)
+
+    def kept(i: int) -> Column:
+        values = [F.shiftleft(F.col("first") + j, 16).bitwiseOR(F.col(f"s{i}_{j}").bitwiseAND(F.lit(0xFFFF)).cast("int")) for j in range(ABREAST)]
+        return F.when(F.col(f"s{i}_0").isNotNull(), F.array(*values))
+
+    # Rows of a text without words are null, which is not collected.
+    gathered = least.groupBy(*keys).agg(*[F.sort_array(F.flatten(F.collect_list(kept(i)))).alias(c) for i, c in enumerate(columns)])
+    return gathered.select(*keys, *[F.when(F.size(c) > 0, F.col(c)).alias(c) for c in columns])
 
 
 def likeness(a: Column, b: Column) -> Column:
     """The share of equal samples of two signatures; null counts as a text without words."""
     a, b = (F.coalesce(x, F.array().cast("array<int>")) for x in (a, b))
-    bins = F.size(F.array_union(F.transform(a, lambda x: F.shiftright(x, 16)), F.transform(b, lambda x: F.shiftright(x, 16))))
-    return F.when(bins == 0, 1.0).otherwise(F.size(F.array_intersect(a, b)) / bins)
+    return F.when((F.size(a) == 0) & (F.size(b) == 0), 1.0).otherwise(F.size(F.array_intersect(a, b)) / float(SAMPLES))
 
 
 def shown(signature: Column) -> Column:
@@ -115,11 +130,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     both = held.join(gift, ["at", "no_key", "twin"]).withColumn("edited", F.concat(kept, "tail"))
 
     keys = ["at", "no_key", "twin"]
-    versions = F.explode(F.array(F.struct(F.lit(0).alias("version"), F.col("text").alias("text")), F.struct(F.lit(1).alias("version"), F.col("edited").alias("text"))))
-    made = both.select(*keys, versions.alias("v")).select(*keys, F.col("v.version").alias("version"), F.col("v.text").alias("text"))
-    signed = signatures(made, [*keys, "version"], "text").groupBy(*keys).agg(
-        F.max(F.when(F.col("version") == 0, F.col("signature"))).alias("own"), F.max(F.when(F.col("version") == 1, F.col("signature"))).alias("other")
-    )
+    signed = signatures(both.select(*keys, F.col("text").alias("own"), F.col("edited").alias("other")), keys, ["own", "other"])
     facts = both.select(*keys, "n_chars", "copies", "after", F.sha2("edited", 256).alias("edited_sha256"))
     whole = stash(facts.join(signed, keys, "left"), "signatures")
     following = whole.select(F.col("at").alias("at_"), F.col("no_key").alias("no_key_"), F.col("twin").alias("twin_"), F.col("own").alias("next_own"))

@@ -7,7 +7,7 @@ from collections import Counter
 
 import numpy as np
 
-from strataflow.llm.fingerprint import fingerprints
+from strataflow.llm.fingerprint import fingerprints, likeness, signatures
 from tests.llm import fixtures
 
 
@@ -62,3 +62,22 @@ def test_awkward_rows(spark):
     blank = fingerprints(fixtures.table(spark, [(1, None), (2, " ")])).collect()
     assert [(r.fingerprint, r.near_edited, r.near_next) for r in blank] == [("", 1.0, 1.0)] * 2
     assert fingerprints(fixtures.table(spark, []).limit(0)).collect() == [] and rng
+
+
+def test_likeness_of_skewed_texts(spark):
+    """One word that holds most of the weight, and texts of few distinct words."""
+    few = [f"w{i}" for i in range(63)]
+    heavy, light = " ".join(["a"] * 1000 + few), " ".join(["a", *few])
+    rng = random.Random(8)
+    counts = [(rng.randint(1, 900), rng.randint(1, 900)) for _ in range(8)]
+    one, two = (" ".join(f"v{i}" for i, n in enumerate(counts) for _ in range(n[k])) for k in (0, 1))
+    rows = [(1, heavy, light), (2, one, two), (3, "x y", "x z"), (4, "", "x"), (5, "", " ")]
+    rows += [(100 + i, " ".join(f"{i}_{w}" for w in one.split()), " ".join(f"{i}_{w}" for w in two.split())) for i in range(30)]
+    rows += [(200 + i, f"{heavy} ".replace("a ", f"{i}a "), f"{light} ".replace("a ", f"{i}a ")) for i in range(30)]
+    table = spark.createDataFrame(rows, "k long, a string, b string").repartition("k")
+    signed = signatures(table, ["k"], ["a", "b"])
+    got = {r.k: r for r in signed.select("k", "a", "b", likeness(signed.a, signed.b).alias("near")).collect()}
+    assert [len(got[k].a) for k in (1, 2, 3)] == [64] * 3 and len(got[4].b) == 64 and got[4].a is None and got[4].near == 0
+    for first, (a, b) in ((100, rows[1][1:]), (200, rows[0][1:])):
+        want = jaccard(weights(a), weights(b))
+        assert abs(np.mean([got[first + i].near for i in range(30)]) - want) < 0.05
