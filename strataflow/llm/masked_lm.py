@@ -25,8 +25,8 @@ TOKENS = CLASSES * PER_CLASS
 #: Ids for words outside the vocabulary.
 HASHED = 256
 OFFSETS = tuple(o for o in range(-WINDOW, WINDOW + 1) if o)
-#: In a round, every STRIDE-th position of every document is a training target, starting anew each round.
-ROUNDS, STRIDE, BATCH, RATE = 2, 12, 4096, 0.12
+#: Every position of every document is a training target in one of the rounds.
+ROUNDS, BATCH, RATE = 2, 4096, 0.12
 #: Weights are averaged in slices of this many numbers.
 SLICE = 16_384
 SHAPES = {
@@ -186,6 +186,12 @@ def vocabulary_of(docs: DataFrame, text: str) -> Vocabulary:
     return Vocabulary(hashes[order], order.astype(np.int32))
 
 
+def targeted(place: np.ndarray, of: np.ndarray, turn: int) -> np.ndarray:
+    """Whether a position is a target in a round: all are over all rounds, once each. The first target differs from text to
+    text."""
+    return (place + of + turn) % ROUNDS == 0
+
+
 def trained(docs: DataFrame, text: str, vocabulary: Vocabulary) -> dict[str, np.ndarray]:
     """The weights after all rounds over all documents. The driver holds one set of weights (0.7 MB)."""
     spark, weights = docs.sparkSession, first_weights()
@@ -201,8 +207,7 @@ def trained(docs: DataFrame, text: str, vocabulary: Vocabulary) -> dict[str, np.
             targets, contexts, held, done = [], [], 0, 0
             for batch in batches:
                 for _, of, place, token, context in _token_slices(batch.column(0), vocab):
-                    # The first target differs from text to text and from round to round.
-                    chosen = (place + of * 5 + turn * (STRIDE // ROUNDS)) % STRIDE == 0
+                    chosen = targeted(place, of, turn)
                     targets.append(token[chosen])
                     contexts.append(context[chosen])
                     held += int(chosen.sum())

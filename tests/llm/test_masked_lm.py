@@ -84,3 +84,12 @@ def test_training_helps_on_documents(spark):
     counts = np.bincount(token, minlength=M.TOKENS)
     uniform = -math.log(M.TOKENS)
     assert abs(fresh - uniform) < 0.1 and trained > uniform + 0.5 and counts.sum() == len(token)
+
+
+def test_every_position_is_a_target_once():
+    """Also in texts of few words."""
+    lengths = [1, 2, 3, 5, 6, 40]
+    of = np.repeat(np.arange(len(lengths)), lengths)
+    place = np.concatenate([np.arange(n) for n in lengths])
+    met = sum(M.targeted(place, of, turn).astype(int) for turn in range(M.ROUNDS))
+    assert met.tolist() == [1] * len(place)
