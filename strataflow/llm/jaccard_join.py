@@ -5,8 +5,9 @@ bits name, so a cell in which two sketches differ holds at least one token of th
 differing cells is a lower bound of it. Two sets of a and b tokens with Jaccard similarity 3/4 or more have a symmetric
 difference of at most d = (a + b) // 7. Hence, of any d + 1 occupied cells of one sketch, one at least is found
 unchanged in the other. Each document sends the first d + 1 of its occupied cells, in an order that all documents
-share (cells known to be frequent last), and documents that send an equal cell become candidates. Cells per sketch
-depend on the size band of the smaller document; a document just above a band's end also sends cells as the larger
+share (cells known to be frequent last), and documents that send an equal cell become candidates. A node of the
+join is a token set, named by 64 bits (its sum of tokens), and not a key, which may come with several texts. Cells per
+sketch depend on the size band of the smaller document; a document just above a band's end also sends cells as the larger
 partner of that band.
 
 Candidates are checked by size, then by the Hamming distance of bit sketches (token parity per bit), then exactly.
@@ -158,7 +159,7 @@ def _summaries(size: int):
 
 
 def _sender(size: int, frequent: np.ndarray, counts: np.ndarray):
-    """(cell, doc) rows. A task sends an equal set once; the copies share its fate."""
+    """(cell, doc) rows, doc being the first name of the set. A task sends an equal set once; the copies share its fate."""
 
     def run(batches):
         seen: set[tuple[int, int]] = set()
@@ -174,7 +175,7 @@ def _sender(size: int, frequent: np.ndarray, counts: np.ndarray):
                 seen.add(name)
                 found = sent(tokens, frequent, counts)
                 keys.append(found)
-                docs.append(np.full(len(found), ids[row], dtype=np.int64))
+                docs.append(np.full(len(found), name[0], dtype=np.int64))
                 held += len(found)
                 if held > 200_000:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(docs))], names=["cell", "doc"])
@@ -273,19 +274,19 @@ def _linked(batches):
 
 
 def _sets_of(near: DataFrame, nodes: DataFrame, texts: DataFrame, size: int) -> DataFrame:
-    """(doc, tokens) of the representatives in some pairs: the texts are read once more, and only those that a bit table of
-    the wanted keys may hold are cut into shingles."""
-    ends = near.select(F.col("u").alias("doc")).unionByName(near.select(F.col("v").alias("doc"))).distinct()
-    ends = stash(ends.join(nodes.select(F.col("rep").alias("doc"), "one"), "doc"), "ends")
+    """(doc, tokens) of the nodes in some pairs: the texts are read once more, and only those that a bit table of the wanted
+    keys may hold are cut into shingles."""
+    ends = near.select(F.col("u").alias("rep")).unionByName(near.select(F.col("v").alias("rep"))).distinct()
+    ends = stash(ends.join(nodes.select("rep", "doc"), "rep"), "ends")
     n_bits = bits.bits_for(ends.count(), 16, 1 << 26)
     table = near.sparkSession.sparkContext.broadcast(bits.fill(ends.select("doc"), n_bits, PROBES, 1)[0])
 
     def read(batches):
         yield from _token_sets(size, table.value)(batches)
 
-    sets = texts.mapInArrow(read, "doc long, one long, tokens binary").withColumnRenamed("one", "name")
+    sets = texts.mapInArrow(read, "doc long, one long, tokens binary").withColumnRenamed("one", "rep")
     # A row that repeats its key and set would only repeat its pairs.
-    return stash(sets.join(ends, "doc").where("name = one").select("doc", "tokens"), "sets")
+    return stash(sets.join(ends, ["doc", "rep"]).select(F.col("rep").alias("doc"), "tokens"), "sets")
 
 
 def _fine(batches):
@@ -434,22 +435,18 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
         yield from _sender(size, *shared.value)(batches)
 
     usable = rows.where("doc is not null and n > 0")
-    groups = usable.groupBy("one", "two").agg(F.min("doc").alias("rep"))
-    named = stash(usable.join(groups, ["one", "two"]).select("doc", "rep", "n", "one", "two", F.when(F.col("doc") == F.col("rep"), F.col("sketch")).alias("sketch")), "named")
-    nodes = named.where("doc = rep").dropDuplicates(["rep"]).select("rep", "n", "one", "sketch")
-    to_rep = named.select("doc", "rep").distinct()
+    # One row of each set; its key is where the set is read again.
+    nodes = stash(usable.dropDuplicates(["one"]).select(F.col("one").alias("rep"), "doc", "n", "sketch"), "nodes")
+    named = stash(usable.select("doc", F.col("one").alias("rep")).distinct(), "named")
 
     met = texts.mapInArrow(send, "cell long, doc long").repartition("cell").sortWithinPartitions("cell", "doc")
     met = stash(met.mapInArrow(_buckets, "cell long, u long, v long"), "met")
     pairs = met.where("cell is null").select("u", "v").distinct()
-    pairs = pairs.join(to_rep.toDF("u", "a"), "u").join(to_rep.toDF("v", "b"), "v")
-    pairs = pairs.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    members = met.where("cell is not null").select("cell", F.col("u").alias("doc"))
-    members = stash(members.join(to_rep, "doc").select("cell", F.col("rep").alias("doc")).distinct(), "members")
+    members = stash(met.where("cell is not null").select("cell", F.col("u").alias("doc")), "members")
 
     # Keys that came with several texts join the sets of those texts.
-    links = to_rep.groupBy("doc").agg(F.min("rep").alias("v"), F.collect_set("rep").alias("reps")).where("size(reps) > 1")
-    links = links.select(F.explode("reps").alias("u"), "v").where("u != v")
+    least = named.groupBy("doc").agg(F.min("rep").alias("v"), F.max("rep").alias("most")).where("v != most")
+    links = named.join(least, "doc").select(F.col("rep").alias("u"), "v").where("u != v")
     asked = pairs.unionByName(_central_pairs(members)).distinct()
     links = links.unionByName(_verified(_near(asked, nodes), nodes, texts, size))
     mixed = stash(_mixed(members, links), "mixed")
@@ -459,7 +456,11 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
             links = links.unionByName(_verified(near, nodes, texts, size))
 
     found = components(links).toDF("rep", "component")
-    labels = groups.join(found, "rep", "left").select("one", "two", F.coalesce("component", "rep").alias("component"))
-    whole = rows.join(labels, ["one", "two"], "left")
+    keyed = named.groupBy("rep").agg(F.min("doc").alias("doc")).join(found, "rep", "left")
+    keyed = stash(keyed.select("rep", "doc", F.coalesce("component", "rep").alias("component")), "keyed")
+    labels = keyed.select("rep", "component").join(keyed.groupBy("component").agg(F.min("doc").alias("id")), "component")
+    # All sets of a key are in one component.
+    labels = named.join(labels, "rep").groupBy("doc").agg(F.min("id").alias("component"))
+    whole = rows.join(labels, "doc", "left")
     component = F.when(F.col("doc").isNotNull(), F.coalesce("component", "doc"))
     return whole.select(F.col("doc").alias(key), F.col("n").alias("n_shingles"), component.alias("component_id"))

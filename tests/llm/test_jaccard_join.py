@@ -68,3 +68,18 @@ def test_components_of_chains_and_stars(spark):
     rng.shuffle(edges)
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {i: 1 for i in range(1, 41)} | {i: 100 for i in range(100, 130)}
+
+
+def test_links_of_a_key_with_many_texts(spark):
+    """One key is the smallest of many unlike sets; each has near copies under keys of their own. Empty texts of a key
+    follow it."""
+    rng = random.Random(6)
+    rows = [(0, ""), (70, " "), (71, None)]
+    for i in range(30):
+        words = fixtures.prose(rng, 60)
+        rows.append((0 if i % 3 else 70, " ".join(words)))
+        rows += [(100 + 2 * i + k, " ".join([*words[: -1 - k], f"x{k}"])) for k in (0, 1)]
+    want = fixtures.components(rows)
+    assert len(set(want.values())) == 3
+    got = J.jaccard_components(fixtures.table(spark, rows)).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(i, want[i]) for i, _ in rows} and len(got) == len(rows)
