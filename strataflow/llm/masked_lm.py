@@ -4,8 +4,10 @@ A small network predicts every token from the two tokens on either side: each of
 goes through tanh, and a two-step softmax gives the class of the token and the token within its class. A document's
 score is the sum of the conditional log-probabilities of all its tokens.
 
-Tokens are words: the most frequent words of the corpus have ids of their own, all others share hashed ids. Word counts
-cover all documents. Training is data-parallel numpy: in each round every task trains on its documents from the current
+Tokens are words: the most frequent words of the corpus have ids of their own, all others share hashed ids. The
+probability of such a word is that of its id times the word's share of all occurrences under the id. Word counts cover all
+documents and stay in a Spark table; the shares of the KNOWN next most frequent words are sent to tasks, those of all
+others are joined to the documents' words. Training is data-parallel numpy: in each round every task trains on its documents from the current
 weights, and the weights of all tasks are averaged by the number of positions they trained on.
 """
 
@@ -18,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strataflow.llm.shared import stash
 from strataflow.llm.text import NO_LETTER, U64, buffers, slices, words
 
 CLASSES, PER_CLASS, HIDDEN, WINDOW = 32, 32, 32, 2
@@ -25,6 +28,8 @@ TOKENS = CLASSES * PER_CLASS
 #: Ids for words outside the vocabulary.
 HASHED = 256
 OFFSETS = tuple(o for o in range(-WINDOW, WINDOW + 1) if o)
+#: Words under hashed ids whose shares are broadcast (16 bytes each); a bound without influence on results.
+KNOWN = 50_000
 #: Every position of every document is a training target in one of the rounds.
 ROUNDS, BATCH, RATE = 2, 4096, 0.12
 #: Weights are averaged in slices of this many numbers.
@@ -86,7 +91,7 @@ def _hidden(w: dict, context: np.ndarray) -> np.ndarray:
 def log_probabilities(w: dict, target: np.ndarray, context: np.ndarray) -> np.ndarray:
     """The log-probability of each target token given its context."""
     out = np.empty(len(target), dtype=np.float64)
-    order = np.argsort(target // PER_CLASS, kind="stable")
+    order = np.argsort((target // PER_CLASS).astype(np.int16), kind="stable")
     for a in range(0, len(order), 4 * BATCH):
         rows = order[a : a + 4 * BATCH]
         t, h = target[rows], _hidden(w, context[rows])
@@ -107,7 +112,7 @@ def log_probabilities(w: dict, target: np.ndarray, context: np.ndarray) -> np.nd
 
 def train_step(w: dict, state: dict, target: np.ndarray, context: np.ndarray) -> None:
     """One Adagrad step on the mean negative log-probability, in place."""
-    order = np.argsort(target // PER_CLASS, kind="stable")
+    order = np.argsort((target // PER_CLASS).astype(np.int16), kind="stable")
     target, context = target[order], context[order]
     n, i = len(target), np.arange(len(target))
     h = _hidden(w, context)
@@ -132,7 +137,8 @@ def train_step(w: dict, state: dict, target: np.ndarray, context: np.ndarray) ->
         state[name] += gradient * gradient
         w[name] -= RATE * gradient / (np.sqrt(state[name]) + 1e-6)
     for o in range(len(OFFSETS)):
-        by = np.argsort(context[:, o], kind="stable")
+        # Numbers of 16 bits are sorted by radix.
+        by = np.argsort(context[:, o].astype(np.int16), kind="stable")
         ids = context[by, o]
         starts = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
         gradient, touched = np.add.reduceat(back[by], starts, axis=0), ids[starts]
@@ -142,6 +148,12 @@ def train_step(w: dict, state: dict, target: np.ndarray, context: np.ndarray) ->
 
 def _token_slices(texts: pa.Array, vocabulary: Vocabulary):
     """(first text, text of each token, place in the text, token, context) of slices of a column of texts."""
+    for first, of, place, token, context, _ in _word_slices(texts, vocabulary):
+        yield first, of, place, token, context
+
+
+def _word_slices(texts: pa.Array, vocabulary: Vocabulary):
+    """_token_slices with the hash of each word."""
     data, offsets = buffers(texts)
     for first, last in slices(offsets):
         part = offsets[first : last + 1]
@@ -153,12 +165,11 @@ def _token_slices(texts: pa.Array, vocabulary: Vocabulary):
         padded = np.full(len(found) + 2 * WINDOW * (last - first), TOKENS, dtype=np.int32)
         padded[spot] = vocabulary.encode(found)
         context = np.stack([padded[spot + o] for o in OFFSETS], axis=1)
-        yield first, of, np.arange(len(found)) - at[:-1][of], padded[spot], context
+        yield first, of, np.arange(len(found)) - at[:-1][of], padded[spot], context, found
 
 
-def vocabulary_of(docs: DataFrame, text: str) -> Vocabulary:
-    """The most frequent words over all documents. Tasks count their own words first; the driver receives TOKENS - HASHED
-    rows."""
+def word_counts(docs: DataFrame, text: str) -> DataFrame:
+    """(word, n): the hash of every word of all documents and how often it occurs. Tasks count their own words first."""
 
     def local(batches):
         held, size = [], 0
@@ -179,13 +190,52 @@ def vocabulary_of(docs: DataFrame, text: str) -> Vocabulary:
         if size:
             yield counts()
 
-    counted = docs.select(F.col(text).alias("text")).mapInArrow(local, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.select(F.col(text).alias("text")).mapInArrow(local, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def vocabulary_of(docs: DataFrame, text: str) -> Vocabulary:
+    """The most frequent words over all documents."""
+    return _most_frequent(word_counts(docs, text))
+
+
+def _most_frequent(counted: DataFrame) -> Vocabulary:
+    """The driver receives TOKENS - HASHED rows."""
     top = counted.orderBy(F.desc("n"), "word").limit(TOKENS - HASHED).collect()
     hashes = np.array([r["word"] for r in top], dtype=np.int64).view(U64)
     order = np.argsort(hashes)
     return Vocabulary(hashes[order], order.astype(np.int32))
 
 
+@dataclass(frozen=True)
+class Shares:
+    hashes: np.ndarray  # sorted hashes of the words that are sent to tasks
+    logs: np.ndarray  # the logarithms of their shares
+
+    def find(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(whether a word is held, the logarithm of its share)."""
+        if not len(self.hashes):
+            return np.zeros(len(found), dtype=bool), np.zeros(len(found))
+        at = np.searchsorted(self.hashes, found)
+        at[at == len(self.hashes)] = 0
+        return self.hashes[at] == found, self.logs[at]
+
+
+def word_shares(counted: DataFrame, vocabulary: Vocabulary) -> tuple[DataFrame, Shares]:
+    """(word, share) of all words under hashed ids, share being the logarithm of the word's part of the occurrences under
+    its id; and the shares of the most frequent of them."""
+    spark = counted.sparkSession
+    own = spark.createDataFrame([(int(h),) for h in vocabulary.hashes.view(np.int64)], "word long")
+    # As in Vocabulary.encode.
+    bucket = F.shiftrightunsigned("word", 20).bitwiseAND(F.lit(HASHED - 1)).alias("bucket")
+    others = stash(counted.join(own, "word", "left_anti").select("word", "n", bucket), "words")
+    sums = others.groupBy("bucket").agg(F.sum("n").alias("whole"))
+    shares = stash(others.join(sums, "bucket").select("word", "n", F.log(F.col("n") / F.col("whole")).alias("share")), "shares")
+    top = shares.orderBy(F.desc("n"), "word").limit(KNOWN).select("word", "share").toArrow()
+    hashes = top["word"].to_numpy().view(U64)
+    order = np.argsort(hashes)
+    return shares.select("word", "share"), Shares(hashes[order], top["share"].to_numpy()[order])
+
+
 def targeted(place: np.ndarray, of: np.ndarray, turn: int) -> np.ndarray:
     """Whether a position is a target in a round: all are over all rounds, once each. The first target differs from text to
     text."""
@@ -251,20 +301,47 @@ def pseudo_likelihood(docs: DataFrame, key: str = "doc_id", text: str = "text")
     Words are runs of letters and digits, A-Z lower-cased. Null texts, empty texts and texts without words have 0 tokens,
     a sum of 0, and null for the mean and the perplexity. Repeated rows are scored each; an empty table gives an empty
     result; other columns are not looked at."""
-    vocabulary = vocabulary_of(docs, text)
-    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, trained(docs, text, vocabulary)))
+    counted = stash(word_counts(docs, text), "counts")
+    vocabulary = _most_frequent(counted)
+    shares, known = word_shares(counted, vocabulary)
+    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, trained(docs, text, vocabulary), known))
+    kind = "struct<n: bigint, total: double, words: array<bigint>, counts: array<int>>"
 
-    @F.arrow_udf("struct<n: long, total: double>")
+    @F.arrow_udf(kind)
     def score(texts: pa.Array) -> pa.Array:
-        vocab, weights = shared.value
+        vocab, weights, near = shared.value
         n, total = np.zeros(len(texts), dtype=np.int64), np.zeros(len(texts))
-        for first, of, _, token, context in _token_slices(texts, vocab):
-            if len(token):
-                sums = np.bincount(of, weights=log_probabilities(weights, token, context))
-                total[first : first + len(sums)] += sums
-                n[first : first + len(sums)] += np.bincount(of)
-        return pa.StructArray.from_arrays([pa.array(n), pa.array(total)], names=["n", "total"])
-
-    scored = docs.select(F.col(key), score(F.col(text)).alias("s"))
+        ends, far, often = np.zeros(len(texts) + 1, dtype=np.int32), [], []
+        for first, of, _, token, context, found in _word_slices(texts, vocab):
+            if not len(token):
+                continue
+            logs = log_probabilities(weights, token, context)
+            hashed = np.flatnonzero(token >= TOKENS - HASHED)
+            held, share = near.find(found[hashed])
+            logs[hashed[held]] += share[held]
+            sums = np.bincount(of, weights=logs)
+            total[first : first + len(sums)] += sums
+            n[first : first + len(sums)] += np.bincount(of)
+            # The other words of each text, once each.
+            rest = hashed[~held]
+            order = np.lexsort((found[rest], of[rest]))
+            text_of, word = of[rest][order], found[rest][order]
+            begins = np.flatnonzero(np.concatenate(([True], (word[1:] != word[:-1]) | (text_of[1:] != text_of[:-1])))[: len(word)])
+            far.append(word[begins].view(np.int64))
+            often.append(np.diff(np.append(begins, len(word))).astype(np.int32))
+            met = np.bincount(text_of[begins])
+            ends[1 + first : 1 + first + len(met)] += met.astype(np.int32)
+        ends = pa.array(np.cumsum(ends, dtype=np.int32))
+        far = np.concatenate(far) if far else np.zeros(0, np.int64)
+        often = np.concatenate(often) if often else np.zeros(0, np.int32)
+        lists = [pa.ListArray.from_arrays(ends, pa.array(values)) for values in (far, often)]
+        return pa.StructArray.from_arrays([pa.array(n), pa.array(total), *lists], names=["n", "total", "words", "counts"])
+
+    # Rows are numbered in the table that is written, so the numbers hold.
+    scored = stash(docs.select(F.col(key), F.monotonically_increasing_id().alias("row"), score(F.col(text)).alias("s")), "scored")
+    each = scored.select("row", F.explode(F.arrays_zip("s.words", "s.counts")).alias("e")).select("row", F.col("e.words").alias("word"), F.col("e.counts").alias("n"))
+    rare = each.join(shares, "word").groupBy("row").agg(F.sum(F.col("n") * F.col("share")).alias("rare"))
+    scored = scored.select(key, "row", "s.n", "s.total").join(rare, "row", "left")
+    scored = scored.select(key, F.struct("n", (F.col("total") + F.coalesce("rare", F.lit(0.0))).alias("total")).alias("s"))
     mean = F.when(F.col("s.n") > 0, F.col("s.total") / F.col("s.n"))
     return scored.select(key, F.col("s.n").alias("n_tokens"), F.col("s.total").alias("log_likelihood"), mean.alias("mean_log_likelihood"), F.exp(-mean).alias("pseudo_perplexity"))

@@ -93,3 +93,31 @@ def test_every_position_is_a_target_once():
     place = np.concatenate([np.arange(n) for n in lengths])
     met = sum(M.targeted(place, of, turn).astype(int) for turn in range(M.ROUNDS))
     assert met.tolist() == [1] * len(place)
+
+
+def test_words_under_a_hashed_id_have_their_shares(spark, monkeypatch):
+    """Probabilities of all words under an id sum to that of the id, and scores hold the shares, sent or joined."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").limit(300)
+    docs = spark.createDataFrame(docs.select("doc_id", "text").collect(), "doc_id long, text string").repartition(4)
+    counted = M.word_counts(docs, "text")
+    vocabulary = M._most_frequent(counted)
+    weights = M.trained(docs, "text", vocabulary)
+    monkeypatch.setattr(M, "trained", lambda *_: weights)
+    counts = {r.word: r.n for r in counted.collect()}
+    own = set(vocabulary.hashes.view(np.int64).tolist())
+    ids = dict(zip(counts, vocabulary.encode(np.array(list(counts), dtype=np.int64).view(np.uint64)).tolist()))
+    whole = np.bincount([ids[w] for w in counts], weights=list(counts.values()), minlength=M.TOKENS)
+    want = {}
+    for r in docs.collect():
+        for _, _, _, token, context, found in M._word_slices(pa.array([r.text]), vocabulary):
+            shares = [math.log(counts[w] / whole[t]) if w not in own else 0 for w, t in zip(found.view(np.int64).tolist(), token.tolist())]
+            want[r.doc_id] = want.get(r.doc_id, 0) + float(M.log_probabilities(weights, token, context).sum()) + sum(shares)
+    for known in (50, 50_000):
+        monkeypatch.setattr(M, "KNOWN", known)
+        shares, near = M.word_shares(counted, vocabulary)
+        sums = np.zeros(M.TOKENS)
+        for r in shares.collect():
+            sums[ids[r.word]] += math.exp(r.share)
+        assert np.allclose(sums[sums > 0], 1) and len(near.hashes) == min(known, len(counts) - len(own))
+        got = {r.doc_id: r.log_likelihood for r in M.pseudo_likelihood(docs).collect()}
+        assert all(math.isclose(got[i], want.get(i, 0), rel_tol=1e-3, abs_tol=0.01) for i in got)
