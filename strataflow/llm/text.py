@@ -77,12 +77,10 @@ def slices(offsets: np.ndarray, size: int = SLICE_BYTES) -> Iterator[tuple[int,
         first = last
 
 
-def words(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = WHITE) -> tuple[np.ndarray, np.ndarray]:
-    """The 64-bit hash of each word in order, A-Z lower-cased, and the first word of each text (one entry more than
-    texts). `between` tells which bytes separate words."""
+def word_spans(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = WHITE) -> tuple[np.ndarray, np.ndarray]:
+    """First byte of each word in order, and the byte behind it; words end where texts do. `between` tells which bytes
+    separate words."""
     n = len(data)
-    if n == 0:
-        return np.zeros(0, dtype=U64), np.zeros(len(offsets), dtype=np.int64)
     inside = ~between[data]
     edge = np.zeros(n + 1, dtype=bool)
     edge[offsets] = True
@@ -90,12 +88,35 @@ def words(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = WHITE) ->
     begins[1:] &= ~inside[:-1] | edge[1:n]
     stops = inside.copy()
     stops[:-1] &= ~inside[1:] | edge[1:n]
-    start, stop = np.flatnonzero(begins), np.flatnonzero(stops) + 1
+    return np.flatnonzero(begins), np.flatnonzero(stops) + 1
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """The 64-bit hash of each span of bytes, A-Z lower-cased."""
+    n = len(data)
     power, inverse = _power_tables(n)
     sums = np.zeros(n + 1, dtype=U64)
     np.cumsum(BYTE_VALUE[_LOWER[data]] * power, out=sums[1:])
-    hashes = mix((sums[stop] - sums[start]) * inverse[start] + (stop - start).astype(U64))
-    return hashes, np.searchsorted(start, offsets)
+    return mix((sums[stop] - sums[start]) * inverse[start] + (stop - start).astype(U64))
+
+
+def words(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = WHITE) -> tuple[np.ndarray, np.ndarray]:
+    """The 64-bit hash of each word in order, A-Z lower-cased, and the first word of each text (one entry more than
+    texts). `between` tells which bytes separate words."""
+    if len(data) == 0:
+        return np.zeros(0, dtype=U64), np.zeros(len(offsets), dtype=np.int64)
+    start, stop = word_spans(data, offsets, between)
+    return span_hashes(data, start, stop), np.searchsorted(start, offsets)
+
+
+def rolled(hashes: np.ndarray, size: int) -> np.ndarray:
+    """The hash of every `size` words in a row."""
+    place = mix(np.arange(1, size + 1, dtype=U64)) | U64(1)
+    n = max(len(hashes) - size + 1, 0)
+    sums = np.full(n, size, dtype=U64)
+    for j in range(size if n else 0):
+        sums += hashes[j : j + n] * place[j]
+    return mix(sums)
 
 
 def shingles(hashes: np.ndarray, firsts: np.ndarray, size: int) -> list[np.ndarray]:
