@@ -1,7 +1,9 @@
 """Document fingerprints by consistent weighted sampling, in DataFrame functions only.
 
 A text is a bag of words `[^\\x20\\x09-\\x0D]+`, weighted by how often they occur. Every word gets gamma-based random values
-from its hash and the number of the sample: r and c from Gamma(2, 1), b uniform. With weight w, t = floor(ln w / r + b),
+from its hash and the number of the sample: r and c from Gamma(2, 1), b uniform. Spark's logarithms would take most of
+the time, so r and ln c come from 20 bits of the hash by quantile tables: 1,023 linear pieces, and 1,024 steps in the end
+without bound. With weight w, t = floor(ln w / r + b),
 ln y = r (t - b) and ln a = ln c - ln y - r; the word of the whole text with the smallest a is sampled together with t.
 Two texts then draw the same (word, t) with a probability equal to their generalised Jaccard similarity, sum of min / sum
 of max weights, in each of SAMPLES independent samples.
@@ -12,6 +14,11 @@ drawn. Likeness is the share of equal samples; two texts without words are alike
 
 from __future__ import annotations
 
+import hashlib
+import struct
+from functools import cache
+
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,28 +27,76 @@ from strataflow.llm.shared import stash
 SAMPLES = 64
 #: Samples that are drawn side by side in one row; a word has SAMPLES / ABREAST rows.
 ABREAST = 2
+#: Cells of the quantile tables: a power of two. Plans hold the tables, and so do the driver's texts of plans.
+CELL_BITS = 10
+CELLS = 1 << CELL_BITS
 #: Characters of text per partition while words are counted.
 PARTITION_CHARS = 6_000_000
 
 
-def _uniform(hashed: Column, place: int) -> Column:
-    """21 bits of a hash as a number above 0 and at most 1."""
-    return (F.shiftrightunsigned(hashed, 21 * place).bitwiseAND(F.lit((1 << 21) - 1)) + 1) / float(1 << 21)
+def _gamma_quantile(p: np.ndarray) -> np.ndarray:
+    """The x below which Gamma(2, 1) lies with probability p, so 1 - (1 + x) exp(-x) = p, by bisection."""
+    low, high = np.zeros_like(p), np.full_like(p, 60.0)
+    for _ in range(80):
+        middle = (low + high) / 2
+        under = -np.expm1(-middle) - middle * np.exp(-middle) < p
+        low, high = np.where(under, middle, low), np.where(under, high, middle)
+    return (low + high) / 2
+
+
+class _Quantiles:
+    """A function of Gamma(2, 1) drawn from 20 bits of a hash without a logarithm: its values at CELLS quantiles, linear
+    between them; the cell at the end where it has no bound holds CELLS values more."""
+
+    def __init__(self, function, end: int):
+        edges = function(_gamma_quantile(np.clip(np.arange(CELLS + 1) / CELLS, 1e-12, 1 - 1e-12)))
+        fine = (np.arange(CELLS) + 0.5) / CELLS / CELLS
+        tail = function(_gamma_quantile(end / CELLS + fine))
+        self.end = end
+        self.base, self.slope, self.tail = (self._literal(v) for v in (edges[:-1], np.diff(edges) / CELLS, tail))
+
+    @staticmethod
+    def _literal(values: np.ndarray) -> str:
+        return ",".join(f"{v:.7g}" for v in values)
+
+    def draw(self, hashed: Column, at: int) -> Column:
+        # Spark folds each text of numbers to one constant array.
+        base, slope, tail = (F.split(F.lit(v), ",").cast("array<double>") for v in (self.base, self.slope, self.tail))
+        cell, rest = _bits(hashed, at, CELL_BITS).cast("int"), _bits(hashed, at + CELL_BITS, CELL_BITS).cast("int")
+        return F.when(cell == self.end, F.get(tail, rest)).otherwise(F.get(base, cell) + rest * F.get(slope, cell))
+
+
+@cache
+def _gammas() -> tuple[_Quantiles, _Quantiles]:
+    """Draws of r, and of ln c."""
+    return _Quantiles(lambda x: x, CELLS - 1), _Quantiles(np.log, 0)
+
+
+def _bits(hashed: Column, at: int, n: int) -> Column:
+    return F.shiftrightunsigned(hashed, at).bitwiseAND(F.lit((1 << n) - 1))
+
+
+def _salts(sample: int) -> tuple[int, int]:
+    """Two 64-bit numbers that name a sample."""
+    digest = hashlib.blake2b(f"sample {sample}".encode(), digest_size=16).digest()
+    return struct.unpack("<qq", digest)
 
 
-def _draws(term: Column, sample: Column, log_weights: list[Column]) -> list[Column]:
-    """What a word offers to a sample under each of some weights (null where the word is missing): the smallest value of a
-    text holds its sample in the low 16 bits; the high bits order by a."""
-    one, two = F.xxhash64(term, 2 * sample), F.xxhash64(term, 2 * sample + 1)
-    r = F.greatest(-F.log(_uniform(one, 0) * _uniform(one, 1)), F.lit(1e-9))
-    c = F.greatest(-F.log(_uniform(one, 2) * _uniform(two, 0)), F.lit(1e-9))
-    b, log_c, drawn = _uniform(two, 1), F.log(c), []
+def _draws(term: Column, salts: tuple[Column, Column], log_weights: list[Column]) -> list[Column]:
+    """What a word, named by its hash, offers to a sample under each of some weights (null where the word is missing): the
+    smallest value of a text holds its sample in the low 16 bits; the high bits order by a."""
+    one, two = F.xxhash64(term.bitwiseXOR(salts[0])), F.xxhash64(term.bitwiseXOR(salts[1]))
+    gamma, log_gamma = _gammas()
+    r, log_c = gamma.draw(one, 0), log_gamma.draw(one, 2 * CELL_BITS)
+    b, drawn = (_bits(two, 0, 32) + 1) / float(1 << 32), []
+    # 16 bits of the word that nothing above uses; t tells its own samples apart.
+    name = F.shiftrightunsigned(two, 48)
     for log_weight in log_weights:
         # Nothing here is conditional, so that Spark finds r, b and ln c once for all weights. A null weight gives null.
         t = F.floor(log_weight / r + b)
         # ln a lies between -100 and 30 for weights up to 2**31.
-        order = F.floor((log_c - r * (t - b + 1) + 128) * float(1 << 36)).cast("long")
-        drawn.append(F.shiftleft(order, 16).bitwiseOR(F.xxhash64(term, t).bitwiseAND(F.lit(0xFFFF))))
+        order = ((log_c - r * (t - b + 1) + 128) * float(1 << 36)).cast("long")
+        drawn.append(F.shiftleft(order, 16).bitwiseOR(name.bitwiseXOR(t).bitwiseAND(F.lit(0xFFFF))))
     return drawn
 
 
@@ -54,10 +109,11 @@ def signatures(texts: DataFrame, keys: list[str], columns: list[str]) -> DataFra
     counted = made.groupBy(*keys, "term").agg(*[F.count(F.when(F.col("version") == i, 1)).alias(f"n{i}") for i in range(len(columns))])
     # The logarithm of no occurrence is null.
     weighed = counted.select(*keys, "term", *[F.log(F.col(f"n{i}").cast("double")).alias(f"w{i}") for i in range(len(columns))])
-    dealt = weighed.withColumn("first", F.explode(F.array(*[F.lit(k) for k in range(0, SAMPLES, ABREAST)])))
+    groups = [[F.lit(k).alias("first"), *[F.lit(v).alias(f"salt{j}_{at}") for j in range(ABREAST) for at, v in enumerate(_salts(k + j))]] for k in range(0, SAMPLES, ABREAST)]
+    dealt = weighed.select("*", F.inline(F.array(*[F.struct(*g) for g in groups])))
     drawn = []
     for j in range(ABREAST):
-        values = _draws(F.col("term"), F.col("first") + j, [F.col(f"w{i}") for i in range(len(columns))])
+        values = _draws(F.col("term"), (F.col(f"salt{j}_0"), F.col(f"salt{j}_1")), [F.col(f"w{i}") for i in range(len(columns))])
         drawn += [F.min(v).alias(f"s{i}_{j}") for i, v in enumerate(values)]
     least = dealt.groupBy(*keys, "first").agg(*drawn)
 
