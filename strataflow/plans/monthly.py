@@ -54,7 +54,6 @@ class BatchRun:
     as_of: Column
     calendar_start: str = "2024-01-01"
     calendar_end: str = "2026-12-31"
-    multi_line: bool = True
     log: list[dict] = field(default_factory=list)
     files: int = 0
     step_began: datetime = field(default_factory=_now)
@@ -91,13 +90,13 @@ class BatchRun:
             self._write_errors("file", landing.file_errors(checked, self.batch_id, self.as_of))
             self._close("FAILED", 0, 0)
         if outcome.outcome == "LOAD_RAW":
-            staged = {}
+            staged, breaking = {}, landing.breaking_files(checked)
             for entity in LOAD_ORDER:
-                headers = landing.headers_of(checked, heads, entity)
+                headers = landing.headers_of(checked, entity)
                 if headers:
                     try:
                         staged[entity] = landing.land_entity(
-                            self.spark, ENTITIES[entity], headers, self.batch_id, self.as_of, self.multi_line,
+                            self.spark, ENTITIES[entity], headers, self.batch_id, self.as_of, breaking,
                             store=lambda rows, e=entity: self._stage(e, rows),
                         )
                     except Exception as exc:

@@ -9,6 +9,7 @@ from strataflow.operators import gates, clean, lookups, maintenance, monitoring,
 from strataflow.plans import queries_quality as Q
 from strataflow.plans import queries_star as S
 from strataflow.plans import source_maps as M
+from strataflow.plans.monthly import BatchRun, RawLoadError
 from strataflow.plans.registry import Source, fragment, query
 from strataflow.session import scratch_path
 from strataflow.sources import aspect_cache, landing
@@ -226,6 +227,54 @@ def optional_columns(src: Source) -> DataFrame:
     )
 
 
+# Texts with line breaks: whole documents as reviews, in quoted fields. ------------------------------------
+
+_REVIEW = {
+    "rating_id": "'RAT' || CAST(doc_id AS STRING)", "order_id": "'ORD' || lang", "customer_id": "source", "restaurant_id": "'5\" ' || lang",
+    "rating": "CAST(doc_id % 5 AS STRING)", "review_text": "COALESCE(text, '')", "review_timestamp": "''", "sentiment_score": "CAST(n_chars AS STRING)",
+}
+
+
+def landed_reviews(src: Source) -> DataFrame:
+    """Documents as files of ratings, landed again. Their lines begin and end inside quoted fields, in any split."""
+    folder, spec = scratch_path(src.spark, "reviews"), ENTITIES["rating"]
+    rows = src.table("documents").selectExpr("doc_id", *[f"{e} AS {n}" for n, e in _REVIEW.items()])
+    rows.repartitionByRange(DROP_FILES, "doc_id").sortWithinPartitions("doc_id").drop("doc_id").write.option("header", True).option(
+        "escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folder)
+    heads = landing.file_heads(src.spark, folder)
+    breaking = {r.file_path.rsplit("/", 1)[-1] for r in heads.filter("breaks_lines").select("file_path").collect()}
+    headers = {r.file_path: spec.columns for r in landing.discover_files(src.spark, folder).select("file_path").collect()}
+    return landing.land_entity(src.spark, spec, headers, 7, breaking={p for p in headers if p.rsplit("/", 1)[-1] in breaking})
+
+
+@query(
+    "a5_landed_reviews",
+    f"SELECT {', '.join(f'{e} AS {n}' for n, e in _REVIEW.items())}, CAST(7 AS BIGINT) AS batch_id FROM documents",
+)
+def landed_review_texts(src: Source) -> DataFrame:
+    return landed_reviews(src).select(*ENTITIES["rating"].columns, "batch_id")
+
+
+@query(
+    "a6_record_numbers",
+    f"SELECT CAST({DROP_FILES} AS BIGINT) AS files, count(*) AS total_rows, true AS dense, true AS in_file_order FROM documents",
+)
+def record_numbers(src: Source) -> DataFrame:
+    """Records of many lines are numbered densely from 2 in every file, in the order in which they were written."""
+    doc = F.substring("rating_id", 4, 20).cast("long")
+    last = F.lag(doc).over(Window.partitionBy("source_file_name").orderBy("source_row_number"))
+    landed = landed_reviews(src).withColumn("ordered", F.coalesce(doc >= last, F.lit(True)))
+    per_file = landed.groupBy("source_file_name").agg(
+        F.count(F.lit(1)).alias("n"), F.min("source_row_number").alias("low"), F.max("source_row_number").alias("high"),
+        F.count_distinct("source_row_number").alias("numbers"), F.bool_and("ordered").alias("ordered"),
+    )
+    return per_file.agg(
+        F.count(F.lit(1)).alias("files"), F.sum("n").alias("total_rows"),
+        F.bool_and((F.col("numbers") == F.col("n")) & (F.col("high") == F.col("n") + 1) & (F.col("low") == 2)).alias("dense"),
+        F.bool_and("ordered").alias("in_file_order"),
+    )
+
+
 # Batch replacement ----------------------------------------------------------------------------------------
 
 # Two of the batches: one is delivered again, one turns out to be empty.
@@ -268,12 +317,46 @@ def raw_replace(src: Source) -> DataFrame:
 _RAW_LABELS = {s.label: s.raw_table for s in ENTITIES.values()}
 
 
+# A rating of a day to come breaks the load of its entity; all others are loaded.
+_BREAKS = "review_timestamp = 'today'"
+
+
 @query(
     "a10_raw_rollup",
-    " UNION ALL ".join(f"SELECT batch_id, '{n}' AS entity_name, count(*) AS cnt FROM {t} GROUP BY batch_id" for n, t in _RAW_LABELS.items()),
+    "WITH staged AS ("
+    + " UNION ALL ".join(
+        f"SELECT 'LOAD_RAW_{e.upper()}' AS step_name, count(*) AS n, {f'count(*) FILTER (WHERE {_BREAKS})' if e == 'rating' else '0'} AS bad FROM {s.raw_table}"
+        for e, s in ENTITIES.items()
+    )
+    + ") SELECT step_name, CASE WHEN bad > 0 THEN 'FAILED' ELSE 'SUCCESS' END AS status, CASE WHEN bad > 0 THEN 0 ELSE n END AS rows_processed, "
+    "CASE WHEN bad > 0 THEN 0 ELSE n END AS stored_rows, CAST(bad > 0 AS INT) AS load_errors, 'FAILED' AS batch_status FROM staged",
 )
 def raw_rollup(src: Source) -> DataFrame:
-    return monitoring.layer_counts({n: src(t) for n, t in _RAW_LABELS.items()})
+    """All staged rows as one batch, in which one entity fails: the others go on, totals come from what the tables hold, the
+    failure is written down and the batch fails at the end."""
+    spark = src.spark
+    run = BatchRun(spark, Warehouse(spark, scratch_path(spark, "rollup")), 7, F.lit("2024-02-01 00:00:00").cast("timestamp_ntz"))
+    staged = {e: src(s.raw_table).drop("batch_id") for e, s in ENTITIES.items()}
+    broken = F.when(F.expr(_BREAKS), F.raise_error(F.lit("a review from the future"))).otherwise(F.col("review_timestamp"))
+    staged["rating"] = staged["rating"].withColumn("review_timestamp", broken.cast("string"))
+    try:
+        run.load_raw(staged)
+    except RawLoadError:
+        pass
+    log = run.control("etl_log", 7).select("step_name", "status", "rows_processed")
+    batch = run.control("etl_batch", 7).select(F.col("status").alias("batch_status"))
+    stored = None
+    for entity in ENTITIES:
+        kept = run.raw(entity)
+        rows = kept.agg(F.count(F.lit(1)).alias("stored_rows")) if kept is not None else spark.range(1).select(F.lit(0).cast("long").alias("stored_rows"))
+        rows = rows.withColumn("step_name", F.lit(f"LOAD_RAW_{entity.upper()}"))
+        stored = rows if stored is None else stored.unionByName(rows)
+    errors = run.control("etl_error", 7).filter("error_type = 'RAW_LOAD_ERROR'").select(
+        F.concat(F.lit("LOAD_RAW_"), F.upper("table_name")).alias("step_name"), F.lit(1).alias("one")
+    )
+    found = log.join(stored, "step_name").join(errors, "step_name", "left")
+    counted = found.groupBy("step_name", "status", "rows_processed", "stored_rows").agg(F.count("one").cast("int").alias("load_errors"))
+    return counted.select("*", batch.scalar().alias("batch_status"))
 
 
 @query(
@@ -379,6 +462,18 @@ def cache_round_trip(src: Source) -> DataFrame:
     return aspect_cache.read_cache_rows(src.spark, path)
 
 
+@query(
+    "a15_list_file",
+    f"SELECT {_CACHE} FROM doc_cache UNION ALL SELECT review_hash, review_text, 0, 2, substring(review_text, 1, 200), 'offline-fallback' FROM uncached_docs",
+)
+def cache_list_file(src: Source) -> DataFrame:
+    """The same cache exported as JSON lists and read from them, in the splits that the files have."""
+    path = scratch_path(src.spark, "cache-lists")
+    fresh, cache = S.fallback_aspects(src), S.doc_cache(src)
+    aspect_cache.write_cache_lists(cache.unionByName(fresh.select(*cache.columns)), path, DROP_FILES)
+    return aspect_cache.read_cache(src.spark, path)
+
+
 # Streams --------------------------------------------------------------------------------------------------
 
 def stream_of(src: Source, table: str) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strataflow.operators.surrogate import assign_keys
+from strataflow.sources import pieces
 
 COLUMNS = ("review_hash", "review_text", "aspect_id", "sentiment_type_id", "matched_phrase", "ai_model")
 NUMBERS = ("aspect_id", "sentiment_type_id")
@@ -15,9 +16,9 @@ REQUEST_SIZE = 15
 
 
 def read_cache(spark: SparkSession, path: str) -> DataFrame:
-    """One row per entry; array positions become columns."""
-    whole = spark.read.text(path, wholetext=True)
-    entries = whole.select(F.explode(F.from_json("value", "array<array<string>>")).alias("e"))
+    """One row per entry of the list files of a path; array positions become columns. A file is read by as many tasks as
+    it has splits, also where the whole list stands on one line."""
+    entries = pieces.json_entries(spark, path).select(F.from_json("value", "array<string>").alias("e"))
     return entries.select(
         *[
             F.col("e")[i].cast("int").alias(c) if c in NUMBERS else F.col("e")[i].alias(c)
@@ -50,16 +51,29 @@ def ordered_entries(cache: DataFrame) -> DataFrame:
     ).orderBy("review_text", "aspect_id", "sentiment_type_id")
 
 
-def write_cache(cache: DataFrame, path: str) -> None:
-    """Sorted export, one six-element JSON array per line, range-partitioned over the executors."""
+def _line() -> Column:
+    """An entry as a six-element JSON array."""
     def field(c: str):
         if c in NUMBERS:
             return F.col(c).cast("string")
         # to_json quotes and escapes one text inside a one-element array; the brackets come off again.
         return F.regexp_replace(F.to_json(F.array(F.coalesce(F.col(c), F.lit("")))), r"^\[|\]$", "")
 
-    line = F.concat(F.lit("["), F.concat_ws(",", *[field(c) for c in COLUMNS]), F.lit("]"))
-    ordered_entries(cache).select(line.alias("value")).write.mode("overwrite").text(path)
+    return F.concat(F.lit("["), F.concat_ws(",", *[field(c) for c in COLUMNS]), F.lit("]"))
+
+
+def write_cache(cache: DataFrame, path: str) -> None:
+    """Sorted export, one six-element JSON array per line, range-partitioned over the executors."""
+    ordered_entries(cache).select(_line().alias("value")).write.mode("overwrite").text(path)
+
+
+def write_cache_lists(cache: DataFrame, path: str, files: int) -> None:
+    """Sorted export as JSON lists, one per range of review texts; each range has a folder and a file of its own."""
+    ranged = ordered_entries(cache).repartitionByRange(files, "review_text").withColumn("part", F.spark_partition_id())
+    inside = Window.partitionBy("part").orderBy("review_text", "aspect_id", "sentiment_type_id")
+    first, last = F.lag("part").over(inside).isNull(), F.lead("part").over(inside).isNull()
+    line = F.concat(F.when(first, "[").otherwise(""), _line(), F.when(last, "]").otherwise(","))
+    ranged.select("part", line.alias("value")).write.mode("overwrite").partitionBy("part").text(path)
 
 
 def request_batches(reviews: DataFrame, size: int = REQUEST_SIZE) -> DataFrame:

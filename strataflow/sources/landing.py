@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 from functools import reduce
 from urllib.parse import unquote
 
@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strataflow.sources import pieces
 from strataflow.spec import ENTITIES, EntitySpec
 
 BYTE_ORDER_MARK = "﻿"
@@ -42,10 +43,11 @@ def identify_source(file_name: Column) -> Column:
 
 
 def file_heads(spark: SparkSession, folder: str) -> DataFrame:
-    """Header line, and whether a data line follows, per file.
+    """Header line, whether a data line follows, and whether a quoted field holds a line break, per file.
 
-    Files are read as lines; the head is the first line of the first block and the data test is a maximum,
-    so the lines are reduced inside the scan tasks and one row per file travels on.
+    Files are read as lines; the head is the first line of the first block and the tests are maxima, so the
+    lines are reduced inside the scan tasks and one row per file travels on. As long as no line ends inside
+    quotes every line begins outside them, so the first line that does is told apart by itself.
     """
     lines = (
         spark.read.option("pathGlobFilter", "*.[cC][sS][vV]")
@@ -60,7 +62,8 @@ def file_heads(spark: SparkSession, folder: str) -> DataFrame:
     )
     position = F.struct("block_start", "line_id")
     return lines.groupBy("file_path").agg(
-        F.min_by("line", position).alias("header"), (F.count(F.lit(1)) > 1).alias("has_data")
+        F.min_by("line", position).alias("header"), (F.count(F.lit(1)) > 1).alias("has_data"),
+        F.bool_or(pieces.opens_quotes(F.col("line"))).alias("breaks_lines"),
     )
 
 
@@ -69,15 +72,14 @@ def _names(columns) -> Column:
 
 
 def check_files(files: DataFrame, heads: DataFrame) -> DataFrame:
-    """File contract: (file, entity, is_valid, errors).
+    """File contract: (file, entity, is_valid, errors), with what the head of the file told.
 
     A bad name or an empty file ends the check; otherwise column and data errors are all reported. Column
     order is free and optional columns may be absent.
     """
     # Both sides name the same files; the scan reports URL-escaped paths, so the name is the key here.
-    named = heads.select(
-        F.element_at(F.split("file_path", "/"), -1).alias("head_name"), "header", "has_data"
-    )
+    told = [c for c in heads.columns if c != "file_path"]
+    named = heads.select(F.element_at(F.split("file_path", "/"), -1).alias("head_name"), *told)
     df = files.withColumn("entity", identify_source(F.col("file_name"))).join(
         named, F.col("file_name") == F.col("head_name"), "left"
     )
@@ -112,7 +114,7 @@ def check_files(files: DataFrame, heads: DataFrame) -> DataFrame:
         )
     )
     return df.select(
-        "file_path", "file_name", "entity", errors.alias("errors"),
+        "file_path", "file_name", "entity", errors.alias("errors"), *told,
     ).withColumn("is_valid", F.size("errors") == 0)
 
 
@@ -194,29 +196,21 @@ def staged_batches(staged: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def _reader(spark: SparkSession, schema: T.StructType, multi_line: bool):
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("multiLine", multi_line)
-        .option("encoding", "UTF-8")
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("enforceSchema", False)
-        .option("mode", "PERMISSIVE")
-    )
+#: Of the delimited text: fields in quotes, a doubled quote inside them for one.
+CSV = {"quote": '"', "escape": '"', "mode": "PERMISSIVE"}
 
 
-def scan_text(
-    spark: SparkSession, paths: list[str] | str, columns: list[str], multi_line: bool = True
-) -> DataFrame:
-    """All-text scan of files that share a column order, with file name, block and position in the block.
+def _text_schema(columns: list[str]) -> T.StructType:
+    return T.StructType([T.StructField(c, T.StringType()) for c in columns])
 
-    Multi-line mode keeps line breaks inside quotes and reads one file per task. Drops of few, huge files
-    without such breaks can set it off: files are then split and read in parallel.
-    """
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    rows = _reader(spark, schema, multi_line).csv(paths)
+
+def scan_lines(spark: SparkSession, paths: list[str], columns: list[str]) -> DataFrame:
+    """All-text scan of files that share a column order and hold one record per line, with file name, split and
+    position in the split. Files are split and read in parallel."""
+    rows = (
+        spark.read.schema(_text_schema(columns)).options(**CSV)
+        .option("header", True).option("encoding", "UTF-8").option("enforceSchema", False).csv(paths)
+    )
     # The reader turns empty fields into NULL; a column that is in the file keeps them as empty text.
     return rows.select(
         *[F.coalesce(c, F.lit("")).alias(c) for c in columns],
@@ -226,6 +220,28 @@ def scan_text(
     )
 
 
+def scan_records(spark: SparkSession, paths: list[str], columns: list[str]) -> DataFrame:
+    """The same scan of files whose quoted fields may hold line breaks: split all the same, see `pieces`. Records are
+    numbered per file already, so each file counts as one split."""
+    found = pieces.csv_records(spark, paths).filter(F.col("record") > 1)
+    fields = F.from_csv("value", _text_schema(columns).simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), CSV)
+    return found.select("file_name", "record", fields.alias("f")).select(
+        *[F.coalesce(f"f.{c}", F.lit("")).alias(c) for c in columns],
+        F.col("file_name").alias("source_file_name"), F.lit(0).cast("long").alias("block_start"),
+        F.col("record").alias("scan_id"),
+    )
+
+
+def scan_text(spark: SparkSession, paths: list[str], columns: list[str], breaking: Collection[str] | None = None) -> DataFrame:
+    """All-text scan of files that share a column order. `breaking` names those of them whose quoted fields hold line
+    breaks, and may name other files; None stands for all of them."""
+    broken = [p for p in paths if breaking is None or p in breaking]
+    plain = [p for p in paths if p not in broken]
+    parts = [scan_lines(spark, plain, columns)] if plain else []
+    parts += [scan_records(spark, broken, columns)] if broken else []
+    return reduce(DataFrame.unionByName, parts)
+
+
 def number_rows(scanned: DataFrame, first: int = 2) -> DataFrame:
     """Dense row numbers per file, starting below the header line.
 
@@ -260,19 +276,21 @@ def fill_columns(df: DataFrame, spec: EntitySpec, lineage: tuple[str, ...]) -> D
 
 def land_entity(
     spark: SparkSession, spec: EntitySpec, headers: dict[str, tuple[str, ...]], batch_id: int,
-    at: Column | None = None, multi_line: bool = True, store: Callable[[DataFrame], DataFrame] | None = None,
+    at: Column | None = None, breaking: Collection[str] | None = None,
+    store: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """The raw rows of one entity in a batch.
 
     `headers` maps each file to its column order. Files that share an order are scanned together, so the
     number of scans is the number of distinct header lines. `store` writes the scanned rows to the stage and
     reads them back; then they are numbered from what is stored, and no second scan has to split files alike.
+    `breaking` names files with line breaks inside quotes, where that is known.
     """
     groups: dict[tuple[str, ...], list[str]] = {}
     for path, columns in headers.items():
         groups.setdefault(columns, []).append(path)
     scanned = [
-        fill_columns(scan_text(spark, sorted(paths), list(columns), multi_line), spec, ("source_file_name", "block_start", "scan_id"))
+        fill_columns(scan_text(spark, sorted(paths), list(columns), breaking), spec, ("source_file_name", "block_start", "scan_id"))
         for columns, paths in groups.items()
     ]
     staged = reduce(DataFrame.unionByName, scanned)
@@ -286,13 +304,12 @@ def land_entity(
     return fill_columns(stamped, spec, ("batch_id", "source_file_name", "source_row_number", "load_timestamp"))
 
 
-def headers_of(checked: DataFrame, heads: DataFrame, entity: str) -> dict[str, tuple[str, ...]]:
+def headers_of(checked: DataFrame, entity: str) -> dict[str, tuple[str, ...]]:
     """Column order of each valid file of an entity. One short row per file comes to the driver."""
-    named = heads.select(F.element_at(F.split("file_path", "/"), -1).alias("file_name"), "header")
-    rows = (
-        checked.filter(F.col("is_valid") & (F.col("entity") == entity))
-        .join(named, "file_name")
-        .select("file_path", "header")
-        .collect()
-    )
+    rows = checked.filter(F.col("is_valid") & (F.col("entity") == entity)).select("file_path", "header").collect()
     return {r.file_path: tuple(c.strip().strip('"') for c in r.header.split(",")) for r in rows}
+
+
+def breaking_files(checked: DataFrame) -> set[str]:
+    """Files with line breaks inside quotes."""
+    return {r.file_path for r in checked.filter("is_valid AND breaks_lines").select("file_path").collect()}

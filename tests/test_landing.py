@@ -1,6 +1,10 @@
 """File contract, row numbers, replacement, the whole batch with reruns and late parents, retention, streams."""
 
+import csv
 import datetime as dt
+import io
+import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +12,7 @@ from pyspark.sql import functions as F
 from strataflow.operators import audits, kpis, lookups, maintenance, monitoring
 from strataflow.operators import views
 from strataflow.plans import monthly
-from strataflow.sources import aspect_cache, landing
+from strataflow.sources import aspect_cache, landing, pieces
 from strataflow.sources.tables import Warehouse
 from strataflow.spec import ENTITIES
 from strataflow.streaming import jobs
@@ -70,16 +74,16 @@ def test_file_contract(spark, tmp_path):
     assert routes["customer_20260202.csv"] == ("rejected", "2026_02", "customer_20260202_batch4.csv")
 
 
-@pytest.mark.parametrize("multi_line", [True, False])
-def test_row_numbers_across_blocks(spark, tmp_path, multi_line):
+@pytest.mark.parametrize("breaking", [None, ()])
+def test_row_numbers_across_blocks(spark, tmp_path, breaking):
     lines = [f"CUST{i:06d},2026-01-01,Pune,\"Pa\"\"id, {i}\"" for i in range(3000)]
     write(tmp_path, "customer_20260131.csv", CUSTOMER_HEADER, *lines, bom=True)
     write(tmp_path, "customer_20260228.csv", "city,customer_id,signup_date", "Pune,CUST900000,", ",CUST900001,x")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
     try:
-        heads = landing.file_heads(spark, str(tmp_path))
-        headers = landing.headers_of(check(spark, tmp_path), heads, "customer")
-        rows = landing.land_entity(spark, ENTITIES["customer"], headers, 7, as_of(), multi_line).collect()
+        checked = check(spark, tmp_path)
+        assert landing.breaking_files(checked) == set()
+        rows = landing.land_entity(spark, ENTITIES["customer"], landing.headers_of(checked, "customer"), 7, as_of(), breaking).collect()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     first = {r.source_row_number: r for r in rows if r.source_file_name == "customer_20260131.csv"}
@@ -94,10 +98,67 @@ def test_line_breaks_inside_quotes(spark, tmp_path):
     write(tmp_path, "rating_20260131.csv", header, 'RAT1,O,C,R,5,"two\nlines",2026-01-01,0', "RAT2,O,C,R,5,one,2026-01-01,0")
     rows = landing.land_entity(
         spark, ENTITIES["rating"], {str(tmp_path / "rating_20260131.csv"): ENTITIES["rating"].columns}, 1
-    ).collect()
+    ).orderBy("source_row_number").collect()
     assert [(r.rating_id, r.review_text, r.source_row_number) for r in rows] == [("RAT1", "two\nlines", 2), ("RAT2", "one", 3)]
 
 
+def breaking_rows(n):
+    """Ratings whose texts hold line breaks, quotes, separators and blank lines."""
+    rng = random.Random(n)
+    texts = ["plain", "", "two\nlines", 'a "quoted"\nword', "blank\n\n \nlines,\n", "carriage\r\nreturn", ',",\n"', '"\n"']
+    return [(f"RAT{i:012d}", "O", "C", "R", "5", rng.choice(texts) * rng.randint(1, 4), "2026-01-01", str(i)) for i in range(n)]
+
+
+@pytest.mark.parametrize("size", ["4096", "100m"])
+def test_splits_of_files_with_line_breaks(spark, tmp_path, size):
+    """One file cut into many splits gives the rows and numbers that a reader of the whole file finds; a quote within an
+    unquoted field is a plain character, blank lines are no records."""
+    rows = breaking_rows(4000)
+    out = io.StringIO()
+    writer = csv.writer(out, lineterminator="\n")
+    writer.writerow(ENTITIES["rating"].columns)
+    writer.writerows(rows[:2000])
+    out.write('RATX,O,C,R,5,5" wide,2026-01-01,0\n \n\n')
+    csv.writer(out, lineterminator="\r\n").writerows(rows[2000:])
+    (tmp_path / "rating_20260131.csv").write_text(out.getvalue(), encoding="utf-8-sig", newline="")
+    want = rows[:2000] + [("RATX", "O", "C", "R", "5", '5" wide', "2026-01-01", "0")] + rows[2000:]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        checked = check(spark, tmp_path)
+        headers = landing.headers_of(checked, "rating")
+        assert landing.breaking_files(checked) == set(headers)
+        got = landing.land_entity(spark, ENTITIES["rating"], headers, 1, as_of(), landing.breaking_files(checked)).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    found = {r.source_row_number: tuple(r[c] for c in ENTITIES["rating"].columns) for r in got}
+    assert len(got) == len(want) and found == dict(enumerate(want, 2))
+
+
+def test_a_quote_that_is_never_closed(spark, tmp_path):
+    write(tmp_path, "customer_20260131.csv", CUSTOMER_HEADER, 'CUST000001,"open', *["CUST000002,2026-01-01,Pune,Paid"] * 2000)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        with pytest.raises(Exception, match="a quote is not closed"):
+            pieces.csv_records(spark, str(tmp_path / "customer_20260131.csv")).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+@pytest.mark.parametrize("size", ["4096", "100m"])
+@pytest.mark.parametrize("indent", [None, 1])
+def test_splits_of_a_list_file(spark, tmp_path, size, indent):
+    """A list in one line or in many, its texts full of brackets, quotes and backslashes, cut into many splits."""
+    entries = [[f"h{i}", text + '[["\\]' * (i % 3), i % 7, 1, "]" * (i % 2), None] for i, (_, _, _, _, _, text, _, _) in enumerate(breaking_rows(2000))]
+    (tmp_path / "cache.json").write_text(json.dumps(entries, indent=indent, ensure_ascii=False), encoding="utf-8")
+    (tmp_path / "none.json").write_text(" [ ]\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        got = [tuple(r) for r in aspect_cache.read_cache(spark, str(tmp_path)).collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(got, key=str) == sorted(map(tuple, entries), key=str)
+
+
 ORDER_HEADER = ",".join(ENTITIES["order"].columns)
 ITEM_HEADER = ",".join(ENTITIES["order_item"].columns)
 DELIVERY_HEADER = ",".join(ENTITIES["delivery_performance"].columns)
