@@ -139,16 +139,18 @@ def empty_dimension(spark: SparkSession, name: str) -> DataFrame:
 
 
 def load_dimension(
-    name: str, dimension: DataFrame, typed_rows: DataFrame, effective: Column
+    name: str, dimension: DataFrame, typed_rows: DataFrame, effective: Column, first: Column | None = None
 ) -> DataFrame:
-    """Hybrid SCD load of one entity dimension, numbered, with `scd_action` per row."""
+    """Hybrid SCD load of one entity dimension, numbered, with `scd_action` per row. New keys begin at `first`, by default
+    behind those of `dimension`, which may be a part of the whole."""
     spec = scd2.DIMENSIONS[name]
     source = SOURCES[name][1](typed_rows)
-    return scd2.with_keys(spec, scd2.apply_scd2(spec, dimension, source, effective), dimension)
+    return scd2.with_keys(spec, scd2.apply_scd2(spec, dimension, source, effective), dimension, first)
 
 
-def load_menu_items(menu: DataFrame, items: DataFrame, restaurants: DataFrame) -> DataFrame:
-    """Type-1 merge by menu item with the current restaurant key (-1 when there is none)."""
+def load_menu_items(menu: DataFrame, items: DataFrame, restaurants: DataFrame, first: Column | None = None) -> DataFrame:
+    """Type-1 merge by menu item with the current restaurant key (-1 when there is none). New keys begin at `first`, by
+    default behind those of `menu`."""
     current = restaurants.filter("is_current").select("restaurant_id", "restaurant_key")
     source = items.join(current, "restaurant_id", "left").select(
         F.lit(None).cast("long").alias("menu_item_key"),
@@ -160,7 +162,8 @@ def load_menu_items(menu: DataFrame, items: DataFrame, restaurants: DataFrame) -
         menu, source, ["menu_item_id"], ["restaurant_key", "item_name", "category", "is_veg", "price"],
         kept=["menu_item_key"],
     )
-    return fill_missing_keys(merged, "menu_item_id", "menu_item_key", next_key(menu, "menu_item_key"))
+    start = next_key(menu, "menu_item_key") if first is None else first
+    return fill_missing_keys(merged, "menu_item_id", "menu_item_key", start)
 
 
 LIFE_CYCLE_COLUMNS = {
@@ -170,6 +173,44 @@ LIFE_CYCLE_COLUMNS = {
 }
 
 
+def _packed(facts: DataFrame, lifecycle: str) -> Column:
+    """Order day and life cycle in one number, whose maximum is the last day and the highest life cycle on it. A date key
+    of -1 stands for the unknown day."""
+    day = F.when(F.col("order_date_key") == -1, 19000101).otherwise(F.col("order_date_key"))
+    return day.cast("long") * 10 + F.coalesce(F.col(lifecycle), F.lit(0))
+
+
+def bucket_of(business_id: str, buckets: int) -> Column:
+    """The part of a dimension that holds all versions of an id."""
+    return F.pmod(F.xxhash64(business_id), F.lit(buckets)).cast("int")
+
+
+def month_activity(facts: DataFrame) -> DataFrame:
+    """(dimension, member, month_key, top): the packed last activity of each key in each month. Maxima of months merge, so
+    a batch computes those of the months it has written and leaves the others."""
+    each = F.explode(F.array(*[
+        F.struct(F.lit(n).alias("dimension"), F.col(key).alias("member"), _packed(facts, lifecycle).alias("top"))
+        for n, (key, lifecycle, _) in LIFE_CYCLE_COLUMNS.items()
+    ]))
+    rows = facts.select("month_key", each.alias("e")).select("month_key", "e.*").filter(F.col("member") != -1)
+    return rows.groupBy("dimension", "member", "month_key").agg(F.max("top").alias("top"))
+
+
+def _unpacked(tops: DataFrame, key: str) -> DataFrame:
+    return tops.select(
+        key,
+        key_to_date((F.col("top") / 10).cast("int")).alias("last_order_date"),
+        (F.col("top") % 10).cast("int").alias("last_life_cycle_id"),
+    )
+
+
+def stored_activity(name: str, activity: DataFrame, active: DataFrame) -> DataFrame:
+    """`last_activity` from stored maxima of months, for the keys in the only column of `active`."""
+    key = LIFE_CYCLE_COLUMNS[name][0]
+    mine = activity.filter(F.col("dimension") == name).select(F.col("member").alias(key), "top")
+    return _unpacked(mine.join(active.distinct(), key, "left_semi").groupBy(key).agg(F.max("top").alias("top")), key)
+
+
 def last_activity(
     facts: DataFrame, key: str, lifecycle: str, batch_id: int = ALL_BATCHES
 ) -> DataFrame:
@@ -182,21 +223,18 @@ def last_activity(
     if batch_id != ALL_BATCHES:
         active = of_batch(known, batch_id).select(key).distinct()
         known = known.join(active, key, "left_semi")
-    # A date key of -1 stands for the unknown day.
-    day = F.when(F.col("order_date_key") == -1, 19000101).otherwise(F.col("order_date_key"))
-    packed = day.cast("long") * 10 + F.coalesce(F.col(lifecycle), F.lit(0))
-    top = known.groupBy(key).agg(F.max(packed).alias("top"))
-    return top.select(
-        key,
-        key_to_date((F.col("top") / 10).cast("int")).alias("last_order_date"),
-        (F.col("top") % 10).cast("int").alias("last_life_cycle_id"),
-    )
+    return _unpacked(known.groupBy(key).agg(F.max(_packed(facts, lifecycle)).alias("top")), key)
 
 
 def enrich(name: str, dimension: DataFrame, facts: DataFrame, batch_id: int = ALL_BATCHES) -> DataFrame:
     """Write last activity and life cycle back to the current versions."""
-    key, lifecycle, start = LIFE_CYCLE_COLUMNS[name]
-    activity = last_activity(facts, key, lifecycle, batch_id)
+    key, lifecycle, _ = LIFE_CYCLE_COLUMNS[name]
+    return with_activity(name, dimension, last_activity(facts, key, lifecycle, batch_id))
+
+
+def with_activity(name: str, dimension: DataFrame, activity: DataFrame) -> DataFrame:
+    """The dimension with the given last activity in its current versions."""
+    key, _, start = LIFE_CYCLE_COLUMNS[name]
     hit = F.col("last_life_cycle_id").isNotNull() & F.col("is_current") & (F.col(key) != -1)
     replaced = {
         "last_active": F.when(hit, F.coalesce("last_order_date", start)).otherwise(F.col("last_active")),

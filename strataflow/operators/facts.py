@@ -300,6 +300,11 @@ def _orphan(columns) -> Column:
     return cond
 
 
+def orphans(name: str, facts: DataFrame) -> DataFrame:
+    """(fact key, order_id, month_key) of the rows that a late parent may still complete."""
+    return facts.filter(_orphan(RELINK[name])).select(FACT_KEYS[name], "order_id", "month_key")
+
+
 def _relink_pairs(name: str, facts: DataFrame, fact_order: DataFrame) -> DataFrame:
     pairs = RELINK[name]
     parents = fact_order.select(

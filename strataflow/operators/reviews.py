@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataflow.functions.parsing import text_hash
@@ -37,15 +37,16 @@ def upsert_review_aspect(target: DataFrame, source: DataFrame) -> DataFrame:
     return upsert(target, source, ASPECT_KEY, ["matched_phrase"], kept=["review_aspect_key"])
 
 
-def merge_review_aspect(target: DataFrame | None, source: DataFrame) -> DataFrame:
-    """The upsert with surrogate keys; rows are numbered by their three-part key."""
+def merge_review_aspect(target: DataFrame | None, source: DataFrame, first: Column | int | None = None) -> DataFrame:
+    """The upsert with surrogate keys; rows are numbered by their three-part key, from `first` or behind `target`."""
     part_key = F.concat_ws("|", *ASPECT_KEY)
     fresh = source.withColumn("review_aspect_key", F.lit(None).cast("long"))
     if target is None:
-        merged, first = fresh, 1
+        merged, start = fresh, 1
     else:
         merged = upsert_review_aspect(target, fresh.select(*target.columns)).drop("merge_action")
-        first = next_key(target, "review_aspect_key")
+        start = next_key(target, "review_aspect_key")
+    first = start if first is None else first
     numbered = fill_missing_keys(merged.withColumn("part_key", part_key), "part_key", "review_aspect_key", first)
     return numbered.drop("part_key")
 
@@ -53,16 +54,15 @@ def merge_review_aspect(target: DataFrame | None, source: DataFrame) -> DataFram
 def uncached_reviews(ratings: DataFrame, cache: DataFrame) -> DataFrame:
     """Distinct non-blank texts whose hash the cache does not know.
 
-    Equal texts collapse on the hash before the shuffle carries them, so repeated reviews cost one row per
-    map task.
+    Hashes alone are made distinct and compared with the cache. Only then are the texts of the hashes that are new
+    looked up, so no text of a known review is shuffled where those are few enough to be sent to the scan.
     """
-    texts = (
-        ratings.filter(F.length(F.trim(F.col("review_text"))) > 0)
-        .select(F.trim(F.col("review_text")).alias("review_text"))
-        .distinct()
-        .select(text_hash(F.col("review_text")).alias("review_hash"), "review_text")
+    filled = ratings.filter(F.length(F.trim(F.col("review_text"))) > 0)
+    new = filled.select(text_hash(F.trim("review_text")).alias("review_hash")).distinct().join(
+        cache.select("review_hash"), "review_hash", "left_anti"
     )
-    return texts.join(cache.select("review_hash").distinct(), "review_hash", "left_anti")
+    texts = filled.select(text_hash(F.trim("review_text")).alias("review_hash"), F.trim("review_text").alias("review_text"))
+    return texts.join(new, "review_hash", "left_semi").distinct()
 
 
 def fallback_aspects(reviews: DataFrame) -> DataFrame:

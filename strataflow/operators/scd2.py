@@ -152,9 +152,9 @@ def apply_scd2(
     return history.unionByName(touched)
 
 
-def with_keys(spec: DimensionSpec, versions: DataFrame, dimension: DataFrame) -> DataFrame:
-    """Number the new versions; at most one per business id in a batch."""
-    return fill_missing_keys(versions, spec.business_id, spec.key, next_key(dimension, spec.key))
+def with_keys(spec: DimensionSpec, versions: DataFrame, dimension: DataFrame, first: Column | None = None) -> DataFrame:
+    """Number the new versions, behind the keys of `dimension` or from `first`; at most one per business id in a batch."""
+    return fill_missing_keys(versions, spec.business_id, spec.key, next_key(dimension, spec.key) if first is None else first)
 
 
 def change_log(

@@ -65,10 +65,10 @@ def upsert(
     return joined.select(*out, action.alias("merge_action"))
 
 
-def upsert_entity(entity: str, target: DataFrame, source: DataFrame) -> DataFrame:
+def upsert_entity(entity: str, target: DataFrame, source: DataFrame, kept: Sequence[str] = ()) -> DataFrame:
     """Upsert one of the eight typed tables by its business key and tracked columns."""
     spec = ENTITIES[entity]
-    return upsert(target, source, [spec.key], spec.tracked)
+    return upsert(target, source, [spec.key], spec.tracked, kept)
 
 
 def action_counts(merged: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ The driver only orders the steps and publishes tables; every step is a set of Da
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import UTC, datetime
 
@@ -32,6 +33,8 @@ LOG_SCHEMA = (
     "message string, created_at timestamp_ntz"
 )
 SOURCE_SYSTEM = "File Ingestion"
+#: Rating keys of one part of the review aspects.
+ASPECT_SPAN = 1_000_000
 
 
 def _now() -> datetime:
@@ -54,6 +57,8 @@ class BatchRun:
     as_of: Column
     calendar_start: str = "2024-01-01"
     calendar_end: str = "2026-12-31"
+    #: Parts of a dimension; a batch writes those of the ids that it touches.
+    dimension_buckets: int = 16
     log: list[dict] = field(default_factory=list)
     files: int = 0
     step_began: datetime = field(default_factory=_now)
@@ -172,11 +177,14 @@ class BatchRun:
             valid, total = rows.count(), gated.count()
             if entity == "order":
                 self._write_warnings(rows)
-            target = self.typed(entity, self.batch_id)
-            merged = rows if target is None else upsert.upsert_entity(
-                entity, target, rows.select(*target.columns)
-            ).drop("merge_action")
-            self.warehouse.publish(f"ods/{spec.ods_table}", merged, self.batch_id)
+            # A row stays in the part of the batch that brought its key first.
+            self.warehouse.merge_parts(
+                f"ods/{spec.ods_table}", rows.withColumn("_home", F.lit(self.batch_id).cast("long")), spec.key, "_home",
+                lambda target, source, e=entity: source if target is None else upsert.upsert_entity(
+                    e, target, source.select(*target.columns), kept=["_home"]
+                ).drop("merge_action"),
+                self.batch_id, self.batch_id,
+            )
             status = "FAILED" if total and not valid else "PARTIAL" if valid < total else "SUCCESS"
             self.note("RAW_TO_ODS", spec.step_name, total, valid, status)
             rows.unpersist()
@@ -211,7 +219,12 @@ class BatchRun:
         return self.warehouse.current(f"dwh/{name}", before)
 
     def _of_batch(self, entity: str) -> DataFrame | None:
-        table = self.typed(entity)
+        """The rows that the batch has inserted or changed, from the parts that it has written."""
+        table = self.warehouse.written_by(f"ods/{ENTITIES[entity].ods_table}", self.batch_id)
+        return None if table is None else dimensions.of_batch(table, self.batch_id)
+
+    def _facts_of_batch(self, name: str) -> DataFrame | None:
+        table = self.warehouse.written_by(f"dwh/{name}", self.batch_id)
         return None if table is None else dimensions.of_batch(table, self.batch_id)
 
     def load_star(self, cache: DataFrame | None = None) -> None:
@@ -226,112 +239,192 @@ class BatchRun:
         calendar = dim_date(self.spark, self.calendar_start, self.calendar_end)
         self._load_facts(calendar)
         self._enrich()
-        if cache is not None:
-            self._load_review_aspects(cache)
+        self._load_review_aspects(cache)
+
+    def _merge_dimension(self, name: str, business_id: str, rows: DataFrame | None, load: Callable) -> DataFrame | None:
+        """Write the buckets that hold the ids of the rows. `load(base, first key)` gives their rows; returns the base."""
+        place, buckets = f"dwh/{name}", dimensions.bucket_of(business_id, self.dimension_buckets)
+        before = self.dimension(name, self.batch_id)
+        if rows is None:
+            if before is None:
+                empty = dimensions.empty_dimension(self.spark, name)
+                self.warehouse.publish_parts(place, empty.withColumn("_bucket", buckets), "_bucket", self.batch_id)
+            else:
+                self.warehouse.withdraw(place, self.batch_id)
+            return None
+        key = dimensions.DIMENSION_TYPES[name].split()[0]
+        whole = before if before is not None else dimensions.empty_dimension(self.spark, name)
+        found = rows.select(buckets.cast("string").alias("b")).distinct()
+        mine = {r.b for r in found.collect()}
+        parts = self.warehouse.parts(place, self.batch_id)
+        base = whole if before is None else whole.filter(buckets.cast("string").isin(list(mine)))
+        if parts is not None and (held := self.warehouse.current(place, self.batch_id, tuple(mine))) is not None:
+            base = held
+        merged = load(base, next_key(whole, key))
+        self.warehouse.publish_parts(
+            place, merged.select(*whole.columns).withColumn("_bucket", buckets), "_bucket", self.batch_id,
+            [p for p in parts or () if p.value not in mine],
+        )
+        return base
 
     def _load_entity_dimensions(self, effective: Column) -> None:
         for name, (entity, source_of) in dimensions.SOURCES.items():
             spec = scd2.DIMENSIONS[name]
-            before = self.dimension(name, self.batch_id)
-            base = before if before is not None else dimensions.empty_dimension(self.spark, name)
             rows = self._of_batch(entity)
-            if rows is None:
-                self.warehouse.publish(f"dwh/{name}", base, self.batch_id)
+            base = self._merge_dimension(
+                name, spec.business_id, rows, lambda held, first, n=name, r=rows: dimensions.load_dimension(n, held, r, effective, first)
+            )
+            if base is None:
                 continue
-            keyed = dimensions.load_dimension(name, base, rows, effective)
-            stored = self.warehouse.publish(f"dwh/{name}", keyed.drop("scd_action"), self.batch_id)
             changes = scd2.change_log(
-                spec, base, source_of(rows), effective, F.lit(self.batch_id).cast("long"), stored, self.as_of
+                spec, base, source_of(rows), effective, F.lit(self.batch_id).cast("long"),
+                self.warehouse.written_by(f"dwh/{name}", self.batch_id), self.as_of,
             )
             self.warehouse.replace_batch("control/dim_change_log", changes, batch_id=self.batch_id, log_scope=name)
 
     def _load_menu(self) -> None:
         items = self._of_batch("menu_item")
-        before = self.dimension("dim_menu_item", self.batch_id)
-        base = before if before is not None else dimensions.empty_dimension(self.spark, "dim_menu_item")
-        merged = base if items is None else dimensions.load_menu_items(
-            base, items, self.dimension("dim_restaurant")
-        ).drop("merge_action")
-        self.warehouse.publish("dwh/dim_menu_item", merged, self.batch_id)
-
-    def _merge_fact(self, name: str, rows: DataFrame, date_column: str) -> None:
-        """Facts live in month partitions; only the months of changed rows are rewritten."""
+        self._merge_dimension(
+            "dim_menu_item", "menu_item_id", items,
+            lambda held, first: dimensions.load_menu_items(held, items, self.dimension("dim_restaurant"), first),
+        )
+
+    def _merge_fact(self, name: str, rows: DataFrame | None, date_column: str, before: int | None = None) -> None:
+        """Facts live in month parts; only the months of changed rows are written, and what is derived from a month with
+        it: the rows that wait for a parent, and the last activity."""
+        place = f"dwh/{name}"
+        if rows is None:
+            for table in (place, f"{place}_orphans", *(["dwh/activity"] if name == "fact_order" else [])):
+                self.warehouse.withdraw(table, self.batch_id)
+            return
         month = F.when(F.col(date_column) < 0, -1).otherwise((F.col(date_column) / 100).cast("int"))
         source = rows.withColumn("month_key", month).persist(StorageLevel.DISK_ONLY)
-        known = self.warehouse.read(f"dwh/{name}")
+        known = self.warehouse.current(place, before)
         first = 1 if known is None else next_key(known, facts.FACT_SURROGATES[name])
-        self.warehouse.merge_partitions(
-            f"dwh/{name}", source, facts.FACT_KEYS[name], "month_key",
-            lambda target, src: facts.merge_fact(name, target, src, first),
+        touched = self.warehouse.merge_parts(
+            place, source, facts.FACT_KEYS[name], "month_key",
+            lambda target, src: facts.merge_fact(name, target, src, first), self.batch_id, before,
         )
         source.unpersist()
+        written = self.warehouse.current(place, only=tuple(touched))
+        derived = {}
+        if name in facts.RELINK:
+            derived[f"{place}_orphans"] = lambda: facts.orphans(name, written)
+        if name == "fact_order":
+            derived["dwh/activity"] = lambda: dimensions.month_activity(written)
+        for table, make in derived.items():
+            kept = [p for p in self.warehouse.parts(table, before) or () if p.value not in touched]
+            if written is not None:
+                self.warehouse.publish_parts(table, make(), "month_key", self.batch_id, kept)
+
+    def _orders_of(self, rows: DataFrame) -> DataFrame:
+        """The order facts that rows may belong to: the months that hold the range of their order ids."""
+        ends = rows.agg(F.min("order_id").alias("low"), F.max("order_id").alias("high")).first()
+        return self.warehouse.between("dwh/fact_order", ends.low, ends.high)
 
     def _load_facts(self, calendar: DataFrame) -> None:
         customers, restaurants, partners = (self.dimension(n) for n in dimensions.SOURCES)
         orders = self._of_batch("order")
-        if orders is not None:
-            self._merge_fact(
-                "fact_order",
-                facts.build_fact_order(orders, calendar, customers, restaurants, partners), "order_date_key",
-            )
-        fact_order = self.warehouse.read("dwh/fact_order")
-        if fact_order is None:
+        self._merge_fact(
+            "fact_order",
+            None if orders is None else facts.build_fact_order(orders, calendar, customers, restaurants, partners),
+            "order_date_key", self.batch_id,
+        )
+        if self.warehouse.parts("dwh/fact_order") is None:
             return
-        items = self._of_batch("order_item")
-        if items is not None:
-            self._merge_fact(
-                "fact_order_item",
-                facts.build_fact_order_item(items, fact_order, self.dimension("dim_menu_item")),
-                "order_date_key",
-            )
-        deliveries = self._of_batch("delivery_performance")
-        if deliveries is not None:
-            self._merge_fact(
-                "fact_delivery_performance",
-                facts.build_fact_delivery(deliveries, fact_order, restaurants), "delivery_date_key",
-            )
-        ratings = self._of_batch("rating")
-        if ratings is not None:
-            self._merge_fact(
-                "fact_rating",
-                facts.build_fact_rating(ratings, fact_order, calendar, customers, restaurants),
-                "rating_date_key",
-            )
+        items, deliveries, ratings = (self._of_batch(e) for e in ("order_item", "delivery_performance", "rating"))
+        self._merge_fact(
+            "fact_order_item",
+            None if items is None else facts.build_fact_order_item(items, self._orders_of(items), self.dimension("dim_menu_item")),
+            "order_date_key", self.batch_id,
+        )
+        self._merge_fact(
+            "fact_delivery_performance",
+            None if deliveries is None else facts.build_fact_delivery(deliveries, self._orders_of(deliveries), restaurants),
+            "delivery_date_key", self.batch_id,
+        )
+        self._merge_fact(
+            "fact_rating",
+            None if ratings is None else facts.build_fact_rating(ratings, self._orders_of(ratings), calendar, customers, restaurants),
+            "rating_date_key", self.batch_id,
+        )
 
     def relink(self) -> None:
-        """Fill -1 keys from parents that arrived after their children."""
-        fact_order = self.warehouse.read("dwh/fact_order")
+        """Fill -1 keys from parents that arrived after their children: the orders of this batch. The rows that wait for a
+        parent are listed with their months, so only months that hold a child of such an order are opened."""
+        arrived = self._facts_of_batch("fact_order")
         dates = {
             "fact_order_item": "order_date_key", "fact_delivery_performance": "delivery_date_key",
             "fact_rating": "rating_date_key",
         }
         for name, date_column in dates.items():
-            table = self.warehouse.read(f"dwh/{name}")
-            if table is None or fact_order is None:
+            waiting = self.warehouse.current(f"dwh/{name}_orphans")
+            if waiting is None or arrived is None:
+                continue
+            hit = waiting.join(arrived.select("order_id"), "order_id", "left_semi")
+            months = tuple(str(r.month_key) for r in hit.select("month_key").distinct().collect())
+            table = self.warehouse.current(f"dwh/{name}", only=months)
+            if table is None:
                 continue
-            fixed = facts.relink(name, table.drop("month_key"), fact_order).filter("relinked").drop("relinked")
+            fixed = facts.relink(name, table.drop("month_key"), arrived).filter("relinked").drop("relinked")
             if not fixed.isEmpty():
                 self._merge_fact(name, fixed, date_column)
 
     def _enrich(self) -> None:
-        """Second pass: facts read the old activity first, then the dimensions take the new one."""
-        fact_order = self.warehouse.read("dwh/fact_order")
-        if fact_order is None:
+        """Second pass: facts read the old activity first, then the dimensions take the new one, in the buckets of the
+        members that were active in the batch."""
+        orders, activity = self._facts_of_batch("fact_order"), self.warehouse.current("dwh/activity")
+        if orders is None or activity is None:
             return
-        for name in dimensions.SOURCES:
-            enriched = dimensions.enrich(name, self.dimension(name), fact_order, self.batch_id)
-            self.warehouse.publish(f"dwh/{name}", enriched, self.batch_id)
-
-    def _load_review_aspects(self, cache: DataFrame) -> None:
-        ratings = self.warehouse.read("dwh/fact_rating")
+        for name, (key, _, _) in dimensions.LIFE_CYCLE_COLUMNS.items():
+            place, spec = f"dwh/{name}", scd2.DIMENSIONS[name]
+            bucket = dimensions.bucket_of(spec.business_id, self.dimension_buckets)
+            active = orders.filter(F.col(key) != -1).select(key).distinct()
+            whole = self.dimension(name)
+            hit = whole.join(active, key, "left_semi").select(bucket.cast("string").alias("b")).distinct()
+            mine = tuple(r.b for r in hit.collect())
+            held = self.warehouse.current(place, only=mine)
+            if held is None:
+                continue
+            known = dimensions.with_activity(name, held, dimensions.stored_activity(name, activity, active))
+            kept = [p for p in self.warehouse.parts(place) if p.value not in mine]
+            self.warehouse.publish_parts(place, known.withColumn("_bucket", bucket), "_bucket", self.batch_id, kept)
+
+    def _load_review_aspects(self, cache: DataFrame | None) -> None:
+        """Aspects of the batch's ratings from the given cache and the one that earlier batches have stored. The stored one
+        is kept by the first digit of the hash, the aspects by ranges of rating keys."""
+        ratings = self._facts_of_batch("fact_rating")
+        for name in ("ref/review_aspect_cache", "dwh/fact_review_aspect"):
+            if ratings is None:
+                self.warehouse.withdraw(name, self.batch_id)
         if ratings is None:
             return
-        fresh = reviews.fallback_aspects(reviews.uncached_reviews(ratings, cache))
-        known = aspect_cache.add_missing(cache, fresh)
-        rows = reviews.build_fact_review_aspect(dimensions.of_batch(ratings, self.batch_id), known)
-        before = self.warehouse.current("dwh/fact_review_aspect", self.batch_id)
-        self.warehouse.publish("dwh/fact_review_aspect", reviews.merge_review_aspect(before, rows), self.batch_id)
-        self.warehouse.publish("ref/review_aspect_cache", known, self.batch_id)
+        known = self.warehouse.current("ref/review_aspect_cache", self.batch_id)
+        if cache is None and known is None:
+            return
+        if cache is not None:
+            known = cache if known is None else aspect_cache.add_missing(known, cache.select(*known.columns))
+        fresh = reviews.fallback_aspects(reviews.uncached_reviews(ratings, known)).select(*known.columns)
+        entries = fresh if cache is None else aspect_cache.add_missing(cache.select(*known.columns), fresh)
+        entries = entries.withColumn("_prefix", F.substring("review_hash", 1, 1))
+        self.warehouse.merge_parts(
+            "ref/review_aspect_cache", entries, "review_hash", "_prefix",
+            lambda target, source: source if target is None else aspect_cache.add_missing(target, source),
+            self.batch_id, self.batch_id, by_key=True,
+        )
+        rows = reviews.build_fact_review_aspect(ratings, self.warehouse.current("ref/review_aspect_cache"))
+        place = "dwh/fact_review_aspect"
+        before = self.warehouse.current(place, self.batch_id)
+        first = 1 if before is None else next_key(before, "review_aspect_key")
+        span = F.floor(F.col("rating_key") / ASPECT_SPAN).cast("long")
+
+        def merge(target: DataFrame | None, source: DataFrame) -> DataFrame:
+            seen = None if target is None else target.drop("_span")
+            return reviews.merge_review_aspect(seen, source.drop("_span"), first).withColumn("_span", span)
+
+        self.warehouse.merge_parts(
+            place, rows.withColumn("_span", span), "rating_key", "_span", merge, self.batch_id, self.batch_id, by_key=True
+        )
 
     # Close --------------------------------------------------------------------------------------------
 
@@ -418,7 +511,7 @@ def verify_month(run: BatchRun) -> DataFrame:
     members["dim_time"] = (dim_time(run.spark), "time_key")
     results.append(audits.unknown_members(members))
     results += [audits.timeline(n, run.dimension(n)) for n in dimensions.SOURCES]
-    orders = wh.read("dwh/fact_order")
+    orders = wh.current("dwh/fact_order")
     if orders is not None:
         keys = ["order_date_key", "customer_key", "restaurant_key", "delivery_partner_key"]
         results.append(audits.no_null_keys("fact_order", orders, keys))
@@ -428,7 +521,7 @@ def verify_month(run: BatchRun) -> DataFrame:
         if run.typed("order") is not None:
             results.append(audits.layer_match("order", run.typed("order"), orders))
     for entity, fact in (("order_item", "fact_order_item"), ("delivery_performance", "fact_delivery_performance"), ("rating", "fact_rating")):
-        typed, stored = run.typed(entity), wh.read(f"dwh/{fact}")
+        typed, stored = run.typed(entity), wh.current(f"dwh/{fact}")
         if typed is not None and stored is not None:
             results.append(audits.layer_match(entity, typed, stored))
     return audits.union(results)

@@ -1,30 +1,49 @@
 """Parquet tables of the layers.
 
 Raw and control tables are partitioned by batch and replaced one batch at a time, with the rows of the rerun or
-with nothing, so a rerun neither duplicates nor leaves stale rows. Typed tables and dimensions are written as a new folder per batch
-and published by a row in a small version table; a batch always starts from the state before it, which makes
-reruns repeatable and leaves the old state intact when a job dies halfway. Facts are partitioned by month and
-only the months a batch touches are rewritten.
+with nothing, so a rerun neither duplicates nor leaves stale rows.
+
+Typed tables, dimensions and facts are published: a version is a list of parts, each a folder that is written once and
+never changed. A batch writes the parts it touches and points to the old folders for the rest; the version becomes
+visible by one append of its list to a small table. So a job that dies leaves the old state whole, and a batch that runs
+again starts from the state before it. Lists carry the range of keys of each part, which tells the parts that
+a key may be in. `purge_versions` removes the folders that no version kept names.
 """
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 VERSIONS = "control/table_versions"
-VERSION_SCHEMA = "table_name string, batch_id bigint, path string, published_at timestamp"
+VERSION_SCHEMA = (
+    "table_name string, batch_id bigint, version string, purged boolean, part string, path string, low string, high string, "
+    "published_at timestamp"
+)
+#: Columns that only tell parts apart begin with this; readers of a table do not see them.
+HIDDEN = "_"
+
+
+@dataclass(frozen=True)
+class Part:
+    """A folder of a published table: its value of the part column, and the least and greatest key in it."""
+
+    value: str | None
+    path: str
+    low: str | None = None
+    high: str | None = None
 
 
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._paths: dict[tuple[str, int | None], str | None] = {}
+        self._lists: dict[tuple[str, int | None], list[Part] | None] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -41,6 +60,7 @@ class Warehouse:
             raise
 
     def read(self, name: str) -> DataFrame | None:
+        """A table that batches replace in place."""
         return self._read(self.path(name))
 
     # Batch-partitioned tables -------------------------------------------------------------------------
@@ -70,80 +90,144 @@ class Warehouse:
 
     # Published versions -------------------------------------------------------------------------------
 
-    def _published(self, name: str, before: int | None) -> str | None:
+    def parts(self, name: str, before: int | None = None) -> list[Part] | None:
+        """The parts of the latest version, or of the latest one of an earlier batch; None if there is no version. A table
+        has one row per part here, so the driver holds as many as it has months or batches."""
+        if (name, before) not in self._lists:
+            self._lists[name, before] = self._published(name, before)
+        return self._lists[name, before]
+
+    def _published(self, name: str, before: int | None) -> list[Part] | None:
         versions = self.read(VERSIONS)
         if versions is None:
             return None
         mine = versions.filter(F.col("table_name") == name)
+        mine = mine.join(mine.filter("purged").select("version"), "version", "left_anti")
         if before is not None:
             mine = mine.filter(F.col("batch_id") < before)
-        row = mine.agg(F.max_by("path", F.struct("batch_id", "published_at")).alias("path")).first()
-        return row.path
+        latest = mine.agg(F.max_by("version", F.struct("batch_id", "published_at"))).scalar()
+        rows = mine.filter((F.col("version") == latest) & F.col("path").isNotNull()).orderBy("part").collect()
+        return [Part(r.part, r.path, r.low, r.high) for r in rows] or None
+
+    def current(self, name: str, before: int | None = None, only: Sequence[str] | None = None) -> DataFrame | None:
+        """The rows of the latest version, or of the latest one of an earlier batch; with `only` those of some parts."""
+        return self._visible(self._rows(self.parts(name, before), only))
 
-    def current(self, name: str, before: int | None = None) -> DataFrame | None:
-        """Latest published version, or the latest one of an earlier batch."""
-        if (name, before) not in self._paths:
-            self._paths[name, before] = self._published(name, before)
-        path = self._paths[name, before]
-        return None if path is None else self.spark.read.parquet(path)
+    @staticmethod
+    def _visible(rows: DataFrame | None) -> DataFrame | None:
+        return None if rows is None else rows.select(*[c for c in rows.columns if not c.startswith(HIDDEN)])
+
+    def _rows(self, parts: list[Part] | None, only: Sequence[str] | None = None) -> DataFrame | None:
+        paths = [p.path for p in parts or () if only is None or p.value in only]
+        return self.spark.read.parquet(*paths) if paths else None
 
     def publish(self, name: str, rows: DataFrame, batch_id: int) -> DataFrame:
-        """Write a new version, then make it visible. Returns the written table, cut from its lineage."""
+        """Write a whole table as one part, then make it visible. Returns the written table, cut from its lineage."""
         path = self.path(f"{name}/batch={batch_id}-{uuid.uuid4().hex}")
         rows.write.parquet(path)
-        self._point(name, path, batch_id)
-        return self.spark.read.parquet(path)
+        self._point(name, [Part(None, path)], batch_id)
+        return self.current(name)
+
+    def publish_parts(self, name: str, rows: DataFrame, part: str, batch_id: int, kept: Sequence[Part] = (), key: str | None = None) -> None:
+        """Write rows by the values of their column `part`, then make them visible together with the parts `kept` of an
+        earlier version."""
+        folder = self.path(f"{name}/batch={batch_id}-{uuid.uuid4().hex}")
+        rows.withColumn("part_dir", F.col(part)).write.partitionBy("part_dir").parquet(folder)
+        written = self._read(folder)
+        made = []
+        if written is not None and "part_dir" in written.columns:
+            ends = (F.min(key).cast("string"), F.max(key).cast("string")) if key else (F.lit(None).cast("string"),) * 2
+            told = written.groupBy(F.col("part_dir").cast("string").alias("v")).agg(ends[0].alias("low"), ends[1].alias("high"))
+            made = [Part(r.v, f"{folder}/part_dir={r.v}", r.low, r.high) for r in told.collect()]
+        self._point(name, [*kept, *made], batch_id)
+
+    def merge_parts(
+        self, name: str, source: DataFrame, key: str, part: str, merge: Callable[[DataFrame | None, DataFrame], DataFrame],
+        batch_id: int, before: int | None = None, by_key: bool = False,
+    ) -> set[str]:
+        """Merge rows into the parts they touch, and publish: the parts of the rows themselves, and those that hold rows
+        of the same keys. Returns the values of those parts.
+
+        `merge(target, source)` gives the rows of the touched parts, of which a row may change its part; target is None
+        where there is nothing yet. Only parts whose range of keys meets that of the source are looked through, by their
+        key column alone; none where the part follows from the key (`by_key`). The base is the latest version, or the latest
+        one of an earlier batch."""
+        base = self.parts(name, before) or []
+        ends = source.groupBy(F.col(part).cast("string").alias("v")).agg(F.min(key).cast("string").alias("low"), F.max(key).cast("string").alias("high")).collect()
+        touched = {r.v for r in ends}
+        if not touched:
+            self._point(name, base, batch_id)
+            return touched
+        if not by_key:
+            low, high = min(r.low for r in ends), max(r.high for r in ends)
+            met = [p.value for p in base if p.value not in touched and p.low is not None and p.low <= high and p.high >= low]
+            rows = self._rows(base, met)
+            if rows is not None:
+                hit = rows.select(key, part).join(source.select(key), key, "left_semi").select(F.col(part).cast("string").alias("v"))
+                touched |= {r.v for r in hit.distinct().collect()}
+        merged = merge(self._rows(base, tuple(touched)), source)
+        self.publish_parts(name, merged, part, batch_id, [p for p in base if p.value not in touched], key)
+        return touched
+
+    def between(self, name: str, low: str | None, high: str | None) -> DataFrame | None:
+        """The rows of the parts whose keys may lie in a range, from one part at least; None without a version."""
+        parts = self.parts(name) or []
+        met = [p for p in parts if low is not None and p.low is not None and p.low <= high and p.high >= low]
+        return self._visible(self._rows(met or parts[:1]))
+
+    def written_by(self, name: str, batch_id: int) -> DataFrame | None:
+        """The rows of the parts that a batch has written into the latest version."""
+        mine = [p for p in self.parts(name) or () if f"/batch={batch_id}-" in p.path]
+        return self._visible(self._rows(mine))
 
     def withdraw(self, name: str, batch_id: int) -> None:
         """Go back to the version before a batch, if the batch has published one."""
-        if self._published(name, None) != (before := self._published(name, batch_id)):
-            self._point(name, before, batch_id)
-
-    def _point(self, name: str, path: str | None, batch_id: int) -> None:
+        if self.parts(name) != (before := self.parts(name, batch_id)):
+            self._point(name, before or (), batch_id)
+
+    def _point(self, name: str, parts: Sequence[Part], batch_id: int) -> None:
+        """Make a version visible. Its list is one file, which appears as a whole or not at all."""
+        version = uuid.uuid4().hex
+        rows = [(p.value, p.path, p.low, p.high) for p in parts] or [(None, None, None, None)]
+        listed = self.spark.createDataFrame(rows, "part string, path string, low string, high string")
         self.append(
             VERSIONS,
-            self.spark.range(1).select(
-                F.lit(name).alias("table_name"), F.lit(batch_id).cast("long").alias("batch_id"),
-                F.lit(path).cast("string").alias("path"), F.current_timestamp().alias("published_at"),
-            ),
+            listed.select(
+                F.lit(name).alias("table_name"), F.lit(batch_id).cast("long").alias("batch_id"), F.lit(version).alias("version"),
+                F.lit(False).alias("purged"), "part", "path", "low", "high", F.current_timestamp().alias("published_at"),
+            ).coalesce(1),
         )
-        self._paths = {k: v for k, v in self._paths.items() if k[0] != name}
-
-    # Month-partitioned facts --------------------------------------------------------------------------
-
-    def merge_partitions(
-        self,
-        name: str,
-        source: DataFrame,
-        key: str,
-        part: str,
-        merge: Callable[[DataFrame | None, DataFrame], DataFrame],
-    ) -> None:
-        """Merge into the partitions the source touches: those of its rows, and those of rows it replaces.
-
-        `merge(target, source)` gives the rows of the touched partitions; target is None for a new table.
-        Only partition values reach the driver. A row whose partition value changed leaves its old partition,
-        because that one is rewritten too.
-        """
-        target = self.read(name)
-        if target is None:
-            self.replace_partitions(name, merge(None, source), by=[part])
-            return
-        hit = target.join(source.select(key), key, "left_semi").select(part)
-        values = [r[0] for r in source.select(part).union(hit).distinct().collect()]
-        if not values:
-            return
-        merged = merge(target.filter(F.col(part).isin(values)), source)
-        # The merged rows are written aside first: the partitions being replaced are also being read.
-        staged = self.path(f"_staging/{name.replace('/', '_')}-{uuid.uuid4().hex}")
-        merged.write.partitionBy(part).parquet(staged)
-        rows = self.spark.read.parquet(staged)
-        kept = {r[0] for r in rows.select(part).distinct().collect()}
-        self.replace_partitions(name, rows, by=[part])
-        for value in set(values) - kept:
-            self._empty_partition(name, rows.drop(part).schema, part, value)
-
-    def _empty_partition(self, name: str, schema, part: str, value) -> None:
-        """A touched partition without rows left is overwritten with nothing."""
-        empty = self.spark.createDataFrame([], schema)
-        empty.write.mode("overwrite").parquet(f"{self.path(name)}/{part}={value}")
+        self._lists = {k: v for k, v in self._lists.items() if k[0] != name}
+
+    def purge_versions(self, keep: int, names: Sequence[str] | None = None) -> int:
+        """Keep the last `keep` versions of each table; remove the folders that only older ones name. First the old
+        versions are marked, so that no reader finds them, then folders go; a purge that dies is finished by the next one.
+        Readers that still work on an old version lose it. Returns the number of folders removed."""
+        if keep < 1:
+            raise ValueError("the current version is always kept")
+        versions = self.read(VERSIONS)
+        if versions is None:
+            return 0
+        lists = versions.groupBy("table_name", "version").agg(F.max("batch_id").alias("batch_id"), F.max("published_at").alias("at"), F.bool_or("purged").alias("gone"))
+        order = {}
+        for r in lists.collect():
+            if names is None or r.table_name in names:
+                order.setdefault(r.table_name, []).append((r.gone, r.batch_id, r.at, r.version))
+        old = []
+        for name, found in order.items():
+            live = sorted(v[1:] for v in found if not v[0])
+            old += [(name, batch, version) for batch, _, version in live[:-keep]]
+        if old:
+            marked = self.spark.createDataFrame(old, "table_name string, batch_id long, version string")
+            nothing = [F.lit(None).cast("string").alias(c) for c in ("part", "path", "low", "high")]
+            self.append(VERSIONS, marked.select("table_name", "batch_id", "version", F.lit(True).alias("purged"), *nothing, F.current_timestamp().alias("published_at")).coalesce(1))
+            self._lists = {}
+        versions = self.read(VERSIONS).filter(F.col("table_name").isin(list(order)))
+        gone = versions.filter("purged").select("version").distinct()
+        named = versions.filter("path IS NOT NULL")
+        held = named.join(gone, "version", "left_anti").select("path")
+        removed = 0
+        for r in named.join(gone, "version", "left_semi").select("path").distinct().join(held, "path", "left_anti").collect():
+            place = self.spark._jvm.org.apache.hadoop.fs.Path(r.path)
+            removed += place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
+        return removed

@@ -200,7 +200,6 @@ def month_two(folder):
 
 def dump(wh, name):
     table = wh.current(name)
-    table = table if table is not None else wh.read(name)
     return sorted(str(r.asDict()) for r in table.select(sorted(table.columns)).collect())
 
 
@@ -256,13 +255,13 @@ def test_dimensions_and_facts(two_months):
     ]
     log = [(r.business_id, r.old_value, r.new_value, r.change_type) for r in wh.read("control/dim_change_log").filter("batch_id = 2").collect()]
     assert log == [("CUST000001", "Pune", "Goa", "SCD2_VERSION")]
-    orders = {r.order_id: r for r in wh.read("dwh/fact_order").collect()}
+    orders = {r.order_id: r for r in wh.current("dwh/fact_order").collect()}
     assert len(orders) == 4 and sorted(r.order_key for r in orders.values()) == [1, 2, 3, 4]
     assert orders["ORD000000000003"].customer_key == -1 and str(orders["ORD000000000002"].net_order_value) == "55.00"
     assert (orders["ORD000000000001"].cust_lc_id, orders["ORD000000000004"].cust_lc_id) == (1, 2)
     active = dim.filter("customer_id = 'CUST000001' AND is_current").first()
     assert (active.last_active, active.life_cycle_id) == (dt.date(2026, 2, 20), 2)
-    delivery = wh.read("dwh/fact_delivery_performance").first()
+    delivery = wh.current("dwh/fact_delivery_performance").first()
     assert (delivery.late_reason, delivery.late_time, delivery.delivery_key) == ("Prep-Time", 5, 1)
     aspects = {(r.rating_key, r.aspect_id) for r in wh.current("dwh/fact_review_aspect").collect()}
     assert aspects == {(1, 1), (1, 2)}
@@ -320,7 +319,7 @@ def test_monitoring_runs_on_what_a_batch_writes(two_months):
     raw = {s.label: wh.read(f"raw/{s.raw_table}") for s in ENTITIES.values()}
     raw = {k: v for k, v in raw.items() if v is not None}
     ods = {s.label: run.typed(e) for e, s in ENTITIES.items() if run.typed(e) is not None}
-    dwh = {"Order": wh.read("dwh/fact_order"), "Rating": wh.read("dwh/fact_rating")}
+    dwh = {"Order": wh.current("dwh/fact_order"), "Rating": wh.current("dwh/fact_rating")}
     overview = monitoring.pipeline_overview(batches, as_of())
     steps = monitoring.step_performance(log, batches)
     error_view, warning_view = monitoring.error_view(errors, batches), monitoring.warning_view(found, batches)
@@ -329,7 +328,7 @@ def test_monitoring_runs_on_what_a_batch_writes(two_months):
         overview, steps, error_view, warning_view, layers, monitoring.scd2_audit_view(changes, batches),
         monitoring.batch_close(batches, errors), monitoring.batch_ledger(raw["Order"], errors),
         monitoring.close_stale_steps(log, "LOAD_ODS_ORDER", as_of()), monitoring.error_rows(errors), monitoring.warning_rows(found),
-        monitoring.batch_metrics(batches, wh.read("dwh/fact_order"), run.dimension("dim_customer"), changes),
+        monitoring.batch_metrics(batches, wh.current("dwh/fact_order"), run.dimension("dim_customer"), changes),
         monitoring.active_batch(batches, raw["Order"]), monitoring.guardrails(raw["Order"], ods["Order"], log, as_of()),
         audits.raw_vs_log({"order": run.raw("order")}, run.control("etl_log", 2)),
         kpis.latest_batch(overview), kpis.row_totals(error_view, warning_view, changes, layers, steps), kpis.sums(overview, steps, layers),
@@ -363,7 +362,7 @@ def test_raw_load_goes_on_after_a_failure(spark, tmp_path):
         run.load_raw({"customer": good.limit(0)})
 
 
-def test_merge_moves_rows_between_partitions(spark, tmp_path):
+def test_merge_moves_rows_between_parts(spark, tmp_path):
     wh = Warehouse(spark, str(tmp_path))
 
     def rows(*data):
@@ -374,9 +373,62 @@ def test_merge_moves_rows_between_partitions(spark, tmp_path):
             return source
         return target.join(source, "id", "left_anti").select(*source.columns).unionByName(source)
 
-    wh.merge_partitions("t", rows(("a", 1, 1), ("b", 1, 1), ("c", 1, 2)), "id", "month", merge)
-    wh.merge_partitions("t", rows(("c", 2, 1)), "id", "month", merge)
-    assert sorted((r.id, r.v, r.month) for r in wh.read("t").collect()) == [("a", 1, 1), ("b", 1, 1), ("c", 2, 1)]
+    assert wh.merge_parts("t", rows(("a", 1, 1), ("b", 1, 1), ("c", 1, 2)), "id", "month", merge, 1) == {"1", "2"}
+    assert wh.merge_parts("t", rows(("c", 2, 1)), "id", "month", merge, 2) == {"1", "2"}
+    assert sorted((r.id, r.v, r.month) for r in wh.current("t").collect()) == [("a", 1, 1), ("b", 1, 1), ("c", 2, 1)]
+
+
+def _files(root):
+    return {str(p): p.stat().st_mtime_ns for p in root.rglob("*.parquet") if "table_versions" not in str(p)}
+
+
+def _keyed(spark, *data):
+    return spark.createDataFrame(data, "id string, v int, _home int")
+
+
+def _newest(target, source):
+    return source if target is None else target.join(source, "id", "left_anti").select(*source.columns).unionByName(source)
+
+
+def test_untouched_parts_stay(spark, tmp_path):
+    """A batch writes the parts of its keys and points to the folders of the rest; a purge keeps the last versions."""
+    wh = Warehouse(spark, str(tmp_path))
+    wh.merge_parts("t", _keyed(spark, *[(f"a{i}", 1, 1) for i in range(5)]), "id", "_home", _newest, 1)
+    wh.merge_parts("t", _keyed(spark, *[(f"b{i}", 1, 2) for i in range(5)]), "id", "_home", _newest, 2)
+    before = _files(tmp_path)
+    wh.merge_parts("t", _keyed(spark, ("c1", 1, 3)), "id", "_home", _newest, 3)
+    third = _files(tmp_path)
+    assert {p: third[p] for p in before} == before and len(wh.parts("t")) == 3
+    old = {p.value: p.path for p in wh.parts("t", 3)}
+    wh.merge_parts("t", _keyed(spark, ("b1", 2, 4)), "id", "_home", lambda t, s: _newest(t, s), 4)
+    now = {p.value: p.path for p in wh.parts("t")}
+    assert now["1"] == old["1"] and "2" in old and now["3"] and wh.current("t").count() == 11 and "_home" not in wh.current("t").columns
+    assert {r.id: r.v for r in wh.current("t").collect()}["b1"] == 2
+    assert {r.id: r.v for r in wh.current("t", before=4).collect()}["b1"] == 1
+    assert wh.purge_versions(2) == 0 and wh.current("t", before=4).count() == 11
+    assert wh.purge_versions(1) == 1 and wh.current("t").count() == 11 and wh.current("t", before=4) is None
+    assert wh.purge_versions(1) == 0 and Warehouse(spark, str(tmp_path)).current("t").count() == 11
+
+
+def test_a_load_that_dies_leaves_the_old_state(spark, tmp_path, monkeypatch):
+    """Between the writes of its months, and between the writes and the publication."""
+    wh = Warehouse(spark, str(tmp_path))
+    wh.merge_parts("t", _keyed(spark, ("a", 1, 1), ("b", 1, 2)), "id", "_home", _newest, 1)
+    new = _keyed(spark, ("a", 2, 1), ("b", 2, 2), ("c", 2, 3))
+
+    def broken(target, source):
+        rows = _newest(target, source).repartition(3, "_home")
+        return rows.withColumn("v", F.when(F.col("_home") == 3, F.raise_error(F.lit("the third month fails")).cast("int")).otherwise(F.col("v")))
+
+    with pytest.raises(Exception, match="the third month"):
+        wh.merge_parts("t", new, "id", "_home", broken, 2)
+    monkeypatch.setattr(wh, "_point", lambda *a: (_ for _ in ()).throw(RuntimeError("killed")))
+    with pytest.raises(RuntimeError, match="killed"):
+        wh.merge_parts("t", new, "id", "_home", _newest, 2)
+    fresh = Warehouse(spark, str(tmp_path))
+    assert sorted(map(tuple, fresh.current("t").collect())) == [("a", 1), ("b", 1)]
+    fresh.merge_parts("t", new, "id", "_home", _newest, 2)
+    assert sorted(map(tuple, fresh.current("t").collect())) == [("a", 2), ("b", 2), ("c", 2)]
 
 
 def test_cache_file_round_trip(spark, tmp_path):
@@ -454,5 +506,5 @@ def test_late_parent_stream(spark, tmp_path):
 def test_view_columns_carry_surrogates(two_months):
     wh = two_months[2].warehouse
     dims = [wh.current(f"dwh/{n}") for n in ("dim_customer", "dim_restaurant", "dim_delivery_partner")]
-    view = views.order_view(wh.read("dwh/fact_order"), *dims)
+    view = views.order_view(wh.current("dwh/fact_order"), *dims)
     assert view.columns[0] == "order_key" and view.count() == 4
