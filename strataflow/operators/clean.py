@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataflow.functions import parsing as P
+from strataflow.operators.gates import VALUE
 from strataflow.operators.lookups import MasterMatch, display_name
 from strataflow.spec import ENTITIES, LINEAGE
 
@@ -21,13 +22,12 @@ def keep_latest(
 ) -> DataFrame:
     """The row with the highest order columns per key.
 
-    An aggregate instead of a ranking window: each map task already reduces a key to one row, so a key that
-    holds a third of the table costs one row per task in the shuffle and no task ever sorts the whole group.
+    Spark takes the limit of one row per key below the exchange, so each map task already reduces a key to one row: a key
+    that holds a third of the table costs one row per task in the shuffle. Sorting by a hash first compares whole
+    numbers; ids of one kind begin with the same letters and digits.
     """
-    rest = [c for c in df.columns if c not in keys]
-    ranked = F.struct(*order)
-    latest = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), ranked).alias("latest"))
-    return latest.select(*[F.col(c) if c in keys else F.col(f"latest.{c}").alias(c) for c in df.columns])
+    place = Window.partitionBy(F.xxhash64(*keys), *keys).orderBy(*[F.col(c).desc() for c in order])
+    return df.withColumn("_place", F.row_number().over(place)).filter("_place = 1").drop("_place")
 
 
 def _named(column: str) -> Column:
@@ -38,24 +38,30 @@ def _or_null(column: str) -> Column:
     return F.nullif(P.text(column), F.lit(""))
 
 
-def _money_or_zero(column: str) -> Column:
-    return F.coalesce(P.as_decimal(column), F.lit(0).cast("decimal(18,2)"))
+def typed_columns(entity: str, columns: Collection[str] = ()) -> dict[str, Column]:
+    """Typed expression per target column. Values that the gates have parsed already, which are among `columns` then, are
+    taken over."""
+    key = P.key_text
 
+    def parsed(parse):
+        return lambda name, *args, **options: F.col(name + VALUE) if name + VALUE in columns else parse(name, *args, **options)
+
+    whole, money, number, date, timestamp = (parsed(f) for f in (P.as_whole, P.as_decimal, P.as_int, P.as_date, P.as_timestamp))
+
+    def money_or_zero(column: str) -> Column:
+        return F.coalesce(money(column), F.lit(0).cast("decimal(18,2)"))
 
-def typed_columns(entity: str) -> dict[str, Column]:
-    """Typed expression per target column."""
-    whole, money, key = P.as_whole, P.as_decimal, P.key_text
     if entity == "customer":
         return {
             "customer_id": key("customer_id"),
-            "signup_date": P.as_date("signup_date", day_first=True),
+            "signup_date": date("signup_date", day_first=True),
             "city": _named("city"),
             "acquisition_channel": _named("acquisition_channel"),
         }
     if entity == "restaurant":
         return {
             "restaurant_id": key("restaurant_id"),
-            "onboard_date": P.as_date("onboard_date"),
+            "onboard_date": date("onboard_date"),
             "restaurant_name": P.text("restaurant_name"),
             "city": _named("city"),
             "cuisine_type": _named("cuisine_type"),
@@ -66,7 +72,7 @@ def typed_columns(entity: str) -> dict[str, Column]:
     if entity == "delivery_partner":
         return {
             "delivery_partner_id": key("delivery_partner_id"),
-            "onboard_date": P.as_date("onboard_date"),
+            "onboard_date": date("onboard_date"),
             "partner_name": P.or_unknown_name("partner_name"),
             "city": _named("city"),
             "vehicle_type": _named("vehicle_type"),
@@ -89,10 +95,10 @@ def typed_columns(entity: str) -> dict[str, Column]:
             "customer_id": key("customer_id"),
             "restaurant_id": key("restaurant_id"),
             "delivery_partner_id": F.nullif(key("delivery_partner_id"), F.lit("")),
-            "order_timestamp": P.as_timestamp("order_timestamp"),
+            "order_timestamp": timestamp("order_timestamp"),
             "subtotal_amount": money("subtotal_amount"),
-            "discount_amount": _money_or_zero("discount_amount"),
-            "delivery_fee": _money_or_zero("delivery_fee"),
+            "discount_amount": money_or_zero("discount_amount"),
+            "delivery_fee": money_or_zero("delivery_fee"),
             "total_amount": money("total_amount"),
             "is_cod": P.is_yes("is_cod"),
             "is_cancelled": P.is_yes("is_cancelled"),
@@ -102,7 +108,7 @@ def typed_columns(entity: str) -> dict[str, Column]:
             "order_item_id": key("order_item_id"),
             "order_id": key("order_id"),
             "menu_item_id": key("menu_item_id"),
-            "quantity": P.as_int("quantity"),
+            "quantity": number("quantity"),
             "unit_price": money("unit_price"),
             "item_discount": money("item_discount"),
             "line_total": money("line_total"),
@@ -126,7 +132,7 @@ def typed_columns(entity: str) -> dict[str, Column]:
             "restaurant_id": key("restaurant_id"),
             "rating": money("rating", 3, 2),
             "review_text": F.nullif(F.substring(P.text("review_text"), 1, REVIEW_LIMIT), F.lit("")),
-            "review_timestamp": P.as_timestamp("review_timestamp"),
+            "review_timestamp": timestamp("review_timestamp"),
             "sentiment_score": money("sentiment_score", 5, 4),
         }
     raise KeyError(entity)
@@ -135,6 +141,6 @@ def typed_columns(entity: str) -> dict[str, Column]:
 def clean_rows(entity: str, passed_rows: DataFrame) -> DataFrame:
     """Typed rows plus lineage, one per (batch, business key)."""
     lineage = [c for c in LINEAGE if c in passed_rows.columns]
-    columns = [c.alias(n) for n, c in typed_columns(entity).items()]
+    columns = [c.alias(n) for n, c in typed_columns(entity, passed_rows.columns).items()]
     typed = passed_rows.select(*columns, *lineage)
     return keep_latest(typed, ["batch_id", ENTITIES[entity].key])

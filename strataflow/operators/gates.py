@@ -358,15 +358,15 @@ def apply_gates(
     as_of: Column | None = None,
     **options,
 ) -> DataFrame:
-    """The raw rows with their lookups and `gate_errors`, the positions of failed gates; nothing is dropped."""
+    """The raw rows with their lookups, the values parsed from their texts and `gate_errors`, the positions of failed gates;
+    nothing is dropped."""
     gates = GATES[entity](as_of if as_of is not None else F.current_date(), **options)
     # Rows only carry the positions of their failed gates; texts are filled in for error rows alone.
     found = F.array(*[F.when(g.fails, F.lit(i)) for i, g in enumerate(gates, start=1)])
     parsed = parsed_columns(entity)
     checked = attach_lookups(entity, raw, masters or {}, parents or {})
     checked = checked.select("*", *[c.alias(n + VALUE) for n, c in parsed.items()])
-    kept = [c for c in checked.columns if not c.endswith(VALUE)]
-    return checked.select(*kept, F.array_compact(found).alias("gate_errors"))
+    return checked.select("*", F.array_compact(found).alias("gate_errors"))
 
 
 def quarantined(entity: str, gated: DataFrame, at: Column | None = None) -> DataFrame:

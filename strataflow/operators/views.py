@@ -81,10 +81,25 @@ def delivery_partner_view(dimension: DataFrame, as_of: Column) -> DataFrame:
     return churn_view(dimension, PARTNER_CHURN, as_of)
 
 
-def _ids(facts: DataFrame, *dimensions: tuple[DataFrame, str, str]) -> DataFrame:
-    """Attach business ids by surrogate key; keys are unique, so rows are neither lost nor multiplied."""
+UNKNOWN = -1
+#: Values that stand for unknown keys in a join.
+SPREAD = 1 << 20
+
+
+def _ids(facts: DataFrame, row: str, *dimensions: tuple[DataFrame, str, str]) -> DataFrame:
+    """Attach business ids by surrogate key; keys are unique, so rows are neither lost nor multiplied.
+
+    Rows without a key, or with that of the unknown member, may be a third of all facts. They go around the join: each gets
+    one of many values that no member has, by a hash of its own id, so they spread over the tasks, and the id of the unknown
+    member comes from a subquery."""
     for dimension, key, business_id in dimensions:
-        facts = facts.join(dimension.select(key, business_id), key, "left")
+        known = F.col(key).isNotNull() & (F.col(key) != UNKNOWN)
+        spread = (F.lit(UNKNOWN - 1) - F.pmod(F.xxhash64(row), F.lit(SPREAD))).cast("long")
+        probe, found = f"_{key}", f"_{business_id}"
+        members = dimension.filter(F.col(key) != UNKNOWN).select(F.col(key).alias(probe), F.col(business_id).alias(found))
+        unknown = dimension.filter(F.col(key) == UNKNOWN).agg(F.max(business_id)).scalar()
+        joined = facts.withColumn(probe, F.when(known, F.col(key).cast("long")).otherwise(spread)).join(members, probe, "left")
+        facts = joined.withColumn(business_id, F.when(F.col(key) == UNKNOWN, unknown).otherwise(F.col(found))).drop(probe, found)
     return facts
 
 
@@ -94,7 +109,7 @@ def _surrogate(facts: DataFrame, name: str) -> list[str]:
 
 
 def menu_item_view(menu: DataFrame, restaurants: DataFrame) -> DataFrame:
-    return _ids(menu, (restaurants, "restaurant_key", "restaurant_id")).select(
+    return _ids(menu, "menu_item_id", (restaurants, "restaurant_key", "restaurant_id")).select(
         "menu_item_key", "menu_item_id", "restaurant_key", "restaurant_id", "item_name", "category",
         "is_veg", "price",
     )
@@ -128,7 +143,7 @@ def order_view(
     facts: DataFrame, customers: DataFrame, restaurants: DataFrame, partners: DataFrame
 ) -> DataFrame:
     with_ids = _ids(
-        facts,
+        facts, "order_id",
         (customers, "customer_key", "customer_id"),
         (restaurants, "restaurant_key", "restaurant_id"),
         (partners, "delivery_partner_key", "delivery_partner_id"),
@@ -144,7 +159,7 @@ def order_view(
 
 
 def order_item_view(facts: DataFrame, menu: DataFrame) -> DataFrame:
-    return _ids(facts, (menu, "menu_item_key", "menu_item_id")).select(
+    return _ids(facts, "order_item_id", (menu, "menu_item_key", "menu_item_id")).select(
         *_surrogate(facts, "order_item_key"), "order_item_id", "order_id", "order_date_key", "customer_key",
         "restaurant_key", "menu_item_key", "menu_item_id", "quantity", "unit_price", "gross_line_total", "item_discount", "net_line_total",
     )
@@ -154,7 +169,7 @@ def delivery_view(
     facts: DataFrame, customers: DataFrame, restaurants: DataFrame, partners: DataFrame
 ) -> DataFrame:
     with_ids = _ids(
-        facts,
+        facts, "delivery_id",
         (customers, "customer_key", "customer_id"),
         (restaurants, "restaurant_key", "restaurant_id"),
         (partners, "delivery_partner_key", "delivery_partner_id"),
@@ -177,7 +192,7 @@ def rating_view(
     facts: DataFrame, customers: DataFrame, restaurants: DataFrame, partners: DataFrame
 ) -> DataFrame:
     with_ids = _ids(
-        facts,
+        facts, "rating_id",
         (customers, "customer_key", "customer_id"),
         (restaurants, "restaurant_key", "restaurant_id"),
         (partners, "delivery_partner_key", "delivery_partner_id"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -72,7 +73,8 @@ def _fragment_sql(name: str) -> str | None:
 
 
 def compose(body: str) -> str:
-    """Put the mapped tables and fragments a SELECT mentions in front of it, parents first."""
+    """Put the mapped tables and fragments a SELECT mentions in front of it, parents first. One that is mentioned more than
+    once is worked out once."""
     ordered: list[str] = []
 
     def visit(sql: str) -> None:
@@ -87,7 +89,8 @@ def compose(body: str) -> str:
     visit(body)
     if not ordered:
         return body
-    head = "WITH " + ", ".join(f"{n} AS ({_fragment_sql(n)})" for n in ordered)
+    words = Counter(w for sql in (body, *(_fragment_sql(n) for n in ordered)) for w in re.findall(r"[a-z_0-9]+", sql))
+    head = "WITH " + ", ".join(f"{n} AS {'MATERIALIZED ' if words[n] > 1 else ''}({_fragment_sql(n)})" for n in ordered)
     return head + ", " + body[5:] if body.startswith("WITH ") else head + " " + body
 
 

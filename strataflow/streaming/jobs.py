@@ -51,12 +51,21 @@ def link_late_parents(
     """Children with the keys of their parent; -1 once no parent arrived within the bound.
 
     Both sides carry a watermark, so state is bounded and an unmatched child leaves as soon as its parent
-    can no longer come.
+    can no longer come. Time is cut into buckets as long as the bound; a parent stands in its own bucket and in both beside
+    it, a child in its own alone, so a child meets each parent once and the state of one key is
+    spread over its buckets.
     """
-    left = children.withWatermark(child_time, bound.replace("INTERVAL ", "")).alias("c")
-    right = parents.withWatermark(parent_time, bound.replace("INTERVAL ", "")).alias("p")
+    length = F.expr(f"unix_seconds(TIMESTAMP '1970-01-01 00:00:00 UTC' + {bound})")
+
+    def bucket(time: str) -> Column:
+        return F.floor(F.unix_seconds(time) / length).cast("long")
+
+    left = children.withWatermark(child_time, bound.replace("INTERVAL ", "")).withColumn("time_bucket", bucket(child_time)).alias("c")
+    near = F.explode(F.sequence(bucket(parent_time) - 1, bucket(parent_time) + 1))
+    right = parents.withWatermark(parent_time, bound.replace("INTERVAL ", "")).withColumn("time_bucket", near).alias("p")
     reach: Column = (
         (F.col(f"c.{child_key}") == F.col(f"p.{parent_key}"))
+        & (F.col("c.time_bucket") == F.col("p.time_bucket"))
         & (F.col(f"p.{parent_time}") >= F.col(f"c.{child_time}") - F.expr(bound))
         & (F.col(f"p.{parent_time}") <= F.col(f"c.{child_time}") + F.expr(bound))
     )
