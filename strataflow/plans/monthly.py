@@ -33,6 +33,16 @@ LOG_SCHEMA = (
     "message string, created_at timestamp_ntz"
 )
 SOURCE_SYSTEM = "File Ingestion"
+#: Keys of the facts, and the dimensions that hold their members.
+_MEMBERS = {"customer_key": "dim_customer", "restaurant_key": "dim_restaurant", "delivery_partner_key": "dim_delivery_partner"}
+FACT_LINKS = {
+    "fact_order": {"order_date_key": "dim_date", "order_time_key": "dim_time", **_MEMBERS},
+    "fact_order_item": {
+        "order_date_key": "dim_date", "customer_key": "dim_customer", "restaurant_key": "dim_restaurant", "menu_item_key": "dim_menu_item",
+    },
+    "fact_delivery_performance": {"delivery_date_key": "dim_date", **_MEMBERS},
+    "fact_rating": {"rating_date_key": "dim_date", "rating_time_key": "dim_time", **_MEMBERS},
+}
 #: Rating keys of one part of the review aspects.
 ASPECT_SPAN = 1_000_000
 
@@ -511,17 +521,33 @@ def verify_month(run: BatchRun) -> DataFrame:
     members["dim_time"] = (dim_time(run.spark), "time_key")
     results.append(audits.unknown_members(members))
     results += [audits.timeline(n, run.dimension(n)) for n in dimensions.SOURCES]
-    orders = wh.current("dwh/fact_order")
-    if orders is not None:
-        keys = ["order_date_key", "customer_key", "restaurant_key", "delivery_partner_key"]
-        results.append(audits.no_null_keys("fact_order", orders, keys))
-        for name, (_, _) in dimensions.SOURCES.items():
-            spec = scd2.DIMENSIONS[name]
-            results.append(audits.no_orphans("fact_order", orders, name, run.dimension(name), spec.key))
-        if run.typed("order") is not None:
-            results.append(audits.layer_match("order", run.typed("order"), orders))
-    for entity, fact in (("order_item", "fact_order_item"), ("delivery_performance", "fact_delivery_performance"), ("rating", "fact_rating")):
-        typed, stored = run.typed(entity), wh.current(f"dwh/{fact}")
-        if typed is not None and stored is not None:
-            results.append(audits.layer_match(entity, typed, stored))
+    for entity, column in (("restaurant", "onboard_date"), ("delivery_partner", "onboard_date")):
+        if entity in loaded:
+            results.append(audits.column_filled(entity, loaded[entity], column))
+    if "delivery_performance" in loaded:
+        results.append(audits.timings_populated(loaded["delivery_performance"]))
+    for name, (entity, _) in dimensions.SOURCES.items():
+        if run.typed(entity) is not None:
+            known = run.dimension(name).filter(F.col(scd2.DIMENSIONS[name].key) != -1)
+            results.append(audits.layer_match(entity, run.typed(entity), known, scd2.DIMENSIONS[name].business_id))
+    stored = {fact: wh.current(f"dwh/{fact}") for fact in (*facts.FACT_KEYS, "fact_review_aspect")}
+    for fact, keys in FACT_LINKS.items():
+        if stored[fact] is None:
+            continue
+        results.append(audits.no_null_keys(fact, stored[fact], list(keys)))
+        for key, dimension in keys.items():
+            if dimension in members:
+                table, member = members[dimension]
+                results.append(audits.no_orphans(fact, stored[fact], dimension, table, member, key))
+    for entity, fact in (("order", "fact_order"), ("order_item", "fact_order_item"), ("delivery_performance", "fact_delivery_performance"), ("rating", "fact_rating")):
+        if run.typed(entity) is not None and stored[fact] is not None:
+            results.append(audits.layer_match(entity, run.typed(entity), stored[fact]))
+    if run.typed("delivery_performance") is not None and run.typed("order_item") is not None:
+        results.append(audits.item_quantity(run.typed("delivery_performance"), run.typed("order_item")))
+    if stored["fact_order"] is not None and stored["fact_order_item"] is not None:
+        results.append(audits.amount_checks(stored["fact_order"], stored["fact_order_item"]))
+    if stored["fact_review_aspect"] is not None:
+        results.append(audits.review_aspects(
+            stored["fact_review_aspect"], stored["fact_rating"], lookups.aspects(run.spark), lookups.sentiment_types(run.spark)
+        ))
     return audits.union(results)

@@ -9,6 +9,7 @@ from strataflow.functions import calendar
 from strataflow.operators import audits, dimensions, kpis, lookups, maintenance, monitoring
 from strataflow.plans import queries_quality as Q
 from strataflow.plans import queries_star as S
+from strataflow.plans import source_maps as M
 from strataflow.plans.registry import Source, fragment, query
 from strataflow.spec import LOAD_ORDER
 
@@ -805,18 +806,35 @@ def timeline(src: Source) -> DataFrame:
     return audits.union(audits.timeline(n, S.loaded(src, n)) for n in S.DIMS)
 
 
-_COUNTED = {
-    ("given", "orders"): "orders", ("given", "lineitem"): "lineitem", ("raw", "raw_order"): "raw_order", ("raw", "raw_rating"): "raw_rating",
-    ("ods", "ods_order"): "ods_order", ("ods", "ods_customer"): "ods_customer", ("dwh", "dim_customer"): "dim_customer", ("control", "etl_error"): "etl_error",
+_GIVEN = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
+_LAYERS = {
+    "raw": {f"raw_{e}": f"raw_{e}" for e in LOAD_ORDER},
+    "ods": {f"ods_{e}": f"ods_{e}" for e in LOAD_ORDER},
+    "ref": {f"ref_{n}": f"master_{n}" for n in M.MASTERS},
+    "dwh": {
+        **{n: n for n in (*S.DIMS, "dim_menu_item")}, "fact_order": "fact_order_all", "fact_order_item": "fact_item_all",
+        "fact_delivery_performance": "fact_delivery_all", "fact_rating": "fact_rating_all", "fact_review_aspect": "aspect_facts",
+    },
+    "control": {n: n for n in ("etl_batch", "etl_log", "etl_error", "etl_warning", "dim_change_log")},
 }
 
 
 @query(
     "t17_table_counts",
-    " UNION ALL ".join(f"SELECT '{l}' AS layer, '{n}' AS table_name, count(*) AS row_count FROM {t}" for (l, n), t in _COUNTED.items()),
+    " UNION ALL ".join(
+        [f"SELECT 'given' AS layer, '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in _GIVEN]
+        + [f"SELECT '{layer}', '{n}', count(*) FROM {t}" for layer, tables in _LAYERS.items() for n, t in tables.items()]
+    ),
 )
 def table_counts(src: Source) -> DataFrame:
-    return audits.table_counts({k: src.table(t) if k[0] == "given" else src(t) for k, t in _COUNTED.items()})
+    """Every table of every layer."""
+    built = {
+        "fact_order": S.orders_fact, "fact_order_item": S.items_fact, "fact_delivery_performance": S.deliveries_fact,
+        "fact_rating": S.ratings_fact, "fact_review_aspect": S.fact_review_aspect, "ods_order_item": S.items, "etl_batch": etl_batch,
+    }
+    tables = {("given", n): src.table(n) for n in _GIVEN}
+    tables |= {(layer, n): built[n](src) if n in built else src(t) for layer, found in _LAYERS.items() for n, t in found.items()}
+    return audits.table_counts(tables)
 
 
 @query(

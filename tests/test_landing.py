@@ -9,7 +9,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from strataflow.operators import audits, kpis, lookups, maintenance, monitoring
+from strataflow.operators import audits, dimensions, facts, kpis, lookups, maintenance, monitoring, reviews
 from strataflow.operators import views
 from strataflow.plans import monthly
 from strataflow.sources import aspect_cache, landing, pieces
@@ -196,6 +196,7 @@ def month_two(folder):
         "ORD000000000004,CUST000001,REST00001,DP00001,2026-02-20 12:30:00,100,0,5,105,Y,N",
         "ORD000000000002,CUST000002,REST00001,,2026-01-11 08:00:00,60,5,0,55,N,N",
     )
+    write(folder, "order_item_20260228.csv", ITEM_HEADER, "ITE000000000000002,ORD000000000002,MENU00001_0001,REST00001,1,60,5,55")
 
 
 def dump(wh, name):
@@ -270,10 +271,10 @@ def test_dimensions_and_facts(two_months):
 def test_batch_close_and_audits(two_months):
     run = two_months[2]
     batches = {r.batch_id: (r.status, r.total_records, r.success_records, r.error_records) for r in run.warehouse.read("control/etl_batch").collect()}
-    assert batches == {1: ("PARTIAL", 15, 12, 3), 2: ("SUCCESS", 5, 5, 0)}
+    assert batches == {1: ("PARTIAL", 15, 12, 3), 2: ("SUCCESS", 6, 6, 0)}
     results = monthly.verify_month(run)
     audits.raise_on_failure(results)
-    assert results.count() > 15
+    assert results.count() > 45
 
 
 def test_rerun_changes_nothing(two_months):
@@ -337,6 +338,63 @@ def test_monitoring_runs_on_what_a_batch_writes(two_months):
     assert {r.batch_id for r in overview.collect()} == {1, 2} and steps.filter("log_id IS NULL").isEmpty()
 
 
+def test_stored_activity_equals_the_full_scan(two_months):
+    """Dimensions enriched from stored maxima of months are those that a scan of all orders gives."""
+    run = two_months[2]
+    orders = run.warehouse.current("dwh/fact_order")
+    activity = run.warehouse.current("dwh/activity")
+    for name, (key, lifecycle, _) in dimensions.LIFE_CYCLE_COLUMNS.items():
+        active = orders.filter(F.col("batch_id") == 2).select(key).filter(F.col(key) != -1)
+        stored = dimensions.stored_activity(name, activity, active)
+        assert sorted(map(str, stored.collect())) == sorted(map(str, dimensions.last_activity(orders, key, lifecycle, 2).collect()))
+        again = dimensions.enrich(name, run.dimension(name), orders, 2)
+        assert sorted(map(str, again.collect())) == sorted(map(str, run.dimension(name).collect()))
+    assert {p.value for p in run.warehouse.parts("dwh/activity")} == {"202601", "202602"}
+    plan = orders._jdf.queryExecution().toString()
+    written = run.warehouse.written_by("dwh/fact_order", 2).inputFiles()
+    assert plan and len(written) <= len(orders.inputFiles())
+
+
+def test_a_late_parent_opens_only_the_months_of_its_orphans(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path))
+    run = monthly.BatchRun(spark, wh, 2, as_of())
+    order_type = "order_id string, order_date_key int, customer_key long, restaurant_key long, delivery_partner_key long, batch_id long, month_key int"
+    item_type = "order_item_id string, order_id string, order_date_key int, customer_key long, restaurant_key long, order_item_key long, batch_id long, month_key int"
+    items = [(f"I{m}{i}", f"O{m}{i}", 20260101 + 100 * m, 5, 6, 10 * m + i, 1, 202601 + m) for m in range(3) for i in range(3)]
+    items += [("I9", "LATE", -1, -1, -1, 99, 1, -1), ("I8", "NEVER", -1, -1, -1, 98, 1, -1), ("I7", "LATE", 20260105, -1, 6, 97, 1, 202601)]
+    rows = spark.createDataFrame(items, item_type)
+    wh.publish_parts("dwh/fact_order_item", rows, "month_key", 1, key="order_item_id")
+    wh.publish_parts("dwh/fact_order_item_orphans", facts.orphans("fact_order_item", rows), "month_key", 1)
+    before = {p.value: p.path for p in wh.parts("dwh/fact_order_item")}
+    wh.publish_parts("dwh/fact_order", spark.createDataFrame([("LATE", 20260105, 5, 6, 7, 2, 202601)], order_type), "month_key", 2, key="order_id")
+    run.relink()
+    after = {p.value: p.path for p in wh.parts("dwh/fact_order_item")}
+    assert after["202602"] == before["202602"] and after["202603"] == before["202603"] and after["202601"] != before["202601"]
+    got = {r.order_item_id: (r.order_date_key, r.customer_key, r.restaurant_key, r.order_item_key) for r in wh.current("dwh/fact_order_item").collect()}
+    assert len(got) == 12 and got["I9"] == (20260105, 5, 6, 99) and got["I7"] == (20260105, 5, 6, 97) and got["I8"][1] == -1
+    assert [r.order_item_id for r in wh.current("dwh/fact_order_item_orphans").collect()] == ["I8"]
+
+
+def test_one_batch_reads_the_stored_cache(two_months):
+    """Aspects that an earlier batch has stored are found without the cache being given again."""
+    spark, wh = two_months[2].spark, two_months[2].warehouse
+    assert wh.current("ref/review_aspect_cache").filter("aspect_id = 1").count() == 1
+    parts = {p.value for p in wh.parts("ref/review_aspect_cache")}
+    assert parts == {r.p for r in wh.current("ref/review_aspect_cache").selectExpr("substring(review_hash, 1, 1) AS p").distinct().collect()} and spark
+
+
+def test_known_texts_meet_no_exchange_before_the_cache(spark):
+    """The first exchanges carry hashes; texts are looked up for the hashes that are new."""
+    ratings = spark.createDataFrame([(f"text {i % 50}",) for i in range(500)], "review_text string")
+    cache = ratings.limit(30).select(F.sha2(F.lower(F.trim("review_text")), 256).alias("review_hash"))
+    found = reviews.uncached_reviews(ratings, cache)
+    known = {r.review_hash for r in cache.collect()}
+    assert {r.review_hash for r in found.collect()} == {r[0] for r in ratings.select(F.sha2("review_text", 256)).collect()} - known
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    anti = plan[plan.rindex("LeftAnti"):]
+    assert "review_text" not in "".join(line for line in anti.splitlines() if "Exchange" in line)
+
+
 def test_bad_file_fails_the_batch(spark, tmp_path):
     write(tmp_path / "drop", "customer_20260131.csv", CUSTOMER_HEADER, "CUST000001,2025-12-01,Pune,Paid")
     write(tmp_path / "drop", "customer_20260201.csv", "customer_id", "CUST000001")
@@ -503,6 +561,41 @@ def test_late_parent_stream(spark, tmp_path):
     assert got == {1: 10, 2: -1}
 
 
+def test_one_user_with_a_third_of_all_events(spark, tmp_path):
+    """The state of a stream join is dealt by key and hour: a user with a third of the events spreads over the tasks, and
+    the pairs are those of a plain join."""
+    def events(name, shift, n):
+        rows = spark.range(n).select(
+            F.col("id"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 40 + 1).alias("k"),
+            F.timestamp_seconds(F.lit(1767225600) + (F.col("id") * 7919 + shift) % (F.lit(30) * 3600)).alias("t"),
+        )
+        rows.coalesce(1).write.parquet(str(tmp_path / name))
+        return rows
+
+    left, right = events("c", 0, 240), events("p", 1234, 150)
+    schema = spark.read.parquet(str(tmp_path / "c")).schema
+    children = jobs.file_stream(spark, str(tmp_path / "c"), schema)
+    parents = jobs.file_stream(spark, str(tmp_path / "p"), schema).selectExpr("id AS pid", "k AS pk", "t AS pt")
+    linked = jobs.link_late_parents(children, parents, "k", "pk", "t", "pt", {"pid": "parent"}, "INTERVAL 1 HOUR")
+    jobs.run_available(linked, str(tmp_path / "state"), output=str(tmp_path / "out"))
+    got = sorted((r.id, r.parent) for r in spark.read.parquet(str(tmp_path / "out")).filter("parent >= 0").collect())
+    near = (F.col("c.k") == F.col("p.k")) & (F.abs(F.unix_seconds("c.t") - F.unix_seconds("p.t")) <= 3600)
+    assert got == sorted(map(tuple, left.alias("c").join(right.alias("p"), near).select("c.id", "p.id").collect()))
+    buckets = left.filter("k = 0").select(F.floor(F.unix_seconds("t") / 3600)).distinct().count()
+    assert buckets > 20
+
+
+def test_unknown_members_go_around_the_joins(spark):
+    """Facts without a key, or with that of the unknown member, are dealt by their own id and keep its name."""
+    rows = [(f"O{i}", None if i % 3 == 0 else -1 if i % 3 == 1 else i) for i in range(60)]
+    made = spark.createDataFrame(rows, "order_id string, customer_key long")
+    members = spark.createDataFrame([(-1, "UNKNOWN"), *((i, f"C{i}") for i in range(1, 40))], "customer_key long, customer_id string")
+    got = {r.order_id: r.customer_id for r in views._ids(made, "order_id", (members, "customer_key", "customer_id")).collect()}
+    assert got == {o: None if k is None else "UNKNOWN" if k == -1 else f"C{k}" if k < 40 else None for o, k in rows}
+    plan = views._ids(made, "order_id", (members, "customer_key", "customer_id"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64(order_id" in plan and "scalar-subquery" in plan
+
+
 def test_view_columns_carry_surrogates(two_months):
     wh = two_months[2].warehouse
     dims = [wh.current(f"dwh/{n}") for n in ("dim_customer", "dim_restaurant", "dim_delivery_partner")]
