@@ -5,7 +5,11 @@ its own type and format: letters and digits go through a keyed permutation of al
 network over the mixed-radix number that the string spells), so unlike entities of one shape get unlike surrogates and
 equal entities the same one in every document. Names are rebuilt from syllables of their script with an ending of
 their gender. A collision check over all distinct entities finds surrogates that two entities share, or that equal a
-real entity; those entities move to their next attempt until none is left.
+real entity; those entities move to their next attempt. In a shape that real entities nearly fill, some attempts never
+end; all entities of such a shape go back to the first permutation, under which no two share a surrogate, though one may
+get what is another's real value.
+
+The key must be secret: who has it can undo the surrogates of all types but names.
 """
 
 from __future__ import annotations
@@ -24,7 +28,6 @@ from pyspark.sql import functions as F
 from strataflow.llm.shared import stash
 from strataflow.llm.text import release, rows_of
 
-KEY = b"strataflow surrogate key"
 ATTEMPTS = 20
 
 _NAME = r"[^\W\d_]+(?:['’-][^\W\d_]+)*"
@@ -44,9 +47,14 @@ PATTERNS = (
     ("phone", r"(?<![\w.])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]\d{3,4}(?![\w])|(?<![\w.])\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?![\w]|[.-]\d)|(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w]|[.-]\d)"),
 )
 _FIND = re.compile("|".join(f"(?P<{name}>{pattern})" for name, pattern in PATTERNS))
-#: The honorific in any case, then one to three words; their capitals are checked in code.
-_PERSON = re.compile(rf"(?<![\w])(?P<title>(?i:{'|'.join(sorted(HONORIFICS, key=len, reverse=True))}))(?:\.|(?=\s)) ?(?P<names>{_NAME}(?: {_NAME}){{0,2}})")
-_TITLE = re.compile(rf"(?i)(?<![\w])(?:{'|'.join(sorted(HONORIFICS, key=len, reverse=True))})[. ]")
+_TITLES = "|".join(sorted(HONORIFICS, key=len, reverse=True))
+#: The honorific in any case; the words behind it are walked through one by one.
+_TITLE = re.compile(rf"(?i)(?<![\w])(?P<title>{_TITLES})(?:\.|(?=\s)) ?(?={_NAME})")
+_WORD = re.compile(rf" ?(?P<word>{_NAME})(?P<dot>\.(?= ?[^\W\d_]))?")
+#: Words that join the parts of a name in lower case; fixed values.
+PARTICLES = frozenset("af al am bin da das de del della den der di do dos du e el la le ter van vom von y zu zum zur".split())
+#: Letters from which a name is looked for where it stands without its title.
+BARE_LENGTH = 3
 
 #: Characters that stand for each other; everything else in an entity stays as it is.
 CLASSES = (
@@ -132,7 +140,8 @@ def _made_name(key: bytes, word: str, tweak: str, gender: str) -> str:
     onset, vowel, endings = SYLLABLES[_script(word)]
     seed = _digest(key, tweak, word)
     out = ""
-    for _ in range(2 if len(word) < 6 else 3):
+    # Each attempt after the third adds a syllable, so names never run out.
+    for _ in range((2 if len(word) < 6 else 3) + max(0, int(tweak.rsplit("/", 1)[1]) - 3)):
         seed, a = divmod(seed, len(onset))
         seed, b = divmod(seed, len(vowel))
         out += onset[a] + vowel[b]
@@ -184,20 +193,42 @@ def surrogate(key: bytes, kind: str, entity: str, attempt: int) -> str:
     return shaped(key, entity, tweak)
 
 
-def _name_parts(found: re.Match) -> list[tuple[str, str, int, int]]:
-    """The words of a name: (type, normal form, start, end). Only capitalised words count; the last is the family name."""
-    gender = HONORIFICS[found["title"].lower()]
-    spots, at = [], found.start("names")
-    for word in found["names"].split(" "):
-        if not word[0].isupper() or len(word) < 2 or word.isupper():
+def _name_words(text: str, at: int) -> list[tuple[str, int]]:
+    """The words of a name that begins at a place: capitalised words or words in capitals, any number of them, particles
+    only between such words. Initials are passed over."""
+    spots, waiting = [], 0
+    while (m := _WORD.match(text, at)) and (waiting == 0 or m.group()[0] == " "):
+        word = m["word"]
+        initial = len(word) == 1 and word.isupper()
+        if not (initial or (word[0].isupper() and len(word) > 1) or (spots and word in PARTICLES) or (waiting > 0 and word in PARTICLES)):
+            break
+        if len(word) > 1 and word[0].isupper():
+            spots.append((word, m.start("word")))
+        waiting, at = waiting + 1, m.end()
+        if m["dot"] and not initial:
             break
-        spots.append((word, at))
-        at += len(word) + 1
-    parts = []
-    for i, (word, start) in enumerate(spots):
-        kind = "family" if i == len(spots) - 1 else "given"
-        parts.append((kind, f"{gender if kind == 'given' else 'n'}/{word.casefold()}", start, start + len(word)))
-    return parts
+    return spots
+
+
+def _people(text: str) -> list[tuple[str, str, int, int]]:
+    """Names behind an honorific, and where they stand again without one. The last word is the family name."""
+    found: list[tuple[str, str, int, int]] = []
+    known: dict[str, tuple[str, str]] = {}
+    for m in _TITLE.finditer(text):
+        gender, spots = HONORIFICS[m["title"].lower()], _name_words(text, m.end())
+        for i, (word, start) in enumerate(spots):
+            kind = "family" if i == len(spots) - 1 else "given"
+            value = f"{gender if kind == 'given' else 'n'}/{word.casefold()}"
+            found.append((kind, value, start, start + len(word)))
+            if len(word) >= BARE_LENGTH:
+                known.setdefault(word.casefold(), (kind, value))
+    if known:
+        bare = re.compile(rf"(?i)(?<![\w])(?:{'|'.join(re.escape(w) for w in sorted(known, key=len, reverse=True))})(?![\w])")
+        told = {f[2] for f in found}
+        for m in bare.finditer(text):
+            if m.start() not in told and m.group()[0].isupper() and m.group().casefold() in known:
+                found.append((*known[m.group().casefold()], *m.span()))
+    return found
 
 
 def entities(text: str) -> list[tuple[str, str, int, int]]:
@@ -230,18 +261,22 @@ def entities(text: str) -> list[tuple[str, str, int, int]]:
                 if len(value.split("/")[1]) < 7:
                     continue
             found.append((kind, value, start, end))
-    if _TITLE.search(text):
-        for m in _PERSON.finditer(text):
-            if all(m.end("names") <= s or e <= m.start("names") for _, _, s, e in found):
-                found += _name_parts(m)
-        found.sort(key=lambda x: x[2])
+    if people := _people(text):
+        apart, last = [], -1
+        # Where a name and another entity overlap the one that begins first counts.
+        for one in sorted([*found, *people], key=lambda x: (x[2], -x[3])):
+            if one[2] >= last:
+                apart.append(one)
+                last = one[3]
+        found = apart
     return found
 
 
 def _dressed(kind: str, made: str, shown: str) -> str:
     """A surrogate in the format in which the entity was shown: its separators and its case."""
     if kind in ("given", "family"):
-        return made.split("/")[1].title()
+        name = made.split("/")[1]
+        return name.upper() if shown.isupper() else name.title()
     if kind == "email":
         return made.upper() if shown.isupper() else made
     if kind in ("card", "phone", "iban"):
@@ -273,21 +308,41 @@ def _occurrences(batches):
     release()
 
 
-def attempts(distinct: DataFrame, key: bytes) -> DataFrame:
+def _shape(kind: str, entity: str) -> str:
+    """What a surrogate has in common with its entity: two entities of unlike shapes never share one."""
+    if kind == "ip":
+        parts = entity.split(".")
+        return ".".join(parts[:1] if parts[0] in ("0", "10", "127") else parts[:2] if parts[0] in ("192", "169", "172") else ["public"])
+    if kind in ("given", "family"):
+        return entity
+    return "".join(_CLASS_OF[c][0] if c in _CLASS_OF else c for c in entity)
+
+
+def attempts(distinct: DataFrame, key: bytes, most: int = ATTEMPTS) -> DataFrame:
     """(kind, entity, attempt) of the entities that need an attempt after the first. Of entities that share a surrogate
-    the smallest keeps it; a surrogate that is a real entity is given up by whoever got it."""
+    the smallest keeps it; a surrogate that is a real entity is given up by whoever got it. What is shared after `most`
+    rounds goes back to the first attempt with its whole shape, where surrogates are a permutation."""
 
-    @F.udf("string")
-    def made(kind, entity, attempt):
-        return surrogate(key, kind, entity, attempt)
+    @F.arrow_udf("string")
+    def made(kinds: pa.Array, entities: pa.Array, tries: pa.Array) -> pa.Array:
+        return pa.array([surrogate(key, *row) for row in rows_of(kinds, entities, tries)], pa.string())
+
+    @F.arrow_udf("string")
+    def shape(kinds: pa.Array, entities: pa.Array) -> pa.Array:
+        return pa.array([_shape(*row) for row in rows_of(kinds, entities)], pa.string())
 
     now = stash(distinct.select("kind", "entity", F.lit(0).alias("attempt"), made("kind", "entity", F.lit(0)).alias("made")), "surrogates")
     real = distinct.select("kind", F.col("entity").alias("made"), F.lit(True).alias("real"))
-    for _ in range(ATTEMPTS):
+    for turn in range(most + 1):
         first = now.groupBy("kind", "made").agg(F.min(F.struct("attempt", "entity")).alias("first"))
         judged = now.join(first, ["kind", "made"]).join(real, ["kind", "made"], "left")
-        bad = F.col("real").isNotNull() | (F.col("entity") != F.col("first.entity"))
-        # A surrogate equal to its own entity, where the shape leaves no choice, ends after the attempts.
+        shared = F.col("entity") != F.col("first.entity")
+        if turn == most:
+            dense = judged.where(shared).select("kind", shape("kind", "entity").alias("shape")).distinct()
+            back = now.withColumn("shape", shape("kind", "entity")).join(dense.withColumn("dense", F.lit(True)), ["kind", "shape"], "left")
+            now = stash(back.select("kind", "entity", F.when(F.col("dense"), 0).otherwise(F.col("attempt")).alias("attempt")), "surrogates")
+            break
+        bad = F.col("real").isNotNull() | shared
         bad = stash(judged.where(bad).select("kind", "entity", (F.col("attempt") + 1).alias("attempt")), "collisions")
         if bad.isEmpty():
             break
@@ -296,8 +351,8 @@ def attempts(distinct: DataFrame, key: bytes) -> DataFrame:
     return now.where("attempt > 0").select("kind", "entity", "attempt")
 
 
-def with_surrogates(docs: DataFrame, key: str = "doc_id", text: str = "text", secret: bytes = KEY) -> tuple[DataFrame, str]:
-    """All rows and columns with the text replaced, and the name of an added column: an array of the entities found
+def with_surrogates(docs: DataFrame, secret: bytes, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, str]:
+    """All rows and columns with the text replaced under a secret key (any bytes, the same for all runs that must agree), and the name of an added column: an array of the entities found
     (type, begin, end in the old text, surrogate). Null texts stay null, empty ones empty. Rows without a key or that
     repeat one are replaced each. An empty table gives an empty result."""
     seen = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
@@ -328,13 +383,13 @@ def with_surrogates(docs: DataFrame, key: str = "doc_id", text: str = "text", se
     return done.select(*columns, F.col(marks)["marks"].alias(marks)), marks
 
 
-def replace_private(docs: DataFrame, key: str = "doc_id", text: str = "text", secret: bytes = KEY) -> DataFrame:
+def replace_private(docs: DataFrame, secret: bytes, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows and columns of the input, with surrogates in the text."""
-    done, marks = with_surrogates(docs, key, text, secret)
+    done, marks = with_surrogates(docs, secret, key, text)
     return done.drop(marks)
 
 
-def private_report(docs: DataFrame, key: str = "doc_id", text: str = "text", secret: bytes = KEY) -> DataFrame:
+def private_report(docs: DataFrame, secret: bytes, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, text with surrogates, n_entities, entities of every row."""
-    done, marks = with_surrogates(docs, key, text, secret)
+    done, marks = with_surrogates(docs, secret, key, text)
     return done.select(F.col(key), F.col(text), F.size(marks).alias("n_entities"), F.col(marks).alias("entities"))

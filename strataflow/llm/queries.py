@@ -17,7 +17,7 @@ from strataflow.llm.packing import pack_documents
 from strataflow.llm.periodic import periodic_runs
 from strataflow.llm.pii import private_report
 from strataflow.llm.quality import quality_scores
-from strataflow.llm.shared import ship
+from strataflow.llm.shared import ship, surrogate_key
 from strataflow.llm.spelling import corpus_words, spelling_groups
 from strataflow.llm.token_count import token_counts
 from strataflow.llm.toxicity import toxicity_scores
@@ -88,7 +88,7 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op8_pii_surrogates")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
-    return private_report(documents(spark, folder))
+    return private_report(documents(spark, folder), surrogate_key(spark))
 
 
 @query("op9_ngram_jaccard_join")

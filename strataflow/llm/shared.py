@@ -13,10 +13,24 @@ from pyspark.sql import DataFrame, SparkSession
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder that every executor sees: below `spark.checkpoint.dir`, or below the warehouse where that is
     unset (tests, single machines)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors see")
+        base = spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
+#: The session setting with the key of surrogates, and the key of tests and trials, which protects nothing.
+KEY_SETTING, TEST_KEY = "spark.strataflow.surrogateKey", b"test key without protection"
+
+
+def surrogate_key(spark: SparkSession) -> bytes:
+    """The session's key of surrogates; without one the test key."""
+    held = spark.conf.get(KEY_SETTING, None)
+    return held.encode() if held else TEST_KEY
+
+
 def stash(df: DataFrame, name: str) -> DataFrame:
     """Write a table to the shared folder and read it back: later steps do not depend on executors that are lost."""
     path = scratch(df.sparkSession, name)

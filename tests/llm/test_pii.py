@@ -5,6 +5,7 @@ import re
 import pytest
 
 from strataflow.llm import pii
+from strataflow.llm.shared import TEST_KEY
 from tests.llm import fixtures
 
 TEXT = (
@@ -38,6 +39,41 @@ def test_formats_are_kept():
     assert new.count(families["Smith"]) == 2 and "Smith" not in new
 
 
+def test_names_of_any_length():
+    """Four words, particles, initials, capitals, and the name again without its title; a sentence's other words stay."""
+    text = (
+        "Dr Anna Maria Luise Schmidt and Mr Juan de la Cruz met MRS JANE DOE. Later Schmidt told Cruz that Juan, "
+        "Prof. J. R. van der Berg and Doe would come; schmidt the smith saw Mr brown and Schmidts."
+    )
+    new, marks = pii.replaced(text, b"k")
+    old = [text[a:b] for _, a, b, _ in marks]
+    assert old == ["Anna", "Maria", "Luise", "Schmidt", "Juan", "Cruz", "JANE", "DOE", "Schmidt", "Cruz", "Juan", "Berg", "Doe"]
+    made = {}
+    for word, (kind, _, _, m) in zip(old, marks):
+        made.setdefault(word.casefold(), set()).add(m.casefold())
+    assert all(len(v) == 1 for v in made.values()) and len({min(v) for v in made.values()}) == len(made)
+    assert all(m.isupper() == w.isupper() for w, (_, _, _, m) in zip(old, marks))
+    assert " de la " in new and "J. R. van der " in new and new.endswith("schmidt the smith saw Mr brown and Schmidts.")
+    assert [k for k, _, _, _ in marks][:4] == ["given", "given", "given", "family"]
+
+
+def test_distinct_in_a_shape_that_is_nearly_full(spark):
+    """One-letter mailboxes, all but two in use: no two real ones get the same surrogate, however few attempts there are."""
+    real = [f"{c}@mail.example.com" for c in "abcdefghijklmnopqrstuvwx"] + ["long.name@mail.example.com"]
+    found = spark.createDataFrame([("email", m) for m in real], "kind string, entity string")
+    for most in (1, 3, pii.ATTEMPTS):
+        tried = {r.entity: r.attempt for r in pii.attempts(found, b"k", most).collect()}
+        assert len({pii.surrogate(b"k", "email", m, tried.get(m, 0)) for m in real}) == len(real)
+
+
+def test_made_up_names_never_run_out(spark):
+    words = [f"n/{a}{b}{c}" for a in "bcdfg" for b in "aeiou" for c in "klmnprst"]
+    found = spark.createDataFrame([("family", w) for w in words], "kind string, entity string")
+    tried = {r.entity: r.attempt for r in pii.attempts(found, b"k").collect()}
+    assert len({pii.surrogate(b"k", "family", w, tried.get(w, 0)) for w in words}) == len(words)
+    assert len(pii.surrogate(b"k", "family", words[0], 15)) > len(pii.surrogate(b"k", "family", words[0], 0)) + 15
+
+
 def test_gender_shapes_the_given_name():
     endings = pii.SYLLABLES["latin"][2]
     for word in ("robin", "kim", "alexandra"):
@@ -70,11 +106,11 @@ def test_collisions_are_resolved(spark):
 def test_tables(spark):
     rows = [*fixtures.texts()[:20], (900, TEXT), (901, TEXT), (None, "mail und.34@mail7.example.com"), (902, None), (903, "")]
     docs = fixtures.table(spark, rows)
-    new = pii.replace_private(docs)
+    new = pii.replace_private(docs, TEST_KEY)
     assert new.columns == docs.columns and new.count() == len(rows)
-    got = [(r.doc_id, r.text, r.n_entities) for r in pii.private_report(docs).collect()]
-    assert {(i, t) for i, t, _ in got} == {(i, None if t is None else pii.replaced(t, pii.KEY)[0]) for i, t in rows}
+    got = [(r.doc_id, r.text, r.n_entities) for r in pii.private_report(docs, TEST_KEY).collect()]
+    assert {(i, t) for i, t, _ in got} == {(i, None if t is None else pii.replaced(t, TEST_KEY)[0]) for i, t in rows}
     assert {n for i, _, n in got if i in (900, 901)} == {12} and {n for i, _, n in got if i in (902, 903)} == {0}
     mail = next(t for i, t, n in got if i is None and n == 1)
     assert mail.split()[1] in next(t for i, t, _ in got if i == 900)
-    assert pii.private_report(docs.limit(0)).collect() == []
+    assert pii.private_report(docs.limit(0), TEST_KEY).collect() == []

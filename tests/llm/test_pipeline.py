@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as entry
 import corpus_pipeline
+from strataflow.llm.shared import TEST_KEY
 from strataflow.llm import pii
 from tests.llm import fixtures
 
@@ -33,7 +34,7 @@ def test_stages(spark, tmp_path):
             group = fixtures.components(before)
             assert Counter(i for i, _ in left) == Counter(i for i, _ in before if group.get(i) == i)
         if name == "pii":
-            assert left == Counter((i, None if t is None else pii.replaced(t, pii.KEY)[0]) for i, t in before)
+            assert left == Counter((i, None if t is None else pii.replaced(t, TEST_KEY)[0]) for i, t in before)
         if name == "best_fit_packing":
             assert {r.doc_id for r in after.collect()} == {i for i, _ in before}
         docs = after
