@@ -10,7 +10,7 @@ from strataflow.llm.exact_dedup import exact_dedup
 from strataflow.llm.jaccard_join import jaccard_components
 from strataflow.llm.packing import pack_documents
 from strataflow.llm.pii import replace_private
-from strataflow.llm.shared import scratch, ship, stash
+from strataflow.llm.shared import scratch, ship, stash, surrogate_key
 from strataflow.llm.toxicity import drop_toxic
 
 
@@ -37,7 +37,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data is replaced by surrogates."""
     ship(spark)
-    return replace_private(docs)
+    return replace_private(docs, surrogate_key(spark))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -31,7 +31,11 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared folder the cluster names, or below its warehouse where none is named; executors see
-    both."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """A fresh folder below the shared folder the cluster names. Without one a local session takes its warehouse; on a
+    cluster executors might not see that."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors see")
+        base = spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/strataflow/{name}-{uuid.uuid4().hex}"
