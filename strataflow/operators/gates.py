@@ -81,13 +81,13 @@ def _sure(condition: Column) -> Column:
 
 def _bad_id(gate_id: str, column: str) -> Gate:
     return Gate(
-        gate_id, column, REQUIRED, f"{column} is null, empty, or invalid format", ~P.well_formed(column)
+        gate_id, column, REQUIRED, f"{column} is missing or malformed", ~P.well_formed(column)
     )
 
 
 def _not_in_master(gate_id: str, column: str) -> Gate:
     return Gate(
-        gate_id, column, NOT_FOUND, f"{column} value does not exists in reference master",
+        gate_id, column, NOT_FOUND, f"{column} names nothing that is known",
         F.col(MasterMatch(column, column).result).isNull(),
     )
 
@@ -95,30 +95,30 @@ def _not_in_master(gate_id: str, column: str) -> Gate:
 def _absent(gate_id: str, column: str, found: str) -> Gate:
     """Only a well-formed id is worth looking up; malformed ones fail their own gate."""
     return Gate(
-        gate_id, column, NOT_FOUND, f"{column} value does not exists in reference master",
+        gate_id, column, NOT_FOUND, f"{column} names nothing that is known",
         P.well_formed(column) & F.col(found).isNull(),
     )
 
 
 def _not_yes_no(gate_id: str, column: str) -> Gate:
-    return Gate(gate_id, column, FORMAT, f"{column} is not Y or N", ~P.is_yes_or_no(column))
+    return Gate(gate_id, column, FORMAT, f"{column} has to be Y or N", ~P.is_yes_or_no(column))
 
 
 def _not_date(gate_id: str, column: str) -> Gate:
     return Gate(
-        gate_id, column, FORMAT, f"{column} could not be converted to date", value(column).isNull()
+        gate_id, column, FORMAT, f"{column} is no date", value(column).isNull()
     )
 
 
 def _not_timestamp(gate_id: str, column: str) -> Gate:
     return Gate(
-        gate_id, column, FORMAT, f"{column} could not be converted to datetime", value(column).isNull()
+        gate_id, column, FORMAT, f"{column} is no time", value(column).isNull()
     )
 
 
 def _future(gate_id: str, column: str, as_of: Column) -> Gate:
     return Gate(
-        gate_id, column, RANGE, f"{column} is in the future", _sure(value(column) > as_of)
+        gate_id, column, RANGE, f"{column} lies ahead", _sure(value(column) > as_of)
     )
 
 
@@ -128,7 +128,7 @@ def _not_number(gate_id: str, column: str, optional: bool = False, unless=None)
         fails = fails & ~P.blank(column)
     if unless is not None:
         fails = fails & ~unless
-    return Gate(gate_id, column, FORMAT, f"{column} could not be converted to numeric", fails)
+    return Gate(gate_id, column, FORMAT, f"{column} is no number", fails)
 
 
 def _out_of(
@@ -138,9 +138,9 @@ def _out_of(
     fails = (value(column) <= low) if above else (value(column) < low)
     if high is not None:
         fails = fails | (value(column) > high)
-        text = f"{column} not in range {low}-{high}"
+        text = f"{column} lies outside {low} to {high}"
     else:
-        text = f"{column} value is less than {'or equal to ' if above else ''}{low}"
+        text = f"{column} has to be {'above' if above else 'at least'} {low}"
     return Gate(gate_id, column, RANGE, message or text, _sure(fails))
 
 
@@ -156,7 +156,7 @@ def customer_gates(_: Column) -> list[Gate]:
 def restaurant_gates(as_of: Column) -> list[Gate]:
     return [
         _bad_id("B5", "restaurant_id"),
-        Gate("B6", "restaurant_name", MISSING, "restaurant_name is null or empty", P.blank("restaurant_name")),
+        Gate("B6", "restaurant_name", MISSING, "restaurant_name is missing", P.blank("restaurant_name")),
         _not_date("B7", "onboard_date"),
         _future("B8", "onboard_date", as_of),
         _not_yes_no("B9", "is_active"),
@@ -233,7 +233,7 @@ def order_item_gates(_: Column) -> list[Gate]:
         _not_number("B48", "quantity"),
         _out_of("B49", "quantity", 0, above=True),
         _not_number("B50", "unit_price"),
-        _out_of("B51", "unit_price", 0, message="unit_price not in range 0-1000"),
+        _out_of("B51", "unit_price", 0),
         _not_number("B52", "item_discount"),
         Gate(
             "B53", "item_discount", RANGE, "Item discount is less than 0 or exceeds the total item amount",
@@ -257,12 +257,11 @@ def delivery_performance_gates(_: Column) -> list[Gate]:
         _bad_id("B56", "delivery_id"),
         _bad_id("B57", "order_id"),
         _absent("B58", "order_id", "order_found"),
-        Gate("B59", "order_id", CANCELLED, "Order was cancelled; delivery was not executed", cancelled),
+        Gate("B59", "order_id", CANCELLED, "The order is cancelled, so nothing was delivered", cancelled),
         _not_number("B60", "expected_delivery_time_min", unless=cancelled),
         _out_of("B61", "expected_delivery_time_min", 5, 120),
         _not_number("B62", "actual_delivery_time_min", optional=True, unless=cancelled),
-        _out_of("B63", "actual_delivery_time_min", 5, 180,
-                message="actual_delivery_time_min not in range 5-120"),
+        _out_of("B63", "actual_delivery_time_min", 5, 180),
         _not_number("B64", "distance_km", unless=cancelled),
         _out_of("B65", "distance_km", 0, 100, above=True),
         _not_number("B66", "order_item", unless=cancelled),
@@ -277,9 +276,9 @@ def delivery_performance_gates(_: Column) -> list[Gate]:
         _out_of("B75", "travel_time", 0, 180),
         Gate(
             "B76", "actual_delivery_time_min", LOGIC,
-            "actual_delivery_time_min does not equal prep_time + travel_time", _sure(actual != prep + travel),
+            "prep_time and travel_time do not add up to actual_delivery_time_min", _sure(actual != prep + travel),
         ),
-        Gate("B77", "rider_wait_time", LOGIC, "rider_wait_time is greater than prep_time", _sure(wait > prep)),
+        Gate("B77", "rider_wait_time", LOGIC, "rider_wait_time exceeds prep_time", _sure(wait > prep)),
     ]
 
 
@@ -293,10 +292,10 @@ def rating_gates(_: Column) -> list[Gate]:
         _absent("B83", "customer_id", "customer_found"),
         _absent("B84", "restaurant_id", "restaurant_found"),
         _not_number("B85", "rating"),
-        _out_of("B86", "rating", 1, 5, message="rating not in range 1 - 5"),
+        _out_of("B86", "rating", 1, 5),
         _not_timestamp("B87", "review_timestamp"),
         _not_number("B88", "sentiment_score"),
-        _out_of("B89", "sentiment_score", -1, 1, message="sentiment_score not in range (-1) - 1"),
+        _out_of("B89", "sentiment_score", -1, 1),
     ]
 
 

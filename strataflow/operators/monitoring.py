@@ -27,8 +27,8 @@ CATEGORY_NULL = "Mandatory Field Null Violation"
 CATEGORY_DUPLICATE = "Duplicate Business Key Violation"
 CATEGORY_FILE = "Source File Structure & Validation"
 CATEGORY_OTHER = "Other Data Quality Anomaly"
-# Fixed value: the message of a step that a newer run replaced.
-STALE_MESSAGE = "Aborted: Superseded by a new execution run."
+# The message of a step that a newer run replaced.
+STALE_MESSAGE = "A newer run took the place of this one"
 RECONCILED = "RECONCILED (Valid Audit)"
 VARIANCE = "VARIANCE DETECTED"
 

@@ -54,38 +54,36 @@ def order_warnings(
         _warning(
             F.col("customer_id_found").isNull(), "CUSTOMER", "customer_id", "orphan_customer",
             F.concat(
-                F.lit("Customer ID "), F.col("customer_id"),
-                F.lit(" not found in ods.ods_customer (retained for compliance / revenue)"),
+                F.lit("Order of the unknown customer "), F.col("customer_id"), F.lit("; kept, as its revenue counts"),
             ),
         ),
         _warning(
             F.col("restaurant_id_found").isNull(), "RESTAURANT", "restaurant_id", "orphan_restaurant",
-            F.concat(F.lit("Restaurant ID "), F.col("restaurant_id"), F.lit(" not found in ods.ods_restaurant")),
+            F.concat(F.lit("Order at the unknown restaurant "), F.col("restaurant_id")),
         ),
         _warning(
             has_partner & F.col("delivery_partner_id_found").isNull(),
             "DELIVERY_PARTNER", "delivery_partner_id", "orphan_partner",
             F.concat(
-                F.lit("Delivery Partner ID "), F.col("delivery_partner_id"),
-                F.lit(" not found in ods.ods_delivery_partner"),
+                F.lit("Order brought by the unknown partner "), F.col("delivery_partner_id"),
             ),
         ),
         _warning(
             F.abs(diff) > F.lit(AMOUNT_TOLERANCE).cast("decimal(18,2)"),
             "FINANCIAL_INTEGRITY", "order_id", "mismatch",
             F.concat(
-                F.lit("Total amount ("), F.col("total_amount").cast("string"),
-                F.lit(") <> Calculated (subtotal "), F.col("subtotal_amount").cast("string"),
-                F.lit(" - discount "), discount.cast("string"),
-                F.lit(" + fee "), fee.cast("string"),
-                F.lit(" = "), computed.cast("string"),
-                F.lit("). Diff: "), diff.cast("string"),
+                F.lit("The total of "), F.col("total_amount").cast("string"),
+                F.lit(" is off by "), diff.cast("string"),
+                F.lit(" from "), computed.cast("string"),
+                F.lit(", which is "), F.col("subtotal_amount").cast("string"),
+                F.lit(" less "), discount.cast("string"),
+                F.lit(" plus "), fee.cast("string"),
             ),
         ),
         _warning(
             F.col("total_amount") > F.lit(high_value), "ORDER", "order_id", "high_value",
             F.concat(
-                F.lit("High-value order detected: total_amount = "), F.col("total_amount").cast("string")
+                F.lit("A large order of "), F.col("total_amount").cast("string")
             ),
         ),
     )

@@ -227,7 +227,7 @@ _RESTARTED = "LOAD_URGENT_F"
 @query(
     "m8_step_start",
     "SELECT log_id, step_name, CASE WHEN stale THEN 'FAILED' ELSE status END AS status, CASE WHEN stale THEN '" + AS_OF + "' ELSE CAST(end_time AS VARCHAR) END AS end_time, "
-    "CASE WHEN stale THEN 'Aborted: Superseded by a new execution run.' ELSE message END AS message, "
+    "CASE WHEN stale THEN 'A newer run took the place of this one' ELSE message END AS message, "
     "(SELECT count(*) FROM etl_error WHERE NOT (batch_id = 199806 AND table_name = 'raw_order' AND table_name IS NOT NULL) OR table_name IS NULL) AS errors_left "
     f"FROM (SELECT *, step_name = '{_RESTARTED}' AND status = 'RUNNING' AS stale FROM etl_log)",
 )

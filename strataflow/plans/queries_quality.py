@@ -487,21 +487,21 @@ _MONEY0 = "CAST(0 AS DECIMAL(18,2))"
 fragment(
     "found_warnings",
     "SELECT batch_id, order_id, 'CUSTOMER' AS entity_name, customer_id AS entity_id, 'ORPHAN_CUSTOMER_DETECTED' AS warning_type, "
-    "'Customer ID ' || customer_id || ' not found in ods.ods_customer (retained for compliance / revenue)' AS warning_message "
+    "'Order of the unknown customer ' || customer_id || '; kept, as its revenue counts' AS warning_message "
     "FROM ods_order o WHERE NOT EXISTS (SELECT 1 FROM before_customer p WHERE p.customer_id = o.customer_id) "
     "UNION ALL SELECT batch_id, order_id, 'RESTAURANT', restaurant_id, 'ORPHAN_RESTAURANT_DETECTED', "
-    "'Restaurant ID ' || restaurant_id || ' not found in ods.ods_restaurant' "
+    "'Order at the unknown restaurant ' || restaurant_id "
     "FROM ods_order o WHERE NOT EXISTS (SELECT 1 FROM before_restaurant p WHERE p.restaurant_id = o.restaurant_id) "
     "UNION ALL SELECT batch_id, order_id, 'DELIVERY_PARTNER', delivery_partner_id, 'ORPHAN_DELIVERY_PARTNER_DETECTED', "
-    "'Delivery Partner ID ' || delivery_partner_id || ' not found in ods.ods_delivery_partner' "
+    "'Order brought by the unknown partner ' || delivery_partner_id "
     "FROM ods_order o WHERE delivery_partner_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM before_delivery_partner p WHERE p.delivery_partner_id = o.delivery_partner_id) "
     "UNION ALL SELECT batch_id, order_id, 'FINANCIAL_INTEGRITY', order_id, 'TOTAL_AMOUNT_MISMATCH', "
-    "'Total amount (' || CAST(total_amount AS VARCHAR) || ') <> Calculated (subtotal ' || CAST(subtotal_amount AS VARCHAR) || ' - discount ' || "
-    f"CAST(COALESCE(discount_amount, {_MONEY0}) AS VARCHAR) || ' + fee ' || CAST(COALESCE(delivery_fee, {_MONEY0}) AS VARCHAR) || ' = ' || "
-    f"CAST(CAST(subtotal_amount - COALESCE(discount_amount, {_MONEY0}) + COALESCE(delivery_fee, {_MONEY0}) AS DECIMAL(18,2)) AS VARCHAR) || '). Diff: ' || CAST({_DIFF} AS VARCHAR) "
+    f"'The total of ' || CAST(total_amount AS VARCHAR) || ' is off by ' || CAST({_DIFF} AS VARCHAR) || ' from ' || "
+    f"CAST(CAST(subtotal_amount - COALESCE(discount_amount, {_MONEY0}) + COALESCE(delivery_fee, {_MONEY0}) AS DECIMAL(18,2)) AS VARCHAR) || ', which is ' || "
+    f"CAST(subtotal_amount AS VARCHAR) || ' less ' || CAST(COALESCE(discount_amount, {_MONEY0}) AS VARCHAR) || ' plus ' || CAST(COALESCE(delivery_fee, {_MONEY0}) AS VARCHAR) "
     f"FROM ods_order WHERE abs({_DIFF}) > 0.01 "
     "UNION ALL SELECT batch_id, order_id, 'ORDER', order_id, 'HIGH_VALUE_ORDER', "
-    f"'High-value order detected: total_amount = ' || CAST(total_amount AS VARCHAR) FROM ods_order WHERE total_amount > {HIGH_VALUE}",
+    f"'A large order of ' || CAST(total_amount AS VARCHAR) FROM ods_order WHERE total_amount > {HIGH_VALUE}",
 )
 
 
