@@ -807,7 +807,7 @@ def timeline(src: Source) -> DataFrame:
 
 
 _GIVEN = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
-_LAYERS = {
+_LAYER_TABLES = {
     "raw": {f"raw_{e}": f"raw_{e}" for e in LOAD_ORDER},
     "ods": {f"ods_{e}": f"ods_{e}" for e in LOAD_ORDER},
     "ref": {f"ref_{n}": f"master_{n}" for n in M.MASTERS},
@@ -823,7 +823,7 @@ _LAYERS = {
     "t17_table_counts",
     " UNION ALL ".join(
         [f"SELECT 'given' AS layer, '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in _GIVEN]
-        + [f"SELECT '{layer}', '{n}', count(*) FROM {t}" for layer, tables in _LAYERS.items() for n, t in tables.items()]
+        + [f"SELECT '{layer}', '{n}', count(*) FROM {t}" for layer, tables in _LAYER_TABLES.items() for n, t in tables.items()]
     ),
 )
 def table_counts(src: Source) -> DataFrame:
@@ -833,7 +833,7 @@ def table_counts(src: Source) -> DataFrame:
         "fact_rating": S.ratings_fact, "fact_review_aspect": S.fact_review_aspect, "ods_order_item": S.items, "etl_batch": etl_batch,
     }
     tables = {("given", n): src.table(n) for n in _GIVEN}
-    tables |= {(layer, n): built[n](src) if n in built else src(t) for layer, found in _LAYERS.items() for n, t in found.items()}
+    tables |= {(layer, n): built[n](src) if n in built else src(t) for layer, found in _LAYER_TABLES.items() for n, t in found.items()}
     return audits.table_counts(tables)
 
 
