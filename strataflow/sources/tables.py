@@ -14,17 +14,19 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from datetime import UTC, datetime
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 VERSIONS = "control/table_versions"
-VERSION_SCHEMA = (
-    "table_name string, batch_id bigint, version string, purged boolean, part string, path string, low string, high string, "
-    "published_at timestamp"
-)
+VERSION_TYPES = {
+    "table_name": pa.string(), "batch_id": pa.int64(), "version": pa.string(), "purged": pa.bool_(), "part": pa.string(),
+    "path": pa.string(), "low": pa.string(), "high": pa.string(), "published_at": pa.timestamp("us"),
+}
 #: Columns that only tell parts apart begin with this; readers of a table do not see them.
 HIDDEN = "_"
 
@@ -39,11 +41,23 @@ class Part:
     high: str | None = None
 
 
+@dataclass
+class Version:
+    """A published state of a table."""
+
+    batch_id: int
+    published_at: datetime
+    parts: list[Part] = field(default_factory=list)
+
+
 class Warehouse:
+    """The tables below a folder. The list of versions is read once, with the first use of a published table; later this
+    object's own publications are added. Batches run one after another, each with an object of its own."""
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._lists: dict[tuple[str, int | None], list[Part] | None] = {}
+        self._versions: dict[str, dict[str, Version]] | None = None
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -90,24 +104,24 @@ class Warehouse:
 
     # Published versions -------------------------------------------------------------------------------
 
+    def _known(self) -> dict[str, dict[str, Version]]:
+        """All versions of all tables by their id. They hold one row per part and version; purges mark old ones."""
+        if self._versions is None:
+            self._versions = {}
+            listed = self.read(VERSIONS)
+            gone = None if listed is None else listed.filter("purged").select("version")
+            for r in [] if listed is None else listed.filter("NOT purged").join(gone, "version", "left_anti").collect():
+                version = self._versions.setdefault(r.table_name, {}).setdefault(r.version, Version(r.batch_id, r.published_at))
+                if r.path is not None:
+                    version.parts.append(Part(r.part, r.path, r.low, r.high))
+        return self._versions
+
     def parts(self, name: str, before: int | None = None) -> list[Part] | None:
-        """The parts of the latest version, or of the latest one of an earlier batch; None if there is no version. A table
-        has one row per part here, so the driver holds as many as it has months or batches."""
-        if (name, before) not in self._lists:
-            self._lists[name, before] = self._published(name, before)
-        return self._lists[name, before]
-
-    def _published(self, name: str, before: int | None) -> list[Part] | None:
-        versions = self.read(VERSIONS)
-        if versions is None:
-            return None
-        mine = versions.filter(F.col("table_name") == name)
-        mine = mine.join(mine.filter("purged").select("version"), "version", "left_anti")
-        if before is not None:
-            mine = mine.filter(F.col("batch_id") < before)
-        latest = mine.agg(F.max_by("version", F.struct("batch_id", "published_at"))).scalar()
-        rows = mine.filter((F.col("version") == latest) & F.col("path").isNotNull()).orderBy("part").collect()
-        return [Part(r.part, r.path, r.low, r.high) for r in rows] or None
+        """The parts of the latest version, or of the latest one of an earlier batch; None if there is none, or an empty
+        one. A table has one row per part here, so the driver holds as many as it has months or batches."""
+        found = [v for v in self._known().get(name, {}).values() if before is None or v.batch_id < before]
+        latest = max(found, key=lambda v: (v.batch_id, v.published_at), default=None)
+        return None if latest is None else sorted(latest.parts, key=lambda p: p.value or "") or None
 
     def current(self, name: str, before: int | None = None, only: Sequence[str] | None = None) -> DataFrame | None:
         """The rows of the latest version, or of the latest one of an earlier batch; with `only` those of some parts."""
@@ -187,17 +201,13 @@ class Warehouse:
 
     def _point(self, name: str, parts: Sequence[Part], batch_id: int) -> None:
         """Make a version visible. Its list is one file, which appears as a whole or not at all."""
-        version = uuid.uuid4().hex
-        rows = [(p.value, p.path, p.low, p.high) for p in parts] or [(None, None, None, None)]
-        listed = self.spark.createDataFrame(rows, "part string, path string, low string, high string")
-        self.append(
-            VERSIONS,
-            listed.select(
-                F.lit(name).alias("table_name"), F.lit(batch_id).cast("long").alias("batch_id"), F.lit(version).alias("version"),
-                F.lit(False).alias("purged"), "part", "path", "low", "high", F.current_timestamp().alias("published_at"),
-            ).coalesce(1),
-        )
-        self._lists = {k: v for k, v in self._lists.items() if k[0] != name}
+        known, version, now = self._known(), uuid.uuid4().hex, datetime.now(UTC).replace(tzinfo=None)
+        self._list([(name, batch_id, version, False, p.value, p.path, p.low, p.high, now) for p in parts or (Part(None, None),)])
+        known.setdefault(name, {})[version] = Version(batch_id, now, parts=list(parts))
+
+    def _list(self, rows: list[tuple]) -> None:
+        columns = [pa.array(c, k) for c, k in zip(zip(*rows), VERSION_TYPES.values())]
+        self.append(VERSIONS, self.spark.createDataFrame(pa.Table.from_arrays(columns, names=list(VERSION_TYPES))).coalesce(1))
 
     def purge_versions(self, keep: int, names: Sequence[str] | None = None) -> int:
         """Keep the last `keep` versions of each table; remove the folders that only older ones name. First the old
@@ -205,24 +215,17 @@ class Warehouse:
         Readers that still work on an old version lose it. Returns the number of folders removed."""
         if keep < 1:
             raise ValueError("the current version is always kept")
-        versions = self.read(VERSIONS)
-        if versions is None:
-            return 0
-        lists = versions.groupBy("table_name", "version").agg(F.max("batch_id").alias("batch_id"), F.max("published_at").alias("at"), F.bool_or("purged").alias("gone"))
-        order = {}
-        for r in lists.collect():
-            if names is None or r.table_name in names:
-                order.setdefault(r.table_name, []).append((r.gone, r.batch_id, r.at, r.version))
-        old = []
-        for name, found in order.items():
-            live = sorted(v[1:] for v in found if not v[0])
-            old += [(name, batch, version) for batch, _, version in live[:-keep]]
+        now, old = datetime.now(UTC).replace(tzinfo=None), []
+        tables = [n for n in self._known() if names is None or n in names]
+        for name in tables:
+            found = sorted(self._known()[name].items(), key=lambda v: (v[1].batch_id, v[1].published_at))
+            old += [(name, v.batch_id, version, True, None, None, None, None, now) for version, v in found[:-keep]]
         if old:
-            marked = self.spark.createDataFrame(old, "table_name string, batch_id long, version string")
-            nothing = [F.lit(None).cast("string").alias(c) for c in ("part", "path", "low", "high")]
-            self.append(VERSIONS, marked.select("table_name", "batch_id", "version", F.lit(True).alias("purged"), *nothing, F.current_timestamp().alias("published_at")).coalesce(1))
-            self._lists = {}
-        versions = self.read(VERSIONS).filter(F.col("table_name").isin(list(order)))
+            self._list(old)
+            self._versions = None
+        if self.read(VERSIONS) is None:
+            return 0
+        versions = self.read(VERSIONS).filter(F.col("table_name").isin(tables))
         gone = versions.filter("purged").select("version").distinct()
         named = versions.filter("path IS NOT NULL")
         held = named.join(gone, "version", "left_anti").select("path")
