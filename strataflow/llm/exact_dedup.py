@@ -15,9 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataflow.llm import bits
-from strataflow.llm.shared import stash
+from strataflow.llm.shared import scratch, stash
 
-#: Bits per row of the filter, probes per hash, and the most bits it may have (8 MB a table).
+#: Bits per row of the filter, probes per hash, and the most bits of a table (8 MB).
 BITS_PER_ROW, PROBES, MOST_BITS = 16, 4, 1 << 26
 
 
@@ -31,10 +31,10 @@ def text_hash(text: Column) -> Column:
     return F.unhex(F.sha2(normalised(text), 256))
 
 
-def _repeated(hashes: DataFrame):
+def _repeated(hashes: DataFrame, most_bits: int = MOST_BITS):
     """A column function that tells whether a hash may occur in several rows of `hashes` (its only column)."""
     spark, name = hashes.sparkSession, hashes.columns[0]
-    n_bits = bits.bits_for(hashes.count(), BITS_PER_ROW, MOST_BITS)
+    n_bits = bits.bits_for(hashes.count(), BITS_PER_ROW, most_bits)
     table = spark.sparkContext.broadcast(bits.fill(hashes.select(F.xxhash64(name)), n_bits, PROBES, 2)[1])
 
     @F.pandas_udf("boolean")
@@ -44,13 +44,30 @@ def _repeated(hashes: DataFrame):
     return lambda column: held(F.xxhash64(column))
 
 
-def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def _marked(base: DataFrame, most_bits: int) -> DataFrame:
+    """The rows of `base` with `maybe`, whether their `sha` may occur again. Where one table of `most_bits` would get too full,
+    the hashes are stored by ranges of their own hash and each range has a table and a pass of its own, so the share of unique
+    rows that is let through does not grow with the input."""
+    ranges = -(-base.count() * BITS_PER_ROW // most_bits)
+    if ranges <= 1:
+        return base.withColumn("maybe", _repeated(base.select("sha"), most_bits)("sha"))
+    spark, split, marked = base.sparkSession, scratch(base.sparkSession, "ranges"), scratch(base.sparkSession, "marked")
+    base.withColumn("part", F.pmod(F.xxhash64("sha"), F.lit(ranges))).write.partitionBy("part").parquet(split)
+    # A range has no folder where one text holds most rows.
+    held = spark.read.parquet(split).select("part").distinct().collect()
+    for part in sorted(r.part for r in held):
+        rows = spark.read.schema(base.schema).parquet(f"{split}/part={part}")
+        rows.withColumn("maybe", _repeated(rows.select("sha"), most_bits)("sha")).write.mode("append").parquet(marked)
+    return spark.read.schema(base.withColumn("maybe", F.lit(True)).schema).parquet(marked)
+
+
+def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", most_bits: int = MOST_BITS) -> DataFrame:
     """One row per input row: key, keep_id, group_size, kept, text_sha256. Of equal texts the row with the smallest key
     stays. Null and empty texts are equal to each other. Rows without a key come last: one stays only where its group
     has no key at all, with keep_id null. Of rows that repeat both key and text one stays. An empty table gives an
-    empty result; other columns are not looked at."""
+    empty result; other columns are not looked at. A bit table has at most `most_bits`; more rows take more tables."""
     base = stash(docs.select(F.col(key).alias("doc"), text_hash(F.col(text)).alias("sha")), "hashes")
-    marked = base.withColumn("maybe", _repeated(base.select("sha"))("sha"))
+    marked = _marked(base, most_bits)
     alone = marked.where("not maybe").select("doc", F.col("doc").alias("keep"), F.lit(1).cast("long").alias("n"), F.lit(1).alias("copy"), "sha")
     # Equal (key, text) rows are counted first, so the group of a text gets one row per key from each task.
     some = marked.where("maybe").groupBy("sha", "doc").agg(F.count("*").alias("copies"))
