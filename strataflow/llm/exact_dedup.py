@@ -19,6 +19,8 @@ from strataflow.llm.shared import scratch, stash
 
 #: Bits per row of the filter, probes per hash, and the most bits of a table (8 MB).
 BITS_PER_ROW, PROBES, MOST_BITS = 16, 4, 1 << 26
+#: Shares into which the copies of a text are dealt where they meet their group.
+SALTS = 8
 
 
 def normalised(text: Column) -> Column:
@@ -73,7 +75,10 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", most_
     some = marked.where("maybe").groupBy("sha", "doc").agg(F.count("*").alias("copies"))
     some = stash(some, "repeated")
     groups = some.groupBy("sha").agg(F.min("doc").alias("keep"), F.sum("copies").alias("n"))
-    shared = some.join(groups, "sha").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
+    # Dealt by text and salt, so copies of one text spread over the tasks; a group is one row per salt.
+    salted = some.withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(SALTS)))
+    spread = groups.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    shared = salted.join(spread, ["sha", "salt"]).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     every = alone.unionByName(shared.select("doc", "keep", "n", "copy", "sha"))
     return every.select(
         F.col("doc").alias(key),
