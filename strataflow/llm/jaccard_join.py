@@ -6,14 +6,15 @@ differing cells is a lower bound of it. Two sets of a and b tokens with Jaccard
 difference of at most d = (a + b) // 7. Hence, of any d + 1 occupied cells of one sketch, one at least is found
 unchanged in the other. Each document sends the first d + 1 of its occupied cells, in an order that all documents
 share (cells known to be frequent last), and documents that send an equal cell become candidates. A node of the
-join is a token set, named by 64 bits (its sum of tokens), and not a key, which may come with several texts. Cells per
+join is a token set, and not a key, which may come with several texts. It is named by 64 bits (its sum of tokens); sets
+that a second such name tells apart get names made of both. Cells per
 sketch depend on the size band of the smaller document; a document just above a band's end also sends cells as the larger
 partner of that band.
 
 Candidates are checked by size, then by the Hamming distance of bit sketches (token parity per bit), then exactly.
 In large buckets a candidate is formed with the most central member only. Buckets that hold several components after
-that are compared in blocks inside tasks: members outside the main component meet all others there, and only pairs that
-the bit sketches allow leave the task. So no component is missed, and no bucket emits its pairs.
+that are compared in pairs of blocks inside tasks: members outside the main component meet all others there, and only
+pairs that the bit sketches allow leave the task. So no component is missed, and no bucket emits its pairs.
 """
 
 from __future__ import annotations
@@ -35,8 +36,12 @@ FIRST_BAND = 64
 FREQUENT_CELLS = 50_000
 #: Buckets up to this size form all their pairs; larger ones go by representatives.
 SMALL_BUCKET = 8
-#: Members per block where a large bucket is compared in full.
+#: Members per block where a large bucket is compared in full; a task holds two blocks at a time.
 BLOCK = 1024
+#: Shares into which the members of a large bucket are dealt where they meet what is known of the bucket.
+SALTS = 16
+#: Bits of a node's first name.
+NAME_BITS = 64
 PROBES = 2
 
 
@@ -112,13 +117,20 @@ def _sets(batch: pa.RecordBatch, size: int):
             yield first + i, tokens
 
 
-def _names(tokens: np.ndarray) -> tuple[int, int]:
-    """Two 64-bit names of a token set."""
+def _names(tokens: np.ndarray, name_bits: int) -> tuple[int, int]:
+    """Two names of a token set, the first of `name_bits` bits, the second of 64."""
     twin = mix(tokens ^ U64(0xA5A5A5A55A5A5A5A))
-    return tuple(np.array([tokens.sum(dtype=U64), twin.sum(dtype=U64)], dtype=U64).view(np.int64).tolist())
+    first = tokens.sum(dtype=U64) >> U64(64 - name_bits)
+    return tuple(np.array([first, twin.sum(dtype=U64)], dtype=U64).view(np.int64).tolist())
 
 
-def _summaries(size: int):
+def _node(tokens: np.ndarray, name_bits: int, doubled: frozenset[int]) -> int:
+    """The name of a token set as a node: its first name, or both in one where unlike sets share the first."""
+    one, two = _names(tokens, name_bits)
+    return one ^ two if one in doubled else one
+
+
+def _summaries(size: int, name_bits: int):
     """Per document its set's size, names and bit sketch; besides, cells that repeat among some 16 MB of texts."""
 
     def run(batches):
@@ -140,7 +152,7 @@ def _summaries(size: int):
             ids = batch.column(0).to_pylist()
             out: tuple[list, ...] = ([], [], [], [], [])
             for row, tokens in _sets(batch, size):
-                one, two = _names(tokens)
+                one, two = _names(tokens, name_bits)
                 for column, value in zip(out, (ids[row], len(tokens), one, two, bit_sketch(tokens))):
                     column.append(value)
                 if len(tokens) and one not in seen:
@@ -158,24 +170,24 @@ def _summaries(size: int):
     return run
 
 
-def _sender(size: int, frequent: np.ndarray, counts: np.ndarray):
-    """(cell, doc) rows, doc being the first name of the set. A task sends an equal set once; the copies share its fate."""
+def _sender(size: int, name_bits: int, frequent: np.ndarray, counts: np.ndarray, doubled: frozenset[int]):
+    """(cell, doc) rows, doc being the node of the set. A task sends an equal set once; the copies share its fate."""
 
     def run(batches):
-        seen: set[tuple[int, int]] = set()
+        seen: set[int] = set()
         for batch in batches:
             ids = batch.column(0).to_pylist()
             keys, docs, held = [], [], 0
             for row, tokens in _sets(batch, size):
                 if ids[row] is None or not len(tokens):
                     continue
-                name = _names(tokens)
+                name = _node(tokens, name_bits, doubled)
                 if name in seen:
                     continue
                 seen.add(name)
                 found = sent(tokens, frequent, counts)
                 keys.append(found)
-                docs.append(np.full(len(found), name[0], dtype=np.int64))
+                docs.append(np.full(len(found), name, dtype=np.int64))
                 held += len(found)
                 if held > 200_000:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(docs))], names=["cell", "doc"])
@@ -237,7 +249,7 @@ def _far(batches):
         yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(keep, pa.bool_())) for i in (0, 1)], names=["u", "v"])
 
 
-def _token_sets(size: int, table: np.ndarray):
+def _token_sets(size: int, name_bits: int, table: np.ndarray, doubled: frozenset[int]):
     """Token sets of the documents that a bit table may hold."""
 
     def run(batches):
@@ -248,12 +260,12 @@ def _token_sets(size: int, table: np.ndarray):
             ids = batch.column(0).to_pylist()
             rows: tuple[list, ...] = ([], [], [])
             for row, tokens in _sets(batch, size):
-                for column, value in zip(rows, (ids[row], _names(tokens)[0], tokens.tobytes())):
+                for column, value in zip(rows, (ids[row], _node(tokens, name_bits, doubled), tokens.tobytes())):
                     column.append(value)
                 if len(rows[0]) >= 1000:
-                    yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.binary())], names=["doc", "one", "tokens"])
+                    yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.binary())], names=["doc", "rep", "tokens"])
                     rows = ([], [], [])
-            yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.binary())], names=["doc", "one", "tokens"])
+            yield pa.RecordBatch.from_arrays([pa.array(rows[0], pa.int64()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.binary())], names=["doc", "rep", "tokens"])
         release()
 
     return run
@@ -273,7 +285,7 @@ def _linked(batches):
         yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(keep, pa.bool_())) for i in (0, 1)], names=["u", "v"])
 
 
-def _sets_of(near: DataFrame, nodes: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+def _sets_of(near: DataFrame, nodes: DataFrame, texts: DataFrame, size: int, name_bits: int, doubled: frozenset[int]) -> DataFrame:
     """(doc, tokens) of the nodes in some pairs: the texts are read once more, and only those that a bit table of the wanted
     keys may hold are cut into shingles."""
     ends = near.select(F.col("u").alias("rep")).unionByName(near.select(F.col("v").alias("rep"))).distinct()
@@ -282,9 +294,9 @@ def _sets_of(near: DataFrame, nodes: DataFrame, texts: DataFrame, size: int) ->
     table = near.sparkSession.sparkContext.broadcast(bits.fill(ends.select("doc"), n_bits, PROBES, 1)[0])
 
     def read(batches):
-        yield from _token_sets(size, table.value)(batches)
+        yield from _token_sets(size, name_bits, table.value, doubled)(batches)
 
-    sets = texts.mapInArrow(read, "doc long, one long, tokens binary").withColumnRenamed("one", "rep")
+    sets = texts.mapInArrow(read, "doc long, rep long, tokens binary")
     # A row that repeats its key and set would only repeat its pairs.
     return stash(sets.join(ends, ["doc", "rep"]).select(F.col("rep").alias("doc"), "tokens"), "sets")
 
@@ -311,41 +323,50 @@ def _near(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return stash(_ends(sized, table, "n", "sketch").mapInArrow(_far, "u long, v long"), "near")
 
 
-def _verified(near: DataFrame, nodes: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+def _verified(near: DataFrame, nodes: DataFrame, texts: DataFrame, size: int, name_bits: int, doubled: frozenset[int]) -> DataFrame:
     """The pairs that are links: those that finer sketches of their sets allow too, compared in full."""
-    sets = _sets_of(near, nodes, texts, size)
+    sets = _sets_of(near, nodes, texts, size, name_bits, doubled)
     fine = sets.mapInArrow(_fine, "doc long, n long, sketch binary")
     near = stash(_ends(near, fine, "n", "sketch").mapInArrow(_far, "u long, v long"), "near")
     return stash(_ends(near, sets, "tokens").mapInArrow(_linked, "u long, v long"), "links")
 
 
+def _with_bucket(members: DataFrame, buckets: DataFrame) -> DataFrame:
+    """Members joined with one row per bucket. They are dealt by salt, so a hot bucket spreads over several tasks."""
+    salted = members.withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int"))
+    spread = buckets.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(spread, ["cell", "salt"]).drop("salt")
+
+
 def _central_pairs(members: DataFrame) -> DataFrame:
     """Each member of a large bucket with the bucket's most central one: the member of most large buckets, which is the
     least changed of a group of near copies."""
     central = members.groupBy("doc").agg(F.count("*").alias("met"))
     chosen = members.join(central, "doc").groupBy("cell").agg(F.max(F.struct("met", "doc")).alias("rep"))
-    met = members.join(chosen, "cell").where("doc != rep.doc")
+    met = _with_bucket(members, chosen).where("doc != rep.doc")
     return met.select(F.greatest("doc", "rep.doc").alias("u"), F.least("doc", "rep.doc").alias("v")).distinct()
 
 
 def _mixed(members: DataFrame, links: DataFrame) -> DataFrame:
-    """(cell, doc, component, main) of the large buckets that hold several components; main is the largest of them."""
+    """(cell, doc, component, main, members, inside) of the large buckets that hold several components; main is the largest
+    of them and has `inside` of all `members`."""
     known = components(links).select(F.col("node").alias("doc"), "component")
     now = members.join(known, "doc", "left").select("cell", "doc", F.coalesce("component", "doc").alias("component"))
     sizes = now.groupBy("cell", "component").agg(F.count("*").alias("n"))
-    several = sizes.groupBy("cell").agg(F.max(F.struct("n", "component")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
-    return now.join(several, "cell").select("cell", "doc", "component", F.col("main.component").alias("main"))
+    largest = F.max(F.struct("n", "component"))
+    several = sizes.groupBy("cell").agg(largest.alias("main"), F.sum("n").alias("members"), F.count("*").alias("parts")).where("parts > 1")
+    several = several.select("cell", F.col("main.component").alias("main"), "members", F.col("main.n").alias("inside"))
+    return _with_bucket(now, several).select("cell", "doc", "component", "main", "members", "inside")
 
 
-def _compare(at: int, docs, parts, outside, block, n, sketches) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of unlike components in a block that size and bit sketches allow: the members outside the main component
-    against all others."""
+def _compare(left: int, docs, parts, block, n, sketches) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of unlike components that size and bit sketches allow: the members of block `left` against those of the other
+    block, or against each other where there is no other."""
     u, v = [], []
-    for i in np.flatnonzero(outside).tolist():
-        fits = (parts != parts[i]) & (4 * np.minimum(n, n[i]) >= 3 * np.maximum(n, n[i]))
-        # Two members outside the main component meet in every block; the block of the lower one compares them.
-        lower = (block < block[i]) | ((block == block[i]) & (docs < docs[i]))
-        fits &= ~outside | (~lower & (block[i] == at))
+    mine = block == left
+    for i in np.flatnonzero(mine).tolist():
+        fits = (docs > docs[i]) if mine.all() else ~mine
+        fits &= (parts != parts[i]) & (4 * np.minimum(n, n[i]) >= 3 * np.maximum(n, n[i]))
         j = np.flatnonzero(fits)
         if len(j):
             j = j[np.bitwise_count(sketches[j] ^ sketches[i]).sum(axis=1, dtype=np.int64) <= (n[j] + n[i]) // 7]
@@ -357,18 +378,17 @@ def _compare(at: int, docs, parts, outside, block, n, sketches) -> tuple[np.ndar
 
 
 def _allowed(batches):
-    """`_compare` for every block of rows that are sorted by cell and block."""
+    """`_compare` for every pair of blocks, in rows that are sorted by cell and pair."""
     held: pa.Table | None = None
 
     def work(table: pa.Table):
-        columns = {c: table[c].to_numpy() for c in ("cell", "at", "doc", "component", "main", "block", "n")}
+        columns = {c: table[c].to_numpy() for c in ("cell", "at", "left", "doc", "component", "block", "n")}
         cell, at = columns["cell"], columns["at"]
         ends = np.flatnonzero(np.concatenate(((cell[1:] != cell[:-1]) | (at[1:] != at[:-1]), [True]))) + 1
         sketch = table["sketch"].combine_chunks().cast(pa.large_binary())
         offsets = np.frombuffer(sketch.buffers()[1], dtype=np.int64)[sketch.offset : sketch.offset + len(sketch) + 1]
         data, width = np.frombuffer(sketch.buffers()[2], dtype=np.uint8), np.diff(offsets)
         found, start = [], 0
-        outside = columns["component"] != columns["main"]
         for end in ends.tolist():
             part = slice(start, end)
             least = int(width[part].min())
@@ -376,7 +396,7 @@ def _allowed(batches):
                 made = data[offsets[start] : offsets[end]].reshape(-1, least)
             else:
                 made = np.stack([np.bitwise_xor.reduce(data[offsets[i] : offsets[i + 1]].reshape(-1, least), axis=0) for i in range(start, end)])
-            found.append(_compare(at[start], *(columns[c][part] for c in ("doc", "component")), outside[part], *(columns[c][part] for c in ("block", "n")), made.view(np.uint64)))
+            found.append(_compare(columns["left"][start], *(columns[c][part] for c in ("doc", "component", "block", "n")), made.view(np.uint64)))
             start = end
         u, v = (np.concatenate([f[k] for f in found]) for k in (0, 1))
         pairs = np.unique(np.stack((u, v), axis=1), axis=0)
@@ -388,7 +408,7 @@ def _allowed(batches):
         if not len(table):
             continue
         cell, at = table["cell"].to_numpy(), table["at"].to_numpy()
-        # The last block may go on in the next batch.
+        # The last pair may go on in the next batch.
         last = np.flatnonzero((cell != cell[-1]) | (at != at[-1]))
         whole = int(last[-1]) + 1 if len(last) else 0
         if whole:
@@ -398,20 +418,31 @@ def _allowed(batches):
         yield work(held)
 
 
+def _dealt(mixed: DataFrame) -> DataFrame:
+    """(cell, doc, component, block, left, at) of mixed buckets. Members outside the main component are dealt to blocks of
+    about BLOCK members, the others to blocks numbered after those. Each pair of blocks of which one is outside, a
+    block with itself included, is a group `at`, whose lower block is `left`; so no group holds more than two blocks."""
+    outside = F.col("component") != F.col("main")
+    outer = F.floor((F.col("members") - F.col("inside")) / BLOCK).cast("int") + 1
+    inner = F.floor(F.col("inside") / BLOCK).cast("int") + 1
+    placed = mixed.withColumns({"outside": outside, "outer": outer, "inner": inner})
+    spot = F.pmod(F.xxhash64("doc", F.lit(1)), F.when(F.col("outside"), F.col("outer")).otherwise(F.col("inner"))).cast("int")
+    placed = placed.withColumn("block", F.when(F.col("outside"), spot).otherwise(spot + F.col("outer")))
+    others = F.sequence(F.lit(0), F.when(F.col("outside"), F.col("outer") + F.col("inner")).otherwise(F.col("outer")) - 1)
+    met = placed.select("cell", "doc", "component", "block", "outer", "inner", F.explode(others).alias("other"))
+    left, right = F.least("block", "other"), F.greatest("block", "other")
+    at = left.cast("long") * (F.col("outer") + F.col("inner")) + right
+    return met.select("cell", "doc", "component", "block", left.alias("left"), at.alias("at"))
+
+
 def _block_pairs(mixed: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Candidates between the components of mixed buckets. Members are dealt to blocks of bounded size; those outside the
-    main component go to every block of their bucket."""
-    counted = mixed.groupBy("cell").agg((F.count("*") / BLOCK).cast("int").alias("last"))
-    placed = mixed.join(counted, "cell").withColumn("block", F.pmod(F.xxhash64("doc"), F.col("last") + 1).cast("int"))
-    everywhere = F.sequence(F.lit(0), F.col("last"))
-    to = F.when(F.col("component") == F.col("main"), F.array("block")).otherwise(everywhere)
-    dealt = placed.select("cell", "doc", "component", "main", "block", F.explode(to).alias("at"))
-    dealt = dealt.join(nodes.select(F.col("rep").alias("doc"), "n", "sketch"), "doc")
+    """Candidates between the components of mixed buckets."""
+    dealt = _dealt(mixed).join(nodes.select(F.col("rep").alias("doc"), "n", "sketch"), "doc")
     dealt = dealt.repartition("cell", "at").sortWithinPartitions("cell", "at")
     return stash(dealt.mapInArrow(_allowed, "u long, v long").distinct(), "near")
 
 
-def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE) -> DataFrame:
+def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, name_bits: int = NAME_BITS) -> DataFrame:
     """(key, n_shingles, component_id) of every row: A-Z lower-cased, words `[^\\x20\\x09-\\x0D]+`, sets of distinct shingles
     of `size` words, links at a Jaccard similarity of 3/4 or more, component_id the smallest key reached by links.
 
@@ -422,22 +453,30 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     spark = docs.sparkSession
     texts = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
     schema = "doc long, n long, one long, two long, sketch binary, cell boolean"
-    first = stash(texts.mapInArrow(_summaries(size), schema), "summaries")
+    first = stash(texts.mapInArrow(_summaries(size, name_bits), schema), "summaries")
     rows = first.where("not cell").select("doc", "n", "one", "two", "sketch")
     least = F.greatest(F.lit(32), F.lit(rows.count() // 5000))
     top = first.where("cell").groupBy("one").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     top = top.orderBy(F.desc("n"), "one").limit(FREQUENT_CELLS).collect()
     frequent = np.array([r["one"] for r in top], dtype=np.int64).view(U64)
     order = np.argsort(frequent)
-    shared = spark.sparkContext.broadcast((frequent[order], np.array([r["n"] for r in top], dtype=np.int64)[order]))
-
-    def send(batches):
-        yield from _sender(size, *shared.value)(batches)
 
     usable = rows.where("doc is not null and n > 0")
     # One row of each set; its key is where the set is read again.
-    nodes = stash(usable.dropDuplicates(["one"]).select(F.col("one").alias("rep"), "doc", "n", "sketch"), "nodes")
-    named = stash(usable.select("doc", F.col("one").alias("rep")).distinct(), "named")
+    sets = stash(usable.dropDuplicates(["one", "two"]), "sets")
+    # Unlike sets of one first name: of 2**32 sets one pair on average.
+    twice = sets.groupBy("one").agg(F.count("*").alias("sets")).where("sets > 1")
+    doubled = frozenset(r["one"] for r in twice.select("one").collect())
+    node = F.col("one")
+    if doubled:
+        node = F.when(F.col("one").isin(list(doubled)), F.col("one").bitwiseXOR(F.col("two"))).otherwise(F.col("one"))
+    nodes = sets.select(node.alias("rep"), "doc", "n", "sketch")
+    named = stash(usable.select("doc", node.alias("rep")).distinct(), "named")
+
+    shared = spark.sparkContext.broadcast((frequent[order], np.array([r["n"] for r in top], dtype=np.int64)[order], doubled))
+
+    def send(batches):
+        yield from _sender(size, name_bits, *shared.value)(batches)
 
     met = texts.mapInArrow(send, "cell long, doc long").repartition("cell").sortWithinPartitions("cell", "doc")
     met = stash(met.mapInArrow(_buckets, "cell long, u long, v long"), "met")
@@ -448,12 +487,12 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     least = named.groupBy("doc").agg(F.min("rep").alias("v"), F.max("rep").alias("most")).where("v != most")
     links = named.join(least, "doc").select(F.col("rep").alias("u"), "v").where("u != v")
     asked = pairs.unionByName(_central_pairs(members)).distinct()
-    links = links.unionByName(_verified(_near(asked, nodes), nodes, texts, size))
+    links = links.unionByName(_verified(_near(asked, nodes), nodes, texts, size, name_bits, doubled))
     mixed = stash(_mixed(members, links), "mixed")
     if not mixed.isEmpty():
         near = _block_pairs(mixed, nodes)
         if not near.isEmpty():
-            links = links.unionByName(_verified(near, nodes, texts, size))
+            links = links.unionByName(_verified(near, nodes, texts, size, name_bits, doubled))
 
     found = components(links).toDF("rep", "component")
     keyed = named.groupBy("rep").agg(F.min("doc").alias("doc")).join(found, "rep", "left")

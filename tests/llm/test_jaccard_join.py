@@ -83,3 +83,33 @@ def test_links_of_a_key_with_many_texts(spark):
     assert len(set(want.values())) == 3
     got = J.jaccard_components(fixtures.table(spark, rows)).collect()
     assert {(r.doc_id, r.component_id) for r in got} == {(i, want[i]) for i, _ in rows} and len(got) == len(rows)
+
+
+def test_sets_that_share_their_first_name(spark):
+    """With first names of six bits most sets share theirs; the second name tells them apart."""
+    rows = fixtures.texts()
+    want = fixtures.components(rows)
+    got = J.jaccard_components(fixtures.table(spark, rows), name_bits=6).collect()
+    assert len(got) == len(rows) and {(r.doc_id, r.component_id) for r in got} == {(i, want.get(i)) for i, _ in rows}
+
+
+def test_large_bucket_of_unlike_documents(spark):
+    """5,000 documents share a template, each just too far from the others to link, but for a few planted pairs. All meet
+    in large buckets. Groups hold two blocks at most, and the planted pairs alone are linked."""
+    rng = random.Random(8)
+    template = fixtures.prose(rng, 40)
+    rows = [(i, " ".join([*template, *[f"{w}{i}" for w in "abcdefgh"]])) for i in range(5000)]
+    pairs = {7: 4990, 2500: 2501, 1024: 3072}
+    for a, b in pairs.items():
+        rows[b] = (b, rows[a][1] + " z")
+    got = {r.doc_id: r.component_id for r in J.jaccard_components(fixtures.table(spark, rows)).collect()}
+    sets = [fixtures.shingles(t) for _, t in rows]
+    assert 100 * len(sets[0] & sets[1]) < 75 * len(sets[0] | sets[1])
+    assert got == {i: i for i in range(5000)} | {b: a for a, b in pairs.items()}
+
+    mixed = spark.range(5000).selectExpr("1L AS cell", "id AS doc", "id AS component", "0L AS main", "5000L AS members", "1L AS inside")
+    groups = J._dealt(mixed).groupBy("cell", "at").count().collect()
+    assert max(r["count"] for r in groups) < 2.5 * J.BLOCK and len(groups) == 5 * 6 // 2 + 5
+    main = spark.range(5000).selectExpr("1L AS cell", "id AS doc", "IF(id < 3, id, 9L) AS component", "9L AS main", "5000L AS members", "4997L AS inside")
+    groups = J._dealt(main).groupBy("at").count().collect()
+    assert sum(r["count"] for r in groups) == 4997 + 3 * 6 and max(r["count"] for r in groups) < 1.5 * J.BLOCK
