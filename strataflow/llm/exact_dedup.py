@@ -89,17 +89,16 @@ def exact_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", most_
     )
 
 
-def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns. The rules are those of `exact_groups`; only rows whose hash may repeat
-    are shuffled, dealt by hash and key, so copies of one text spread over all tasks."""
+def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", most_bits: int = MOST_BITS) -> DataFrame:
+    """The rows that stay, with all their columns. The rules are those of `exact_groups`, which sees keys and texts alone.
+    The whole rows pass a bit table of the hashes that do repeat, which are few among all; those that it holds are shuffled,
+    dealt by hash and key, so copies of one text spread over all tasks."""
     columns = docs.columns
-    sha, maybe, keep = (f"{name}_{uuid.uuid4().hex}" for name in ("sha", "maybe", "keep"))
-    base = stash(docs.select(F.col(key).alias("doc"), text_hash(F.col(text)).alias("sha")), "hashes")
-    held = _repeated(base.select("sha"))
-    first = base.where(held("sha")).groupBy("sha").agg(F.min("doc").alias("doc"))
-    first = stash(first.select(F.col("sha").alias(sha), F.col("doc").alias(keep)), "first")
-    marked = docs.withColumn(sha, text_hash(F.col(text))).withColumn(maybe, held(sha))
+    sha, maybe, copy, other = (f"{name}_{uuid.uuid4().hex}" for name in ("sha", "maybe", "copy", "other"))
+    groups = exact_groups(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), most_bits=most_bits)
+    many = stash(groups.where("group_size > 1").select(F.unhex("text_sha256").alias(copy), F.col("doc_id").alias(other), "keep_id"), "many")
+    gone = many.where(~F.col(other).eqNullSafe(F.col("keep_id"))).select(copy, other).distinct()
+    marked = docs.withColumn(sha, text_hash(F.col(text))).withColumn(maybe, _repeated(many.select(copy), most_bits)(sha))
     alone = marked.where(~F.col(maybe)).select(*columns)
-    some = marked.where(F.col(maybe))
-    chosen = some.join(first.withColumnRenamed(sha, f"{sha}_"), (F.col(sha) == F.col(f"{sha}_")) & F.col(key).eqNullSafe(F.col(keep)), "left_semi")
-    return alone.unionByName(chosen.dropDuplicates([sha, key]).select(*columns))
+    some = marked.where(F.col(maybe)).join(gone, (F.col(sha) == F.col(copy)) & F.col(key).eqNullSafe(F.col(other)), "left_anti")
+    return alone.unionByName(some.dropDuplicates([sha, key]).select(*columns))
