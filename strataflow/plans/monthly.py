@@ -32,6 +32,7 @@ LOG_SCHEMA = (
     "end_time timestamp_ntz, status string, rows_processed long, rows_inserted long, rows_rejected long, "
     "message string, created_at timestamp_ntz"
 )
+LOG_COLUMNS = tuple(part.split()[0] for part in LOG_SCHEMA.split(", "))
 SOURCE_SYSTEM = "File Ingestion"
 #: Keys of the facts, and the dimensions that hold their members.
 _MEMBERS = {"customer_key": "dim_customer", "restaurant_key": "dim_restaurant", "delivery_partner_key": "dim_delivery_partner"}
@@ -73,24 +74,50 @@ class BatchRun:
     files: int = 0
     step_began: datetime = field(default_factory=_now)
 
-    def note(self, process: str, step: str, processed: int, inserted: int, status: str, message: str = "") -> None:
-        """Log a finished step; it began when the one before ended."""
+    def _entry(self, process: str, step: str, processed: int, inserted: int, status: str, message: str = "") -> dict:
         now = _now()
-        self.log.append(
-            {
-                "log_id": self.batch_id * 1000 + len(self.log) + 1, "batch_id": self.batch_id, "process_name": process,
-                "step_name": step, "start_time": self.step_began, "end_time": now, "status": status,
-                "rows_processed": processed, "rows_inserted": inserted,
-                "rows_rejected": max(processed - inserted, 0), "message": message, "created_at": now,
-            }
-        )
-        self.step_began = now
+        return {
+            "log_id": self.batch_id * 1000 + len(self.log) + 1, "batch_id": self.batch_id, "process_name": process,
+            "step_name": step, "start_time": self.step_began, "end_time": None if status == "RUNNING" else now, "status": status,
+            "rows_processed": processed, "rows_inserted": inserted,
+            "rows_rejected": max(processed - inserted, 0), "message": message, "created_at": now,
+        }
+
+    def begin(self, process: str, step: str) -> None:
+        """A step starts. The log is stored with the step RUNNING in it, so a batch that dies shows how far it came."""
+        self.step_began = _now()
+        self._write_log(self._entry(process, step, 0, 0, "RUNNING"))
+
+    def note(self, process: str, step: str, processed: int, inserted: int, status: str, message: str = "") -> None:
+        """Log a finished step; it began where `begin` said so, or when the one before ended."""
+        self.log.append(self._entry(process, step, processed, inserted, status, message))
+        self.step_began = self.log[-1]["created_at"]
+
+    def _write_log(self, *running: dict) -> None:
+        rows = [tuple(r.values()) for r in (*self.log, *running)]
+        self.warehouse.replace_batch("control/etl_log", self.spark.createDataFrame(rows, LOG_SCHEMA).coalesce(1), batch_id=self.batch_id)
+
+    def _take_over(self) -> None:
+        """Steps that an earlier run of the batch has left RUNNING become FAILED. They stay in the log, before those of this
+        run; so do the ones that were closed like that before."""
+        log = self.control("etl_log", self.batch_id)
+        if log is None:
+            return
+        left = [r.step_name for r in log.filter("status = 'RUNNING'").select("step_name").distinct().collect()]
+        for step in left:
+            log = monitoring.close_stale_steps(log, step, F.lit(_now()))
+        for row in log.filter(F.col("message") == monitoring.STALE_MESSAGE).orderBy("log_id").collect():
+            held = row.asDict()
+            number = {"log_id": self.batch_id * 1000 + len(self.log) + 1, "batch_id": self.batch_id}
+            self.log.append({name: number.get(name, held[name]) for name in LOG_COLUMNS})
 
     # Files to raw -------------------------------------------------------------------------------------
 
     def land(self, folder: str) -> DataFrame:
         """Check every file, then load all of them, or none when one is bad. What an earlier run of the batch left in the
         control tables, and in the raw tables of entities that are not delivered now, goes first."""
+        self._take_over()
+        self._close("RUNNING", 0, 0)
         for name, parts in BATCH_TABLES.items():
             self.warehouse.clear_batch(name, self.batch_id, *parts)
         files = landing.discover_files(self.spark, folder)
@@ -131,6 +158,7 @@ class BatchRun:
         failed = {}
         for entity, rows in staged.items():
             name = f"raw/{ENTITIES[entity].raw_table}"
+            self.begin("STG_TO_RAW", RAW_SUFFIX + entity.upper())
             try:
                 self.warehouse.replace_batch(name, rows, batch_id=self.batch_id)
                 loaded = self.raw(entity).count()
@@ -180,6 +208,7 @@ class BatchRun:
             if raw is None or raw.isEmpty():
                 self.warehouse.withdraw(f"ods/{spec.ods_table}", self.batch_id)
                 continue
+            self.begin("RAW_TO_ODS", spec.step_name)
             gated = gates.apply_gates(entity, raw, masters, self._parents(entity), self.as_of.cast("date"))
             gated = gated.persist(StorageLevel.DISK_ONLY)
             self._write_errors(spec.raw_table, gates.quarantined(entity, gated, self.as_of))
@@ -200,6 +229,27 @@ class BatchRun:
             rows.unpersist()
             gated.unpersist()
 
+    def check_orders(self) -> None:
+        """Raw orders of which none reached the typed table stop the batch before the star schema."""
+        raw, typed = self.raw("order"), self._of_batch("order")
+        if raw is None:
+            return
+        here = F.lit(self.batch_id).cast("long").alias("batch_id")
+        raw = raw.select(here)
+        typed = raw.filter("false") if typed is None else typed.select(here)
+        no_steps = self.spark.createDataFrame([], LOG_SCHEMA)
+        try:
+            monitoring.enforce_guardrails(monitoring.guardrails(raw, typed, no_steps, F.lit(_now())))
+        except monitoring.GuardrailError:
+            self.close("FAILED")
+            raise
+
+    def check_steps(self) -> None:
+        """Steps of this run that failed (all their rows were rejected) are raised once everything else is done."""
+        failed = [r["step_name"] for r in self.log if r["status"] == "FAILED" and r["message"] != monitoring.STALE_MESSAGE]
+        if failed:
+            raise monitoring.GuardrailError(f"failed steps: {failed}")
+
     def _write_errors(self, table: str, errors: DataFrame) -> None:
         """Replace the errors of this batch and table. An error's id is a hash of what it is about, so a rerun gives the
         same ids."""
@@ -442,17 +492,18 @@ class BatchRun:
         batch = self.spark.range(1).select(
             F.lit(self.batch_id).cast("long").alias("batch_id"), F.lit("MONTHLY_BATCH").alias("pipeline_name"),
             F.lit(SOURCE_SYSTEM).alias("source_system"), F.lit(self.files).cast("int").alias("source_file_count"),
-            self.as_of.alias("start_time"), F.greatest(F.localtimestamp(), self.as_of).alias("end_time"),
+            self.as_of.alias("start_time"),
+            F.when(F.lit(status != "RUNNING"), F.greatest(F.localtimestamp(), self.as_of)).alias("end_time"),
             F.lit(status).alias("status"), self.as_of.alias("created_at"),
             F.lit(total).cast("long").alias("total_records"),
             F.lit(total - bad).cast("long").alias("success_records"),
             F.lit(bad).cast("long").alias("error_records"),
         )
         self.warehouse.replace_batch("control/etl_batch", batch, batch_id=self.batch_id)
-        log = self.spark.createDataFrame([tuple(r.values()) for r in self.log], LOG_SCHEMA)
-        self.warehouse.replace_batch("control/etl_log", log, batch_id=self.batch_id)
+        self._write_log()
 
-    def close(self) -> None:
+    def close(self, status: str | None = None) -> None:
+        """Close the batch with its totals; the status follows from its errors unless it is given."""
         counts = [self.raw(e) for e in LOAD_ORDER]
         total = sum(df.count() for df in counts if df is not None)
         errors = self.warehouse.read("control/etl_error")
@@ -462,7 +513,7 @@ class BatchRun:
                 errors.filter(F.col("batch_id") == self.batch_id)
                 .select("table_name", "source_file_name", "source_row_number").distinct().count()
             )
-        self._close("PARTIAL" if bad else "SUCCESS", total, min(bad, total))
+        self._close(status or ("PARTIAL" if bad else "SUCCESS"), total, min(bad, total))
 
     def control(self, name: str, batch_id: int | None = None) -> DataFrame:
         """A control table, of one batch or all; None if no batch has written it."""
@@ -474,14 +525,17 @@ def run_month(
     spark: SparkSession, root: str, folder: str, batch_id: int, as_of: Column, cache: DataFrame | None = None,
     masters: dict[str, DataFrame] | None = None, **options,
 ) -> BatchRun:
-    """One whole batch. Running it again with the same files leaves every table as it was."""
+    """One whole batch. Running it again with the same files leaves every table as it was. Two guardrails raise an error:
+    orders that all were rejected, before the star schema is loaded, and at the end any step that failed."""
     run = BatchRun(spark, Warehouse(spark, root), batch_id, as_of, **options)
     checked = run.land(folder)
     if checked.filter(~F.col("is_valid")).isEmpty() and not checked.isEmpty():
         run.load_typed(masters)
+        run.check_orders()
         run.load_star(cache)
         run.relink()
         run.close()
+        run.check_steps()
     return run
 
 

@@ -407,6 +407,60 @@ def test_bad_file_fails_the_batch(spark, tmp_path):
     assert routes["customer_20260201.csv"] == "rejected"
 
 
+def test_a_batch_that_dies_is_taken_over(spark, tmp_path, monkeypatch):
+    """The log shows the step that was running; the next run closes it, and further runs repeat."""
+    drop, wh = tmp_path / "drop", str(tmp_path / "wh")
+    write(drop, "customer_20260131.csv", CUSTOMER_HEADER, "CUST000001,2025-12-01,Pune,Paid")
+    write(drop, "delivery_partner_20260131.csv", ",".join(ENTITIES["delivery_partner"].columns), "DP00001,2025-12-01,Asha,Pune,Bike,Full-Time,4.5,Y")
+
+    def steps():
+        log = Warehouse(spark, wh).read("control/etl_log").orderBy("log_id").collect()
+        return [(r.log_id - 1000, r.step_name, r.status, r.end_time is None) for r in log]
+
+    def killed(entity, *rest, real=monthly.gates.apply_gates):
+        if entity == "delivery_partner":
+            raise RuntimeError("killed")
+        return real(entity, *rest)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(monthly.gates, "apply_gates", killed)
+        with pytest.raises(RuntimeError, match="killed"):
+            monthly.run_month(spark, wh, str(drop), 1, as_of())
+    batch = Warehouse(spark, wh).read("control/etl_batch").first()
+    assert (batch.status, batch.end_time) == ("RUNNING", None)
+    done, (number, stale, status, is_open) = steps()[:-1], steps()[-1]
+    assert (status, is_open) == ("RUNNING", True) and "PARTNER" in stale and number == len(done) + 1
+    assert {s for _, _, s, _ in done} == {"SUCCESS"} and not any(o for *_, o in done)
+    assert monitoring.active_batch(*[Warehouse(spark, wh).read("control/etl_batch")] * 2).first().batch_id == 1
+
+    last = monthly.run_month(spark, wh, str(drop), 1, as_of())
+    assert last.control("etl_batch").first().status == "SUCCESS"
+    after = steps()
+    assert after[0] == (1, stale, "FAILED", False) and [s for _, _, s, _ in after[1:]] == ["SUCCESS"] * 4
+    assert last.control("etl_log", 1).filter("log_id = 1001").first().message == monitoring.STALE_MESSAGE
+    monthly.run_month(spark, wh, str(drop), 1, as_of())
+    assert steps() == after
+
+
+def test_guardrails_stop_a_batch(spark, tmp_path):
+    """Orders that all are rejected stop the batch before the star schema; another entity's are raised at its end."""
+    drop, wh = tmp_path / "drop", str(tmp_path / "wh")
+    write(drop, "customer_20260131.csv", CUSTOMER_HEADER, "CUST000001,2025-12-01,Pune,Paid")
+    write(drop, "order_20260131.csv", ORDER_HEADER, "ORD000000000001,CUST000001,REST00001,,no date,100,0,5,105,Y,N")
+    with pytest.raises(monitoring.GuardrailError, match="raw_orders"):
+        monthly.run_month(spark, wh, str(drop), 1, as_of())
+    held = Warehouse(spark, wh)
+    batch = held.read("control/etl_batch").first()
+    assert (batch.status, batch.total_records, batch.error_records) == ("FAILED", 2, 1)
+    assert held.current("dwh/dim_customer") is None and held.current("ods/ods_customer").count() == 1
+    (drop / "order_20260131.csv").unlink()
+    write(drop, "delivery_partner_20260131.csv", ",".join(ENTITIES["delivery_partner"].columns), "DP00001,no date,Asha,Pune,Bike,Full-Time,4.5,Y")
+    with pytest.raises(monitoring.GuardrailError, match="failed steps.*PARTNER"):
+        monthly.run_month(spark, wh, str(drop), 1, as_of())
+    held = Warehouse(spark, wh)
+    assert held.read("control/etl_batch").first().status == "PARTIAL" and held.current("dwh/dim_customer").count() == 2
+
+
 def test_raw_load_goes_on_after_a_failure(spark, tmp_path):
     run = monthly.BatchRun(spark, Warehouse(spark, str(tmp_path)), 1, as_of())
     good = spark.createDataFrame([("CUST000001", 1)], "customer_id string, batch_id long")
