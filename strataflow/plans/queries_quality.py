@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataflow.functions.parsing import ID_PATTERNS, PLAIN_NUMBER
 from strataflow.operators import clean, gates, lookups, upsert, warnings
 from strataflow.plans import source_maps as M
 from strataflow.plans.registry import Source, dbl, fragment, query, txt
@@ -15,8 +14,18 @@ AS_OF = "2001-08-01"
 RAW_KEY = "batch_id, source_file_name, source_row_number"
 
 
+# The oracles' own formats of ids and numbers.
+ID_PATTERNS = {
+    "customer_id": "^CUST[0-9]{6}$", "restaurant_id": "^REST[0-9]{5}$", "delivery_partner_id": "^DP[0-9]{5}$",
+    "menu_item_id": "^MENU[0-9]{5}_[0-9]{4}$", "order_id": "^ORD[0-9]{12}$", "order_item_id": "^ITE[0-9]{15}$",
+    "delivery_id": "^DEL[0-9]{12}$", "rating_id": "^RAT[0-9]{12}$",
+}
+PLAIN_NUMBER = "^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)$"
+
+
 # Spark side -----------------------------------------------------------------------------------------------
 
+
 def master(src: Source, name: str) -> DataFrame:
     """City, channel, cuisine and category come from the tables; the other masters are the seeds."""
     if name in M.MASTERS:

@@ -112,11 +112,14 @@ fragment(
 )
 
 
-def _bands(rows) -> str:
-    return "(VALUES " + ", ".join(f"({i}, '{n}', {a}, {b})" for i, n, a, b in rows if i) + ") b(id, name, low, high)"
-
-
-RATING_BANDS, SENTIMENT_BANDS = _bands(lookups.RATING_TYPES), _bands(lookups.SENTIMENT_TYPES)
+# The oracles state their limits themselves, so that a wrong one in an operator shows.
+RATING_BANDS = (
+    "(VALUES (1, 'Excellent', 4.60, 5.00), (2, 'Good', 4.00, 4.59), (3, 'Average', 3.00, 3.99), (4, 'Poor', 2.00, 2.99), "
+    "(5, 'Very Bad', 1.00, 1.99)) b(id, name, low, high)"
+)
+SENTIMENT_BANDS = (
+    "(VALUES (1, 'Positive', 0.2000, 1.0000), (2, 'Neutral', -0.2000, 0.1999), (3, 'Negative', -1.0000, -0.2001)) b(id, name, low, high)"
+)
 fragment(
     "src_dim_delivery_partner",
     "SELECT delivery_partner_id, partner_name, city, vehicle_type, employment_type, is_active, onboard_date, avg_rating, "
@@ -688,8 +691,19 @@ def enrich_dimensions(src: Source) -> DataFrame:
     return out
 
 
+# Columns of a fact that are filled from its order, and the order's columns.
+RELINKED = {
+    "fact_order_item": {"order_date_key": "order_date_key", "customer_key": "customer_key", "restaurant_key": "restaurant_key"},
+    "fact_delivery_performance": {
+        "delivery_date_key": "order_date_key", "customer_key": "customer_key", "restaurant_key": "restaurant_key",
+        "delivery_partner_key": "delivery_partner_key",
+    },
+    "fact_rating": {"delivery_partner_key": "delivery_partner_key", "customer_key": "customer_key", "restaurant_key": "restaurant_key"},
+}
+
+
 def _relink_sql(name: str, facts_table: str) -> str:
-    pairs = facts.RELINK[name]
+    pairs = RELINKED[name]
     key = facts.FACT_KEYS[name]
     fixed = " OR ".join(f"(f.{c} = -1 AND COALESCE(o.{p}, -1) <> -1)" for c, p in pairs.items())
     return (
@@ -884,7 +898,7 @@ def enriched(src: Source, name: str) -> DataFrame:
     return dimensions.enrich(name, src(name), orders_fact(src))
 
 
-@query("v1_customer_view", _churn_sql("dim_customer", views.CUSTOMER_CHURN, "customer_key, customer_id, city, CAST(signup_date AS VARCHAR) AS signup_date, acquisition_channel"))
+@query("v1_customer_view", _churn_sql("dim_customer", views.ChurnRule("customer_key", "signup_date", 60, 45, 20, 30, 10), "customer_key, customer_id, city, CAST(signup_date AS VARCHAR) AS signup_date, acquisition_channel"))
 def customer_view(src: Source) -> DataFrame:
     return views.customer_view(enriched(src, "dim_customer"), day(AS_OF))
 
@@ -892,7 +906,7 @@ def customer_view(src: Source) -> DataFrame:
 @query(
     "v2_restaurant_view",
     _churn_sql(
-        "dim_restaurant", views.RESTAURANT_CHURN,
+        "dim_restaurant", views.ChurnRule("restaurant_key", "onboard_date", 60, 45, 15, 21, 8),
         "restaurant_key, restaurant_id, restaurant_name, city, cuisine_type, partner_type, is_active, CAST(onboard_date AS VARCHAR) AS onboard_date, "
         "avg_prep_time_min, min_prep_min, max_prep_min, prep_time_group, prep_time_index",
     ),
@@ -904,7 +918,7 @@ def restaurant_view(src: Source) -> DataFrame:
 @query(
     "v3_delivery_partner_view",
     _churn_sql(
-        "dim_delivery_partner", views.PARTNER_CHURN,
+        "dim_delivery_partner", views.ChurnRule("delivery_partner_key", "onboard_date", 30, 30, 15, 15, 7),
         "delivery_partner_key, delivery_partner_id, partner_name, city, vehicle_type, employment_type, is_active, CAST(onboard_date AS VARCHAR) AS onboard_date, "
         "CAST(avg_rating AS DOUBLE) AS avg_rating, rating_type_id, rating_type",
     ),
