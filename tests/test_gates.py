@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from strataflow.operators import clean, gates, lookups
+from strataflow.plans import queries_quality as Q
+from strataflow.plans.registry import Source
 from strataflow.spec import ENTITIES
 
 GOOD = {
@@ -212,3 +214,30 @@ def test_master_spelling_shared_by_two_entries_keeps_the_row_count(spark):
     )
     values = {r.match_value: r.name for r in lookups.match_values(master).collect()}
     assert values == {"PIZZA": "Pizza", "X": "pizza"}
+
+
+def test_lookups_carry_no_tested_texts(spark, masters, parents):
+    """What a row alone tells is known before its parents are looked up: counting errors takes no text through the joins."""
+    gated = gate_rows(spark, "order_item", [{**GOOD["order_item"], "at": (1, "a.csv", 2)}], masters, parents)
+    counted = gated.select("batch_id", "gate_errors")
+    plan = counted._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    last_join = max(i for i, line in enumerate(plan) if "Join LeftOuter" in line)
+    carried = plan[last_join + 1]
+    assert "gate_failed" in carried and "gate_texts" not in carried
+    assert not any("unit_price" in line for line in plan[:last_join])
+
+
+def test_texts_of_errors_come_from_failed_rows_alone(spark, masters, parents):
+    bad = {"quantity": " two ", "order_id": "ORD999999999999", "at": (1, "a.csv", 3)}
+    rows = [{**GOOD["order_item"], "at": (1, "a.csv", 2)}, {**GOOD["order_item"], **bad}]
+    gated = gate_rows(spark, "order_item", rows, masters, parents)
+    assert gated.filter(F.col(gates.TEXTS).isNotNull()).count() == 1
+    found = {(e.column_name, e.raw_value) for e in gates.quarantined("order_item", gated).collect()}
+    assert found == {("order_id", "ORD999999999999"), ("quantity", " two ")}
+
+
+def test_outcome_passes_the_gates_once(spark):
+    src = Source(spark, "/root/testdata/sf0.001")
+    clean_keys, errors = Q.outcome(src, "order_item")
+    assert {p.split("/strataflow/")[-1].split("-")[0] for p in clean_keys.inputFiles() + errors.inputFiles()} == {"outcome"}
+    assert clean_keys.count() == Q.cleaned(src, "order_item").count()
