@@ -614,7 +614,7 @@ def added_columns(src: Source) -> DataFrame:
 )
 def row_balance(src: Source) -> DataFrame:
     return audits.union(
-        audits.row_balance(e, src(f"raw_{e}"), Q.cleaned(src, e), Q.errors_of(src, e)) for e in LOAD_ORDER
+        audits.row_balance(e, src(f"raw_{e}"), *Q.outcome(src, e)) for e in LOAD_ORDER
     )
 
 
