@@ -328,6 +328,17 @@ def orders_fact(src: Source, table: str = "ods_order") -> DataFrame:
     )
 
 
+def stored_orders(src: Source, table: str) -> DataFrame:
+    """The keys of the order facts, worked out once and stored; whatever the query builds from these facts reads them."""
+    keys = ("order_id", "order_date_key", "order_time_key", "customer_key", "restaurant_key", "delivery_partner_key")
+    return src.once(
+        ("fact_order", table),
+        lambda: src.stored(
+            f"fact_{table}", lambda: facts.build_fact_order(src(table), cal(src), *(src(n) for n in DIMS)).select(*keys)
+        ),
+    )
+
+
 ORDER_COLUMNS = (
     "order_id, order_date_key, order_time_key, customer_key, restaurant_key, delivery_partner_key, "
     + dbl(*MONEY) + ", is_cod, is_cancelled, cust_lc_id, rest_lc_id, driver_lc_id, batch_id"
@@ -722,12 +733,18 @@ ORPHANED = {
 }
 
 
+def orphaned(src: Source, name: str, build) -> DataFrame:
+    """The stored facts before their late orders came: what a relink looks at and fills."""
+    stored_orders(src, "before_order")
+    return src.stored(name, lambda: build(src, "before_order").select(facts.FACT_KEYS[name], "order_id", *facts.RELINK[name]))
+
+
 def _register_relink() -> None:
     for name, (table, build) in ORPHANED.items():
         fragment(f"relinked_{name}", _relink_sql(name, table))
 
         def run(src: Source, n=name, b=build) -> DataFrame:
-            linked = facts.relink(n, src.stored(n, lambda: b(src, "before_order")), src.stored("fact_order", lambda: orders_fact(src)))
+            linked = facts.relink(n, orphaned(src, n, b), stored_orders(src, "ods_order"))
             return linked.select(facts.FACT_KEYS[n], "order_id", *facts.RELINK[n], "relinked")
 
         query(f"f16_relink_{name}", f"SELECT * FROM relinked_{name}")(run)
@@ -745,7 +762,7 @@ _register_relink()
 def relink_preview(src: Source) -> DataFrame:
     out = None
     for name, (_, build) in ORPHANED.items():
-        part = facts.relink_preview(name, src.stored(name, lambda b=build: b(src, "before_order")), src.stored("fact_order", lambda: orders_fact(src)))
+        part = facts.relink_preview(name, orphaned(src, name, build), stored_orders(src, "ods_order"))
         out = part if out is None else out.unionByName(part)
     return out
 

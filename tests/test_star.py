@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from strataflow.functions import bands, calendar
 from strataflow.operators import dimensions, facts, lookups, reviews, scd2, surrogate, upsert, views, warnings
+from strataflow.plans import queries_star
+from strataflow.plans.registry import Source
 
 D = dt.date
 CUSTOMER = "customer_id string, city string, signup_date date, acquisition_channel string, batch_id long"
@@ -303,3 +305,12 @@ def test_order_warnings(spark):
     assert message == "The total of 6001.02 is off by 0.02 from 6001.00, which is 6000.00 less 1.00 plus 2.00"
     kept = warnings.replace_warnings(found, found, 1)
     assert kept.count() == found.count()
+
+
+def test_relink_and_key_checks_work_order_facts_out_once(spark):
+    src = Source(spark, "/root/testdata/sf0.001")
+    name, (_, build) = "fact_rating", queries_star.ORPHANED["fact_rating"]
+    queries_star.orphaned(src, name, build)
+    for table in ("before_order", "ods_order"):
+        queries_star.stored_orders(src, table)
+        assert all(f"/strataflow/fact_{table}-" in f for f in queries_star.orders_fact(src, table).inputFiles())
