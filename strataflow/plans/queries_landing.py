@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataflow.operators import gates, clean, lookups, maintenance, monitoring, upsert
@@ -148,16 +148,24 @@ def file_routing(src: Source) -> DataFrame:
 DROP_FILES = 4
 
 
-def landed_orders(src: Source) -> DataFrame:
-    """Write the raw orders without an optional column, then discover, scan, number and fill them."""
+# Rows and bytes of a file where a query does not fix the number of files: a file is one task's work.
+FILE_ROWS, FILE_BYTES = 2_000_000, 256 << 20
+
+
+def landed_orders(src: Source, files: int = DROP_FILES) -> DataFrame:
+    """Write the raw orders without an optional column, then discover, scan, number and fill them. The rows are dealt and
+    sorted as given, in order of the order id; their texts are made when they are written."""
     folder = scratch_path(src.spark, "drop")
     spec = ENTITIES["order"]
     kept = [c for c in spec.columns if c != "delivery_partner_id"]
-    src("raw_order").select(*kept).repartitionByRange(DROP_FILES, "order_id").sortWithinPartitions("order_id").write.option("header", True).option(
+    made = M.RAW["raw_order"][0].columns
+    order_id = F.expr(made["order_id"])
+    ordered = src.table("orders").repartitionByRange(files, order_id).sortWithinPartitions(order_id)
+    ordered.selectExpr(*[f"{made[c]} AS {c}" for c in kept]).write.option("header", True).option(
         "ignoreLeadingWhiteSpace", False
     ).option("ignoreTrailingWhiteSpace", False).option("escape", '"').csv(folder)
-    files = landing.discover_files(src.spark, folder)
-    headers = {r.file_path: tuple(kept) for r in files.select("file_path").collect()}
+    found = landing.discover_files(src.spark, folder)
+    headers = {r.file_path: tuple(kept) for r in found.select("file_path").collect()}
 
     def store(rows: DataFrame) -> DataFrame:
         path = scratch_path(src.spark, "staged")
@@ -192,7 +200,35 @@ _TEXT = [c for c in ENTITIES["order"].columns if c != "delivery_partner_id"]
     f"SELECT {', '.join(f'COALESCE({c}, {chr(39) * 2}) AS {c}' for c in _TEXT)}, CAST(NULL AS VARCHAR) AS delivery_partner_id, CAST(7 AS BIGINT) AS batch_id FROM raw_order",
 )
 def landed_text(src: Source) -> DataFrame:
-    return landed_orders(src).select(*_TEXT, "delivery_partner_id", "batch_id")
+    files = max(DROP_FILES, -(-src.table("orders").count() // FILE_ROWS))
+    return landed_orders(src, files).select(*_TEXT, "delivery_partner_id", "batch_id")
+
+
+def file_order(landed: DataFrame, value: Column, block: int = 1 << 16) -> DataFrame:
+    """Per file: rows, lowest and highest row number, distinct numbers, and whether no row has a lower value than the row
+    before it. A window holds one block of row numbers; blocks then meet by their first and last rows."""
+    rows = landed.select(
+        "source_file_name", "source_row_number", F.floor(F.col("source_row_number") / block).alias("block"), value.alias("value")
+    )
+    inside = Window.partitionBy("source_file_name", "block").orderBy("source_row_number")
+    rows = rows.withColumns(
+        {"number_before": F.lag("source_row_number").over(inside), "value_before": F.lag("value").over(inside)}
+    )
+    first = F.col("number_before").isNull()
+    # A missing value stands in no order, be it of the row or of the row before.
+    kept = F.coalesce(F.col("value") >= F.col("value_before"), F.lit(True))
+    blocks = rows.groupBy("source_file_name", "block").agg(
+        F.count(F.lit(1)).alias("n"), F.min("source_row_number").alias("low"), F.max("source_row_number").alias("high"),
+        F.count_if(first | (F.col("source_row_number") != F.col("number_before"))).alias("numbers"),
+        F.bool_and(kept).alias("ordered"), F.max(F.when(first, F.col("value"))).alias("first"),
+        F.max_by("value", "source_row_number").alias("last"),
+    )
+    before = F.lag("last").over(Window.partitionBy("source_file_name").orderBy("block"))
+    blocks = blocks.withColumn("ordered", F.col("ordered") & F.coalesce(F.col("first") >= before, F.lit(True)))
+    return blocks.groupBy("source_file_name").agg(
+        F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"), F.sum("numbers").alias("numbers"),
+        F.bool_and("ordered").alias("ordered"),
+    )
 
 
 @query(
@@ -201,13 +237,7 @@ def landed_text(src: Source) -> DataFrame:
 )
 def row_numbers(src: Source) -> DataFrame:
     """Numbers are dense from 2 in every file, and follow its lines, which were written in order of the order id."""
-    last = F.lag("order_id").over(Window.partitionBy("source_file_name").orderBy("source_row_number"))
-    landed = landed_orders(src).withColumn("ordered", F.coalesce(F.col("order_id") >= last, F.lit(True)))
-    per_file = landed.groupBy("source_file_name").agg(
-        F.count(F.lit(1)).alias("n"), F.min("source_row_number").alias("low"), F.max("source_row_number").alias("high"),
-        F.count_distinct("source_row_number").alias("numbers"), F.bool_and("ordered").alias("ordered"),
-    )
-    return per_file.agg(
+    return file_order(landed_orders(src), F.col("order_id")).agg(
         F.count(F.lit(1)).alias("files"), F.sum("n").alias("total_rows"), F.bool_and(F.col("low") == 2).alias("starts_at_two"),
         F.bool_and((F.col("numbers") == F.col("n")) & (F.col("high") == F.col("n") + 1)).alias("dense"),
         F.bool_and("ordered").alias("in_file_order"),
@@ -235,11 +265,11 @@ _REVIEW = {
 }
 
 
-def landed_reviews(src: Source) -> DataFrame:
+def landed_reviews(src: Source, files: int = DROP_FILES) -> DataFrame:
     """Documents as files of ratings, landed again. Their lines begin and end inside quoted fields, in any split."""
     folder, spec = scratch_path(src.spark, "reviews"), ENTITIES["rating"]
     rows = src.table("documents").selectExpr("doc_id", *[f"{e} AS {n}" for n, e in _REVIEW.items()])
-    rows.repartitionByRange(DROP_FILES, "doc_id").sortWithinPartitions("doc_id").drop("doc_id").write.option("header", True).option(
+    rows.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id").drop("doc_id").write.option("header", True).option(
         "escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folder)
     heads = landing.file_heads(src.spark, folder)
     breaking = {r.file_path.rsplit("/", 1)[-1] for r in heads.filter("breaks_lines").select("file_path").collect()}
@@ -252,7 +282,8 @@ def landed_reviews(src: Source) -> DataFrame:
     f"SELECT {', '.join(f'{e} AS {n}' for n, e in _REVIEW.items())}, CAST(7 AS BIGINT) AS batch_id FROM documents",
 )
 def landed_review_texts(src: Source) -> DataFrame:
-    return landed_reviews(src).select(*ENTITIES["rating"].columns, "batch_id")
+    size = src.table("documents").agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return landed_reviews(src, max(DROP_FILES, -(-size // FILE_BYTES))).select(*ENTITIES["rating"].columns, "batch_id")
 
 
 @query(
@@ -262,13 +293,7 @@ def landed_review_texts(src: Source) -> DataFrame:
 def record_numbers(src: Source) -> DataFrame:
     """Records of many lines are numbered densely from 2 in every file, in the order in which they were written."""
     doc = F.substring("rating_id", 4, 20).cast("long")
-    last = F.lag(doc).over(Window.partitionBy("source_file_name").orderBy("source_row_number"))
-    landed = landed_reviews(src).withColumn("ordered", F.coalesce(doc >= last, F.lit(True)))
-    per_file = landed.groupBy("source_file_name").agg(
-        F.count(F.lit(1)).alias("n"), F.min("source_row_number").alias("low"), F.max("source_row_number").alias("high"),
-        F.count_distinct("source_row_number").alias("numbers"), F.bool_and("ordered").alias("ordered"),
-    )
-    return per_file.agg(
+    return file_order(landed_reviews(src), doc).agg(
         F.count(F.lit(1)).alias("files"), F.sum("n").alias("total_rows"),
         F.bool_and((F.col("numbers") == F.col("n")) & (F.col("high") == F.col("n") + 1) & (F.col("low") == 2)).alias("dense"),
         F.bool_and("ordered").alias("in_file_order"),

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from strataflow.operators import audits, dimensions, facts, kpis, lookups, maintenance, monitoring, reviews
 from strataflow.operators import views
-from strataflow.plans import monthly
+from strataflow.plans import monthly, queries_landing
+from strataflow.plans.registry import Source
 from strataflow.sources import aspect_cache, landing, pieces
 from strataflow.sources.tables import Warehouse
 from strataflow.spec import ENTITIES
@@ -656,3 +657,32 @@ def test_view_columns_carry_surrogates(two_months):
     dims = [wh.current(f"dwh/{n}") for n in ("dim_customer", "dim_restaurant", "dim_delivery_partner")]
     view = views.order_view(wh.current("dwh/fact_order"), *dims)
     assert view.columns[0] == "order_key" and view.count() == 4
+
+
+@pytest.mark.parametrize("values, numbers, kept, dense", [
+    (["a", "b", "b", "c", "d"], [2, 3, 4, 5, 6], True, True),
+    (["a", "b", "c", "b", "d"], [2, 3, 4, 5, 6], False, True),
+    (["a", "c", "b", "c", "d"], [2, 3, 4, 5, 6], False, True),
+    (["a", None, "b", None, "a"], [2, 3, 4, 5, 6], True, True),
+    (["a", "b", "b", "c", "d"], [2, 3, 3, 5, 6], True, False),
+])
+def test_order_of_a_file_is_checked_by_blocks(spark, values, numbers, kept, dense):
+    rows = spark.createDataFrame([("f", n, v) for n, v in zip(numbers, values)], "source_file_name string, source_row_number long, value string")
+    checked = queries_landing.file_order(rows, F.col("value"), block=2)
+    windows = [x for x in checked._jdf.queryExecution().analyzed().toString().splitlines() if "Window" in x and "value" in x]
+    assert windows and all("block" in x for x in windows)
+    found = checked.first()
+    assert (found.n, found.low, found.high) == (5, 2, 6)
+    assert found.ordered is kept and (found.numbers == found.n) is dense
+
+
+def test_files_grow_in_number_where_a_query_leaves_it_open(spark, monkeypatch):
+    src = Source(spark, "/root/testdata/sf0.001")
+    monkeypatch.setattr(queries_landing, "FILE_ROWS", 100)
+    landed = queries_landing.landed_text(src)
+    assert landed.count() == src.table("orders").count()
+    assert len({r.f for r in queries_landing.landed_orders(src, 9).select(F.col("source_file_name").alias("f")).distinct().collect()}) == 9
+    files = []
+    monkeypatch.setattr(queries_landing, "landed_orders", lambda s, n=4, real=queries_landing.landed_orders: files.append(n) or real(s, n))
+    queries_landing.landed_text(src)
+    assert files == [-(-src.table("orders").count() // 100)]
