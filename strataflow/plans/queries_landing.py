@@ -265,6 +265,12 @@ _REVIEW = {
 }
 
 
+def text_files(src: Source) -> int:
+    """The number of files for the texts of all documents."""
+    size = src.table("documents").agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(DROP_FILES, -(-size // FILE_BYTES))
+
+
 def landed_reviews(src: Source, files: int = DROP_FILES) -> DataFrame:
     """Documents as files of ratings, landed again. Their lines begin and end inside quoted fields, in any split."""
     folder, spec = scratch_path(src.spark, "reviews"), ENTITIES["rating"]
@@ -282,8 +288,7 @@ def landed_reviews(src: Source, files: int = DROP_FILES) -> DataFrame:
     f"SELECT {', '.join(f'{e} AS {n}' for n, e in _REVIEW.items())}, CAST(7 AS BIGINT) AS batch_id FROM documents",
 )
 def landed_review_texts(src: Source) -> DataFrame:
-    size = src.table("documents").agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    return landed_reviews(src, max(DROP_FILES, -(-size // FILE_BYTES))).select(*ENTITIES["rating"].columns, "batch_id")
+    return landed_reviews(src, text_files(src)).select(*ENTITIES["rating"].columns, "batch_id")
 
 
 @query(
@@ -495,7 +500,7 @@ def cache_list_file(src: Source) -> DataFrame:
     """The same cache exported as JSON lists and read from them, in the splits that the files have."""
     path = scratch_path(src.spark, "cache-lists")
     fresh, cache = S.fallback_aspects(src), S.doc_cache(src)
-    aspect_cache.write_cache_lists(cache.unionByName(fresh.select(*cache.columns)), path, DROP_FILES)
+    aspect_cache.write_cache_lists(cache.unionByName(fresh.select(*cache.columns)), path, text_files(src))
     return aspect_cache.read_cache(src.spark, path)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strataflow.operators.surrogate import assign_keys
@@ -42,13 +42,21 @@ def add_missing(cache: DataFrame, entries: DataFrame) -> DataFrame:
     return cache.unionByName(fresh.select(*cache.columns))
 
 
-def ordered_entries(cache: DataFrame) -> DataFrame:
-    """Export order and defaults."""
+ORDER = ("review_text", "aspect_id", "sentiment_type_id")
+
+
+def filled_entries(cache: DataFrame) -> DataFrame:
+    """Entries with the defaults of an export."""
     return cache.select(
         F.trim("review_hash").alias("review_hash"), "review_text", "aspect_id", "sentiment_type_id",
         F.coalesce("matched_phrase", F.lit("")).alias("matched_phrase"),
         F.coalesce("ai_model", F.lit(DEFAULT_MODEL)).alias("ai_model"),
-    ).orderBy("review_text", "aspect_id", "sentiment_type_id")
+    )
+
+
+def ordered_entries(cache: DataFrame) -> DataFrame:
+    """Export order and defaults."""
+    return filled_entries(cache).orderBy(*ORDER)
 
 
 def _line() -> Column:
@@ -67,13 +75,22 @@ def write_cache(cache: DataFrame, path: str) -> None:
     ordered_entries(cache).select(_line().alias("value")).write.mode("overwrite").text(path)
 
 
+def _first_of_partition() -> Column:
+    return F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+
+
 def write_cache_lists(cache: DataFrame, path: str, files: int) -> None:
-    """Sorted export as JSON lists, one per range of review texts; each range has a folder and a file of its own."""
-    ranged = ordered_entries(cache).repartitionByRange(files, "review_text").withColumn("part", F.spark_partition_id())
-    inside = Window.partitionBy("part").orderBy("review_text", "aspect_id", "sentiment_type_id")
-    first, last = F.lag("part").over(inside).isNull(), F.lead("part").over(inside).isNull()
-    line = F.concat(F.when(first, "[").otherwise(""), _line(), F.when(last, "]").otherwise(","))
-    ranged.select("part", line.alias("value")).write.mode("overwrite").partitionBy("part").text(path)
+    """Sorted export as JSON lists, one per range of review texts; each range has a folder and a file of its own. Texts are
+    shuffled once: any row of a partition brings the line that closes its list, and the first line opens it."""
+    ranged = filled_entries(cache).repartitionByRange(files, "review_text").withColumns(
+        {"part": F.spark_partition_id(), "closing": F.when(_first_of_partition(), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))}
+    )
+    lines = ranged.withColumn("closing", F.explode("closing"))
+    # A line that closes needs no texts to sort.
+    lines = lines.withColumns({c: F.when(F.col("closing") == 0, F.col(c)) for c in ("review_text", "matched_phrase")})
+    lines = lines.sortWithinPartitions("part", "closing", *ORDER).withColumn("first", _first_of_partition())
+    line = F.when(F.col("closing") == 1, "]").otherwise(F.concat(F.when(F.col("first"), "[").otherwise(","), _line()))
+    lines.select("part", line.alias("value")).write.mode("overwrite").partitionBy("part").text(path)
 
 
 def request_batches(reviews: DataFrame, size: int = REQUEST_SIZE) -> DataFrame:

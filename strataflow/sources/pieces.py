@@ -49,16 +49,17 @@ def _with_turns(rows: DataFrame, by: tuple[str, ...], order: str) -> DataFrame:
 def running(pieces: DataFrame, to_0: Column, to_1: Column, counts: dict[str, tuple[Column, Column]]) -> DataFrame:
     """The pieces with `state` (0 outside, 1 inside, where the piece begins) and, per count, its sum from the beginning of
     the file through the piece; a count has one expression for pieces that begin outside and one for those inside.
-    `pieces` (with their text in `value`) is read twice, so it must be stored or cheap to read."""
+    `pieces` hold numbers, and `quotes` (whether there is a quote in the text), never the texts: all of it is shuffled by
+    split and written once."""
     spark = pieces.sparkSession
     through = Window.partitionBy(*SPLIT).orderBy("piece_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = _with_turns(pieces.withColumns({"to_0": to_0.cast("int"), "to_1": to_1.cast("int")}), SPLIT, "piece_id")
     if_0, if_1 = (_state(F.col("turns"), F.col("pinned"), F.lit(s)) for s in (0, 1))
     sums = {f"{n}_{s}": F.sum(F.when(at == 0, c[0]).otherwise(c[1])).over(through) for n, c in counts.items() for s, at in ((0, if_0), (1, if_1))}
-    rows = stored(spark, rows.withColumns(sums).drop("to_0", "to_1"), "pieces")
+    rows = stored(spark, rows.withColumns(sums).drop("to_0", "to_1"), "runs")
 
     ends = rows.groupBy(*SPLIT).agg(
-        F.max_by(F.struct("turns_to", "pinned_to", *sums), "piece_id").alias("end"), F.bool_or(F.col("value").contains('"')).alias("quotes")
+        F.max_by(F.struct("turns_to", "pinned_to", *sums), "piece_id").alias("end"), F.bool_or("quotes").alias("quotes")
     )
     ends = ends.select(*SPLIT, "quotes", *[F.col(f"end.{c}").alias(c) for c in ("turns_to", "pinned_to", *sums)])
     splits = ends.select(
@@ -82,9 +83,14 @@ def running(pieces: DataFrame, to_0: Column, to_1: Column, counts: dict[str, tup
 
 
 def joined(pieces: DataFrame, keys: list[str], separator: str) -> DataFrame:
-    """(keys, file_name, value): the pieces that share the keys, in order, with the separator between them."""
+    """(keys, file_name, block_start, piece_id, value): the pieces that share the keys, in order, with the separator between
+    them; split and id are those of the first."""
     ordered = F.array_sort(F.collect_list(F.struct("block_start", "piece_id", "value")))
-    return pieces.groupBy(*keys, "file_name").agg(F.array_join(F.transform(ordered, lambda p: p["value"]), separator).alias("value"))
+    gathered = pieces.groupBy(*keys, "file_name").agg(ordered.alias("all"))
+    return gathered.select(
+        *keys, "file_name", F.col("all")[0]["block_start"].alias("block_start"), F.col("all")[0]["piece_id"].alias("piece_id"),
+        F.array_join(F.transform("all", lambda p: p["value"]), separator).alias("value"),
+    )
 
 
 # Delimited text ---------------------------------------------------------------------------------------------
@@ -110,30 +116,36 @@ def stays_quoted(line: Column) -> Column:
 
 def csv_records(spark: SparkSession, paths: list[str] | str) -> DataFrame:
     """(file_path, file_name, record, value): the records of delimited files whose quoted fields may hold line breaks,
-    numbered from 1 per file. Lines outside quotes that are blank are none. Only records of several lines are
-    gathered; those of one line stay where they were read."""
-    lines = read_pieces(spark, paths, "\n")
-    lines = stored(spark, lines.withColumn("value", F.regexp_replace("value", "^﻿", "")), "lines")
-    filled = F.when(F.length(F.trim(F.regexp_replace("value", "\r$", ""))) > 0, 1).otherwise(0)
+    numbered from 1 per file. Lines outside quotes that are blank are none. Lines are numbered without their texts and meet
+    them once; only records of several lines are gathered."""
+    lines = read_pieces(spark, paths, "\n").withColumn("value", F.regexp_replace("value", "^﻿", ""))
     value = F.col("value")
-    known = running(lines, opens_quotes(value), stays_quoted(value), {"record": (filled, F.lit(0))})
-    ends_inside = F.when(F.col("state") == 0, opens_quotes(value)).otherwise(stays_quoted(value))
-    known = known.filter((F.col("state") == 1) | (filled == 1)).withColumn("whole", (F.col("state") == 0) & ~ends_inside)
-    one = known.filter("whole").select("file_path", "record", "file_name", "value")
-    several = joined(known.filter("NOT whole"), ["file_path", "record"], "\n")
+    tested = {
+        "quotes": value.contains('"'), "filled": F.when(F.length(F.trim(F.regexp_replace("value", "\r$", ""))) > 0, 1).otherwise(0),
+        "opens": opens_quotes(value), "stays": stays_quoted(value),
+    }
+    lines = stored(spark, lines.withColumns(tested), "lines")
+    known = running(
+        lines.select(*SPLIT, "piece_id", *tested), F.col("opens"), F.col("stays"), {"record": (F.col("filled"), F.lit(0))}
+    )
+    ends_inside = F.when(F.col("state") == 0, F.col("opens")).otherwise(F.col("stays"))
+    known = known.filter((F.col("state") == 1) | (F.col("filled") == 1))
+    known = known.select("piece_id", "record", ((F.col("state") == 0) & ~ends_inside).alias("whole"))
+    found = lines.select("file_path", "file_name", "block_start", "piece_id", "value").join(known, "piece_id")
+    one = found.filter("whole").select("file_path", "record", "file_name", "value")
+    several = joined(found.filter("NOT whole"), ["file_path", "record"], "\n").select(*one.columns)
     return one.unionByName(several).withColumn("value", F.regexp_replace("value", "\r$", ""))
 
 
 # Lists in JSON ----------------------------------------------------------------------------------------------
 
 def json_entries(spark: SparkSession, path: str) -> DataFrame:
-    """(file_path, entry, value): the arrays in a JSON list of arrays, as text, numbered from 0 per file. The file is read
-    in the pieces between closing brackets, whatever its line breaks."""
-    pieces = stored(spark, read_pieces(spark, path, "]"), "pieces")
+    """(file_path, block_start, piece_id, value): the arrays in a JSON list of arrays, as text, with the split and the piece
+    in which they begin. The file is read in the pieces between closing brackets, whatever its line breaks. Texts are written
+    once; what tells the entries apart is worked out from numbers. An entry of one piece stays where it was read; the
+    pieces of others are looked up by their ids and gathered."""
     # Backslashes stand in strings only, and a piece never ends behind half an escape.
-    plain = F.regexp_replace("value", r"\\.", "")
-    parts = F.split(plain, '"')
-    odd = F.pmod(F.size(parts) - 1, F.lit(2))
+    parts = F.split(F.regexp_replace("value", r"\\.", ""), '"')
 
     def opened(outside: int) -> Column:
         """Opening brackets in the parts that lie outside strings: every other one."""
@@ -142,16 +154,30 @@ def json_entries(spark: SparkSession, path: str) -> DataFrame:
             lambda n, p: n + F.length(p) - F.length(F.replace(p, F.lit("["), F.lit(""))),
         )
 
+    tested = {
+        "quotes": F.col("value").contains('"'), "odd": F.pmod(F.size(parts) - 1, F.lit(2)),
+        "opened_0": opened(0), "opened_1": opened(1),
+    }
+    pieces = stored(spark, read_pieces(spark, path, "]").withColumns(tested), "pieces")
     # The piece ends with a closing bracket, which counts if it stands outside: for pieces begun outside, after an even
     # number of quotes.
-    known = running(pieces, odd, F.lit(1) - odd, {"depth": (opened(0) - (1 - odd), opened(1) - odd)})
+    odd = F.col("odd")
+    deeper = (F.col("opened_0") - (1 - odd), F.col("opened_1") - odd)
+    known = running(pieces.select(*SPLIT, "piece_id", *tested), odd, F.lit(1) - odd, {"depth": deeper})
     closes = F.pmod(F.col("state") + odd, F.lit(2)) == 0
-    known = known.withColumn("ends", F.when(closes & (F.col("depth") == 1), 1).otherwise(0))
-    known = stored(spark, known, "entries")
+    ends = closes & (F.col("depth") == 1)
+    # An entry of one piece begins outside strings, at the beginning of the file or where the entry before it ended.
+    whole = ends & (F.col("state") == 0) & (F.col("depth") - deeper[0] <= 1)
+    known = known.select(*SPLIT, "piece_id", "quotes", F.when(ends, 1).otherwise(0).alias("ends"), whole.alias("whole"))
     numbered = running(known, F.lit(0), F.lit(0), {"ended": (F.col("ends"), F.col("ends"))})
     numbered = numbered.withColumn("entry", F.col("ended") - F.col("ends"))
     # What stands behind the last entry closes the list.
     last = numbered.groupBy("file_path").agg(F.max("ended").alias("entries"))
-    inside = numbered.join(last, "file_path").filter(F.col("entry") < F.col("entries"))
-    texts = joined(inside, ["file_path", "entry"], "]")
-    return texts.select("file_path", "entry", F.concat(F.regexp_replace("value", r"^\s*(?:\[(?=\s*\[)|,)?\s*", ""), F.lit("]")).alias("value"))
+    numbered = numbered.filter("NOT whole").join(last, "file_path")
+    cut = stored(spark, numbered.select("piece_id", "entry", (F.col("entry") < F.col("entries")).alias("inside")), "cut")
+
+    found = pieces.select("file_path", "file_name", "block_start", "piece_id", "value").join(cut, "piece_id", "left")
+    one = found.filter(F.col("inside").isNull()).select("file_path", "block_start", "piece_id", "value")
+    several = joined(found.filter("inside"), ["file_path", "entry"], "]").select("file_path", "block_start", "piece_id", "value")
+    value = F.concat(F.regexp_replace("value", r"^\s*(?:\[(?=\s*\[)|,)?\s*", ""), F.lit("]"))
+    return one.unionByName(several).withColumn("value", value)

@@ -160,6 +160,55 @@ def test_splits_of_a_list_file(spark, tmp_path, size, indent):
     assert sorted(got, key=str) == sorted(map(tuple, entries), key=str)
 
 
+def test_texts_of_split_files_are_written_once(spark, tmp_path, monkeypatch):
+    """States and numbers are worked out without the texts, in lists and in delimited files."""
+    entries = [[f"h{i}", f'[{i}] "text" ' * 20, i, 1, "]" * (i % 2), "m"] for i in range(300)]
+    (tmp_path / "cache.json").write_text(json.dumps(entries), encoding="utf-8")
+    write(tmp_path, "customer_20260131.csv", CUSTOMER_HEADER, *[f'CUST{i:06},2026-01-01,"Pu\nne",Paid' for i in range(300)])
+    written, store = [], pieces.stored
+
+    def counted(spark, rows, name):
+        written.append("value" in rows.columns)
+        return store(spark, rows, name)
+
+    monkeypatch.setattr(pieces, "stored", counted)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+    try:
+        lists = [tuple(r) for r in aspect_cache.read_cache(spark, str(tmp_path / "cache.json")).collect()]
+        of_lists, written[:] = sum(written), []
+        records = pieces.csv_records(spark, str(tmp_path / "customer_20260131.csv")).collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sorted(lists, key=str) == sorted(map(tuple, entries), key=str) and of_lists == 1
+    assert sorted(r.record for r in records) == list(range(1, 302)) and sum(written) == 1
+
+
+def test_lists_of_a_cache(spark, tmp_path):
+    """Every range is a list of its own, in order, also of one entry or of entries without a text."""
+    rows = [("h", None if i % 50 == 0 else f'text {i % 90:03} "]['[: 5 + i % 11], i, 1, None, "m") for i in range(200)]
+    cache = spark.createDataFrame(rows, "review_hash string, review_text string, aspect_id int, sentiment_type_id int, matched_phrase string, ai_model string")
+    for name, kept in (("all", cache.repartition(3)), ("one", cache.filter("aspect_id = 7"))):
+        aspect_cache.write_cache_lists(kept, str(tmp_path / name), 4)
+        files = sorted((tmp_path / name).glob("part=*/*.txt"))
+        lists = [json.loads(f.read_text(encoding="utf-8")) for f in files]
+        assert len({f.parent for f in files}) == len(files) and all(lists)
+        got = [(e[1], e[2]) for entries in lists for e in entries]
+        assert got == sorted((t or "", i) for _, t, i, *_ in rows if name == "all" or i == 7)
+        assert len(lists) == (4 if name == "all" else 1)
+
+
+def test_lists_grow_in_number(spark, monkeypatch):
+    """A file is one task's work, so there are more of them where there are more texts."""
+    asked = []
+    write_lists = aspect_cache.write_cache_lists
+    monkeypatch.setattr(queries_landing, "FILE_BYTES", 100_000)
+    monkeypatch.setattr(aspect_cache, "write_cache_lists", lambda cache, path, files: (asked.append(files), write_lists(cache, path, files)))
+    folder = "/root/testdata/sf0.001"
+    rows = queries_landing.cache_list_file(Source(spark, folder))
+    size = sum(len((r.text or "").encode()) for r in spark.read.parquet(f"{folder}/documents.parquet").select("text").collect())
+    assert rows.count() and asked == [max(4, -(-size // 100_000))] and asked[0] > 4
+
+
 ORDER_HEADER = ",".join(ENTITIES["order"].columns)
 ITEM_HEADER = ",".join(ENTITIES["order_item"].columns)
 DELIVERY_HEADER = ",".join(ENTITIES["delivery_performance"].columns)
