@@ -14,6 +14,7 @@ weights, and the weights of all tasks are averaged by the number of positions th
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,8 @@ OFFSETS = tuple(o for o in range(-WINDOW, WINDOW + 1) if o)
 KNOWN = 50_000
 #: Every position of every document is a training target in one of the rounds.
 ROUNDS, BATCH, RATE = 2, 4096, 0.12
+#: Rows that are worked on at once.
+ROWS = 1024
 #: Weights are averaged in slices of this many numbers.
 SLICE = 16_384
 SHAPES = {
@@ -44,18 +47,42 @@ SHAPES = {
 }
 
 
+class Lookup:
+    """Places in sorted hashes: the leading bits tell where to begin, a few steps lead on. Hashes are spread evenly, so few
+    share their leading bits."""
+
+    def __init__(self, hashes: np.ndarray):
+        bits = max(len(hashes), 1).bit_length() + 2
+        self.hashes, self.shift = hashes, U64(64 - bits)
+        heads = (hashes >> self.shift).astype(np.int64)
+        self.begins = np.searchsorted(heads, np.arange(1 << bits)).astype(np.int32)
+        self.steps = int(np.bincount(heads, minlength=1).max()) - 1
+
+    def find(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(whether a hash is held, its place or any other)."""
+        last = len(self.hashes) - 1
+        at = np.minimum(np.take(self.begins, (found >> self.shift).astype(np.int64)), last)
+        for _ in range(self.steps):
+            at += np.take(self.hashes, at) < found
+            np.minimum(at, last, out=at)
+        return np.take(self.hashes, at) == found, at
+
+
 @dataclass(frozen=True)
 class Vocabulary:
     hashes: np.ndarray  # sorted word hashes
     ids: np.ndarray  # their ids, by falling frequency
 
+    @cached_property
+    def lookup(self) -> Lookup:
+        return Lookup(self.hashes)
+
     def encode(self, found: np.ndarray) -> np.ndarray:
         other = (TOKENS - HASHED + (found >> U64(20)) % U64(HASHED)).astype(np.int32)
         if not len(self.hashes):
             return other
-        at = np.searchsorted(self.hashes, found)
-        at[at == len(self.hashes)] = 0
-        return np.where(self.hashes[at] == found, self.ids[at], other)
+        held, at = self.lookup.find(found)
+        return np.where(held, self.ids[at], other)
 
 
 def first_weights() -> dict[str, np.ndarray]:
@@ -76,36 +103,64 @@ def unflat(numbers: np.ndarray) -> dict[str, np.ndarray]:
     return out
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    x = np.exp(x - x.max(axis=1, keepdims=True))
-    return x / x.sum(axis=1, keepdims=True)
-
-
 def _hidden(w: dict, context: np.ndarray) -> np.ndarray:
-    total = w["embedding"][0][context[:, 0]]
+    # Ids are in range; told so, numpy takes rows without a copy of its own.
+    total = np.take(w["embedding"][0], context[:, 0], axis=0, mode="clip")
+    part = np.empty_like(total)
     for o in range(1, len(OFFSETS)):
-        total = total + w["embedding"][o][context[:, o]]
-    return np.tanh(total + w["bias"])
+        total += np.take(w["embedding"][o], context[:, o], axis=0, mode="clip", out=part)
+    total += w["bias"]
+    return np.tanh(total, out=total)
+
+
+def _bounded(to: np.ndarray, bias: np.ndarray) -> bool:
+    """Whether no logit can be too large or too small for its exponential: what is hidden lies between -1 and 1."""
+    return bool((np.abs(to).sum(axis=-2) + np.abs(bias)).max() < 40)
+
+
+def _lowered(logits: np.ndarray, bounded: bool) -> np.ndarray:
+    """The logits, brought down by the largest of each row where they may be large."""
+    if not bounded:
+        logits -= logits.max(axis=1, keepdims=True)
+    return logits
+
+
+def _exponentials(logits: np.ndarray) -> np.ndarray:
+    """The sum of the exponentials of each row; these take the place of the logits."""
+    np.exp(logits, out=logits)
+    return logits @ np.ones(logits.shape[1], dtype=logits.dtype)
+
+
+def _token_logits(w: dict, h: np.ndarray, spans: list[tuple[int, slice]]) -> np.ndarray:
+    """The logits of the tokens in the class of each row; rows are sorted by class."""
+    logits = np.empty((len(h), PER_CLASS), dtype=h.dtype)
+    for k, s in spans:
+        np.matmul(h[s], w["to_token"][k], out=logits[s])
+        logits[s] += w["token_bias"][k]
+    return logits
+
+
+def _class_spans(group: np.ndarray) -> list[tuple[int, slice]]:
+    """(class, its rows) of rows that are sorted by class."""
+    cuts = np.searchsorted(group, np.arange(CLASSES + 1)).tolist()
+    return [(k, slice(cuts[k], cuts[k + 1])) for k in range(CLASSES) if cuts[k] < cuts[k + 1]]
 
 
 def log_probabilities(w: dict, target: np.ndarray, context: np.ndarray) -> np.ndarray:
     """The log-probability of each target token given its context."""
     out = np.empty(len(target), dtype=np.float64)
     order = np.argsort((target // PER_CLASS).astype(np.int16), kind="stable")
-    for a in range(0, len(order), 4 * BATCH):
-        rows = order[a : a + 4 * BATCH]
+    bounded = _bounded(w["to_class"], w["class_bias"]), _bounded(w["to_token"], w["token_bias"])
+    for a in range(0, len(order), ROWS):
+        rows = order[a : a + ROWS]
         t, h = target[rows], _hidden(w, context[rows])
-        group, inner = t // PER_CLASS, t % PER_CLASS
-        logits = h @ w["to_class"] + w["class_bias"]
-        high = logits.max(axis=1)
-        result = logits[np.arange(len(t)), group] - high - np.log(np.exp(logits - high[:, None]).sum(axis=1))
-        cuts = np.searchsorted(group, np.arange(CLASSES + 1))
-        for k in range(group[0], group[-1] + 1):
-            s = slice(cuts[k], cuts[k + 1])
-            if s.start < s.stop:
-                logits = h[s] @ w["to_token"][k] + w["token_bias"][k]
-                high = logits.max(axis=1)
-                result[s] += logits[np.arange(s.stop - s.start), inner[s]] - high - np.log(np.exp(logits - high[:, None]).sum(axis=1))
+        group, i = t // PER_CLASS, np.arange(len(t))
+        logits = _lowered(h @ w["to_class"] + w["class_bias"], bounded[0])
+        result = logits[i, group]
+        result -= np.log(_exponentials(logits))
+        logits = _lowered(_token_logits(w, h, _class_spans(group)), bounded[1])
+        result += logits[i, t % PER_CLASS]
+        result -= np.log(_exponentials(logits))
         out[rows] = result
     return out
 
@@ -114,36 +169,57 @@ def train_step(w: dict, state: dict, target: np.ndarray, context: np.ndarray) ->
     """One Adagrad step on the mean negative log-probability, in place."""
     order = np.argsort((target // PER_CLASS).astype(np.int16), kind="stable")
     target, context = target[order], context[order]
-    n, i = len(target), np.arange(len(target))
-    h = _hidden(w, context)
-    group, inner = target // PER_CLASS, target % PER_CLASS
-    error = _softmax(h @ w["to_class"] + w["class_bias"])
-    error[i, group] -= 1
-    back = error @ w["to_class"].T
-    change = {"to_class": h.T @ error / n, "class_bias": error.sum(axis=0) / n}
-    change["to_token"], change["token_bias"] = np.zeros_like(w["to_token"]), np.zeros_like(w["token_bias"])
-    cuts = np.searchsorted(group, np.arange(CLASSES + 1))
-    for k in range(CLASSES):
-        s = slice(cuts[k], cuts[k + 1])
-        if s.start < s.stop:
-            error = _softmax(h[s] @ w["to_token"][k] + w["token_bias"][k])
-            error[np.arange(s.stop - s.start), inner[s]] -= 1
-            back[s] += error @ w["to_token"][k].T
-            change["to_token"][k] = h[s].T @ error / n
-            change["token_bias"][k] = error.sum(axis=0) / n
-    back *= (1 - h * h) / n
+    n = len(target)
+    change = {k: np.zeros_like(v) for k, v in w.items() if k != "embedding"}
+    back = np.empty((n, HIDDEN), dtype=w["bias"].dtype)
+    bounded = _bounded(w["to_class"], w["class_bias"]), _bounded(w["to_token"], w["token_bias"])
+    # In parts that stay in the cache of a core.
+    for a in range(0, n, ROWS):
+        part = slice(a, min(a + ROWS, n))
+        t, h, behind = target[part], _hidden(w, context[part]), back[part]
+        group, i = t // PER_CLASS, np.arange(len(t))
+        error = h @ w["to_class"]
+        error += w["class_bias"]
+        error /= _exponentials(_lowered(error, bounded[0]))[:, None]
+        error[i, group] -= 1
+        np.matmul(error, w["to_class"].T, out=behind)
+        change["to_class"] += h.T @ error
+        change["class_bias"] += error.sum(axis=0)
+        spans = _class_spans(group)
+        error = _lowered(_token_logits(w, h, spans), bounded[1])
+        error /= _exponentials(error)[:, None]
+        error[i, t % PER_CLASS] -= 1
+        for k, s in spans:
+            behind[s] += error[s] @ w["to_token"][k].T
+            change["to_token"][k] += h[s].T @ error[s]
+            change["token_bias"][k] += error[s].sum(axis=0)
+        h *= h
+        behind *= np.subtract(1, h, out=h)
+    back /= n
     change["bias"] = back.sum(axis=0)
     for name, gradient in change.items():
+        if name != "bias":
+            gradient /= n
         state[name] += gradient * gradient
         w[name] -= RATE * gradient / (np.sqrt(state[name]) + 1e-6)
+    pairs = back.view(np.result_type(back, np.complex64))
     for o in range(len(OFFSETS)):
         # Numbers of 16 bits are sorted by radix.
-        by = np.argsort(context[:, o].astype(np.int16), kind="stable")
-        ids = context[by, o]
+        ids = context[:, o].astype(np.int16)
+        by = np.argsort(ids, kind="stable")
+        ids = ids[by]
         starts = np.flatnonzero(np.concatenate(([True], ids[1:] != ids[:-1])))
-        gradient, touched = np.add.reduceat(back[by], starts, axis=0), ids[starts]
-        state["embedding"][o][touched] += gradient * gradient
-        w["embedding"][o][touched] -= RATE * gradient / (np.sqrt(state["embedding"][o][touched]) + 1e-6)
+        # Two numbers are added at once, as one complex number.
+        sums = np.add.reduceat(np.take(pairs, by, axis=0, mode="clip"), starts, axis=0)
+        gradient, touched = sums.view(back.dtype), ids[starts]
+        held = np.take(state["embedding"][o], touched, axis=0)
+        held += gradient * gradient
+        state["embedding"][o][touched] = held
+        np.sqrt(held, out=held)
+        held += 1e-6
+        gradient *= RATE
+        gradient /= held
+        w["embedding"][o][touched] -= gradient
 
 
 def _token_slices(texts: pa.Array, vocabulary: Vocabulary):
@@ -211,13 +287,16 @@ class Shares:
     hashes: np.ndarray  # sorted hashes of the words that are sent to tasks
     logs: np.ndarray  # the logarithms of their shares
 
+    @cached_property
+    def lookup(self) -> Lookup:
+        return Lookup(self.hashes)
+
     def find(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(whether a word is held, the logarithm of its share)."""
         if not len(self.hashes):
             return np.zeros(len(found), dtype=bool), np.zeros(len(found))
-        at = np.searchsorted(self.hashes, found)
-        at[at == len(self.hashes)] = 0
-        return self.hashes[at] == found, self.logs[at]
+        held, at = self.lookup.find(found)
+        return held, self.logs[at]
 
 
 def word_shares(counted: DataFrame, vocabulary: Vocabulary) -> tuple[DataFrame, Shares]:

@@ -42,6 +42,48 @@ def test_a_step_follows_the_gradient(monkeypatch):
         assert abs((start[name][spot] - w[name][spot]) * 1e6 / M.RATE - gradient) < 1e-6 + 1e-3 * abs(gradient)
 
 
+def test_a_step_holds_little_memory():
+    """Rows are worked on in parts that stay in a core's cache: beside the gradients, a step holds few numbers a row."""
+    import tracemalloc
+
+    target, context = batch(65_536)
+    w = M.first_weights()
+    state = {k: np.full_like(v, 1e-4) for k, v in w.items()}
+    tracemalloc.start()
+    M.train_step(w, state, target, context)
+    step = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    M.log_probabilities(w, target, context)
+    score = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    row = M.HIDDEN * 4
+    assert step < 4 * row * len(target) and score < row * len(target)
+
+
+def test_large_logits():
+    """Weights whose exponentials would overflow give proper distributions and finite steps, as small ones do."""
+    target, context = batch(3000)
+    w = {k: (v * 3000).astype(np.float32) if k != "embedding" else v for k, v in M.first_weights().items()}
+    assert not M._bounded(w["to_class"], w["class_bias"]) and M._bounded(M.first_weights()["to_class"], w["class_bias"])
+    exact = M.log_probabilities({k: v.astype(np.float64) for k, v in w.items()}, target, context)
+    logs = M.log_probabilities(w, target, context)
+    assert np.isfinite(logs).all() and np.allclose(logs, exact, rtol=1e-4, atol=1e-2)
+    state = {k: np.full_like(v, 1e-4) for k, v in w.items()}
+    M.train_step(w, state, target, context)
+    assert all(np.isfinite(v).all() for v in w.values())
+
+
+def test_lookup_of_hashes():
+    """As a search among sorted hashes, also where many share their leading bits."""
+    random = np.random.default_rng(3)
+    some = random.integers(0, 2**64 - 1, 700, dtype=np.uint64)
+    for hashes in (some, some[:1], some >> np.uint64(50), np.array([0, 5, 2**64 - 1], dtype=np.uint64)):
+        hashes = np.unique(hashes)
+        asked = np.concatenate([hashes, hashes + np.uint64(1), some, np.array([0, 2**64 - 1], dtype=np.uint64)])
+        held, at = M.Lookup(hashes).find(asked)
+        assert (held == np.isin(asked, hashes)).all() and (hashes[at[held]] == asked[held]).all()
+
+
 def test_it_learns_both_sides():
     target, context = batch(4000)
     w = M.first_weights()
