@@ -6,6 +6,10 @@ shift one of its place: at the same place where the edit lies behind it, one fur
 before it. What is left of both words beside the chunk is again at most one edit apart and is cut once more in the same
 way. Words that share such a key agree in three quarters of their code points, so a frequent chunk makes no large group.
 Pairs that meet are verified by their edit distance.
+
+All tables here grow with the vocabulary, and Spark sizes them too low: keys, of which a word has up to twenty, by the rows
+before they are exploded, and tables that were stored by their compressed files. So joins ask for sorting and merging, and
+nothing is sent to the driver to be broadcast.
 """
 
 from __future__ import annotations
@@ -90,7 +94,7 @@ def near_words(words: DataFrame) -> DataFrame:
     # A word gives grams for chunk words of its own length and for those shorter by one.
     grams = sized.withColumn("longer", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("size", F.col("size") - F.col("longer"))
     grams = _keyed(grams.where("size > 0"), "grams").select("k", F.col("word").alias("b"), F.col("n").alias("n_b"))
-    met = chunks.join(grams, (chunks["k"] == grams["k"]) & ((F.char_length("a") < F.char_length("b")) | (F.col("a") < F.col("b"))) & (F.levenshtein("a", "b", 1) == 1))
+    met = chunks.join(grams.hint("merge"), (chunks["k"] == grams["k"]) & ((F.char_length("a") < F.char_length("b")) | (F.col("a") < F.col("b"))) & (F.levenshtein("a", "b", 1) == 1))
     return met.select("a", "n_a", "b", "n_b").distinct()
 
 
@@ -99,7 +103,7 @@ def _roots(forms: DataFrame) -> DataFrame:
     frequent than their words, so chains are short; each round doubles the steps taken."""
     now = forms.select("word", F.col("form").alias("root"))
     while True:
-        ahead = now.select(F.col("word").alias("root"), F.col("root").alias("next"))
+        ahead = now.select(F.col("word").alias("root"), F.col("root").alias("next")).hint("merge")
         if now.join(ahead, "root", "left_semi").isEmpty():
             return now
         now = stash(now.join(ahead, "root", "left").select("word", F.coalesce("next", "root").alias("root")), "roots")
@@ -116,8 +120,8 @@ def spelling_groups(words: DataFrame, ratio: int = RATIO) -> DataFrame:
         pairs.select(F.col("b").alias("word"), F.col("a").alias("other"), F.col("n_a").alias("other_n"))
     )
     best = sides.groupBy("word").agg(F.count("*").alias("n_near"), F.min(F.struct(-F.col("other_n"), F.col("other").alias("other"))).alias("best"))
-    told = words.join(best, "word", "left").select("word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), F.col("best.other").alias("other"), (-F.col("best.col1")).alias("other_n"))
+    told = words.join(best.hint("merge"), "word", "left").select("word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"), F.col("best.other").alias("other"), (-F.col("best.col1")).alias("other_n"))
     fits = F.col("other_n") >= ratio * F.col("n")
     told = stash(told.select("word", "n", "n_near", F.when(fits, F.col("other")).alias("form"), F.when(fits, F.col("other_n")).alias("form_n")), "forms")
     roots = _roots(told.where("form is not null"))
-    return told.join(roots, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+    return told.join(roots.hint("merge"), "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")

@@ -88,6 +88,20 @@ def test_a_frequent_chunk_makes_no_large_group(spark):
     assert keyed.groupBy("k").count().agg(F.max("count")).first()[0] <= 40
 
 
+def test_no_table_is_broadcast(spark):
+    """With a limit of one byte a broadcast raises an error: however small Spark takes a table for, joins do without."""
+    rng = random.Random(8)
+    words = {"".join(rng.choice("abé") for _ in range(rng.choice([6, 7, 8]))): 5 * 6 ** rng.randrange(6) for _ in range(500)}
+    limit = "spark.sql.maxBroadcastTableSize"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "1b")
+    try:
+        found = {tuple(r) for r in spelling_groups(frame(spark, words)).collect()}
+    finally:
+        spark.conf.set(limit, before)
+    assert found == groups(words) and any(root != form for _, form, root, *_ in found if form)
+
+
 def test_awkward_words(spark):
     assert spelling_groups(frame(spark, {})).collect() == []
     docs = fixtures.table(spark, []).limit(0)
